@@ -16,7 +16,8 @@ import math
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.common import materialise
@@ -31,7 +32,7 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-WORD = re.compile(r"[^\W\d_]{4,}")
+WORD = regex.compile(r"\p{L}{4,}")
 NOT_DIGIT = re.compile(r"[^0-9]")
 
 #: Words on either side of an entity that are candidates.
@@ -121,24 +122,29 @@ FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string,
 def disclosures(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """(entity, term, ratio) of all pairs whose ratio PMI / IC reaches the threshold, counted by documents.
 
-    rows: materialised (uid, near) of all documents. Pairs are counted with map-side sums; the corpus is counted only
-    for terms that meet an entity in `support` documents, through a broadcast where they are proven few and by one
-    aggregation of all words otherwise.
+    rows: materialised (uid, near) of all documents. Pairs are counted with map-side sums. A term is in at least as many
+    documents as it has near any entity, so a pair whose ratio is too low by that count goes before the corpus is
+    counted; this loses nothing and leaves the words of every text out. What is left is counted over the whole corpus,
+    through a broadcast where the terms are proven few and by one aggregation of all words otherwise.
     """
-    near = rows.where(F.size("near") > 0).select("uid", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("x"))
-    pairs = materialise(near.groupBy("x.entity", "x.term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support), "pii-pairs")
+    entity_terms = F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))
+    found = rows.where(F.size("near") > 0)
+    each = lambda field: found.select(F.explode(F.array_distinct(F.transform("near", lambda x: x[field]))).alias(field)).groupBy(field)
     n = rows.count()
-    entities = rows.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    terms = pairs.select("term").distinct()
+    pairs = found.select(F.explode(entity_terms).alias("x")).groupBy("x.entity", "x.term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
+    held = pairs.join(each("entity").agg(F.count("*").alias("n_e")), "entity").where(F.col("n_e") < n).join(each("term").agg(F.count("*").alias("n_near")), "term")
+    held = materialise(held.where(_ratio(n, "n_near") >= threshold), "pii-pairs")
+    terms = held.select("term").distinct()
     few = terms.count() <= BROADCAST_TERMS
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_col), r"[^\p{L}]+"))).alias("term")).where(F.length("term") >= 4)
     counted = (words.join(F.broadcast(terms), "term", "left_semi") if few else words).groupBy("term").agg(F.count("*").alias("n_t"))
+    return held.join(counted, "term").select("entity", "term", _ratio(n, "n_t").alias("ratio")).where(F.col("ratio") >= threshold)
+
+
+def _ratio(n: int, of_term: str) -> Column:
+    """PMI / IC with the named count of the term."""
     known = F.log(F.lit(float(max(n, 1))) / F.col("n_e"))
-    ratio = (known + F.log(F.col("n_et") / F.greatest("n_t", "n_et"))) / known
-    return (
-        pairs.join(counted, "term").join(entities, "entity")
-        .where(F.col("n_e") < n).select("entity", "term", ratio.alias("ratio")).where(F.col("ratio") >= threshold)
-    )
+    return (known + F.log(F.col("n_et") / F.greatest(of_term, "n_et"))) / known
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = DISCLOSURE, support: int = SUPPORT, with_text: bool = False) -> DataFrame:
