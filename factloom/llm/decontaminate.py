@@ -8,8 +8,8 @@ An occurrence of a full window covers exactly one start divisible by size - GRAM
 so a document is scanned position by position only if one such gram of it is in the set of the items' grams; this
 leaves no occurrence out.
 
-The set is held in the plan up to SET_WINDOWS windows, which bounds what is sent to a task; beyond that the positions
-are joined with the windows by a shuffle.
+The set is held in the plan up to SET_WINDOWS windows, which bounds what is sent to a task; beyond that the hashes of
+all positions are joined with those of the windows by a shuffle.
 
 Cases: a null text has no words; rows that are equal, or share an id, each get their own result; a null id is kept; an
 item that is null or has no words has no window; an empty benchmark leaves all documents clean; other columns are
@@ -57,6 +57,11 @@ def windows(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", tex
     return at.select("item", "length", F.xxhash64(window).alias("hash"), F.array_join(window, " ").alias("words")).distinct()
 
 
+def _marks(words: Column, length: int) -> Column:
+    """(at, length, hash) of every window of that length."""
+    return F.transform(_starts(words, length), lambda i: F.struct(i.alias("at"), F.lit(length).alias("length"), _hash(words, i, length).alias("hash")))
+
+
 def _found(words: Column, hashes: dict[int, list[int]], grams: list[int], size: int) -> Column:
     """Array of (at, length) whose hash is in the set."""
 
@@ -90,10 +95,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_co
         full = benched.where(F.col("length") == size).select(F.split("words", " ").alias("w")).distinct()
         grams = [r[0] for r in full.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(size - GRAM)), lambda i: _hash(F.col("w"), i, GRAM))).alias("h")).distinct().orderBy("h").collect()]
         found = _found(F.col("w"), hashes, grams, size)
+        own = own.withColumn("found", found)
     else:
-        spots = [F.transform(_starts(F.col("w"), k), lambda i, k=k: F.struct(i.alias("at"), F.lit(k).alias("length"))) for k in sorted(by_length)]
-        found = F.concat(*spots)
-    scanned = own.select("uid", "id", *kept, F.size("w").cast("long").alias("n_words"), F.transform(found, lambda x: F.struct(x["at"].alias("at"), x["length"].alias("length"), F.slice("w", x["at"] + 1, x["length"]).alias("window"))).alias("found"))
+        # Positions travel as hashes only; the few that match come back to their documents, by a key of the row.
+        marks = [_marks(F.col("w"), k) for k in sorted(by_length)]
+        own = own.withColumn("key", F.xxhash64("id", F.array_join("w", " ")))
+        spread = own.select("key", F.explode(F.concat(*marks)).alias("x")).select("key", "x.at", "x.length", "x.hash")
+        matched = spread.join(benched.select("length", "hash").distinct(), ["length", "hash"], "left_semi")
+        spots = matched.groupBy("key").agg(F.collect_set(F.struct("at", "length")).alias("found"))
+        own = own.join(spots, "key", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<at:int,length:int>>")))
+    scanned = own.select("uid", "id", *kept, F.size("w").cast("long").alias("n_words"), F.transform("found", lambda x: F.struct(x["at"].alias("at"), x["length"].alias("length"), F.slice("w", x["at"] + 1, x["length"]).alias("window"))).alias("found"))
     spread = scanned.select("uid", "id", *kept, "n_words", F.explode_outer("found").alias("x"))
     keyed = spread.select(
         "uid", "id", *kept, "n_words", "x.at", "x.length",
