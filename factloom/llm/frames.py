@@ -15,12 +15,14 @@ each other by their ids' bytes; an empty table writes no file; other columns are
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,11 @@ from factloom.llm.common import materialise, shared_path
 ENTRY, FOOTER, MAGIC = struct.Struct("<qqqqIB3x"), struct.Struct("<QII"), 0x4C4F4F4D
 LEVEL = 3
 CACHE_ENTRIES = 400_000
+#: Outside of these characters, or with the start of a special token, a text goes to the library whole.
+UNCOMMON = re.compile("[^\\x00-\u012f\u0131-\u024f\u2010-\u2027\u20ac]|<\\|")
+#: The vocabulary's pre-tokens over lower-cased common characters.
+LETTERS, NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+PRE_TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\t-\r\x20\x85\xa0{LETTERS}{NUMBERS}]+")
 #: Compressed bytes that a file should have.
 FILE_BYTES = 32 << 20
 
@@ -96,33 +103,51 @@ def opened(path: str):
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
 
-class ChunkEncoder:
-    """The tokenizers library, asked once for each distinct run without ASCII white space. The vocabulary's normaliser
-    turns white space into one space and its pre-tokeniser drops it, so ids of a text are those of its runs in order."""
+class WordEncoder:
+    """The tokenizers library, asked once for each distinct pre-token.
+
+    In a text of common characters the vocabulary's normaliser only lower-cases and turns white space into spaces, and
+    its pre-tokens are the matches of PRE_TOKEN. The ids of a pre-token end with a piece that ends a word, so many are
+    encoded in one call, with spaces between them, and parted there. Any other text goes to the library as it is."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cache = Tokenizer.from_file(path), {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = piece.endswith("</w>")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        runs = [t.encode("utf-8", "replace").split() for t in texts]
-        fresh = [r for r in {r for rs in runs for r in rs} if r not in self.cache]
-        if len(self.cache) + len(fresh) > CACHE_ENTRIES:
-            self.cache.clear()
-            fresh = list({r for rs in runs for r in rs})
-        for r, e in zip(fresh, self.tokenizer.encode_batch([r.decode() for r in fresh], add_special_tokens=False), strict=True):
-            self.cache[r] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        return [b"".join(map(self.cache.__getitem__, rs)) for rs in runs]
+        cut = [None if UNCOMMON.search(t) else PRE_TOKEN.findall(t.lower()) for t in texts]
+        cache = self.cache
+        if len(cache) > CACHE_ENTRIES:
+            cache.clear()
+        fresh = {w for words in cut if words for w in words if w not in cache}
+        self._learn(sorted(fresh))
+        return [b"".join(map(cache.__getitem__, words)) if words is not None else self._whole(t) for t, words in zip(texts, cut, strict=True)]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, words: list[str], run: int = 256) -> None:
+        for at in range(0, len(words), run):
+            some = words[at : at + run]
+            data = self._whole(" ".join(some))
+            ends = (4 * (np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 1)).tolist()
+            if len(ends) == len(some):
+                self.cache.update(zip(some, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+            else:
+                self.cache.update((w, self._whole(w)) for w in some)
 
 
 @lru_cache(2)
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str) -> WordEncoder:
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return ChunkEncoder(path)
+    return WordEncoder(path)
 
 
 def encoded(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
