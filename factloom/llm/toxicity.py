@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATION = 4000, 8000, 4000
+MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATION = 3000, 6000, 3000
 DIMENSIONS = 1 << 18
 #: Features kept for training: those whose share of P most exceeds their share of U.
 SCREENED = 3000
@@ -65,8 +65,10 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     none = Classifier(np.zeros(0, np.int32), np.zeros(0), -20.0)
     if not positive or not unlabelled:
         return none
-    in_p = np.bincount(np.concatenate(positive), minlength=DIMENSIONS) if positive else np.zeros(DIMENSIONS)
-    in_u = np.bincount(np.concatenate(unlabelled), minlength=DIMENSIONS)
+    in_p, in_u = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
+    for total, rows in ((in_p, positive), (in_u, unlabelled)):
+        for r in rows:
+            total[r] += 1  # the features of a document are distinct
     share_p, share_u = in_p / len(positive), (in_u + 0.5) / (len(unlabelled) + 1)
     gain = np.where(in_p >= LEAST_POSITIVE, (share_p - share_u) / np.sqrt(share_u * (1 - np.minimum(share_u, 0.999)) / len(positive)), -np.inf)
     # A feature that toxic text has no more often than other text tells nothing that the risk could use.
@@ -77,13 +79,13 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     place[index] = np.arange(len(index))
 
     def matrix(rows: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(rows), len(index)), np.float32)
+        out = np.zeros((len(rows), len(index)), np.uint8)
         for i, r in enumerate(rows):
             at = place[r]
             out[i, at[at >= 0]] = 1
         return out
 
-    xp, xu = matrix(positive).astype(np.uint8), matrix(unlabelled).astype(np.uint8)
+    xp, xu = matrix(positive), matrix(unlabelled)
     rng = np.random.default_rng(seed)
     w, b = np.zeros(len(index)), -1.0
     m, v, t = np.zeros(len(index) + 1), np.zeros(len(index) + 1), 0
@@ -143,10 +145,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ]
     sample = chosen[0].unionByName(chosen[1]).unionByName(chosen[2])  # bounded by the three parameters
     parts = sample.groupBy(id_col).agg(F.collect_list(F.struct("part", "toxic")).alias("parts"))
-    found = F.pandas_udf(lambda t: pd.Series([document_features(x) for x in t], dtype=object), "array<int>")
+    found = F.pandas_udf(lambda t: pd.Series([document_features(x).tobytes() for x in t], dtype=object), "binary")
     texts = docs.join(F.broadcast(parts), id_col).select("parts", F.xxhash64(id_col).alias("at"), found(F.col(text_col)).alias("f"))
-    rows = sorted(texts.collect(), key=lambda r: (r["at"], len(r["f"])))
-    of = lambda part: [(np.array(r["f"], np.int32), x["toxic"]) for r in rows for x in r["parts"] if x["part"] == part]
+    rows = sorted(((r["at"], np.frombuffer(r["f"], np.int32), r["parts"]) for r in texts.collect()), key=lambda r: (r[0], len(r[1])))
+    of = lambda part: [(f, x["toxic"]) for _, f, parts in rows for x in parts if x["part"] == part]
     p, u, c = of("p"), of("u"), of("c")
     model = train([f for f, _ in p], [f for f, _ in u], float(share))
     return calibrate(model, [f for f, _ in c], np.array([y for _, y in c], int))
