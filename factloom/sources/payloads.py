@@ -91,7 +91,8 @@ def _keys() -> list[str]:
 def filings(payloads: DataFrame) -> DataFrame:
     """One row a filing of the submissions; shorter arrays give nulls."""
     recent = F.col("payload.filings.recent")
-    zipped = F.arrays_zip(recent["form"].alias("form"), recent["filingDate"].alias("filed_date"), recent["accessionNumber"].alias("accession"), recent["primaryDocument"].alias("primary_doc"), recent["reportDate"].alias("period_end"))
+    fields = {"form": "form", "filed_date": "filingDate", "accession": "accessionNumber", "primary_doc": "primaryDocument", "period_end": "reportDate"}
+    zipped = F.arrays_zip(*[F.coalesce(recent[f], F.array().cast("array<string>")).alias(n) for n, f in fields.items()])
     return payloads.select(cik_padded(F.col("payload.cik")).alias("cik"), F.posexplode(zipped).alias("ordinal", "f")).select("cik", "ordinal", "f.*").where(F.col("form").isNotNull())
 
 
