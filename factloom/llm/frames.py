@@ -1,8 +1,9 @@
 """Token-ID files of independent zstandard frames with a trailing seek table.
 
-A file holds one frame for each document: its ids as little-endian unsigned 32-bit integers. The table at the end has
-an entry of (document id, offset and size of the frame, number of ids, crc32 of the ids) for each, in file order, and
-then a footer with the number of entries, the table's crc32 and a magic number. A reader takes the footer and the
+A file holds one frame for each document: its ids as little-endian unsigned integers of 16 bits, or of 32 where an id
+needs them. The table at the end has an entry of (document id, offset and size of the frame, number of ids, crc32 of the
+ids as 32-bit integers, whether the id is null, bytes an id) for each, in file order, and then a footer with the number
+of entries, the table's crc32 and a magic number. A reader takes the footer and the
 table, and decompresses only the frames of the documents asked for; each is checked against its crc32 and zstandard's
 own content checksum.
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm.common import materialise, shared_path
 
-ENTRY, FOOTER, MAGIC = struct.Struct("<qqqqIB3x"), struct.Struct("<QII"), 0x4C4F4F4D
+ENTRY, FOOTER, MAGIC = struct.Struct("<qqqqIBB2x"), struct.Struct("<QII"), 0x4C4F4F4D
 LEVEL = 3
 CACHE_ENTRIES = 400_000
 #: Outside of these characters, or with the start of a special token, a text goes to the library whole.
@@ -41,6 +42,12 @@ PRE_TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\t-
 FILE_BYTES = 32 << 20
 
 
+def narrowed(ids: bytes) -> tuple[bytes, int]:
+    """(the ids in the fewest bytes, bytes an id)."""
+    wide = np.frombuffer(ids, "<u4")
+    return (wide.astype("<u2").tobytes(), 2) if not len(wide) or wide.max() < 1 << 16 else (ids, 4)
+
+
 class FrameWriter:
     """Writes frames to a binary file object; finish() adds the table."""
 
@@ -51,11 +58,12 @@ class FrameWriter:
         self.zstd = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.add_frame(doc_id, self.zstd.compress(ids), len(ids) // 4, zlib.crc32(ids))
+        data, width = narrowed(ids)
+        self.add_frame(doc_id, self.zstd.compress(data), len(ids) // 4, zlib.crc32(ids), width)
 
-    def add_frame(self, doc_id: int | None, frame: bytes, n: int, crc: int) -> None:
+    def add_frame(self, doc_id: int | None, frame: bytes, n: int, crc: int, width: int) -> None:
         self.out.write(frame)
-        self.entries.append(ENTRY.pack(doc_id or 0, self.at, len(frame), n, crc, doc_id is None))
+        self.entries.append(ENTRY.pack(doc_id or 0, self.at, len(frame), n, crc, doc_id is None, width))
         self.at += len(frame)
 
     def finish(self) -> None:
@@ -80,13 +88,13 @@ class FrameReader:
         table = file.read(n * ENTRY.size)
         if zlib.crc32(table) != crc:
             raise ValueError("the seek table is damaged")
-        self.entries = [(None if x[5] else x[0], *x[1:5]) for x in ENTRY.iter_unpack(table)]
+        self.entries = [(None if x[5] else x[0], *x[1:5], x[6]) for x in ENTRY.iter_unpack(table)]
 
     def frame(self, k: int) -> bytes:
-        """The ids of entry k, checked."""
-        _, at, size, n, crc = self.entries[k]
+        """The ids of entry k as 32-bit integers, checked."""
+        _, at, size, n, crc, width = self.entries[k]
         self.file.seek(at)
-        ids = self.zstd.decompress(self.file.read(size))
+        ids = np.frombuffer(self.zstd.decompress(self.file.read(size)), f"<u{width}").astype("<u4").tobytes()
         if len(ids) != 4 * n or zlib.crc32(ids) != crc:
             raise ValueError(f"frame {k} is damaged")
         return ids
@@ -151,9 +159,9 @@ def encoder(path: str) -> WordEncoder:
 
 
 def encoded(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, crc, frame): each document's ids with the end id, compressed."""
+    """(doc_id, n, crc, width, frame): each document's ids with the end id, compressed."""
 
-    @F.pandas_udf("n long, crc long, frame binary")
+    @F.pandas_udf("n long, crc long, width int, frame binary")
     def run(texts: pd.Series) -> pd.DataFrame:
         import zstandard
 
@@ -163,8 +171,9 @@ def encoded(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id",
         for at in range(0, len(whole), 200):
             for ids in own.encode(whole[at : at + 200]):
                 ids += end
-                rows.append((len(ids) // 4, zlib.crc32(ids), zstd.compress(ids)))
-        return pd.DataFrame(rows, columns=["n", "crc", "frame"])
+                data, width = narrowed(ids)
+                rows.append((len(ids) // 4, zlib.crc32(ids), width, zstd.compress(data)))
+        return pd.DataFrame(rows, columns=["n", "crc", "width", "frame"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), run(F.col(text_col)).alias("f")).select("doc_id", "f.*")
 
@@ -192,7 +201,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 2, id_col: str
             return pd.DataFrame({"bucket": [now], "file": [f"{folder}/{now:08d}.ids"], "n_docs": [len(writer.entries)], "n_ids": [total]})
 
         for pdf in batches:
-            for b, doc, n_ids, crc, frame in zip(pdf["bucket"], pdf["doc_id"], pdf["n"], pdf["crc"], pdf["frame"], strict=True):
+            for b, doc, n_ids, crc, width, frame in zip(pdf["bucket"], pdf["doc_id"], pdf["n"], pdf["crc"], pdf["width"], pdf["frame"], strict=True):
                 if b != now:
                     if now is not None:
                         yield close()
@@ -200,12 +209,12 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 2, id_col: str
                     temporary = f"{base}/.{b}-{uuid.uuid4().hex}"
                     out = fs.open_output_stream(temporary)
                     writer = FrameWriter(out)
-                writer.add_frame(None if pd.isna(doc) else int(doc), frame, int(n_ids), int(crc))
+                writer.add_frame(None if pd.isna(doc) else int(doc), frame, int(n_ids), int(crc), int(width))
                 total += int(n_ids)
         if now is not None:
             yield close()
 
-    return materialise(dealt.select("bucket", "doc_id", "n", "crc", "frame").mapInPandas(put, "bucket int, file string, n_docs long, n_ids long"), "frame-files")
+    return materialise(dealt.select("bucket", "doc_id", "n", "crc", "width", "frame").mapInPandas(put, "bucket int, file string, n_docs long, n_ids long"), "frame-files")
 
 
 def read(files: DataFrame) -> DataFrame:

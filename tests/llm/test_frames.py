@@ -27,7 +27,7 @@ def test_words_encode_as_whole_texts(text):
 def test_reader_takes_only_what_is_asked_for():
     out = io.BytesIO()
     writer = frames.FrameWriter(out)
-    data = {i: struct.pack(f"<{i}I", *range(i)) for i in range(50)}
+    data = {i: struct.pack(f"<{i}I", *range(i)) for i in range(50)} | {33: struct.pack("<2I", 1, 70_000)}
     for i, ids in data.items():
         writer.add(i, ids)
     writer.finish()
