@@ -123,23 +123,52 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_co
     return grouped.select(F.col("id").alias(id_col), *(keep or []), "n_words", covered.alias("n_hit"), "items", "hits")
 
 
+def _with_hits(docs: DataFrame, benchmark: DataFrame, size: int, text_col: str) -> tuple[DataFrame, str] | None:
+    """docs with a column of verified (at, length), found within each row: the set of hashes and then that of the windows'
+    words decide, and nothing is shuffled. None where the benchmark is too large for the sets."""
+    benched = windows(benchmark, size).select("length", "hash", "words").distinct()
+    if benched.count() > SET_WINDOWS:
+        return None
+    hashes: dict[int, list[int]] = {}
+    texts = []
+    for r in benched.orderBy("length", "hash", "words").collect():  # at most SET_WINDOWS
+        hashes.setdefault(r["length"], []).append(r["hash"])
+        texts.append(r["words"])
+    full = benched.where(F.col("length") == size).select(F.split("words", " ").alias("w"))
+    grams = [r[0] for r in full.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(size - GRAM)), lambda i: _hash(F.col("w"), i, GRAM))).alias("h")).distinct().orderBy("h").collect()]
+    end = "_" * max(map(len, docs.columns))
+    words, hits = f"w{end}", f"h{end}"
+    # The number keeps a filter on the hits above the cutting of words, which would else be repeated in it.
+    cut = docs.select("*", words_of(F.col(text_col)).alias(words), F.monotonically_increasing_id().alias(f"n{end}"))
+    w = F.col(words)
+    found = F.filter(_found(w, hashes, grams, size), lambda x: F.array_join(F.slice(w, x["at"] + 1, x["length"]), " ").isin(texts)) if texts else F.array().cast("array<struct<at:int,length:int>>")
+    return cut.select(*docs.columns, found.alias(hits)), hits
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that hold no window of the benchmark, all columns."""
-    columns = docs.columns
-    packed = docs.select(F.struct(*columns).alias("row_of_document"), F.col(id_col), F.col(text_col))
-    flags = contamination(packed, benchmark, size, id_col, text_col, keep=["row_of_document"])
-    return flags.where(F.col("n_hit") == 0).select("row_of_document.*")
+    in_row = _with_hits(docs, benchmark, size, text_col)
+    if in_row is not None:
+        return in_row[0].where(F.size(in_row[1]) == 0).select(*docs.columns)
+    return _flagged(docs, benchmark, size, id_col, text_col).where(F.size("hits") == 0).select("row_of_document.*")
+
+
+def _flagged(docs: DataFrame, benchmark: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    packed = docs.select(F.struct(*docs.columns).alias("row_of_document"), F.col(id_col), F.col(text_col))
+    return contamination(packed, benchmark, size, id_col, text_col, keep=["row_of_document"])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows of docs with the words of hit windows cut out of the text, all columns; what stands between them stays."""
-    columns = docs.columns
-    packed = docs.select(F.struct(*columns).alias("row_of_document"), F.col(id_col), F.col(text_col))
-    flags = contamination(packed, benchmark, size, id_col, text_col, keep=["row_of_document"])
-    text = F.col("row_of_document")[text_col]
+    in_row = _with_hits(docs, benchmark, size, text_col)
+    if in_row is not None:
+        rows, text, hits, column = in_row[0], F.col(text_col), F.col(in_row[1]), F.col
+    else:
+        rows, hits, column = _flagged(docs, benchmark, size, id_col, text_col), F.col("hits"), lambda c: F.col("row_of_document")[c]
+        text = column(text_col)
     pieces = F.regexp_extract_all(text, F.lit(PIECES), F.lit(0))
     first = F.when(text.rlike(r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), 1).otherwise(0)
-    hit = F.flatten(F.transform("hits", lambda x: F.sequence(x["at"], x["at"] + x["length"] - 1)))
+    hit = F.flatten(F.transform(hits, lambda x: F.sequence(x["at"], x["at"] + x["length"] - 1)))
     kept = F.filter(pieces, lambda p, i: ((i + first) % 2 == 1) | ~F.array_contains(hit, F.floor((i - first) / 2).cast("int")))
-    cut = F.when(F.col("n_hit") > 0, F.array_join(kept, "")).otherwise(text)
-    return flags.select(*[cut.alias(c) if c == text_col else F.col("row_of_document")[c].alias(c) for c in columns])
+    cut = F.when(F.size(hits) > 0, F.array_join(kept, "")).otherwise(text)
+    return rows.select(*[cut.alias(c) if c == text_col else column(c).alias(c) for c in docs.columns])

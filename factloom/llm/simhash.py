@@ -218,6 +218,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kept = near_duplicates(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("kept_id")).distinct()
     unknown = docs.where(F.col(id_col).isNull())
     known = docs.join(kept, docs[id_col] == kept["kept_id"], "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-    name = "row_of_id" + "_" * max(map(len, docs.columns))
-    return known.withColumn(name, F.row_number().over(first)).where(F.col(name) == 1).drop(name).unionByName(unknown)
+    if docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1).count():  # ids alone are read
+        first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
+        name = "row_of_id" + "_" * max(map(len, docs.columns))
+        known = known.withColumn(name, F.row_number().over(first)).where(F.col(name) == 1).drop(name)
+    return known.unionByName(unknown)

@@ -63,7 +63,9 @@ def test_cases(spark, tables):
     assert dc.contamination(docs.limit(0), bench).count() == 0
 
 
-def test_removal(tables):
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_removal(tables, monkeypatch, limit):
+    monkeypatch.setattr(dc, "SET_WINDOWS", limit)
     rows, items, docs, bench = tables
     flags = {i: brute(t if not t or len(t) < 20_000 else t[-2000:], items)[1] for i, t, _ in rows}
     kept = dc.remove_documents(docs, bench)
@@ -81,4 +83,6 @@ def test_native(tables):
     rows, items, docs, bench = tables
     plan = dc.contamination(docs, bench)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+    plan = dc.remove_documents(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
     assert hashlib.sha256(b"").hexdigest()
