@@ -114,7 +114,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     whole = vectors.where(F.col(id_col).isNotNull() & valid(F.col(vector_col)))
     rows = whole.select(F.col(id_col).cast("long").alias("id"), F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("v"), is_query.alias("is_query"))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("v").collect()
-    pivots = choose_pivots(np.array([r["v"] for r in sample], np.float64).reshape(len(sample), -1), n_pivots)
+    pivots = choose_pivots(np.array([r["v"] for r in sample], np.float64) if sample else np.zeros((0, 1)), n_pivots)
     schema = "n int, ids binary, x binary"
     blocks = materialise(rows.select("id", "v").mapInPandas(_packed(CANDIDATE_BLOCK), schema).withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
     asked = materialise(rows.where("is_query").select("id", "v").mapInPandas(_packed(QUERY_BLOCK), schema), "query-blocks")
