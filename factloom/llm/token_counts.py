@@ -6,8 +6,9 @@ piece's own. It is computed once, when the node is made, however many pre-tokens
 number of pieces of that segmentation; the node where a pre-token ends stores its count.
 
 Pieces are those of a public sentencepiece vocabulary, which is never trained here; a piece's log-probability follows
-Zipf's law over its rank in that vocabulary, log(1 / (rank + 1)) - log(H_n). A character that is no piece costs as
-many byte pieces as it has bytes. Of segmentations with equal scores the one with fewer pieces counts.
+Zipf's law over its rank in that vocabulary, log(1 / (rank + 1)) - log(H_n), in whole millionths so that sums are exact.
+A character that is no piece costs as many byte pieces as it has bytes. Of segmentations with equal scores the one with
+fewer pieces counts.
 
 Cases: a null or empty text has no pre-token and the count 0; a pre-token of any length is taken whole; repeated rows
 each get their own result; an empty table gives an empty table; other columns are ignored.
@@ -15,6 +16,7 @@ each get their own result; an empty table gives an empty table; other columns ar
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 from collections import Counter
@@ -28,9 +30,11 @@ from pyspark.sql import functions as F
 WORDS = re.compile(r"\S+")
 MARK = "▁"
 #: Trie nodes kept between batches, and the longest pre-token whose count is kept.
-MAX_NODES, CACHED_LENGTH = 600_000, 48
-#: Scores are compared after rounding to this many places, so that equal products in another order stay equal.
-PLACES = 9
+MAX_NODES, CACHED_LENGTH = 400_000, 48
+#: Scores are whole numbers of this part of a nat.
+UNIT = 1_000_000
+#: Below any score.
+NEVER = -(1 << 62)
 
 
 class Pieces:
@@ -38,9 +42,10 @@ class Pieces:
 
     def __init__(self, pieces: list[str], byte_ranks: list[int]):
         total = math.log(sum(1 / (r + 1) for r in range(len(pieces) + len(byte_ranks))))
-        self.score = {p: -math.log(r + 1) - total for r, p in enumerate(pieces) if p}
+        score = lambda rank: round(UNIT * (-math.log(rank + 1) - total))
+        self.score = {p: score(r) for r, p in enumerate(pieces) if p}
         self.longest = max(map(len, self.score), default=1)
-        self.byte = -math.log((byte_ranks[-1] if byte_ranks else len(pieces)) + 1) - total
+        self.byte = score(byte_ranks[-1] if byte_ranks else len(pieces))
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -52,16 +57,31 @@ class Pieces:
 
 
 class Trie:
-    """Nodes with children, forward score, pieces of the best segmentation; terminal counts by pre-token."""
+    """Nodes with children, forward score, pieces of the best segmentation; terminal counts by pre-token.
+
+    A node also holds the pieces under way at it: (state in the trie of pieces, score and count where the piece starts),
+    so that a child looks at those only."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
+        self.step: dict[int, int] = {}
+        self.value: list[int | None] = [None]
+        for piece, score in pieces.score.items():
+            state = 0
+            for c in piece:
+                key = state << 21 | ord(c)
+                if key not in self.step:
+                    self.step[key] = len(self.value)
+                    self.value.append(None)
+                state = self.step[key]
+            self.value[state] = score
         self.reset()
 
     def reset(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
-        self.best: list[float] = [0.0]
+        self.child: dict[int, int] = {}
+        self.best: list[int] = [0]
         self.count: list[int] = [0]
+        self.under: list[list[tuple[int, int, int]]] = [[]]
         self.terminal: dict[str, int] = {}
 
     def insert(self, text: str) -> int:
@@ -73,38 +93,59 @@ class Trie:
             self.reset()
         if len(text) > CACHED_LENGTH:
             return self._long(text)
-        child, best, count, score, longest = self.child, self.best, self.count, self.pieces.score, self.pieces.longest
-        path = [0]
-        for i, c in enumerate(text):
-            key = (path[-1], c)
-            node = child.get(key)
+        child, at, done = self.child, 0, 0
+        for c in text:
+            node = child.get(at << 21 | ord(c))
             if node is None:
-                own = -math.inf, 0
-                for j in range(max(0, i + 1 - longest), i + 1):
-                    if (s := score.get(text[j : i + 1])) is not None:
-                        own = max(own, (round(best[path[j]] + s, PLACES), -count[path[j]] - 1))
-                if c not in score:
-                    width = len(c.encode("utf-8", "replace"))
-                    own = max(own, (round(best[path[i]] + width * self.pieces.byte, PLACES), -count[path[i]] - width))
-                node = child[key] = len(best)
-                best.append(own[0])
-                count.append(-own[1])
-            path.append(node)
-        self.terminal[text] = count[path[-1]]
-        return count[path[-1]]
+                break
+            at = node
+            done += 1
+        if done < len(text):
+            at = self._grow(at, text[done:])
+        self.terminal[text] = self.count[at]
+        return self.count[at]
+
+    def _grow(self, at: int, rest: str) -> int:
+        """Makes the nodes below `at`, each with its forward score from the pieces that end at it."""
+        step, value, single, byte = self.step.get, self.value, self.pieces.score, self.pieces.byte
+        child, bests, counts, unders = self.child, self.best, self.count, self.under
+        best, count, under = bests[at], counts[at], unders[at]
+        for c in rest:
+            code, top, least, now = ord(c), NEVER, 0, []
+            for state, score, n in (*under, (0, best, count)):
+                state = step(state << 21 | code)
+                if state is None:
+                    continue
+                now.append((state, score, n))
+                own = value[state]
+                if own is not None:
+                    own += score
+                    if own > top or (own == top and n + 1 < least):
+                        top, least = own, n + 1
+            if c not in single:
+                width = len(c.encode("utf-8", "replace"))
+                own = best + width * byte
+                if own > top or (own == top and count + width < least):
+                    top, least = own, count + width
+            node = child[at << 21 | code] = len(bests)
+            bests.append(top)
+            counts.append(least)
+            unders.append(now)
+            at, best, count, under = node, top, least, now
+        return at
 
     def _long(self, text: str) -> int:
         """The same recurrence along a single path, of which only the last `longest` nodes are held."""
         score, longest = self.pieces.score, self.pieces.longest
-        held = [(0.0, 0)]
+        held = [(0, 0)]
         for i, c in enumerate(text):
-            own = -math.inf, 0
+            own = NEVER, 0
             for back in range(1, min(len(held), longest) + 1):
                 if (s := score.get(text[i + 1 - back : i + 1])) is not None:
-                    own = max(own, (round(held[-back][0] + s, PLACES), held[-back][1] - 1))
+                    own = max(own, (held[-back][0] + s, held[-back][1] - 1))
             if c not in score:
                 width = len(c.encode("utf-8", "replace"))
-                own = max(own, (round(held[-1][0] + width * self.pieces.byte, PLACES), held[-1][1] - width))
+                own = max(own, (held[-1][0] + width * self.pieces.byte, held[-1][1] - width))
             held.append(own)
             del held[: -longest - 1]
         return -held[-1][1]
@@ -112,12 +153,12 @@ class Trie:
 
 def plain_count(text: str, pieces: Pieces) -> int:
     """The recurrence for one pre-token without any sharing, for tests."""
-    best = [(0.0, 0)]
+    best = [(0, 0)]
     for i in range(1, len(text) + 1):
-        own = [(round(best[j][0] + pieces.score[text[j:i]], PLACES), best[j][1] - 1) for j in range(i) if text[j:i] in pieces.score]
+        own = [(best[j][0] + pieces.score[text[j:i]], best[j][1] - 1) for j in range(i) if text[j:i] in pieces.score]
         if text[i - 1] not in pieces.score:
             width = len(text[i - 1].encode("utf-8", "replace"))
-            own.append((round(best[i - 1][0] + width * pieces.byte, PLACES), best[i - 1][1] - width))
+            own.append((best[i - 1][0] + width * pieces.byte, best[i - 1][1] - width))
         best.append(max(own))
     return -best[-1][1]
 
@@ -133,9 +174,11 @@ def counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     @F.pandas_udf("n_words long, n_tokens long")
     def run(texts: pd.Series) -> pd.DataFrame:
         trie, rows = shared_trie(path), []
+        gc.disable()  # the trie has no cycles, and looking for some grows with it
         for text in texts:
             words = Counter(WORDS.findall(text or ""))
             rows.append((sum(words.values()), sum(n * trie.insert(MARK + w) for w, n in words.items())))
+        gc.enable()
         return pd.DataFrame(rows, columns=["n_words", "n_tokens"])
 
     return docs.select(F.col(id_col), run(F.col(text_col)).alias("found")).select(id_col, "found.*")
