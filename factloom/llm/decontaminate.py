@@ -137,12 +137,14 @@ def _with_hits(docs: DataFrame, benchmark: DataFrame, size: int, text_col: str)
     full = benched.where(F.col("length") == size).select(F.split("words", " ").alias("w"))
     grams = [r[0] for r in full.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(size - GRAM)), lambda i: _hash(F.col("w"), i, GRAM))).alias("h")).distinct().orderBy("h").collect()]
     end = "_" * max(map(len, docs.columns))
-    words, hits = f"w{end}", f"h{end}"
-    # The number keeps a filter on the hits above the cutting of words, which would else be repeated in it.
-    cut = docs.select("*", words_of(F.col(text_col)).alias(words), F.monotonically_increasing_id().alias(f"n{end}"))
+    words, hits, number = f"w{end}", f"h{end}", f"n{end}"
+    # The number makes the cutting of words a step of its own: without it a filter on the hits would be moved below, and
+    # cut the text again for every position.
+    cut = docs.select("*", words_of(F.col(text_col)).alias(words), F.monotonically_increasing_id().alias(number))
     w = F.col(words)
-    found = F.filter(_found(w, hashes, grams, size), lambda x: F.array_join(F.slice(w, x["at"] + 1, x["length"]), " ").isin(texts)) if texts else F.array().cast("array<struct<at:int,length:int>>")
-    return cut.select(*docs.columns, found.alias(hits)), hits
+    known = F.split(F.lit("\n".join(texts)), "\n")  # one constant; only positions whose hash is known look into it
+    found = F.filter(_found(w, hashes, grams, size), lambda x: F.array_contains(known, F.array_join(F.slice(w, x["at"] + 1, x["length"]), " "))) if texts else F.array().cast("array<struct<at:int,length:int>>")
+    return cut.select(*docs.columns, found.alias(hits), number).where(F.col(number) >= 0), hits
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
