@@ -3,7 +3,8 @@
 Every distinct value that the base patterns find is a protected entity e. Terms t within a window of words around its
 occurrences are candidates. From document counts over the whole corpus, PMI(e; t) = log(p(e, t) / (p(e) p(t))) says how
 much t reveals of e, and IC(e) = -log p(e) is all there is to reveal. Where PMI / IC reaches the disclosure threshold
-the term is sanitised: removed when it reveals (nearly) everything, generalised to a mark otherwise.
+the term is sanitised: removed when it reveals (nearly) everything, generalised to a mark otherwise. Pairs of a single
+document take part: a value that one document holds is as much to be protected as any other.
 
 Cases: a null text counts as empty; a null id is kept and counts as a row of its own; repeated rows each count as a
 document and each get a result; an empty table gives an empty table; other columns are ignored.
@@ -39,7 +40,7 @@ NOT_DIGIT = re.compile(r"[^0-9]")
 WINDOW = 8
 #: Share of an entity's information that a term must reveal to be sanitised, and to be removed altogether.
 DISCLOSURE, REMOVAL = 0.85, 0.999
-#: Documents in which the entity and the term must meet.
+#: Documents in which a pair meets that a caller may ask for by `support`; nothing asks for it unless told to.
 SUPPORT = 3
 #: Distinct terms up to which they are broadcast to the corpus count.
 BROADCAST_TERMS = 200_000
@@ -119,7 +120,7 @@ def _row(text: str | None) -> tuple:
 FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:string,term:string,start:int,end:int>>"
 
 
-def disclosures(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def disclosures(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = DISCLOSURE, support: int = 1) -> DataFrame:
     """(entity, term, ratio) of all pairs whose ratio PMI / IC reaches the threshold, counted by documents.
 
     rows: materialised (uid, near) of all documents. Pairs are counted with map-side sums. A term is in at least as many
@@ -147,7 +148,7 @@ def _ratio(n: int, of_term: str) -> Column:
     return (known + F.log(F.col("n_et") / F.greatest(of_term, "n_et"))) / known
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = DISCLOSURE, support: int = SUPPORT, with_text: bool = False) -> DataFrame:
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = DISCLOSURE, support: int = 1, with_text: bool = False) -> DataFrame:
     """One row per input row: id, counts of the base kinds, digest of the base spans, all spans as kind:start:end by
     kind and start, the number of terms; with_text adds the sanitised text."""
     find = F.pandas_udf(lambda texts: pd.DataFrame([_row(t) for t in texts], columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "near"]), FOUND)

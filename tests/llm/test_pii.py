@@ -76,3 +76,14 @@ def test_cases(spark):
     assert sorted(r.n_email for r in rows) == [0, 1, 1, 1]
     assert pii.sanitise(docs.limit(0)).count() == 0
     assert abs(pii.ratio(100, 4, 4, 4) - 1) < 1e-12
+
+
+def test_pairs_of_one_document_take_part(spark):
+    secret = "our tenant Quillfeather wrote from quill@example.org about the report today"
+    texts = [secret, *["people wrote about their tenant and the report today from home"] * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.sanitise(docs, with_text=True).collect()}
+    found = {secret[int(s):int(e)].lower() for k, s, e in (x.split(":") for x in rows[0].spans.split(",")) if k == "term"}
+    assert found == {w for _, w in by_hand(texts, pii.DISCLOSURE, 1)} == {"quillfeather"}
+    assert rows[0].n_terms == 1 and "Quillfeather" not in rows[0].sanitised
+    assert all(rows[i].n_terms == 0 for i in range(1, len(texts)))
