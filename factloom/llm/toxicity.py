@@ -1,7 +1,8 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 A linear classifier on hashed features of a document's words (the word and its leading characters) is trained in numpy
-from confirmed toxic documents (P) and unlabelled text (U). With class prior pi the risk is
+from confirmed toxic documents (P) and text whose labels are not used (U, drawn from all documents outside of the
+held-out fold, labelled or not). With class prior pi the risk is
 pi * R_p(+1) + max(0, R_u(-1) - pi * R_p(-1)) under the sigmoid loss; where the second term is negative the step goes
 the other way, as the non-negative estimator asks. Labels 0 are used for the prior and for placing the cut, never as
 training examples. Labels are read only from rows outside of the held-out fold.
@@ -10,7 +11,7 @@ The classifier is fitted on bounded samples (MAX_POSITIVE, MAX_UNLABELLED, MAX_C
 order of a hash of their id, whole texts); scoring runs over every row.
 
 Cases: a null or empty text has no words and gets the score of that; without a confirmed toxic document in the training
-folds every score is the prior 0; a null id is never labelled, and is not held out; repeated rows score alike; an empty
+folds, or where too few of them (under LEAST_POSITIVE) share any feature, nothing is learnt and every score is near 0; a null id is never labelled, and is not held out; repeated rows score alike; an empty
 table gives an empty table; other columns are kept by `keep_clean` and ignored by `score`.
 """
 
@@ -110,11 +111,14 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 
 
 def calibrate(model: Classifier, rows: list[np.ndarray], toxic: np.ndarray) -> Classifier:
-    """Scales the logit so that the cut of the best F1 on labelled training rows lies at THRESHOLD."""
-    if not len(rows) or not toxic.any():
+    """Scales the logit so that the cut of the best F1 on labelled training rows lies at THRESHOLD; a model that scores
+    them all alike has no cut and stays as it is."""
+    if not len(rows) or not toxic.any() or not len(model.index):
         return model
     dense = model.dense()
     z = np.array([dense[r].sum() for r in rows]) + model.bias
+    if z.min() == z.max():
+        return model
     order = np.argsort(-z, kind="stable")
     hits = np.cumsum(toxic[order])
     f1 = 2 * hits / (np.arange(1, len(z) + 1) + toxic.sum())
@@ -140,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     names = docs.select(id_col).where(F.col(id_col).isNotNull() & ~held_out(id_col))
     chosen = [
         known.where("toxic = 1").orderBy(pick, id_col).limit(MAX_POSITIVE).select(id_col, F.lit("p").alias("part"), F.lit(1).alias("toxic")),
-        names.join(labels.select(id_col), id_col, "left_anti").distinct().orderBy(pick, id_col).limit(MAX_UNLABELLED).select(id_col, F.lit("u").alias("part"), F.lit(0).alias("toxic")),
+        names.distinct().orderBy(pick, id_col).limit(MAX_UNLABELLED).select(id_col, F.lit("u").alias("part"), F.lit(0).alias("toxic")),
         known.orderBy(pick, id_col).limit(MAX_CALIBRATION).select(id_col, F.lit("c").alias("part"), "toxic"),
     ]
     sample = chosen[0].unionByName(chosen[1]).unionByName(chosen[2])  # bounded by the three parameters

@@ -59,3 +59,32 @@ def test_cases(spark):
     assert toxicity.score(docs.limit(0), none).count() == 0
     assert toxicity.keep_clean(docs, none).columns == docs.columns
     assert pq is not None
+
+
+def _labelled(spark, toxic, n=60, labelled=None):
+    rng = random.Random(4)
+    neutral = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(300)]
+    texts = [" ".join([*rng.choices(neutral, k=30), *(["vilething", "nastyword"] if i in toxic else [])]) for i in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, int(i in toxic)) for i in (labelled or range(n))], "doc_id long, toxic int")
+
+
+def test_few_toxic_labels_reject_nothing(spark):
+    trained = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    for toxic in (trained[:1], trained[:2]):
+        docs, labels = _labelled(spark, set(toxic), labelled=trained[:30])
+        assert not any(r.predicted for r in toxicity.score(docs, labels).collect())
+        assert toxicity.keep_clean(docs, labels).count() == docs.count()
+
+
+def test_labels_of_every_document_still_train(spark):
+    toxic = set(range(0, 60, 4))
+    docs, labels = _labelled(spark, toxic)
+    assert {r.doc_id for r in toxicity.score(docs, labels).collect() if r.predicted} == toxic
+
+
+def test_a_model_that_scores_all_alike_is_not_calibrated():
+    rows = [np.array([1], np.int32), np.array([2], np.int32)]
+    for index, weight in (([], []), ([7], [1.5])):
+        model = toxicity.Classifier(np.array(index, np.int32), np.array(weight), -20.0)
+        assert toxicity.calibrate(model, rows, np.array([1, 0])) is model
