@@ -12,7 +12,8 @@ The set is held in the plan up to SET_WINDOWS windows, which bounds what is sent
 all positions are joined with those of the windows by a shuffle.
 
 Cases: a null text has no words; rows that are equal, or share an id, each get their own result; a null id is kept; an
-item that is null or has no words has no window; an empty benchmark leaves all documents clean; other columns are
+item whose text is null or has no words has no window; an item with a null id counts as hit and is left out of the
+items alone; an empty benchmark leaves all documents clean; other columns are
 ignored by `contamination` and kept by `remove_documents` and `remove_spans`.
 """
 
@@ -111,9 +112,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_co
         # A row without a hit gets a key of its own and no words, so that it meets nothing and piles up nowhere.
         F.when(F.col("x").isNull(), F.xxhash64("uid")).otherwise(F.xxhash64("x.window")).alias("hash"), F.array_join("x.window", " ").alias("words"),
     )
-    items = benched.select("hash", "words", F.col("item").cast("string").alias("item"))
+    items = benched.select("hash", "words", F.col("item").cast("string").alias("item"), F.lit(True).alias("met"))
     joined = keyed.join(F.broadcast(items) if held else items, ["hash", "words"], "left")
-    hit = F.when(F.col("item").isNotNull(), F.struct("at", "length"))
+    hit = F.when(F.col("met"), F.struct("at", "length"))
     grouped = joined.groupBy("uid", "id", *(keep or []), "n_words").agg(F.sort_array(F.collect_set(hit)).alias("hits"), F.sort_array(F.collect_set("item")).alias("items"))
     covered = F.aggregate(
         "hits", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),

@@ -86,3 +86,20 @@ def test_native(tables):
     plan = dc.remove_documents(docs, bench)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
     assert hashlib.sha256(b"").hexdigest()
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_items_with_a_null_id_count(spark, tables, monkeypatch, limit):
+    monkeypatch.setattr(dc, "SET_WINDOWS", limit)
+    rows, items, docs, _ = tables
+    docs = docs.where("length(text) < 20000 or text is null")
+    known, unknown = items[:3], [(None, t) for _, t in items[3:12]]
+    bench = spark.createDataFrame(known + unknown, "item_id long, text string")
+    got = {r.doc_id: r for r in dc.contamination(docs, bench).collect()}
+    flagged = set()
+    for i, t, _ in rows:
+        if i in got:
+            assert (got[i].n_hit, got[i].items) == (brute(t, known + unknown)[1], brute(t, known)[2]), i
+            flagged |= {i} if got[i].n_hit else set()
+    assert any(not got[i].items for i in flagged)
+    assert {r.doc_id for r in dc.remove_documents(docs, bench).collect()} == got.keys() - flagged
