@@ -14,11 +14,13 @@ _WRITTEN: dict[str, SparkSession] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Where the session names none (local tests), a temporary folder is made and set once.
+    Where a local session names none (tests), a temporary folder is made and set once; on a cluster that is an error.
     """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="factloom-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")
@@ -33,22 +35,41 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system that Spark would use for it."""
+    target, system = _file_system(spark, path)
+    return system.makeQualified(target).toString()
+
+
 def _remove() -> None:
     for path, spark in _WRITTEN.items():
-        try:
-            jvm, sc = spark._jvm, spark.sparkContext._jsc
-            if jvm is not None and sc is not None:
-                target = jvm.org.apache.hadoop.fs.Path(path)
-                target.getFileSystem(sc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session may have ended already
+        if spark._jvm is None or spark.sparkContext._jsc is None:  # the session has ended already
             return
+        target, system = _file_system(spark, path)
+        system.delete(target, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it back, so that the lineage ends there."""
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.materialised_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Deletes what `materialise` wrote for df, once nothing reads it any more."""
+    path = df.materialised_at
+    if _WRITTEN.pop(path, None) is not None:
+        target, system = _file_system(df.sparkSession, path)
+        system.delete(target, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -8,10 +8,12 @@ table, and decompresses only the frames of the documents asked for; each is chec
 own content checksum.
 
 Files are dealt by ranges of the document id and are in ascending order within and among themselves. A file is written
-under a temporary name and renamed, so a task that is run again replaces its own work.
+under a temporary name and renamed, so a task that is run again replaces its own work. The folder is one that pyarrow
+reaches as well as Spark: a shared mount, hdfs, s3 or gs.
 
 Cases: a null text counts as empty (the end id alone); rows with a null id come first; rows that share an id follow
-each other by their ids' bytes; an empty table writes no file; other columns are ignored.
+each other by number and crc32 of their ids, and may fill several files; an empty table writes no file; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -28,13 +30,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import materialise, shared_path
+from factloom.llm.common import materialise, qualified, release, shared_path
 
 ENTRY, FOOTER, MAGIC = struct.Struct("<qqqqIBB2x"), struct.Struct("<QII"), 0x4C4F4F4D
 LEVEL = 3
 CACHE_ENTRIES = 400_000
+#: Characters up to U+024F whose lower case lies there too, and common punctuation beyond.
+COMMON = [c for c in map(chr, range(0x250)) if len(c.lower()) == 1 and ord(c.lower()) < 0x250] + [chr(c) for c in (*range(0x2010, 0x2028), 0x20AC)]
 #: Outside of these characters, or with the start of a special token, a text goes to the library whole.
-UNCOMMON = re.compile("[^\\x00-\u012f\u0131-\u024f\u2010-\u2027\u20ac]|<\\|")
+UNCOMMON = re.compile(rf"[^{re.escape(''.join(COMMON))}]|<\|")
 #: The vocabulary's pre-tokens over lower-cased common characters.
 LETTERS, NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 PRE_TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\t-\r\x20\x85\xa0{LETTERS}{NUMBERS}]+")
@@ -105,10 +109,11 @@ class FrameReader:
 
 
 def opened(path: str):
-    """(file system, path in it) of a URI or a local path."""
+    """(file system, path in it) of a URI as Hadoop writes it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+    scheme, _, rest = path.partition(":")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + (f"//{rest}" if scheme == "file" and not rest.startswith("//") else rest))
 
 
 class WordEncoder:
@@ -182,12 +187,10 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 2, id_col: str
     """Writes the files to a folder that all executors share; returns (bucket, file, n_docs, n_ids), one row a file."""
     frames = materialise(encoded(docs, path, end_id, id_col, text_col), "frames")
     size = frames.agg(F.sum(F.length("frame"))).first()[0] or 0
-    n = max(1, -(-size // file_bytes))
-    bounds = sorted(set(frames.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
-    # A bucket is a range of ids; bounds are as many as files, found by a search of a sorted array.
-    inner = F.array(*[F.lit(int(b)) for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    bucket = F.coalesce(F.size(F.filter(inner, lambda b: b <= F.col("doc_id"))), F.lit(0))
-    dealt = frames.withColumn("bucket", bucket).repartition("bucket").sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "n", "crc", "frame")
+    folder = qualified(docs.sparkSession, folder)
+    # A bucket is a range of ids; the last key parts a range of one id, whose rows are in no order that matters.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("n"), F.col("crc"), F.col("row")]
+    dealt = frames.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(max(1, -(-size // file_bytes)), *order).sortWithinPartitions(*order).withColumn("bucket", F.spark_partition_id())
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = opened(folder)
@@ -214,7 +217,9 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 2, id_col: str
         if now is not None:
             yield close()
 
-    return materialise(dealt.select("bucket", "doc_id", "n", "crc", "width", "frame").mapInPandas(put, "bucket int, file string, n_docs long, n_ids long"), "frame-files")
+    files = materialise(dealt.select("bucket", "doc_id", "n", "crc", "width", "frame").mapInPandas(put, "bucket int, file string, n_docs long, n_ids long"), "frame-files")
+    release(frames)
+    return files
 
 
 def read(files: DataFrame) -> DataFrame:

@@ -24,6 +24,15 @@ def test_words_encode_as_whole_texts(text):
     assert OWN.encode([text])[0] == struct.pack(f"<{len(ids)}I", *ids)
 
 
+def test_every_code_point_encodes_as_the_library_does():
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]
+    texts = [f"{c} a{c}b" for c in points]
+    for at in range(0, len(texts), 20_000):
+        some = texts[at : at + 20_000]
+        own, library = OWN.encode(some), LIBRARY.encode_batch(some, add_special_tokens=False)
+        assert not [t for t, a, b in zip(some, own, library, strict=True) if a != struct.pack(f"<{len(b.ids)}I", *b.ids)]
+
+
 def test_reader_takes_only_what_is_asked_for():
     out = io.BytesIO()
     writer = frames.FrameWriter(out)
