@@ -3,12 +3,16 @@
 Two 64-bit fingerprints that differ in at most two bits agree in one of three bit ranges. Rows of equal range value
 form a cell; in each cell a binary trie over the other bits is joined with itself: pairs of trie nodes are traversed
 together, differing bits add up, and a pair is dropped when they exceed the budget. A cell with more than CELL
-fingerprints is itself dealt into pairs of sub-tries by its next bits, so no task holds more than a bounded part of a
-hot range value. Within a task only a spanning forest of the found links leaves the join, never all pairs.
+fingerprints is itself dealt into pairs of sub-tries by its next bits, up to MAX_SPLIT of them; it is made smaller as
+far as those bits vary. Within a task only a spanning forest of the found links leaves the join, never all pairs.
+
+The nodes of the links are the fingerprints, so rows that share an id but hold different texts do not merge classes.
+Classes reach the rows by their fingerprints: those of more than a HOT_SHARE-th of all rows, which are at most
+HOT_SHARE, by a broadcast, all others by a join.
 
 Cases: a null or empty text has the fingerprint zero and links like any other; equal rows share a fingerprint; a row
-with a null id keeps its fingerprint, links nothing and has a null component; an empty table gives an empty table;
-other columns are ignored.
+with a null id keeps its fingerprint, links nothing and has a null component; rows that share an id and differ in text
+each have the class of their own text; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.common import materialise
@@ -34,6 +38,8 @@ BUDGET = 2
 CELL, MAX_SPLIT = 20_000, 12
 #: Rows a task joins at once.
 CHUNK = 400_000
+#: A fingerprint of more rows than all rows over this is hot.
+HOT_SHARE = 10_000
 
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -59,12 +65,15 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp): the fingerprint as a signed long."""
+    return docs.select(F.col(id_col), _fingerprint_column(F.col(text_col)).alias("fp"))
+
 
+def _fingerprint_column(text: Column) -> Column:
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col), fp(F.col(text_col)).alias("fp"))
+    return fp(text)
 
 
 class Forest:
@@ -174,8 +183,8 @@ def _forest(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def links(reps: DataFrame) -> DataFrame:
-    """Edges (u, v) between representatives whose fingerprints differ in one or two bits, as spanning forests of all
-    such links. reps: (fp, rep), each fingerprint once."""
+    """Edges (u, v) between nodes whose fingerprints differ in one or two bits, as spanning forests of all such links.
+    reps: (fp, rep), each fingerprint once with the node that stands for it."""
     fp = F.col("fp")
     ranges = [F.struct(F.lit(k).alias("part"), F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1)).alias("value"), _rest(fp, low, width).alias("rest")) for k, (low, width) in enumerate(RANGES)]
     cells = reps.select("fp", "rep", F.explode(F.array(*ranges)).alias("c")).select("fp", "rep", "c.*")
@@ -205,21 +214,38 @@ def _rest(fp, low: int, width: int):
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, fp (signed long), component_id (the smallest id reachable over links, its own included)."""
     marked = materialise(fingerprints(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), "fp"), "fingerprints")
-    reps = materialise(marked.where(F.col("id").isNotNull()).groupBy("fp").agg(F.min("id").alias("rep")), "reps")
-    found = components(links(reps))
-    classes = reps.join(found, reps["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    out = marked.join(classes, "fp", "left")
-    return out.select(F.col("id").alias(id_col), "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return _with_classes(marked).select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def _with_classes(marked: DataFrame) -> DataFrame:
+    """marked with class (one of its fingerprints) and component_id. marked: materialised rows with id and fp."""
+    known = marked.where(F.col("id").isNotNull())
+    counted = materialise(known.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "reps")
+    nodes = components(links(counted.select("fp", F.col("fp").alias("rep"))))
+    placed = counted.join(nodes, counted["fp"] == nodes["node"], "left").select("fp", "n", "rep", F.coalesce("component", "fp").alias("class"))
+    least = placed.groupBy("class").agg(F.min("rep").alias("component_id"))
+    classes = materialise(placed.join(least, "class").select("fp", "n", "class", "component_id"), "classes")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(classes.where(F.col("n") * HOT_SHARE > total).drop("n"))  # at most HOT_SHARE rows
+    cold = known.join(hot, "fp", "left_anti").join(classes.where(F.col("n") * HOT_SHARE <= total).drop("n"), "fp")
+    columns = ["id", "fp", "class", "component_id"]
+    unknown = marked.where(F.col("id").isNull()).withColumns({c: F.lit(None).cast("long") for c in columns[2:]})
+    return known.join(hot, "fp").select(*columns).unionByName(cold.select(*columns)).unionByName(unknown)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of its near-duplicate class, all columns; of rows that share that id
-    one stays (the smallest by text); rows with a null id stay."""
-    kept = near_duplicates(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("kept_id")).distinct()
+    """One row of docs for each near-duplicate class, all columns: that of its smallest id. Of rows of the class that
+    share that id the smallest by fingerprint and text stays (any one of equal texts); rows with a null id stay."""
+    marked = materialise(fingerprints(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), "fp"), "fingerprints")
+    chosen = _with_classes(marked).where(F.col("id") == F.col("component_id")).groupBy("class").agg(F.min(F.struct("id", "fp")).alias("x"))
+    end = "_" * max(map(len, docs.columns))
+    own = materialise(chosen.select(F.col("x.id").alias(f"id{end}"), F.col("x.fp").alias(f"fp{end}")), "kept")
+    of_id = docs[id_col].cast("long") == own[f"id{end}"]
     unknown = docs.where(F.col(id_col).isNull())
-    known = docs.join(kept, docs[id_col] == kept["kept_id"], "left_semi")
-    if docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1).count():  # ids alone are read
-        first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-        name = "row_of_id" + "_" * max(map(len, docs.columns))
-        known = known.withColumn(name, F.row_number().over(first)).where(F.col(name) == 1).drop(name)
-    return known.unionByName(unknown)
+    if not marked.where(F.col("id").isNotNull()).groupBy("id").count().where("count > 1").limit(1).count():  # ids alone are read
+        return docs.join(own, of_id, "left_semi").unionByName(unknown)
+    # The fingerprint parts the texts of an id; of one text's rows each task sends one.
+    found = docs.join(own.select(f"id{end}").distinct(), of_id, "left_semi")
+    rows = found.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias(f"id{end}"), F.col(text_col).alias("text"), _fingerprint_column(F.col(text_col)).alias(f"fp{end}"))
+    first = rows.join(own, [f"id{end}", f"fp{end}"], "left_semi").groupBy(f"id{end}", f"fp{end}").agg(F.min_by("row", F.struct(F.xxhash64("text"), "text")).alias("row"))
+    return first.select("row.*").unionByName(unknown)

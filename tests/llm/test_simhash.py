@@ -85,3 +85,18 @@ def test_rows(spark):
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(set(want.values()))
     assert kept.where("doc_id is null").count() == 1
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_ids_that_repeat_do_not_merge_classes(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_SHARE", 4)
+    rng = random.Random(9)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(50)) for _ in range(3))
+    rows = [(5, a), (5, b), (7, a), (8, b), (9, c), (9, c), (9, c), (4, c), (6, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "doc_id as fp", "text as class")
+    got = sorted((r.doc_id, r.component_id, r.fp) for r in simhash.near_duplicates(docs).collect())
+    sign = lambda f: f - (1 << 64) if f >= 1 << 63 else f
+    low = {a: 5, b: 5, c: 4, None: 3, "": 3}
+    assert got == sorted((i, low[t], sign(plain(t))) for i, t in rows)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(5, a), (5, b), (4, c), (3, "")])
