@@ -1,29 +1,37 @@
 """Benchmark decontamination by a broadcast hash set of normalised test n-grams, on DataFrame functions only.
 
 Texts are lower-cased over A-Z and cut into words. A window is `size` consecutive words of an item, or all words of a
-shorter item. The hashes of all windows form a set that every task holds; training positions whose hash is in it are
-verified by their words, and the words of verified windows count as hit.
+shorter item. A gram is GRAM consecutive words of a window (all of a shorter one). Any occurrence of a window of n words
+covers exactly one gram that starts at a multiple of n - GRAM + 1, so training texts are scanned at those positions
+alone; the set holds the hashes of all grams of the windows and is broadcast. Around each position that meets the set,
+the windows that cover it are cut out and verified by their words, which leaves no occurrence out and adds none.
 
-An occurrence of a full window covers exactly one start divisible by size - GRAM + 1 of a shorter gram of GRAM words,
-so a document is scanned position by position only if one such gram of it is in the set of the items' grams; this
-leaves no occurrence out.
+The set is counted before it is broadcast. Up to SET_GRAMS hashes go at once; a larger set goes in blocks of so many,
+each scanned for by itself, so the search is the same at every size.
 
-The set is held in the plan up to SET_WINDOWS windows, which bounds what is sent to a task; beyond that the hashes of
-all positions are joined with those of the windows by a shuffle.
+What is found belongs to a text and travels under two 64-bit hashes of it, so copies of a text are verified once, and
+whole texts are neither shuffled nor grouped by. Rows take their result from there by those hashes.
 
 Cases: a null text has no words; rows that are equal, or share an id, each get their own result; a null id is kept; an
 item whose text is null or has no words has no window; an item with a null id counts as hit and is left out of the
-items alone; an empty benchmark leaves all documents clean; other columns are
-ignored by `contamination` and kept by `remove_documents` and `remove_spans`.
+items alone; an empty benchmark leaves all documents clean; other columns are ignored by `contamination` and kept by
+`remove_documents` and `remove_spans`.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.common import materialise
+
 SIZE, GRAM = 10, 5
-SET_WINDOWS = 100_000
+#: Hashes of grams that are broadcast at once: some 100 MB as a hash table.
+SET_GRAMS = 2_000_000
+#: Texts with hits up to which their results are broadcast to the rows.
+BROADCAST_HITS, BROADCAST_BYTES = 500_000, 64 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Between words, after lower-casing.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -40,13 +48,9 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(lowered(F.coalesce(text, F.lit(""))), BETWEEN), lambda w: w != "")
 
 
-def _starts(words: Column, size: int, step: int = 1) -> Column:
-    """0, step, 2 step, ... up to the last start of a window of that size."""
-    return F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size, F.lit(step))).otherwise(F.array().cast("array<int>"))
-
-
-def _hash(words: Column, at: Column, size: int) -> Column:
-    return F.xxhash64(F.slice(words, at + 1, size))
+def keys_of(text: Column) -> list[Column]:
+    """Two independent hashes that stand for a text."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
 
 def windows(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -58,120 +62,113 @@ def windows(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", tex
     return at.select("item", "length", F.xxhash64(window).alias("hash"), F.array_join(window, " ").alias("words")).distinct()
 
 
-def _marks(words: Column, length: int) -> Column:
-    """(at, length, hash) of every window of that length."""
-    return F.transform(_starts(words, length), lambda i: F.struct(i.alias("at"), F.lit(length).alias("length"), _hash(words, i, length).alias("hash")))
-
-
-def _found(words: Column, hashes: dict[int, list[int]], grams: list[int], size: int) -> Column:
-    """Array of (at, length) whose hash is in the set."""
+def _grams(benched: DataFrame) -> DataFrame:
+    """(length, gram): the distinct hashes of the grams of all windows of a length."""
+    width = F.least(F.lit(GRAM), F.col("length"))
+    cut = benched.select("length", F.split("words", " ").alias("w")).withColumn("width", width)
+    hashes = F.transform(F.sequence(F.lit(0), F.col("length") - F.col("width")), lambda i: F.xxhash64(F.slice("w", i + 1, F.col("width"))))
+    return cut.select("length", F.explode(hashes).alias("gram")).distinct()
+
+
+def _positions(words: Column, length: int) -> Column:
+    """(length, at, gram) at every position of a text that a window of that length cannot pass by."""
+    width = min(GRAM, length)
+    starts = F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - width, F.lit(length - width + 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.struct(F.lit(length).alias("length"), i.alias("at"), F.xxhash64(F.slice(words, i + 1, width)).alias("gram")))
+
+
+def _met(texts: DataFrame, lengths: list[int], grams: DataFrame) -> DataFrame:
+    """(k1, k2, length, at, hash, words): windows of the texts that cover a gram of the set, each once a text."""
+    cut = texts.select("text", words_of(F.col("text")).alias("w"))
+    at = cut.select("text", "w", F.explode(F.concat(*[_positions(F.col("w"), n) for n in lengths])).alias("x")).select("text", "w", "x.*")
+    met = at.join(F.broadcast(grams), ["length", "gram"], "left_semi")
+    width = F.least(F.lit(GRAM), F.col("length"))
+    first, last = F.greatest(F.lit(0), F.col("at") + width - F.col("length")), F.least(F.col("at"), F.size("w") - F.col("length"))
+    near = F.transform(F.sequence(first, last), lambda i: F.struct(i.alias("at"), F.slice("w", i + 1, F.col("length")).alias("window")))
+    spread = met.where(last >= first).select(*keys_of(F.col("text")), "length", F.explode(near).alias("x"))
+    return spread.select("k1", "k2", "length", "x.at", F.xxhash64("x.window").alias("hash"), F.array_join("x.window", " ").alias("words")).distinct()
+
+
+def hits_of_texts(texts: DataFrame, benchmark: DataFrame, size: int = SIZE, item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(k1, k2, hits, items), materialised: for each distinct text with a window of the benchmark the verified windows
+    as (at, length), ascending, and the items that hold them, as sorted strings. texts: one column, text."""
+    benched = materialise(windows(benchmark, size, item_col, item_text), "windows")
+    grams = materialise(_grams(benched), "grams")
+    counts = {r["length"]: r["n"] for r in grams.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `size` rows
+    blocks = max(1, -(-sum(counts.values()) // SET_GRAMS))
+    known = benched.select("length", "hash", "words").distinct()
+    found = []
+    for block in range(blocks):
+        # By the hash each block has an equal part of the set; a tenth above it at the most is nothing to a broadcast.
+        part = grams if blocks == 1 else grams.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == block)
+        met = _met(texts.where(F.col("text").isNotNull()), sorted(counts), part) if counts else None
+        if met is not None:
+            found.append(materialise(met.join(known, ["length", "hash", "words"], "left_semi"), "met"))
+    if not found:
+        none = texts.select(*keys_of(F.col("text"))).limit(0)
+        return none.select("k1", "k2", F.array().cast("array<struct<at:int,length:int>>").alias("hits"), F.array().cast("array<string>").alias("items"))
+    spots = reduce(DataFrame.unionByName, found)
+    if blocks > 1:
+        spots = spots.distinct()
+    items = benched.where(F.col("item").isNotNull()).select("length", "hash", "words", F.col("item").cast("string").alias("item"))
+    named = spots.join(items, ["length", "hash", "words"], "left")
+    grouped = named.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("at", "length"))).alias("hits"), F.sort_array(F.collect_set("item")).alias("items"))
+    return materialise(grouped, "hits")
+
+
+def _handed(hits: DataFrame, *columns: str) -> DataFrame:
+    """Some columns of the hits, broadcast where their number and size are small, which is counted first."""
+    own = hits.select("k1", "k2", *columns)
+    bytes_of = {"hits": F.size("hits") * 16, "items": F.length(F.array_join("items", ",")) + F.size("items") * 16}
+    n, size = own.agg(F.count("*"), F.sum(sum([bytes_of[c] for c in columns], F.lit(16)))).first()
+    return F.broadcast(own) if n <= BROADCAST_HITS and (size or 0) <= BROADCAST_BYTES else own
+
+
+def covered(hits: Column) -> Column:
+    """The number of words inside ascending (at, length) windows."""
+    return F.aggregate(
+        hits, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
+        lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["at"] + x["length"] - F.greatest(a["end"], x["at"].cast("long")))).alias("n"), F.greatest(a["end"], (x["at"] + x["length"]).cast("long")).alias("end")),
+        lambda a: a["n"],
+    )
 
-    def of(length: int) -> Column:
-        own = hashes[length]
-        return F.transform(F.filter(_starts(words, length), lambda i: _hash(words, i, length).isin(own)), lambda i: F.struct(i.alias("at"), F.lit(length).alias("length")))
 
-    none = F.array().cast("array<struct<at:int,length:int>>")
-    parts = [of(k) for k in sorted(hashes) if k < size]
-    if size in hashes:
-        may = F.exists(_starts(words, GRAM, size - GRAM + 1), lambda i: _hash(words, i, GRAM).isin(grams))
-        parts.append(F.when(may, of(size)).otherwise(none))
-    return F.concat(none, *parts)
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per input row: id, n_words, n_hit, items (sorted strings), hits (distinct (at, length) of verified
+    windows, ascending)."""
+    text = F.col(text_col)
+    hits = hits_of_texts(docs.select(text.alias("text")), benchmark, size, item_col, item_text)
+    rows = docs.select(F.col(id_col).alias("id"), F.size(words_of(text)).cast("long").alias("n_words"), *keys_of(text))
+    out = rows.join(_handed(hits, "hits", "items"), ["k1", "k2"], "left")
+    spots = F.coalesce("hits", F.array().cast("array<struct<at:int,length:int>>"))
+    return out.select(F.col("id").alias(id_col), "n_words", covered(spots).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), spots.alias("hits"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """One row per input row: id, n_words, n_hit, items (sorted strings), hits (distinct (at, length) of verified
-    windows, ascending); and the columns named in keep."""
-    spark = docs.sparkSession
-    if size <= GRAM:
-        raise ValueError(f"size must be over {GRAM}")
-    benched = windows(benchmark, size, item_col, item_text)
-    by_length = {r["length"]: r["n"] for r in benched.groupBy("length").agg(F.countDistinct("hash").alias("n")).collect()}
-    kept = [F.col(c) for c in keep or []]
-    own = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), *kept, words_of(F.col(text_col)).alias("w"))
-    held = sum(by_length.values()) <= SET_WINDOWS
-    if held:
-        hashes: dict[int, list[int]] = {}
-        for r in benched.select("length", "hash").distinct().orderBy("length", "hash").collect():  # at most SET_WINDOWS
-            hashes.setdefault(r["length"], []).append(r["hash"])
-        full = benched.where(F.col("length") == size).select(F.split("words", " ").alias("w")).distinct()
-        grams = [r[0] for r in full.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(size - GRAM)), lambda i: _hash(F.col("w"), i, GRAM))).alias("h")).distinct().orderBy("h").collect()]
-        found = _found(F.col("w"), hashes, grams, size)
-        own = own.withColumn("found", found)
-    else:
-        # Positions travel as hashes only; the few that match come back to their documents, by a key of the row.
-        marks = [_marks(F.col("w"), k) for k in sorted(by_length)]
-        own = own.withColumn("key", F.xxhash64("id", F.array_join("w", " ")))
-        spread = own.select("key", F.explode(F.concat(*marks)).alias("x")).select("key", "x.at", "x.length", "x.hash")
-        matched = spread.join(benched.select("length", "hash").distinct(), ["length", "hash"], "left_semi")
-        spots = matched.groupBy("key").agg(F.collect_set(F.struct("at", "length")).alias("found"))
-        own = own.join(spots, "key", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<at:int,length:int>>")))
-    scanned = own.select("uid", "id", *kept, F.size("w").cast("long").alias("n_words"), F.transform("found", lambda x: F.struct(x["at"].alias("at"), x["length"].alias("length"), F.slice("w", x["at"] + 1, x["length"]).alias("window"))).alias("found"))
-    spread = scanned.select("uid", "id", *kept, "n_words", F.explode_outer("found").alias("x"))
-    keyed = spread.select(
-        "uid", "id", *kept, "n_words", "x.at", "x.length",
-        # A row without a hit gets a key of its own and no words, so that it meets nothing and piles up nowhere.
-        F.when(F.col("x").isNull(), F.xxhash64("uid")).otherwise(F.xxhash64("x.window")).alias("hash"), F.array_join("x.window", " ").alias("words"),
-    )
-    items = benched.select("hash", "words", F.col("item").cast("string").alias("item"), F.lit(True).alias("met"))
-    joined = keyed.join(F.broadcast(items) if held else items, ["hash", "words"], "left")
-    hit = F.when(F.col("met"), F.struct("at", "length"))
-    grouped = joined.groupBy("uid", "id", *(keep or []), "n_words").agg(F.sort_array(F.collect_set(hit)).alias("hits"), F.sort_array(F.collect_set("item")).alias("items"))
-    covered = F.aggregate(
-        "hits", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
-        lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["at"] + x["length"] - F.greatest(a["end"], x["at"].cast("long")))).alias("n"), F.greatest(a["end"], (x["at"] + x["length"]).cast("long")).alias("end")),
-        lambda a: a["n"],
-    )
-    return grouped.select(F.col("id").alias(id_col), *(keep or []), "n_words", covered.alias("n_hit"), "items", "hits")
-
-
-def _with_hits(docs: DataFrame, benchmark: DataFrame, size: int, text_col: str) -> tuple[DataFrame, str] | None:
-    """docs with a column of verified (at, length), found within each row: the set of hashes and then that of the windows'
-    words decide, and nothing is shuffled. None where the benchmark is too large for the sets."""
-    benched = windows(benchmark, size).select("length", "hash", "words").distinct()
-    if benched.count() > SET_WINDOWS:
-        return None
-    hashes: dict[int, list[int]] = {}
-    texts = []
-    for r in benched.orderBy("length", "hash", "words").collect():  # at most SET_WINDOWS
-        hashes.setdefault(r["length"], []).append(r["hash"])
-        texts.append(r["words"])
-    full = benched.where(F.col("length") == size).select(F.split("words", " ").alias("w"))
-    grams = [r[0] for r in full.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(size - GRAM)), lambda i: _hash(F.col("w"), i, GRAM))).alias("h")).distinct().orderBy("h").collect()]
+def _keyed(docs: DataFrame, text_col: str) -> tuple[DataFrame, list[str]]:
+    """docs with the two hashes of the text, under names that docs has not."""
     end = "_" * max(map(len, docs.columns))
-    words, hits, number = f"w{end}", f"h{end}", f"n{end}"
-    # The number makes the cutting of words a step of its own: without it a filter on the hits would be moved below, and
-    # cut the text again for every position.
-    cut = docs.select("*", words_of(F.col(text_col)).alias(words), F.monotonically_increasing_id().alias(number))
-    w = F.col(words)
-    known = F.split(F.lit("\n".join(texts)), "\n")  # one constant; only positions whose hash is known look into it
-    found = F.filter(_found(w, hashes, grams, size), lambda x: F.array_contains(known, F.array_join(F.slice(w, x["at"] + 1, x["length"]), " "))) if texts else F.array().cast("array<struct<at:int,length:int>>")
-    return cut.select(*docs.columns, found.alias(hits), number).where(F.col(number) >= 0), hits
+    names = [f"k1{end}", f"k2{end}"]
+    return docs.withColumns(dict(zip(names, keys_of(F.col(text_col)), strict=True))), names
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_documents(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of docs that hold no window of the benchmark, all columns."""
-    in_row = _with_hits(docs, benchmark, size, text_col)
-    if in_row is not None:
-        return in_row[0].where(F.size(in_row[1]) == 0).select(*docs.columns)
-    return _flagged(docs, benchmark, size, id_col, text_col).where(F.size("hits") == 0).select("row_of_document.*")
-
-
-def _flagged(docs: DataFrame, benchmark: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    packed = docs.select(F.struct(*docs.columns).alias("row_of_document"), F.col(id_col), F.col(text_col))
-    return contamination(packed, benchmark, size, id_col, text_col, keep=["row_of_document"])
+    hits = _handed(hits_of_texts(docs.select(F.col(text_col).alias("text")), benchmark, size, item_col, item_text))
+    rows, names = _keyed(docs, text_col)
+    return rows.join(hits, reduce(lambda a, b: a & b, [rows[n] == hits[k] for n, k in zip(names, ("k1", "k2"), strict=True)]), "left_anti").drop(*names)
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """All rows of docs with the words of hit windows cut out of the text, all columns; what stands between them stays."""
-    in_row = _with_hits(docs, benchmark, size, text_col)
-    if in_row is not None:
-        rows, text, hits, column = in_row[0], F.col(text_col), F.col(in_row[1]), F.col
-    else:
-        rows, hits, column = _flagged(docs, benchmark, size, id_col, text_col), F.col("hits"), lambda c: F.col("row_of_document")[c]
-        text = column(text_col)
+    found = _handed(hits_of_texts(docs.select(F.col(text_col).alias("text")), benchmark, size, item_col, item_text), "hits")
+    rows, names = _keyed(docs, text_col)
+    spots = f"hits{names[0][2:]}"
+    hits = found.select(F.col("k1").alias(f"other_{names[0]}"), F.col("k2").alias(f"other_{names[1]}"), F.col("hits").alias(spots))
+    met = rows.join(hits, reduce(lambda a, b: a & b, [rows[n] == hits[f"other_{n}"] for n in names]), "left")
+    text = F.col(text_col)
     pieces = F.regexp_extract_all(text, F.lit(PIECES), F.lit(0))
     first = F.when(text.rlike(r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), 1).otherwise(0)
-    hit = F.flatten(F.transform(hits, lambda x: F.sequence(x["at"], x["at"] + x["length"] - 1)))
-    kept = F.filter(pieces, lambda p, i: ((i + first) % 2 == 1) | ~F.array_contains(hit, F.floor((i - first) / 2).cast("int")))
-    cut = F.when(F.size(hits) > 0, F.array_join(kept, "")).otherwise(text)
-    return rows.select(*[cut.alias(c) if c == text_col else column(c).alias(c) for c in docs.columns])
+    hit = F.flatten(F.transform(spots, lambda x: F.transform(F.sequence(x["at"], x["at"] + x["length"] - 1), lambda i: first + 2 * i)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), hit)
+    cut = F.when(F.col(spots).isNotNull(), F.array_join(F.transform(kept, lambda i: F.get(pieces, i)), "")).otherwise(text)
+    return met.select(*[cut.alias(c) if c == text_col else F.col(c) for c in docs.columns])

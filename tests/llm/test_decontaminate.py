@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import hashlib
 import random
 import re
 
@@ -39,9 +38,9 @@ def tables(spark):
     return rows, items, spark.createDataFrame(rows, "doc_id long, text string, words string"), spark.createDataFrame(items, "item_id long, text string")
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
+@pytest.mark.parametrize("limit", [2_000_000, 40])
 def test_hits_match_a_plain_search(tables, monkeypatch, limit):
-    monkeypatch.setattr(dc, "SET_WINDOWS", limit)
+    monkeypatch.setattr(dc, "SET_GRAMS", limit)
     rows, items, docs, bench = tables
     got = {r.doc_id: r for r in dc.contamination(docs, bench).collect()}
     assert len(got) == len(rows)
@@ -63,9 +62,9 @@ def test_cases(spark, tables):
     assert dc.contamination(docs.limit(0), bench).count() == 0
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
+@pytest.mark.parametrize("limit", [2_000_000, 40])
 def test_removal(tables, monkeypatch, limit):
-    monkeypatch.setattr(dc, "SET_WINDOWS", limit)
+    monkeypatch.setattr(dc, "SET_GRAMS", limit)
     rows, items, docs, bench = tables
     flags = {i: brute(t if not t or len(t) < 20_000 else t[-2000:], items)[1] for i, t, _ in rows}
     kept = dc.remove_documents(docs, bench)
@@ -84,13 +83,37 @@ def test_native(tables):
     plan = dc.contamination(docs, bench)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     plan = dc.remove_documents(docs, bench)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
-    assert hashlib.sha256(b"").hexdigest()
+    assert not re.search("Python|Pandas|Arrow|hashpartitioning", plan)
+    assert "BroadcastHashJoin" in plan
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
+def test_results_beyond_the_broadcast(tables, monkeypatch):
+    rows, items, docs, bench = tables
+    want = sorted(map(str, dc.contamination(docs, bench).collect()))
+    left = sorted(r.doc_id for r in dc.remove_documents(docs, bench).collect())
+    monkeypatch.setattr(dc, "BROADCAST_HITS", 0)
+    assert sorted(map(str, dc.contamination(docs, bench).collect())) == want
+    assert sorted(r.doc_id for r in dc.remove_documents(docs, bench).collect()) == left
+
+
+@pytest.mark.parametrize("n", [0, 100_001, 1_000_000])
+def test_sizes_of_the_benchmark(spark, n):
+    """One item of n + 9 words, or none; documents hold its last window, all but a word of it, or copies in many rows."""
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n + 9)), lambda i: F.concat(F.lit("w"), i.cast("string"))), " ")
+    bench = spark.range(1 if n else 0).select(F.col("id").alias("item_id"), text.alias("text"))
+    last = " ".join(f"W{i}" for i in range(n, n + 10))
+    rows = [(1, f"Before, {last}"), (2, last[:-2]), (3, None), *[(i, f"{last}. {last}") for i in range(10, 40)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("k1", F.col("doc_id")).withColumn("hits", F.lit("x"))
+    got = {r.doc_id: (r.n_hit, r.items) for r in dc.contamination(docs, bench).collect()}
+    assert got == {i: ((10 if i == 1 else 20, ["0"]) if n and i not in (2, 3) else (0, [])) for i, _ in rows}
+    assert dc.remove_documents(docs, bench).count() == (2 if n else len(rows))
+    cut = {r.doc_id: r.text for r in dc.remove_spans(docs, bench).collect()}
+    assert cut[1].strip() == ("Before," if n else rows[0][1])
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 40])
 def test_items_with_a_null_id_count(spark, tables, monkeypatch, limit):
-    monkeypatch.setattr(dc, "SET_WINDOWS", limit)
+    monkeypatch.setattr(dc, "SET_GRAMS", limit)
     rows, items, docs, _ = tables
     docs = docs.where("length(text) < 20000 or text is null")
     known, unknown = items[:3], [(None, t) for _, t in items[3:12]]
