@@ -17,7 +17,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.default_scanner(vocabulary("byte_bpe_multi_50k.tiktoken")))
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

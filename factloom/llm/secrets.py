@@ -1,15 +1,22 @@
 """Secret scan: base patterns plus a likelihood ratio of two character Markov models.
 
-One model is trained on strings that are labelled random, the other on strings that are labelled ordinary
-identifiers. A run of key characters whose mean log-likelihood ratio exceeds a threshold, itself set on the
-labelled samples, is reported beside the base patterns.
-
-Cases: a null text counts as empty (no spans); repeated rows each get their own result; an empty table gives an
-empty table; other columns, whatever their names, are kept by `redact` and ignored by `scan`.
+One model is trained on strings that are labelled random, the other on strings that are labelled ordinary: identifiers,
+words, numbers, dates, paths, rules of punctuation. A run of key characters is reported where the sum of its log ratios
+exceeds what the rarity of secrets asks for (the log of one over the prior) and an allowance a character, for strings
+that are ordinary in ways which the samples lack. The allowance comes from labelled ordinary strings that the models
+have not seen: at most a stated share of them passes. Runs have no least length other than by that sum, and dots join
+them. Of a run that a base span covers in part, what is left on either side is a run.
+
+All runs of a text are scored at once, in time linear in the text and its spans.
+
+Cases: a null text counts as empty (no spans); texts of any length are taken whole; repeated rows each get their own
+result; an empty table gives an empty table; other columns, whatever their names, are kept by a caller of `redacted` and
+ignored by `scan`. Without ordinary samples, or without random ones, no run is reported.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import random
@@ -30,103 +37,99 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-
-CHARS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-_CODE = {c: i for i, c in enumerate(CHARS)}
-_START = len(CHARS)
-
-#: Ordinary words from which the labelled identifiers are put together.
-WORDS = """account action active address allow amount answer array article async author average backup balance base batch
-before block body border branch bridge broker browser buffer build bundle button cache call cancel card case center chain
-change channel chapter check child city class client clock close cloud cluster code collection color column command comment
-commit common company config connect constant container content context control copy count country cover create current
-customer data date debug default delete deploy design detail device dialog digest direct disk display document domain draft
-driver edit element email enable encode engine entity entry error event example export factory failed feature field file
-filter final first folder font format frame function future gateway general global graph group handler hash header height
-hello history host image import index info input insert instance integer internal invoice item iterator join journal key
-label language last layer layout length level library limit line link list load local location lock login logger machine
-main manager market master match matrix maximum member memory menu message method metric minimum mobile mode model module
-monitor month mount move name native network next node normal note number object offset open operator option order origin
-output owner package page panel parent parse partner password patch path pattern payment people period person phone picture
-pipeline player plugin point policy pool position prefix preview price print private process product profile program
-project property provider public query queue random range reader record region registry release remote remove render
-repeat replace report request resource response result retry review role root route router rule sample schema scope score
-screen script search section secret select sender sequence server service session setting shadow share signal simple
-single size socket sort source space special split stack stage start state static status step storage store stream string
-structure style submit summary support switch symbol system table target task team template test text theme thread time
-title token tool total track transfer tree trigger type unique unit update upload user utility valid value vector vendor
-version video view volume warning watch weight widget width window worker wrapper writer""".split()
-
-
-def labelled_samples(n: int = 6000, seed: int = 7) -> list[tuple[str, int]]:
-    """The default labelled samples: n random strings (1) and n identifiers (0), made by rule from a seed."""
+CHARS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
+_START, _NONE = len(CHARS), 255
+#: The number of each ASCII character, and of all others at the end.
+_CODE = np.full(129, _NONE, np.uint8)
+_CODE[[ord(c) for c in CHARS]] = range(len(CHARS))
+_DOT = CHARS.index(".")
+#: What random strings are made of: hexadecimal digits, letters and digits, base 64 and its variant, one case each.
+ALPHABETS = ("0123456789abcdef", CHARS[:62], CHARS[:62] + "+/", CHARS[:62] + "_-", CHARS[26:62], CHARS[:26] + CHARS[52:62], CHARS[:26], CHARS[26:52])
+
+
+def vocabulary_words(path: str) -> list[str]:
+    """Words of a public vocabulary of ranks: its pieces of lower-case letters that follow a space."""
+    with open(path, "rb") as lines:
+        pieces = (base64.b64decode(line.split()[0]) for line in lines if line.strip())
+        return [p[1:].decode() for p in pieces if re.fullmatch(rb" [a-z]{3,}", p)]
+
+
+def labelled_samples(words: list[str], n: int = 12_000, seed: int = 7) -> list[tuple[str, int]]:
+    """The default labelled samples: n random strings (1) and n ordinary ones (0), made by rule from words and a seed."""
     rng, out = random.Random(seed), []
-    sets = ("0123456789abcdef", CHARS[:62], CHARS[:62] + "+/", CHARS[:62] + "_-", CHARS[26:62], CHARS[:26] + CHARS[52:62])
+    number = lambda most: str(rng.randint(0, most))
     for i in range(n):
-        out.append(("".join(rng.choices(sets[i % len(sets)], k=rng.randint(16, 64))), 1))
-        words = rng.choices(WORDS, k=rng.randint(2, 6))
-        kind = i % 6
-        if kind == 0:
-            text = "_".join(words)
-        elif kind == 1:
-            text = words[0] + "".join(w.title() for w in words[1:])
-        elif kind == 2:
-            text = "-".join(words)
-        elif kind == 3:
-            text = "/".join(words)
-        elif kind == 4:
-            text = "_".join(words).upper()
-        else:
-            text = "".join(words)
-        if rng.random() < 0.3:
-            text += rng.choice("_-") * rng.randint(0, 1) + str(rng.randint(0, 9999))
+        out.append(("".join(rng.choices(ALPHABETS[i % len(ALPHABETS)], k=rng.randint(12, 64))), 1))
+        w = rng.choices(words, k=rng.randint(1, 6))
+        text = (
+            "_".join(w), w[0] + "".join(x.title() for x in w[1:]), "-".join(w), "/".join(w), ".".join(w), "_".join(w).upper(), "".join(w), w[0], w[0].title(), w[0].upper(),
+            f"{rng.randint(1900, 2099)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}", number(10 ** rng.randint(1, 15)), ".".join(number(255) for _ in range(rng.randint(2, 4))),
+            "-".join(number(9999) for _ in range(rng.randint(2, 4))), rng.choice("-=_+/.") * rng.randint(2, 80), f"{w[0]}{rng.choice('_-')}{number(9999)}.{rng.choice(words)[:3]}",
+        )[i % 16]
         out.append((text, 0))
     return out
 
 
+def _runs(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of the characters in runs, starts of the runs among them, places of their first and last character).
+
+    code: the number of each character of a text, _NONE where it belongs to no run; a dot belongs to one between two
+    other characters of it."""
+    inside = code != _NONE
+    dot = code == _DOT
+    solid = inside & ~dot
+    inside = solid | (dot & np.append(False, solid[:-1]) & np.append(solid[1:], False))
+    place = np.flatnonzero(inside)
+    if not len(place):
+        return code[:0], place, place, place
+    first = np.append(True, place[1:] != place[:-1] + 1)
+    starts = np.flatnonzero(first)
+    return code[place], starts, place[starts], place[np.append(starts[1:], len(place)) - 1]
+
+
 class MarkovScanner:
-    """Two order-2 character models with interpolated smoothing, and the threshold of their ratio."""
+    """The log ratio of each character after two others under two order-2 models; a run is reported where its sum exceeds
+    `least` and `allowance` times its length."""
 
-    def __init__(self, ratio: np.ndarray, threshold: float):
-        self.ratio, self.threshold = ratio, threshold
+    def __init__(self, ratio: np.ndarray, least: float = math.inf, allowance: float = 0.0):
+        self.ratio, self.least, self.allowance = ratio, least, allowance
 
     @classmethod
-    def train(cls, samples: Iterable[tuple[str, int]], smoothing: float = 0.5, backoff: float = 8.0, false_positive: float = 0.001) -> MarkovScanner:
-        """samples: (string, 1 if random else 0). The threshold is the larger of 0.25 nats a character and the score
-        that at most `false_positive` of the labelled identifiers exceed."""
+    def train(cls, samples: Iterable[tuple[str, int]], smoothing: float = 0.5, backoff: float = 8.0, prior: float = 1e-6, false_positive: float = 0.0005) -> MarkovScanner:
+        """samples: (string, 1 if random else 0); prior: the share of runs that are secrets. Every third ordinary sample
+        is kept out of the models and sets the allowance: the least for which at most `false_positive` of the kept runs
+        pass, and not less than half the mean that all but a hundredth of the random samples reach."""
         samples = list(samples)
-        logs = []
-        for label in (1, 0):
+        ordinary = [x for x, y in samples if not y]
+        kept, trained = ordinary[::3], [x for i, x in enumerate(ordinary) if i % 3]
+        logs, random_ = [], [x for x, y in samples if y]
+        for texts in (random_, trained):
             counts = np.zeros((_START + 1, _START + 1, _START))
-            for text, y in samples:
-                if y == label:
-                    codes = [_START, _START, *(_CODE[c] for c in text if c in _CODE)]
-                    for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
-                        counts[a, b, c] += 1
+            code, starts, *_ = _runs(_codes("\n".join(texts)))
+            np.add.at(counts, (*_before(code, starts), code), 1)
             one = counts.sum(axis=(0, 1)) + smoothing
-            zero = one / one.sum()
             two = counts.sum(axis=0)
-            first = (two + backoff * zero) / (two.sum(axis=1, keepdims=True) + backoff)
+            first = (two + backoff * one / one.sum()) / (two.sum(axis=1, keepdims=True) + backoff)
             logs.append(np.log((counts + backoff * first) / (counts.sum(axis=2, keepdims=True) + backoff)))
-        found = cls(logs[0] - logs[1], 0.0)
-        scores = sorted(found.score(x) for x, y in samples if not y)
-        found.threshold = max(0.25, scores[min(len(scores) - 1, math.ceil(len(scores) * (1 - false_positive)))] if scores else 0.25)
+        found = cls(logs[0] - logs[1])
+        if kept and random_:
+            sums, sizes, *_ = found.evidence(_codes("\n".join(kept)))
+            own, lengths, *_ = found.evidence(_codes("\n".join(random_)))
+            found.least = -math.log(prior)
+            allowed = np.quantile((sums - found.least) / sizes, 1 - false_positive, method="higher")
+            found.allowance = max(0.0, float(allowed), float(np.quantile(own / lengths, 0.01)) / 2)
         return found
 
+    def evidence(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(sum of the log ratios, number of characters, place of the first, place of the last) of each run."""
+        own, starts, first, last = _runs(code)
+        if not len(starts):
+            return np.zeros(0), first, first, last
+        return np.add.reduceat(self.ratio[(*_before(own, starts), own)], starts), last - first + 1, first, last
+
     def score(self, text: str) -> float:
-        """The mean log-likelihood ratio a character; above 0 the string looks random."""
-        codes = [_START, _START, *(_CODE[c] for c in text if c in _CODE)]
-        if len(codes) == 2:
-            return 0.0
-        a = np.array(codes)
-        return float(self.ratio[a[:-2], a[1:-1], a[2:]].mean())
-
-    def is_secret(self, text: str) -> bool:
-        """Of two kinds among lower case, upper case and digits after its first character, and more likely random."""
-        rest = text[1:]
-        kinds = any(c.islower() for c in rest) + any(c.isupper() for c in rest) + any(c.isdigit() for c in rest)
-        return kinds >= 2 and self.score(text) > self.threshold
+        """The sum of the log ratios of a run of key characters; above 0 it looks random."""
+        return float(self.evidence(_codes(text))[0].sum())
 
     def base_spans(self, text: str) -> list[tuple[int, int, str]]:
         """(start, end, kind) of the base patterns, sorted by start and kind as listed."""
@@ -140,12 +143,13 @@ class MarkovScanner:
         return sorted(spans, key=_order)
 
     def added_spans(self, text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-        """Runs of key characters that the models call random and that no base span touches."""
-        return [
-            (m.start(), m.end(), MARKOV)
-            for m in CANDIDATE.finditer(text)
-            if not any(s < m.end() and m.start() < e for s, e, _ in base) and self.is_secret(m[0])
-        ]
+        """Runs of key characters outside of the base spans that the models call random."""
+        code = _codes(text)
+        for start, end, _ in base:
+            code[start:end] = _NONE
+        sums, sizes, first, last = self.evidence(code)
+        passed = np.flatnonzero(sums > self.least + self.allowance * sizes)
+        return [(s, e + 1, MARKOV) for s, e in zip(first[passed].tolist(), last[passed].tolist(), strict=True)]
 
     def redact(self, text: str, mark: str = "[SECRET]") -> str:
         base = self.base_spans(text)
@@ -159,6 +163,20 @@ class MarkovScanner:
         return "".join([*out, text[at:]])
 
 
+def _codes(text: str) -> np.ndarray:
+    return _CODE[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 128)]
+
+
+def _before(code: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two characters before each, _START before a run."""
+    one, two = np.append(code[:1], code[:-1]), np.append(code[:2], code[:-2])[: len(code)]
+    one[starts] = two[starts] = _START
+    second = starts + 1
+    second = second[second < len(code)]
+    two[second] = _START
+    return two, one
+
+
 def _order(span: tuple[int, int, str]) -> tuple:
     return span[0], (*KINDS, MARKOV).index(span[2]), span[1]
 
@@ -167,20 +185,21 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in spans)
 
 
-@lru_cache(1)
-def default_scanner() -> MarkovScanner:
-    return MarkovScanner.train(labelled_samples())
+@lru_cache(2)
+def default_scanner(vocabulary: str) -> MarkovScanner:
+    """Trained on samples of a public vocabulary's words."""
+    return MarkovScanner.train(labelled_samples(vocabulary_words(vocabulary)))
 
 
-def scan(docs: DataFrame, scanner: MarkovScanner | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, scanner: MarkovScanner, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, counts by kind, digest of the base spans, and all spans as kind:start:end."""
 
     @F.pandas_udf("n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string")
     def find(texts: pd.Series) -> pd.DataFrame:
-        own, rows = scanner or default_scanner(), []
+        rows = []
         for text in texts:
-            base = own.base_spans(text := text or "")
-            added = own.added_spans(text, base)
+            base = scanner.base_spans(text := text or "")
+            added = scanner.added_spans(text, base)
             kinds = [k for _, _, k in base]
             rows.append((*(kinds.count(k) for k in KINDS), len(added), hashlib.sha256(joined(base).encode()).hexdigest(), joined(sorted(base + added, key=_order))))
         return pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_markov", "base_sha256", "spans"])
@@ -188,12 +207,11 @@ def scan(docs: DataFrame, scanner: MarkovScanner | None = None, id_col: str = "d
     return docs.select(F.col(id_col), find(F.col(text_col)).alias("found")).select(id_col, "found.*")
 
 
-def redacted(text: Column, scanner: MarkovScanner | None = None, mark: str = "[SECRET]") -> Column:
+def redacted(text: Column, scanner: MarkovScanner, mark: str = "[SECRET]") -> Column:
     """The text with every span replaced by the mark; null stays null."""
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
-        own = scanner or default_scanner()
-        return texts.map(lambda t: None if t is None else own.redact(t, mark))
+        return texts.map(lambda t: None if t is None else scanner.redact(t, mark))
 
     return clean(text)
