@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factloom.llm import bpe, decontaminate, secrets, simhash, toxicity
-from factloom.llm.common import materialise, table
+from factloom.llm.common import materialise, release, table
 from factloom.llm.queries import vocabulary
 
 
@@ -26,9 +27,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by a mark; all documents stay, with the lengths of their new texts."""
-    from pyspark.sql import functions as F
-
-    clean = docs.withColumn("text", secrets.redacted(F.col("text")))
+    clean = docs.withColumn("text", secrets.redacted(F.col("text"), secrets.default_scanner(vocabulary("byte_bpe_multi_50k.tiktoken"))))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
@@ -45,6 +44,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            release(before)
+        before = docs
     return docs
