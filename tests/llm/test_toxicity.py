@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -84,7 +85,64 @@ def test_labels_of_every_document_still_train(spark):
 
 
 def test_a_model_that_scores_all_alike_is_not_calibrated():
-    rows = [np.array([1], np.int32), np.array([2], np.int32)]
-    for index, weight in (([], []), ([7], [1.5])):
+    for index, weight, x in (([], [], np.zeros((2, 0))), ([7], [1.5], np.zeros((2, 1)))):
         model = toxicity.Classifier(np.array(index, np.int32), np.array(weight), -20.0)
-        assert toxicity.calibrate(model, rows, np.array([1, 0])) is model
+        assert toxicity.calibrate(model, x, np.array([1, 0])) is model
+
+
+def plain_risk(w, b, xp, xu, prior):
+    """The non-negative risk by loops: (risk, second term, both terms apart)."""
+    loss = lambda x, y: 1 / (1 + math.exp(y * (sum(a * c for a, c in zip(x, w, strict=True)) + b)))
+    p_plus, p_minus = sum(loss(x, 1) for x in xp) / len(xp), sum(loss(x, -1) for x in xp) / len(xp)
+    rest = sum(loss(x, -1) for x in xu) / len(xu) - prior * p_minus
+    return prior * p_plus + max(0.0, rest), rest
+
+
+def test_risk_and_its_gradient_match_a_plain_computation():
+    rng = np.random.default_rng(5)
+    for prior, signs in ((0.1, {True}), (0.9, {True, False})):
+        seen = set()
+        for _ in range(60):
+            xp, xu = rng.integers(0, 2, (7, 4)).astype(float), rng.integers(0, 2, (11, 4)).astype(float)
+            w, b = rng.normal(size=4) * 2, float(rng.normal())
+            if prior == 0.9:
+                xp[:], xu[:, 0] = 1, 0  # P alone has the first feature, so its part of U is overrated
+                w[0] = 6
+            value, rest, step = toxicity.risk(w, b, xp, xu, prior)
+            want, plain_rest = plain_risk(w, b, xp, xu, prior)
+            assert abs(value - want) < 1e-9 and abs(rest - plain_rest) < 1e-9
+            # The step is the slope of the risk, or against that of the second term where that is negative.
+            of = lambda z: plain_risk(z[:4], z[4], xp, xu, prior)
+            at, slope = np.append(w, b), np.zeros(5)
+            for i in range(5):
+                h = np.zeros(5)
+                h[i] = 1e-5
+                slope[i] = (of(at + h)[0] - of(at - h)[0]) / 2e-5 if rest > 0 else -(of(at + h)[1] - of(at - h)[1]) / 2e-5
+            if abs(rest) > 1e-4:
+                assert np.allclose(step, slope, atol=1e-6)
+                seen.add(rest > 0)
+        assert seen <= {True, False} and seen & signs
+
+
+def test_documents_and_counts_train_the_same_model(spark):
+    """What is counted and collected by Spark gives the model of plain lists."""
+    toxic = set(range(0, 60, 4))
+    docs, labels = _labelled(spark, toxic)
+    trained = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = {r.doc_id: toxicity.document_features(r.text) for r in docs.collect()}
+    order = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    trained.sort(key=order.get)
+    prior = sum(i in toxic for i in trained) / len(trained)
+    plain = toxicity.train([rows[i] for i in trained if i in toxic], [rows[i] for i in trained], prior)
+    plain = toxicity.calibrate(plain, np.array([toxicity.held(rows[i], plain.index) for i in trained]), np.array([int(i in toxic) for i in trained]))
+    model = toxicity.fit(docs, labels)
+    assert np.array_equal(model.index, plain.index) and np.allclose(model.weight, plain.weight) and abs(model.bias - plain.bias) < 1e-9
+
+
+def test_clashing_columns_and_repeated_ids(spark):
+    toxic = set(range(0, 60, 4))
+    docs, labels = _labelled(spark, toxic)
+    clash = docs.unionByName(docs).unionByName(docs.where("doc_id = 0")).selectExpr("*", "1 as parts", "2 as id", "3 as toxic", "4 as x", "5 as f", "text as part")
+    rows = toxicity.score(clash, labels.selectExpr("*", "0 as id", "1 as parts")).collect()
+    assert len(rows) == 121 and {r.doc_id for r in rows if r.predicted} == toxic
+    assert toxicity.keep_clean(clash, labels).columns == clash.columns
