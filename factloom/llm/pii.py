@@ -1,13 +1,18 @@
 """Personal data: base patterns, and terms of their neighbourhood that disclose them by corpus co-occurrence.
 
-Every distinct value that the base patterns find is a protected entity e. Terms t within a window of words around its
-occurrences are candidates. From document counts over the whole corpus, PMI(e; t) = log(p(e, t) / (p(e) p(t))) says how
-much t reveals of e, and IC(e) = -log p(e) is all there is to reveal. Where PMI / IC reaches the disclosure threshold
-the term is sanitised: removed when it reveals (nearly) everything, generalised to a mark otherwise. Pairs of a single
-document take part: a value that one document holds is as much to be protected as any other.
+Every distinct value that the base patterns find is a protected entity e. Terms t near its occurrences are candidates:
+the WINDOW words of four or more letters on either side that touch no base span, whatever their length or distance. From
+document counts over the whole corpus, PMI(e; t) = log(p(e, t) / (p(e) p(t))) says how much t reveals of e, and IC(e) =
+-log p(e) is all there is to reveal. Where PMI / IC reaches the disclosure threshold the term is sanitised: removed when
+it reveals (nearly) everything, generalised to a mark otherwise. Pairs of a single document take part: a value that one
+document holds is as much to be protected as any other. A value that every document holds has nothing to reveal.
+
+Words are cut and lower-cased by the same functions near the entities and in the corpus. Where the two engines cut a
+word differently (letters newer than one of them), it counts as in the documents that it was found in near an entity.
 
 Cases: a null text counts as empty; a null id is kept and counts as a row of its own; repeated rows each count as a
-document and each get a result; an empty table gives an empty table; other columns are ignored.
+document and each get a result; an empty table gives an empty table; other columns are ignored; a text of any length
+takes time linear in it and its spans.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 
 import pandas as pd
 import regex
@@ -40,8 +46,6 @@ NOT_DIGIT = re.compile(r"[^0-9]")
 WINDOW = 8
 #: Share of an entity's information that a term must reveal to be sanitised, and to be removed altogether.
 DISCLOSURE, REMOVAL = 0.85, 0.999
-#: Documents in which a pair meets that a caller may ask for by `support`; nothing asks for it unless told to.
-SUPPORT = 3
 #: Distinct terms up to which they are broadcast to the corpus count.
 BROADCAST_TERMS = 200_000
 
@@ -89,23 +93,21 @@ def entity(kind: str, value: str) -> str:
 
 
 def neighbours(text: str, spans: list[Span], window: int = WINDOW) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the words near each span, outside of all spans."""
-    out, taken = [], sorted(spans)
+    """(entity, term, start, end) of the words near each span; the term is as the text has it."""
+    begins, ends, furthest = [], [], 0  # the spans by their start; their ends, none before another's
+    for s, e, _ in sorted(spans):
+        furthest = max(furthest, e)
+        begins.append(s)
+        ends.append(furthest)
+    words = []
+    for m in WORD.finditer(text):
+        k = bisect_left(begins, m.end())
+        if not k or ends[k - 1] <= m.start():
+            words.append((m.start(), m.end(), m[0]))
+    starts, out = [w[0] for w in words], []
     for s, e, kind in spans:
-        name = entity(kind, text[s:e])
-        # A word has a bounded share of the look-out, so that a text without spaces stays cheap.
-        reach = window * 24
-        left = [m for m in WORD.finditer(text, max(0, s - reach), s)][-window:]
-        right = []
-        for m in WORD.finditer(text, e, min(len(text), e + reach)):
-            right.append(m)
-            if len(right) == window:
-                break
-        for m in (*left, *right):
-            a, b = m.span()
-            if (a and text[a - 1].isalpha()) or (b < len(text) and text[b].isalpha()) or any(x < b and a < y for x, y, _ in taken if x < b):
-                continue  # cut by the look-out, or part of another span
-            out.append((name, m[0].lower(), a, b))
+        name, at = entity(kind, text[s:e]), bisect_left(starts, s)
+        out += [(name, w, a, b) for a, b, w in words[max(0, at - window) : at + window]]
     return out
 
 
@@ -114,32 +116,38 @@ def _row(text: str | None) -> tuple:
     kinds = [k for _, _, k in spans]
     base = ",".join(f"{k}:{s}:{e}" for s, e, k in spans)
     near = neighbours(text, spans) if spans else []
-    return (*(kinds.count(k) for k in KINDS), hashlib.sha256(base.encode()).hexdigest(), base, near)
+    entities = sorted({entity(k, text[s:e]) for s, e, k in spans})
+    return (*(kinds.count(k) for k in KINDS), hashlib.sha256(base.encode()).hexdigest(), base, entities, near)
 
 
-FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:string,term:string,start:int,end:int>>"
+COLUMNS = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "entities", "near"]
+FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, entities array<string>, near array<struct<entity:string,term:string,start:int,end:int>>"
 
 
 def disclosures(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = DISCLOSURE, support: int = 1) -> DataFrame:
     """(entity, term, ratio) of all pairs whose ratio PMI / IC reaches the threshold, counted by documents.
 
-    rows: materialised (uid, near) of all documents. Pairs are counted with map-side sums. A term is in at least as many
-    documents as it has near any entity, so a pair whose ratio is too low by that count goes before the corpus is
-    counted; this loses nothing and leaves the words of every text out. What is left is counted over the whole corpus,
-    through a broadcast where the terms are proven few and by one aggregation of all words otherwise.
+    rows: materialised (uid, entities, near) of all documents. Pairs are counted with map-side sums. A term is in at
+    least as many documents as it has near any entity, so a pair whose ratio is too low by that count goes before the
+    corpus is counted; this loses nothing and leaves the words of every text out. What is left is counted over the whole
+    corpus, through a broadcast where the terms are proven few and by one aggregation of all words otherwise.
+    support: the least number of documents in which a pair must meet.
     """
-    entity_terms = F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))
+    entity_terms = F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), F.lower(x["term"]).alias("term"))))
     found = rows.where(F.size("near") > 0)
-    each = lambda field: found.select(F.explode(F.array_distinct(F.transform("near", lambda x: x[field]))).alias(field)).groupBy(field)
     n = rows.count()
     pairs = found.select(F.explode(entity_terms).alias("x")).groupBy("x.entity", "x.term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
-    held = pairs.join(each("entity").agg(F.count("*").alias("n_e")), "entity").where(F.col("n_e") < n).join(each("term").agg(F.count("*").alias("n_near")), "term")
+    n_e = rows.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    n_near = found.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.lower(x["term"])))).alias("term")).groupBy("term").agg(F.count("*").alias("n_near"))
+    held = pairs.join(n_e, "entity").where(F.col("n_e") < n).join(n_near, "term")
     held = materialise(held.where(_ratio(n, "n_near") >= threshold), "pii-pairs")
     terms = held.select("term").distinct()
     few = terms.count() <= BROADCAST_TERMS
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_col), r"[^\p{L}]+"))).alias("term")).where(F.length("term") >= 4)
+    cut = F.filter(F.array_distinct(F.split(text_col, r"[^\p{L}]+")), lambda w: F.length(w) >= 4)
+    words = docs.select(F.explode(F.array_distinct(F.transform(cut, F.lower))).alias("term"))
     counted = (words.join(F.broadcast(terms), "term", "left_semi") if few else words).groupBy("term").agg(F.count("*").alias("n_t"))
-    return held.join(counted, "term").select("entity", "term", _ratio(n, "n_t").alias("ratio")).where(F.col("ratio") >= threshold)
+    known = held.join(counted, "term", "left").withColumn("n_t", F.greatest("n_near", F.coalesce("n_t", F.lit(0))))
+    return known.select("entity", "term", _ratio(n, "n_t").alias("ratio")).where(F.col("ratio") >= threshold)
 
 
 def _ratio(n: int, of_term: str) -> Column:
@@ -151,11 +159,11 @@ def _ratio(n: int, of_term: str) -> Column:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = DISCLOSURE, support: int = 1, with_text: bool = False) -> DataFrame:
     """One row per input row: id, counts of the base kinds, digest of the base spans, all spans as kind:start:end by
     kind and start, the number of terms; with_text adds the sanitised text."""
-    find = F.pandas_udf(lambda texts: pd.DataFrame([_row(t) for t in texts], columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "near"]), FOUND)
+    find = F.pandas_udf(lambda texts: pd.DataFrame([_row(t) for t in texts], columns=COLUMNS), FOUND)
     kept = [F.col(text_col).alias("text")] if with_text else []
     rows = materialise(docs.select(F.col(id_col).alias("doc_id"), *kept, F.monotonically_increasing_id().alias("uid"), find(F.col(text_col)).alias("f")).select("uid", "doc_id", *(["text"] if with_text else []), "f.*"), "pii-rows")
     found = disclosures(docs, rows, text_col, threshold, support)
-    spots = rows.where(F.size("near") > 0).select("uid", F.explode("near").alias("x")).select("uid", "x.*")
+    spots = rows.where(F.size("near") > 0).select("uid", F.explode("near").alias("x")).select("uid", "x.entity", F.lower("x.term").alias("term"), "x.start", "x.end")
     added = (
         spots.join(found, ["entity", "term"]).groupBy("uid", "start", "end").agg(F.max("ratio").alias("ratio"))
         .groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "end", "ratio"))).alias("added"))
