@@ -3,14 +3,18 @@
 Distances from every vector to fixed pivots are computed once. For a query q and a candidate c,
 max over pivots p of |d(q, p) - d(c, p)| is a lower bound of d(q, c), and so (|q|^2 + |c|^2 - bound^2) / 2 an upper
 bound of their inner product. Candidates of a block are evaluated in bound order until the k-th score found exceeds
-every bound left, which is exact.
+every bound left, which is exact. The k-th score of each query over a bounded sample of rows is known before the blocks
+are met, so a block starts with it, and is passed over whole where the range of its distances to the pivots, or its
+largest norm, leaves no bound that reaches it.
 
-Queries and candidates are packed into blocks; every block of queries meets every block of candidates in a task of its
-own, and the k best of each meeting are merged per query. No side is broadcast.
+Queries and candidates are packed into blocks. A task takes one block of candidates with at most GROUP blocks of
+queries, to which both are sent by their numbers, and the k best of each meeting are merged per query. The sample and
+the pivots are bounded and go with the code; no side is broadcast.
 
 Cases: vectors that are null, or hold null or non-finite components, take no part; a null id takes no part; ties go to
-the smaller id; rows that repeat an id are candidates each (the query's own id is never one); fewer candidates than k
-give all; an empty table gives an empty table; vectors of another length than the pivots' raise an error.
+the smaller id; rows that repeat an id are candidates each (the query's own id is never one), and queries each, with
+the same answer; fewer candidates than k give all; an empty table gives an empty table; vectors of unlike lengths, and
+scores beyond 64 bits, raise an error that says so.
 """
 
 from __future__ import annotations
@@ -24,10 +28,12 @@ from pyspark.sql import functions as F
 
 from factloom.llm.common import materialise
 
-PIVOTS = 32
-#: Rows of the bounded sample from which the pivots are chosen.
+PIVOTS = 64
+#: Rows of the bounded sample from which the pivots are chosen, and with which every query is held first.
 PIVOT_SAMPLE = 2000
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 8192
+#: Blocks of queries that one task holds against a block of candidates.
+GROUP = 8
 #: Candidates evaluated at a time.
 STEP = 256
 
@@ -49,41 +55,65 @@ def choose_pivots(sample: np.ndarray, n: int = PIVOTS) -> np.ndarray:
     return sample[chosen]
 
 
-def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, pivots: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query id, id, score) of the k best rows of each query, exact; all values are whole numbers held as doubles."""
-    exact = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * rows.shape[1] < 2**53
-    distance = lambda x: np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None] - 2 * x @ pivots.T, 0))
-    table_q, table_r = distance(queries), distance(rows).T.copy()
+def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None] - 2 * x @ pivots.T, 0))
+
+
+def inner(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers held as doubles, exact; Python's numbers where doubles are too small."""
+    if float(np.abs(query).max(initial=0)) * float(np.abs(rows).max(initial=0)) * rows.shape[1] < 2**53:
+        return rows @ query
+    return np.array([sum(int(a) * int(b) for a, b in zip(r.tolist(), query.tolist(), strict=True)) for r in rows], object)
+
+
+def kth_scores(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[int | None]:
+    """The k-th best score of each query over some rows, None where they are fewer."""
+    out = []
+    for q, own in zip(queries, query_ids.tolist(), strict=True):
+        scores = inner(rows[ids != own], q)
+        out.append(int(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else None)
+    return out
+
+
+def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, pivots: np.ndarray, k: int, known: list[int | None] | None = None) -> list[tuple[int, list[tuple[int, int]], int, int]]:
+    """(query id, its k best as (id, score), rows evaluated, rows that could be) of each query, exact. known: a score
+    that k rows of any block reach together, for each query; rows below it may be left out."""
+    table_q, table_r = distances(queries, pivots), distances(rows, pivots).T.copy()
     square_q, square_r = (queries * queries).sum(axis=1), (rows * rows).sum(axis=1)
     # What rounding can add to a distance, generously.
     slack = 1e-6 * (1 + np.sqrt(max(square_q.max(initial=0), square_r.max(initial=0), (pivots * pivots).sum(axis=1).max(initial=0))))
+    raised = lambda low, square: (bound := (square - np.maximum(low - slack, 0) ** 2) / 2) + 1e-9 * np.abs(bound) + 1
+    # The block as a whole: no row of it is nearer to a query than its range of distances to a pivot is.
+    least, most = table_r.min(axis=1, initial=np.inf), table_r.max(axis=1, initial=0)
+    apart = np.maximum(least - table_q, table_q - most).max(axis=1, initial=0)
+    block = raised(apart, square_q + square_r.max(initial=0))
     out = []
     for at, own in enumerate(query_ids.tolist()):
+        floor = known[at] if known and known[at] is not None else None
+        live = int((ids != own).sum())
+        if floor is not None and block[at] < floor:
+            out.append((own, [], 0, live))
+            continue
         low = np.zeros(len(rows))
         for p in range(len(pivots)):
             np.maximum(low, np.abs(table_r[p] - table_q[at, p]), out=low)
-        low = np.maximum(low - slack, 0)
-        bound = (square_q[at] + square_r - low * low) / 2
-        bound += 1e-9 * np.abs(bound) + 1
-        bound[ids == own] = -np.inf
-        live = int((ids != own).sum())
+        bound = raised(low, square_q[at] + square_r)
+        todo = np.flatnonzero(ids != own) if floor is None else np.flatnonzero((ids != own) & (bound >= floor))
         top: list[tuple[int, int]] = []
-        todo, done = np.arange(len(rows)), 0
-        while done < live:
+        done = 0
+        while len(todo):
             step = min(max(STEP, done), len(todo))
             cut = np.argpartition(-bound[todo], step - 1) if step < len(todo) else np.arange(len(todo))
             take, todo = todo[cut[:step]], todo[cut[step:]]
-            take = take[ids[take] != own]
             done += len(take)
-            scores = rows[take] @ queries[at] if exact else [sum(int(a) * int(b) for a, b in zip(rows[i].tolist(), queries[at].tolist(), strict=True)) for i in take]
-            if len(take) > k and exact:  # only what can be among the k best
-                least = np.partition(scores, len(take) - k)[len(take) - k]
-                keep = scores >= least
+            scores = inner(rows[take], queries[at])
+            if len(take) > k:  # only what can be among the k best
+                keep = scores >= np.partition(scores, len(take) - k)[len(take) - k]
                 take, scores = take[keep], scores[keep]
             top = sorted([*top, *((-int(s), int(i)) for s, i in zip(scores, ids[take], strict=True))])[:k]
             if len(top) == k and len(todo) and bound[todo].max() < -top[-1][0]:
                 break
-        out += [(own, i, -s) for s, i in top]
+        out.append((own, [(i, -s) for s, i in top], done, live))
     return out
 
 
@@ -104,31 +134,72 @@ def _packed(size: int):
 
 
 def _block(ids: list, vectors: list) -> pd.DataFrame:
+    if len(set(map(len, vectors))) > 1:
+        raise ValueError("vectors of unlike lengths")
     x = np.array(vectors, np.float64)
     return pd.DataFrame({"n": [len(ids)], "ids": [np.array(ids, np.int64).tobytes()], "x": [x.tobytes()]})
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, n_pivots: int = PIVOTS) -> DataFrame:
-    """query_id, rank (from 1), id, score for the k highest integer inner products of floor(scale * x) of each query
-    row, over all rows but those of its own id."""
-    whole = vectors.where(F.col(id_col).isNotNull() & valid(F.col(vector_col)))
-    rows = whole.select(F.col(id_col).cast("long").alias("id"), F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("v"), is_query.alias("is_query"))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("v").collect()
-    pivots = choose_pivots(np.array([r["v"] for r in sample], np.float64) if sample else np.zeros((0, 1)), n_pivots)
+def _numbered(blocks: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """(blocks with no, from 0 without gaps, how many): a block's number is the count of those of earlier partitions and
+    its place in its own. Only a count for each partition reaches the driver."""
+    made = materialise(blocks.withColumn("id", F.monotonically_increasing_id()), label)
+    part, place = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = sorted((r["p"], r["n"]) for r in made.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+    before, total = [], 0
+    for p, n in counts:
+        before += [F.lit(p), F.lit(total)]
+        total += n
+    return made.withColumn("no", F.create_map(*before)[part] + place if before else F.lit(0)).drop("id"), total
+
+
+def _meetings(vectors: DataFrame, is_query: Column, k: int, id_col: str, vector_col: str, scale: float, n_pivots: int) -> DataFrame:
+    """(query_id, id, score, evaluated, candidates): the best rows of each block for each query; a query's first row of a
+    block has the numbers of rows evaluated and of candidates, and a null id where the block has none for it."""
+    rows = vectors.where(F.col(id_col).isNotNull() & valid(F.col(vector_col))).select(
+        F.col(id_col).cast("long").alias("id"), F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("v"), is_query.alias("is_query")
+    )
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("id", "v").collect()
+    if len({len(r["v"]) for r in sample}) > 1:
+        raise ValueError("vectors of unlike lengths")
+    seen, seen_ids = np.array([r["v"] for r in sample], np.float64) if sample else np.zeros((0, 1)), np.array([r["id"] for r in sample], np.int64)
+    pivots = choose_pivots(seen, n_pivots)
     schema = "n int, ids binary, x binary"
-    blocks = materialise(rows.select("id", "v").mapInPandas(_packed(CANDIDATE_BLOCK), schema).withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
-    asked = materialise(rows.where("is_query").select("id", "v").mapInPandas(_packed(QUERY_BLOCK), schema), "query-blocks")
-    numbers = blocks.select("block")  # names only: each block of queries is sent to each block of candidates
-    meetings = asked.select(F.col("ids").alias("q_ids"), F.col("x").alias("q_x")).join(numbers, F.lit(True)).join(blocks, "block")
+    blocks, n_blocks = _numbered(rows.select("id", "v").mapInPandas(_packed(CANDIDATE_BLOCK), schema), "vector-blocks")
+    asked, n_asked = _numbered(rows.where("is_query").select("id", "v").mapInPandas(_packed(QUERY_BLOCK), schema), "query-blocks")
+    groups = -(-n_asked // GROUP)
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), F.lit(max(1, n) - 1).cast("long"))
+    q = asked.select(F.col("ids").alias("q_ids"), F.col("x").alias("q_x"), F.floor(F.col("no") / GROUP).cast("long").alias("g"), F.explode(numbers(n_blocks)).alias("no"))
+    c = blocks.select("ids", "x", F.col("no").cast("long").alias("no"), F.explode(numbers(groups)).alias("g"))
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = []
             for q_ids, q_x, ids, x in zip(pdf["q_ids"], pdf["q_x"], pdf["ids"], pdf["x"], strict=True):
                 qi, ri = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64)
-                found += best(np.frombuffer(q_x).reshape(len(qi), -1), qi, np.frombuffer(x).reshape(len(ri), -1), ri, pivots, k)
-            yield pd.DataFrame(found, columns=["query_id", id_col, "score"])
+                queries, own = np.frombuffer(q_x).reshape(len(qi), -1), np.frombuffer(x).reshape(len(ri), -1)
+                if not queries.shape[1] == own.shape[1] == seen.shape[1]:
+                    raise ValueError("vectors of unlike lengths")
+                for query, top, evaluated, live in best(queries, qi, own, ri, pivots, k, kth_scores(queries, qi, seen, seen_ids, k)):
+                    if any(not -(1 << 63) <= s < 1 << 63 for _, s in top):
+                        raise ValueError("a score does not fit into 64 bits")
+                    found.append((query, *(top[0] if top else (None, None)), evaluated, live))
+                    found += [(query, i, s, 0, 0) for i, s in top[1:]]
+            yield pd.DataFrame(found, columns=["query_id", "id", "score", "evaluated", "candidates"]).astype({"id": "Int64", "score": "Int64"})
+
+    met = q.join(c, ["no", "g"]).select("q_ids", "q_x", "ids", "x")
+    return met.mapInPandas(meet, "query_id long, id long, score long, evaluated long, candidates long")
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, n_pivots: int = PIVOTS) -> DataFrame:
+    """query_id, rank (from 1), id, score for the k highest integer inner products of floor(scale * x) of each query
+    row, over all rows but those of its own id."""
+    met = _meetings(vectors, is_query, k, id_col, vector_col, scale, n_pivots).where("id is not null")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
+
 
-    met = meetings.select("q_ids", "q_x", "ids", "x").mapInPandas(meet, f"query_id long, {id_col} long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(id_col))
-    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", id_col, "score")
+def work(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, n_pivots: int = PIVOTS) -> DataFrame:
+    """One row: how many pairs of query and candidate there are, and how many were evaluated."""
+    met = _meetings(vectors, is_query, k, id_col, vector_col, scale, n_pivots)
+    return met.agg(F.sum("candidates").alias("candidates"), F.sum("evaluated").alias("evaluated"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from factloom.llm import topk
@@ -25,6 +26,8 @@ def test_exact_with_ties(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 64)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
     monkeypatch.setattr(topk, "STEP", 8)
+    monkeypatch.setattr(topk, "GROUP", 1)
+    monkeypatch.setattr(topk, "PIVOT_SAMPLE", 50)
     rng = np.random.default_rng(0)
     vectors = [v.tolist() for v in rng.normal(0, 0.2, (300, 12)).astype(np.float32)]
     vectors[40:140] = [vectors[7]] * 100  # a common vector: ties by id
@@ -46,9 +49,34 @@ def test_bounds_hold_and_large_values_stay_exact():
     for scale in (1, 10**6, 10**8):
         rows = np.floor(rng.normal(0, 50, (200, 9)) * scale)
         pivots = topk.choose_pivots(rows[:50], 8)
-        found = topk.best(rows[:5], np.arange(5), rows, np.arange(200), pivots, 5)
+        known = topk.kth_scores(rows[:5], np.arange(5), rows[100:150], np.arange(100, 150), 5)
+        some = topk.best(rows[:5], np.arange(5), rows, np.arange(200), pivots, 5, known)
+        found = [(q, i, s) for q, top, *_ in topk.best(rows[:5], np.arange(5), rows, np.arange(200), pivots, 5) for i, s in top]
+        assert found == [(q, i, s) for q, top, *_ in some for i, s in top]
         want = []
         for q in range(5):
             scored = sorted((-sum(int(a) * int(b) for a, b in zip(rows[q], rows[i], strict=True)), i) for i in range(200) if i != q)[:5]
             want += [(q, i, -s) for s, i in scored]
         assert found == want
+
+
+def test_far_blocks_are_passed_over():
+    """Two clusters: a query of one evaluates nothing of the other, and little of its own."""
+    rng = np.random.default_rng(4)
+    near, far = (np.floor(c + rng.normal(0, 3, (400, 8))) for c in (100, -100))
+    pivots = topk.choose_pivots(np.concatenate([near[:20], far[:20]]), 8)
+    known = topk.kth_scores(near[:3], np.arange(3), near[100:200], np.arange(100, 200), 5)
+    assert [x[1:] for x in topk.best(near[:3], np.arange(3), far, np.arange(1000, 1400), pivots, 5, known)] == [([], 0, 400)] * 3
+
+
+def test_work_and_errors(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(0, 1, (300, 4)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = topk.work(df, F.col("vec_id") % 50 == 0).first()
+    assert seen["candidates"] == 6 * 299 and 0 < seen["evaluated"] < seen["candidates"]
+    large = spark.createDataFrame([(0, [1e15, 1.0]), (1, [1e15, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(large, F.col("vec_id") % 50 == 0).collect()
+    with pytest.raises(Exception, match="unlike lengths"):
+        topk.top_k(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
