@@ -9,7 +9,7 @@ WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: floor(256 * CAST(c
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM x q JOIN x c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER w AS INT) AS rank, vec_id, score FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
     "op6_preference": """
-WITH t AS (SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn, coalesce(role, ''), coalesce(text, '')) AS c FROM conversations GROUP BY conv_id),
+WITH t AS (SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn, coalesce(role, ''), coalesce(text, '')) AS c FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 l AS (SELECT *, coalesce(list_max(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant')), 0) AS last FROM t),
 p AS (SELECT a.conv_id, a.c, CASE WHEN a.last > 0 AND b.last > 0 THEN list_append(a.c[1:a.last - 1], b.c[b.last]) ELSE [] END AS r
   FROM l a LEFT JOIN l b ON b.conv_id = xor(a.conv_id, 1)),
@@ -21,7 +21,8 @@ e AS (SELECT *, list_transform(range(1, len(cs) + 1), lambda i: CAST(coalesce(li
 SELECT conv_id AS pair_id, CAST(n AS BIGINT) AS n_prompt_turns, coalesce(array_to_string(p, ''), '') AS prompt, coalesce(array_to_string(cs, ''), '') AS chosen,
   coalesce(array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant'), lambda i: CAST(ce[i] - 11 - length(c[i].text) AS VARCHAR) || ':' || CAST(ce[i] AS VARCHAR)), ','), '') AS chosen_mask,
   coalesce(array_to_string(rs, ''), '') AS rejected,
-  coalesce(array_to_string(list_transform(list_filter(range(1, len(r) + 1), lambda i: r[i].role = 'assistant'), lambda i: CAST(re[i] - 11 - length(r[i].text) AS VARCHAR) || ':' || CAST(re[i] AS VARCHAR)), ','), '') AS rejected_mask
+  coalesce(array_to_string(list_transform(list_filter(range(1, len(r) + 1), lambda i: r[i].role = 'assistant'), lambda i: CAST(re[i] - 11 - length(r[i].text) AS VARCHAR) || ':' || CAST(re[i] AS VARCHAR)), ','), '') AS rejected_mask,
+  len(list_filter(c, lambda x: x.role = 'assistant')) > 0 AND len(list_filter(r, lambda x: x.role = 'assistant')) > 0 AS is_pair
 FROM e""",
     "op10_decontaminate": r"""
 WITH w AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),

@@ -34,6 +34,8 @@ def test_pairs(spark):
     got = {r.pair_id: r for r in p.format_pairs(df).collect()}
     for i, c, r, _ in rows:
         g = got[i]
+        rest = [side[g.n_prompt_turns :] for side in (c or [], r or [])]
+        assert g.is_pair == all(any(a == "assistant" for a, _ in side) for side in rest)
         assert (g.n_prompt_turns, g.prompt, g.chosen, g.chosen_mask, g.rejected, g.rejected_mask) == by_hand(c or [], r or [])
 
 
@@ -41,7 +43,8 @@ def test_swapped_replies(spark):
     rows = [(0, 1, "assistant", "A0"), (0, 0, "user", "U0"), (1, 0, "user", "U1"), (1, 1, "assistant", "A1"), (1, 2, "user", "more"), (2, 0, "user", "alone"), (4, 0, None, None), (None, 0, "user", "n"), (5, 0, "user", "d"), (5, 0, "user", "d")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r.pair_id: r for r in p.format_pairs(p.swapped_replies(df)).collect()}
-    assert len(got) == 6
+    assert len(got) == 5  # a turn without a conversation takes no part
+    assert {i for i, r in got.items() if r.is_pair} == {0, 1}
     assert got[0].n_prompt_turns == 1 and "U0" in got[0].prompt and "A0" in got[0].chosen and "A1" in got[0].rejected
     assert got[1].n_prompt_turns == 1 and "more" in got[1].chosen and "more" not in got[1].rejected and "A0" in got[1].rejected
     assert got[2].rejected == "" and got[5].chosen.count("d<") == 2
