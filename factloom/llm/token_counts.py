@@ -3,7 +3,8 @@
 The distinct pre-tokens of a batch go into a trie. A node's forward score is the best score of any segmentation of its
 prefix into pieces: the maximum over pieces that end there of the score of the node where the piece starts plus the
 piece's own. It is computed once, when the node is made, however many pre-tokens share the prefix, together with the
-number of pieces of that segmentation; the node where a pre-token ends stores its count.
+number of pieces of that segmentation; the node where a pre-token ends stores its count. Nodes are made down to DEPTH
+characters; a longer pre-token shares its prefix down to there, and the recurrence goes on from that node without nodes.
 
 Pieces are those of a public sentencepiece vocabulary, which is never trained here; a piece's log-probability follows
 Zipf's law over its rank in that vocabulary, log(1 / (rank + 1)) - log(H_n), in whole millionths so that sums are exact.
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 #: Pre-tokens are runs without white space, each led by the vocabulary's word mark.
 WORDS = re.compile(r"\S+")
 MARK = "▁"
-#: Trie nodes kept between batches, and the longest pre-token whose count is kept.
-MAX_NODES, CACHED_LENGTH = 400_000, 48
+#: Trie nodes kept between batches; the depth down to which nodes are made; the longest pre-token whose count is kept.
+MAX_NODES, DEPTH, CACHED_LENGTH = 400_000, 2048, 48
 #: Scores are whole numbers of this part of a nat.
 UNIT = 1_000_000
 #: Below any score.
@@ -91,8 +92,6 @@ class Trie:
             return found
         if len(self.best) > MAX_NODES:
             self.reset()
-        if len(text) > CACHED_LENGTH:
-            return self._long(text)
         child, at, done = self.child, 0, 0
         for c in text:
             node = child.get(at << 21 | ord(c))
@@ -100,13 +99,14 @@ class Trie:
                 break
             at = node
             done += 1
-        if done < len(text):
-            at = self._grow(at, text[done:])
-        self.terminal[text] = self.count[at]
-        return self.count[at]
-
-    def _grow(self, at: int, rest: str) -> int:
-        """Makes the nodes below `at`, each with its forward score from the pieces that end at it."""
+        count = self._grow(at, text[done:], DEPTH - done) if done < len(text) else self.count[at]
+        if len(text) <= CACHED_LENGTH:
+            self.terminal[text] = count
+        return count
+
+    def _grow(self, at: int, rest: str, nodes: int) -> int:
+        """Makes up to so many nodes below `at`, each with its forward score from the pieces that end at it, and goes on
+        without nodes from there; returns the count at the end."""
         step, value, single, byte = self.step.get, self.value, self.pieces.score, self.pieces.byte
         child, bests, counts, unders = self.child, self.best, self.count, self.under
         best, count, under = bests[at], counts[at], unders[at]
@@ -127,28 +127,15 @@ class Trie:
                 own = best + width * byte
                 if own > top or (own == top and count + width < least):
                     top, least = own, count + width
-            node = child[at << 21 | code] = len(bests)
-            bests.append(top)
-            counts.append(least)
-            unders.append(now)
-            at, best, count, under = node, top, least, now
-        return at
-
-    def _long(self, text: str) -> int:
-        """The same recurrence along a single path, of which only the last `longest` nodes are held."""
-        score, longest = self.pieces.score, self.pieces.longest
-        held = [(0, 0)]
-        for i, c in enumerate(text):
-            own = NEVER, 0
-            for back in range(1, min(len(held), longest) + 1):
-                if (s := score.get(text[i + 1 - back : i + 1])) is not None:
-                    own = max(own, (held[-back][0] + s, held[-back][1] - 1))
-            if c not in score:
-                width = len(c.encode("utf-8", "replace"))
-                own = max(own, (held[-1][0] + width * self.pieces.byte, held[-1][1] - width))
-            held.append(own)
-            del held[: -longest - 1]
-        return -held[-1][1]
+            if nodes > 0:
+                nodes -= 1
+                node = child[at << 21 | code] = len(bests)
+                bests.append(top)
+                counts.append(least)
+                unders.append(now)
+                at = node
+            best, count, under = top, least, now
+        return count
 
 
 def plain_count(text: str, pieces: Pieces) -> int:
@@ -175,10 +162,12 @@ def counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(texts: pd.Series) -> pd.DataFrame:
         trie, rows = shared_trie(path), []
         gc.disable()  # the trie has no cycles, and looking for some grows with it
-        for text in texts:
-            words = Counter(WORDS.findall(text or ""))
-            rows.append((sum(words.values()), sum(n * trie.insert(MARK + w) for w, n in words.items())))
-        gc.enable()
+        try:
+            for text in texts:
+                words = Counter(WORDS.findall(text or ""))
+                rows.append((sum(words.values()), sum(n * trie.insert(MARK + w) for w, n in words.items())))
+        finally:
+            gc.enable()
         return pd.DataFrame(rows, columns=["n_words", "n_tokens"])
 
     return docs.select(F.col(id_col), run(F.col(text_col)).alias("found")).select(id_col, "found.*")

@@ -38,3 +38,16 @@ def test_rows(spark):
         assert got[i].n_tokens == sum(tc.plain_count(tc.MARK + w, pieces) for w in (t or "").split())
         assert got[i].n_words == len((t or "").split())
     assert tc.counts(docs, PATH).count() == 6 and tc.counts(docs.limit(0), PATH).count() == 0
+
+
+def test_long_words_share_their_prefix(monkeypatch):
+    monkeypatch.setattr(tc, "DEPTH", 30)
+    pieces, rng = tc.Pieces.load(PATH), random.Random(5)
+    trie = tc.Trie(pieces)
+    start = "日本語の文章は空白を置かない" * 3
+    for _ in range(60):
+        word = start[: rng.randint(0, len(start))] + "".join(rng.choices("日本語thera", k=rng.randint(0, 60)))
+        assert trie.insert(word) == tc.plain_count(word, pieces)
+    before = len(trie.best)
+    assert trie.insert(start + "theretherethere") == tc.plain_count(start + "theretherethere", pieces)
+    assert len(trie.best) - before <= 30 and len(trie.best) <= 1 + 62 * 30
