@@ -158,6 +158,7 @@ class ByteBPE:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.bytes_of = ranks, {i: b for b, i in ranks.items()}
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.decoded: dict[tuple[int, ...], bytes] = {}
 
     @classmethod
     def load(cls, path: str) -> ByteBPE:
@@ -221,20 +222,21 @@ class ByteBPE:
                 self.cache[part] = found
         return found
 
-    def encode_ids(self, texts: list[str]):
-        """The ids of each text."""
-        for run in in_runs(texts):
-            for text, starts in zip(run, boundaries(run), strict=True):
-                yield list(chain.from_iterable(self.pieces(text, starts)))
-
     def encode_batch(self, texts: list[str]):
         """For each text (ids, byte offset at which each pre-token starts, number of ids of each pre-token)."""
+        for found, at in self.encode_pieces(texts):
+            yield list(chain.from_iterable(found)), at, np.fromiter(map(len, found), np.int64, len(found))
+
+    def encode_pieces(self, texts: list[str]):
+        """For each text (the ids of each pre-token, byte offset at which each starts)."""
         for run in in_runs(texts):
             for text, starts in zip(run, boundaries(run), strict=True):
-                found = self.pieces(text, starts)
+                if text.isascii():
+                    yield self.pieces(text, starts), starts
+                    continue
                 code = codes(text)
                 wide = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
-                yield list(chain.from_iterable(found)), (np.cumsum(wide) - wide)[starts], np.fromiter(map(len, found), np.int64, len(found))
+                yield self.pieces(text, starts), (np.cumsum(wide) - wide)[starts]
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.pieces(text, boundaries([text])[0])))
@@ -242,6 +244,22 @@ class ByteBPE:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def decode_at(self, found: list[tuple[int, ...]], at: np.ndarray) -> bytes:
+        """The bytes of a text from the ids of its pre-tokens, each put at its kept offset."""
+        parts = list(map(self.decoded.get, found))
+        if None in parts:
+            for i, part in enumerate(parts):
+                if part is None:
+                    parts[i] = self.decode(found[i])
+                    if len(found[i]) <= CACHED_LENGTH:
+                        if len(self.decoded) >= CACHE_ENTRIES:
+                            self.decoded.clear()
+                        self.decoded[found[i]] = parts[i]
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        if not np.array_equal(ends[:-1], at[1:]):
+            raise ValueError("the bytes of the pre-tokens do not meet at their offsets")
+        return b"".join(parts)
+
     def decode_piece(self, ids: list[int], counts: np.ndarray, k: int) -> bytes:
         """The bytes of pre-token k alone, by the kept counts."""
         first = int(counts[:k].sum())
@@ -259,8 +277,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     @F.pandas_udf("ids array<int>, piece_start array<long>, piece_ids array<long>, decoded binary")
     def run(texts: pd.Series) -> pd.DataFrame:
         bpe, rows = loaded(path), []
-        for ids, starts, counts in bpe.encode_batch([t or "" for t in texts]):
-            rows.append((ids, starts, counts, bpe.decode(ids)))
+        for found, at in bpe.encode_pieces([t or "" for t in texts]):
+            rows.append((list(chain.from_iterable(found)), at, np.fromiter(map(len, found), np.int64, len(found)), bpe.decode_at(found, at)))
         return pd.DataFrame(rows, columns=["ids", "piece_start", "piece_ids", "decoded"])
 
     return docs.select(F.col(id_col), run(F.col(text_col)).alias("found")).select(id_col, "found.*")
@@ -273,8 +291,9 @@ def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     @F.pandas_udf(schema)
     def run(texts: pd.Series) -> pd.DataFrame:
         bpe, rows = loaded(path), []
-        for ids in bpe.encode_ids([t or "" for t in texts]):
-            row = len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()
+        for found, at in bpe.encode_pieces([t or "" for t in texts]):
+            ids = list(chain.from_iterable(found))
+            row = len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(bpe.decode_at(found, at)).hexdigest()
             rows.append((*row, np.array(ids, np.int32)) if with_ids else row)
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
 
