@@ -18,26 +18,35 @@ are ignored.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.llm.bpe import in_runs
 from factloom.llm.common import materialise, qualified, release, shared_path
 
 ENTRY, FOOTER, MAGIC = struct.Struct("<qqqqIBB2x"), struct.Struct("<QII"), 0x4C4F4F4D
 LEVEL = 3
-CACHE_ENTRIES = 400_000
-#: Characters up to U+024F whose lower case lies there too, and common punctuation beyond.
-COMMON = [c for c in map(chr, range(0x250)) if len(c.lower()) == 1 and ord(c.lower()) < 0x250] + [chr(c) for c in (*range(0x2010, 0x2028), 0x20AC)]
-#: Outside of these characters, or with the start of a special token, a text goes to the library whole.
+#: Words kept with their ids, and the longest that is kept.
+CACHE_ENTRIES, CACHED_LENGTH = 600_000, 64
+#: Characters of the texts that are encoded together.
+RUN_CHARS = 4 << 20
+#: Characters up to U+024F, of those that have a lower case beyond only that, and common punctuation beyond. What is
+#: looked at is in lower case already, so a letter whose lower case is beyond shows by that.
+COMMON = [c for c in map(chr, range(0x250)) if c == c.lower()] + [chr(c) for c in (*range(0x2010, 0x2028), 0x20AC)]
+#: With a word of other characters, or with the start of a special token, a text goes to the library whole.
 UNCOMMON = re.compile(rf"[^{re.escape(''.join(COMMON))}]|<\|")
 #: The vocabulary's pre-tokens over lower-cased common characters.
 LETTERS, NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
@@ -120,8 +129,11 @@ class WordEncoder:
     """The tokenizers library, asked once for each distinct pre-token.
 
     In a text of common characters the vocabulary's normaliser only lower-cases and turns white space into spaces, and
-    its pre-tokens are the matches of PRE_TOKEN. The ids of a pre-token end with a piece that ends a word, so many are
-    encoded in one call, with spaces between them, and parted there. Any other text goes to the library as it is."""
+    its pre-tokens are the matches of PRE_TOKEN, which hold no white space. So the ids of a text are those of its words,
+    and a word's those of its pre-tokens. Arrow cuts the texts of a run into words and numbers the distinct ones, so
+    Python meets each of them once a run, and the ids are put together from arrays. The ids of a pre-token end with a
+    piece that ends a word, so many pre-tokens are encoded in one call, with spaces between them, and parted there. A
+    text with a word of other characters goes to the library as it is."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -133,18 +145,62 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [None if UNCOMMON.search(t) else PRE_TOKEN.findall(t.lower()) for t in texts]
+        gc.disable()  # nothing here has cycles, and looking for some grows with the words
+        try:
+            return list(chain.from_iterable(map(self._run, in_runs(texts, RUN_CHARS))))
+        finally:
+            gc.enable()
+
+    def _run(self, texts: list[str]) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        numbered = words.values.dictionary_encode()
+        known = self._known(numbered.dictionary.to_pylist())
+        bad = np.fromiter((ids is None for ids in known), bool, len(known))
+        width = np.fromiter((len(ids) // 4 if ids else 0 for ids in known), np.int64, len(known))
+        flat = np.frombuffer(b"".join(filter(None, known)), "<u4")
+        # Where the ids of each word of the run come from, and where they go.
+        number = numbered.indices.to_numpy()
+        size = width[number]
+        ends = np.cumsum(size)
+        source = np.repeat((np.cumsum(width) - width)[number] - (ends - size), size)
+        source += np.arange(len(source))
+        ids = flat[source]
+        edges = words.offsets.to_numpy()
+        at = np.append(0, ends)[edges].tolist()
+        out = [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
+        if bad.any():
+            before = np.append(0, np.cumsum(bad[number]))[edges]
+            for k in np.flatnonzero(before[1:] > before[:-1]).tolist():
+                out[k] = self._whole(texts[k])
+        return out
+
+    def _known(self, words: list[str]) -> list[bytes | None]:
+        """The ids of each of some distinct words, None for one of uncommon characters."""
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache.clear()
         cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        fresh = {w for words in cut if words for w in words if w not in cache}
-        self._learn(sorted(fresh))
-        return [b"".join(map(cache.__getitem__, words)) if words is not None else self._whole(t) for t, words in zip(texts, cut, strict=True)]
+        known = list(map(cache.get, words))
+        if None not in known:
+            return known
+        fresh = [k for k, ids in enumerate(known) if ids is None and not UNCOMMON.search(words[k])]
+        # A word of letters is a pre-token; the others are cut.
+        parts = {k: PRE_TOKEN.findall(words[k]) for k in fresh if not words[k].isalpha() or len(words[k]) > CACHED_LENGTH}
+        pieces = {words[k] for k in fresh if k not in parts}
+        pieces.update(p for of in parts.values() for p in of if p not in cache and len(p) <= CACHED_LENGTH)
+        self._learn_pieces(sorted(pieces))
+        for k in fresh:
+            if (of := parts.get(k)) is None:
+                known[k] = cache[words[k]]
+            else:
+                known[k] = b"".join([cache[p] if len(p) <= CACHED_LENGTH else self._whole(p) for p in of])
+                if len(words[k]) <= CACHED_LENGTH:
+                    cache[words[k]] = known[k]
+        return known
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str], run: int = 256) -> None:
+    def _learn_pieces(self, words: list[str], run: int = 256) -> None:
         for at in range(0, len(words), run):
             some = words[at : at + run]
             data = self._whole(" ".join(some))
@@ -172,9 +228,8 @@ def encoded(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id",
 
         zstd = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
         own, rows, end = encoder(path), [], struct.pack("<I", end_id)
-        whole = [t or "" for t in texts]
-        for at in range(0, len(whole), 200):
-            for ids in own.encode(whole[at : at + 200]):
+        for run in in_runs([t or "" for t in texts], RUN_CHARS):
+            for ids in own.encode(run):
                 ids += end
                 data, width = narrowed(ids)
                 rows.append((len(ids) // 4, zlib.crc32(ids), width, zstd.compress(data)))
