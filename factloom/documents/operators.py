@@ -5,6 +5,7 @@ A corpus is (accession, name, raw). A document is read in one task; nothing cros
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import astuple
 
@@ -13,12 +14,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.documents import evidence, grid, layout, markup, production, reserves
+from factloom.functions.names import base_form
+from factloom.registry import DEVELOPED, TOTAL, UNDEVELOPED, concepts_frame, units_frame
+
+# The tags under which volumes by product are taken from inline markup, by concept.
+VOLUME_TAGS = {
+    TOTAL: ("srt:ProvedDevelopedAndUndevelopedReservesNet", "srt:ProvedDevelopedAndUndevelopedReserveNetEnergy", "us-gaap:ProvedDevelopedAndUndevelopedReservesNet"),
+    DEVELOPED: ("srt:ProvedDevelopedReservesBOE1", "srt:ProvedDevelopedReservesVolume", "us-gaap:ProvedDevelopedReservesVolume"),
+    UNDEVELOPED: ("srt:ProvedUndevelopedReserveBOE1", "srt:ProvedUndevelopedReserveVolume", "us-gaap:ProvedUndevelopedReserveBOE1"),
+    production.VOLUME: ("srt:ProvedDevelopedAndUndevelopedReserveProductionEnergy", "srt:ProvedDevelopedAndUndevelopedReservesProduction", "us-gaap:ProvedDevelopedAndUndevelopedReserveProductionEnergy"),
+}
 
 LINES = "accession string, name string, page int, line_no int, section string, char_offset long, raw_start long, raw_end long, text string"
 CELLS = "accession string, name string, table_index int, table_start long, row int, column int, text string, header string, row_label string"
 FIGURES = "accession string, name string, concept string, shown string, value double, scale int, unit string, product string, member string, period_end string, period_start string, element_id string, start long, end long"
 RESERVES = "accession string, name string, concept_key string, product string, value double, unit string, period_end string, table_index int, row_label string, source_span string, char_offset long"
 PRODUCTION = "accession string, name string, concept_key string, product string, value double, unit string, period_end string, is_hedged boolean, table_index int, row_label string, source_span string, char_offset long"
+TABLES = "accession string, name string, table_index int, period_end string, implied double, cells string, closes boolean"
 VERDICTS = "fact_id string, status string, method string, document string, printed string, scale_found double, scale_declared int, hits int, page int, line_no int, section string, anchor string, source_span string, units_nearby array<string>"
 
 
@@ -65,6 +77,49 @@ def production_readings(corpus: DataFrame) -> DataFrame:
     return _each(corpus.where(F.col("raw").rlike("(?i)production|price|LOE|lease")), lambda d: [astuple(r) for r in production.readings(d["raw"])], PRODUCTION, ["accession", "name", "raw"])
 
 
+def production_tables(corpus: DataFrame) -> DataFrame:
+    """(accession, name, table_index, period_end, implied, cells, closes): what each table of production says of a
+    period: volumes times prices, a digest of its cells, and whether products add up to the total (null if untold)."""
+
+    def rows(d: dict) -> list[tuple]:
+        out = []
+        tables: dict[int, list[production.Reading]] = {}
+        for r in production.readings(d["raw"]):
+            tables.setdefault(r.table_index, []).append(r)
+        for index, found in tables.items():
+            cells = hashlib.md5(repr(sorted(production.cells_of(found), key=repr)).encode()).hexdigest()
+            closed = production.volumes_close(found)
+            out += [(index, p, production.implied_revenue(found, p), cells, closed.get(p)) for p in sorted({r.period_end for r in found})]
+        return out
+
+    return _each(corpus.where(F.col("raw").rlike("(?i)production|price|LOE|lease")), rows, TABLES, ["accession", "name", "raw"])
+
+
+def primary_names(filings: DataFrame, corpus: DataFrame) -> DataFrame:
+    """(accession, name): the document that a filing registers, else its largest readable one that is no exhibit."""
+    sized = corpus.select("accession", "name", F.octet_length("raw").alias("size")).where(F.lower("name").rlike(r"\.html?$")).join(filings.select("accession", "primary_doc"), "accession")
+    named = F.col("name").eqNullSafe(F.col("primary_doc"))
+    fit = sized.where(named | ~F.contains(F.lower("name"), F.lit("ex")))
+    return fit.groupBy("accession").agg(F.max_by("name", F.struct(F.coalesce(named, F.lit(False)).alias("a"), F.col("size"), F.col("name"))).alias("name"))
+
+
+def product_volumes(filings: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Fact rows of the volumes that annual reports mark up by product. Figures without a product come with the payloads
+    and are left out here. filings: accession, cik, form, filed_date, primary_doc."""
+    annual = filings.where(base_form(F.col("form")) == "10-K")
+    own = corpus.join(primary_names(annual, corpus), ["accession", "name"], "left_semi")
+    concept = F.create_map(*[F.lit(x) for key, tags in VOLUME_TAGS.items() for tag in tags for x in (tag, key)])
+    found = figures(own, tuple(t for tags in VOLUME_TAGS.values() for t in tags)).where(F.col("product").isNotNull())
+    spark = filings.sparkSession
+    rows = found.withColumn("concept_key", concept[F.col("concept")]).join(annual.select("accession", "cik", "form", "filed_date"), "accession")
+    ranked = rows.join(F.broadcast(concepts_frame(spark).select("concept_key", "n_units")), "concept_key").join(F.broadcast(units_frame(spark)), ["concept_key", "unit"], "left")  # the registry
+    return ranked.select(
+        "cik", "concept_key", F.substring_index("concept", ":", 1).alias("taxonomy"), F.substring_index("concept", ":", -1).alias("tag"), "value", "unit", "product",
+        F.coalesce("unit_rank", "n_units").alias("unit_rank"), "period_start", "period_end", F.substring("period_end", 1, 4).cast("int").alias("fiscal_year"), F.lit("FY").alias("fiscal_period"),
+        "accession", "form", F.col("filed_date").alias("filed"), F.lit("xbrl:inline").alias("extracted_by"), "start",
+    )
+
+
 def verify(facts: DataFrame, corpus: DataFrame) -> DataFrame:
     """A verdict for each fact: found in the markup, else in the text, of the first document of its filing that has it.
 

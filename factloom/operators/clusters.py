@@ -28,10 +28,32 @@ def first_rows(rows: DataFrame, keys: list[str], order: list[Column], n: int) ->
 
 
 def interval_of(points: DataFrame, intervals: DataFrame, keys: list[str], position: str, start: str, end: str, value: str) -> DataFrame:
-    """For each point the value of the interval that holds it (the one that starts last), else of the nearest by edge."""
-    p, i = points.alias("p"), intervals.alias("i")
-    joined = p.join(i, [F.col(f"p.{k}") == F.col(f"i.{k}") for k in keys], "left")
-    inside = (F.col(f"i.{start}") <= F.col(f"p.{position}")) & (F.col(f"p.{position}") <= F.col(f"i.{end}"))
-    edge = F.least(F.abs(F.col(f"p.{position}") - F.col(f"i.{start}")), F.abs(F.col(f"p.{position}") - F.col(f"i.{end}")))
-    rank = F.struct((~inside).cast("int"), F.when(inside, -F.col(f"i.{start}")).otherwise(edge), F.col(f"i.{start}"))
-    return joined.groupBy(*[F.col(f"p.{c}") for c in points.columns]).agg(F.min_by(F.col(f"i.{value}"), rank).alias(value))
+    """For each point the value of the interval that holds it (the one that starts last, of those the longest), else of
+    the nearest by edge (the earlier one at equal distance).
+
+    Both sides are sorted once by place and swept: the interval that starts last before a point, the furthest end of all
+    that start before it, and the next start. Mostly the first of these holds the point, or none does. Only where an
+    interval lies inside of another and ends before the point are the intervals that hold others looked through, which
+    are one array a key. An interval that ends before it starts counts as its start; one without a start is left out.
+    """
+    mark = "_" * max(map(len, (*points.columns, value)))
+    at, kind, iv = f"at{mark}", f"kind{mark}", f"iv{mark}"
+    s, e = F.col(start), F.greatest(F.col(start), F.col(end))
+    named = intervals.where(s.isNotNull()).select(*keys, F.struct(s.alias("s"), e.alias("e"), F.col(value).alias("v")).alias(iv))
+    both = points.withColumn(at, F.col(position)).withColumn(kind, F.lit(1)).unionByName(named.withColumn(at, F.col(f"{iv}.s")).withColumn(kind, F.lit(0)), allowMissingColumns=True)
+    before = Window.partitionBy(*keys).orderBy(F.col(at), F.col(kind), F.col(f"{iv}.e")).rowsBetween(Window.unboundedPreceding, 0)
+    behind = Window.partitionBy(*keys).orderBy(F.col(at).desc(), F.col(kind).desc(), F.col(f"{iv}.e").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    is_mark = F.col(kind) == 0
+    swept = both.withColumns({
+        f"last{mark}": F.last(F.when(is_mark, F.col(iv)), ignorenulls=True).over(before),
+        f"far{mark}": F.max(F.when(is_mark, F.struct(F.col(f"{iv}.e").alias("e"), (-F.col(f"{iv}.s")).alias("s"), F.col(f"{iv}.v").alias("v")))).over(before),
+        f"next{mark}": F.last(F.when(is_mark, F.col(iv)), ignorenulls=True).over(behind),
+    }).where(F.col(kind) == 1)
+    following = F.lead(f"{iv}.s").over(Window.partitionBy(*keys).orderBy(f"{iv}.s", f"{iv}.e"))
+    outer = named.withColumn("n", following).where(F.col("n") <= F.col(f"{iv}.e")).groupBy(*keys).agg(F.collect_list(iv).alias(f"outer{mark}"))
+    rows = swept.join(outer, keys, "left")
+    here, last, far, next_ = (F.col(c) for c in (at, f"last{mark}", f"far{mark}", f"next{mark}"))
+    holding = F.array_max(F.filter(f"outer{mark}", lambda x: (x["s"] <= here) & (here <= x["e"])))
+    near = F.when(far.isNull() | (next_["s"] - here < here - far["e"]), next_["v"]).otherwise(far["v"])
+    found = F.when(here <= last["e"], last["v"]).when(here <= far["e"], holding["v"]).otherwise(near)
+    return rows.select(*points.columns, found.alias(value))

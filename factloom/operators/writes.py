@@ -82,6 +82,11 @@ def delete_matching(old: DataFrame, gone: DataFrame, keys: tuple[str, ...]) -> D
     return old.join(gone, on(keys, old, gone), "left_anti")
 
 
+def clear_scale(scale: DataFrame, facts: DataFrame) -> DataFrame:
+    """scale without the records of the given facts, which are then to be resolved anew. facts: id."""
+    return delete_matching(scale, facts.select(F.col("id").alias("fact_id")), ("fact_id",))
+
+
 def prune_incoherent(facts: DataFrame, rejected: DataFrame) -> DataFrame:
     """Drops tagged facts of rejected (cik, concept_key, taxonomy, tag, period_end); others stay whatever their period."""
     keys = ("cik", "concept_key", "taxonomy", "tag", "period_end")
@@ -117,45 +122,56 @@ class ConstraintError(ValueError):
     """Rows that break a rule of the store."""
 
 
+def faults(store: Store) -> DataFrame:
+    """(rule, n): how many rows break each rule of the store: keys are unique, facts refer to a filing and a company, and
+    model-made facts carry their source. Each rule is one aggregate or anti-join."""
+    count = lambda rule, rows: rows.agg(F.count("*").alias("n")).select(F.lit(rule).alias("rule"), "n")
+    repeated = lambda frame, key: frame.groupBy(key).count().where("count > 1")
+    ticked = store.company.where(F.nullif("ticker", F.lit("")).isNotNull())
+    rules = [count(f"{name}: repeated keys", repeated(frame, key)) for name, frame, key in (("company", store.company, "cik"), ("filing", store.filing, "accession"), ("fact", store.fact, "id"))]
+    rules.append(count("company: repeated tickers", repeated(ticked, "ticker")))
+    rules += [count(f"fact: rows without their {key}", store.fact.join(other.select(key), key, "left_anti")) for key, other in (("accession", store.filing), ("cik", store.company))]
+    if "source_span" in store.fact.columns:
+        rules.append(count("fact: model-made rows without a source", store.fact.where(F.col("extracted_by").startswith("llm:") & F.col("source_span").isNull())))
+    return reduce(DataFrame.unionByName, rules)
+
+
 def check(store: Store) -> None:
-    """Keys are unique, facts refer to a filing and a company, and model-made facts carry their source.
-
-    Each rule is one aggregate or anti-join that must be empty; only a count reaches the driver.
-    """
-    faults = []
-    for name, frame, key in (("company", store.company, "cik"), ("filing", store.filing, "accession"), ("fact", store.fact, "id")):
-        if n := frame.groupBy(key).count().where("count > 1").count():
-            faults.append(f"{name}: {n} repeated keys")
-    if n := store.company.where(F.nullif("ticker", F.lit("")).isNotNull()).groupBy("ticker").count().where("count > 1").count():
-        faults.append(f"company: {n} repeated tickers")
-    for key, other in (("accession", store.filing), ("cik", store.company)):
-        if n := store.fact.join(other.select(key), key, "left_anti").count():
-            faults.append(f"fact: {n} rows without their {key}")
-    if "source_span" in store.fact.columns and (n := store.fact.where(F.col("extracted_by").startswith("llm:") & F.col("source_span").isNull()).count()):
-        faults.append(f"fact: {n} model-made rows without a source")
-    if faults:
-        raise ConstraintError("; ".join(faults))
-
-
-def publish(store: Store, folder: str, overwrite: bool = False, checked: bool = True) -> None:
-    """Writes the serving copy: all relations but the document index, facts partitioned by concept and sorted."""
+    """Raises where a rule is broken; one row a rule reaches the driver."""
+    broken = [f"{r['rule']}: {r['n']}" for r in faults(store).where("n > 0").collect()]
+    if broken:
+        raise ConstraintError("; ".join(sorted(broken)))
+
+
+def publish(store: Store, folder: str, overwrite: bool = False, checked: bool = True, files: int = 8) -> None:
+    """Writes the serving copy: all relations but the document index. Facts carry the form and date of their filing, are
+    partitioned by concept, dealt by ranges of concept and company into so many tasks, and sorted by company and period,
+    so that any number of machines shares one concept and filters on company skip row groups."""
     if checked:
         check(store)
     mode = "overwrite" if overwrite else "errorifexists"
     for name in TABLES:
         frame = getattr(store, name)
         if name == "fact":
-            frame.repartition("concept_key").sortWithinPartitions("concept_key", "cik", "period_end").write.mode(mode).partitionBy("concept_key").parquet(f"{folder}/{name}")
+            dealt = store.dated().repartitionByRange(files, "concept_key", "cik", "period_end").sortWithinPartitions("concept_key", "cik", "period_end")
+            dealt.write.mode(mode).partitionBy("concept_key").parquet(f"{folder}/{name}")
         else:
             frame.write.mode(mode).parquet(f"{folder}/{name}")
 
 
+#: Rows that one CSV file may hold.
+CSV_ROWS = 1_000_000
+
+
 def copy_columns(source: DataFrame, target_schema) -> DataFrame:
     """Copies by name: columns that the source lacks become null, others are left out."""
     return source.select(*[(F.col(f.name) if f.name in source.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in target_schema.fields])
 
 
-def write_csv(rows: DataFrame, path: str, order: str, separator: str = "|") -> None:
-    """One CSV file with a header, sorted; arrays are joined."""
+def write_csv(rows: DataFrame, path: str, order: str, separator: str = "|", most: int = CSV_ROWS) -> None:
+    """One CSV file with a header, sorted; arrays are joined. It is a file for people, written by one task, so more than
+    `most` rows are refused, before anything is sorted."""
+    if (n := rows.limit(most + 1).count()) > most:
+        raise ValueError(f"over {most} rows ({n} at least) are too many for one file")
     flat = rows.select(*[F.array_join(F.col(c), separator).alias(c) if t.startswith("array") else F.col(c) for c, t in rows.dtypes])
-    flat.orderBy(order).coalesce(1).write.mode("overwrite").csv(path, header=True)
+    flat.coalesce(1).sortWithinPartitions(order).write.mode("overwrite").csv(path, header=True)

@@ -69,7 +69,7 @@ reserve_consistency AS (
   FROM wide WHERE developed_value IS NOT NULL AND total_value IS NOT NULL)"""
 LATEST = """latest AS (SELECT * EXCLUDE (recency) FROM (
   SELECT *, row_number() OVER (PARTITION BY cik, concept_key, product_key ORDER BY period_end DESC, id DESC) AS recency FROM fact_current) WHERE recency = 1)"""
-REGISTRY = f"""registry AS (SELECT * FROM (VALUES ('{D}', 'Proved developed reserves (BOE)', 0), ('{U}', 'Proved undeveloped reserves (BOE)', 1), ('{T}', 'Total proved reserves (BOE)', 2)) AS r(concept_key, label, concept_ord))"""
+REGISTRY = f"""registry AS (SELECT * FROM (VALUES ('{D}', 'Developed reserves, proved', 0), ('{U}', 'Undeveloped reserves, proved', 1), ('{T}', 'All proved reserves', 2)) AS r(concept_key, label, concept_ord))"""
 URL = f"'{ARCHIVE}/' || CAST(CAST(cik AS BIGINT) AS VARCHAR) || '/' || accession || '/' || accession || '-index.htm'"
 VIEW = "id, cik, concept_key, value, unit, product, period_end, accession, form, filed_date"
 STORE = (COMPANY, FILING, FACT, CURRENT)
@@ -140,7 +140,9 @@ READINGS = f"""total AS (SELECT *, CASE WHEN product_key = 'oil' THEN CAST(1000
 reading AS (SELECT id, measure, CAST(1 AS DOUBLE) AS divisor, value / 1 * factor AS canonical FROM total UNION ALL SELECT id, measure, printed, value / printed * factor FROM total WHERE printed IS NOT NULL),
 viable AS (SELECT *, measure / canonical AS ratio FROM reading WHERE canonical > 0 AND canonical <= 1e11 AND measure / canonical BETWEEN 0.3 AND 120),
 chosen AS (SELECT *, count(*) OVER (PARTITION BY id) AS n, row_number() OVER (PARTITION BY id ORDER BY ratio NOT BETWEEN 1.5 AND 50, abs(ln(ratio) - ln(sqrt(75))), divisor) AS rn FROM viable)"""
-TEST = "(?i)(?:^|[^0-9A-Za-z_])(?:of[0-9A-Za-z_]{0,3}[^0-9A-Za-z_]+the[0-9A-Za-z_]{0,3}|and[0-9A-Za-z_]{0,3}[^0-9A-Za-z_]+the[0-9A-Za-z_]{0,3}|in[0-9A-Za-z_]{0,3}[^0-9A-Za-z_]+the[0-9A-Za-z_]{0,3})(?:[^0-9A-Za-z_]|$)"
+# The regular forms of a short word, by hand: those of "of" are of, ofe, ofed and so on.
+PHRASE = {w: f"(?i)(?:^|[^0-9A-Za-z_]){w}(?:e|ed|ely|es|ing|ings|s)?[^0-9A-Za-z_]+thes?(?:[^0-9A-Za-z_]|$)" for w in ("of", "and", "in")}
+TEST = " OR ".join(f"regexp_matches(text, '{p}')" for p in PHRASE.values())
 LINES = """line_text AS (SELECT doc_id AS document_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)"""
 SIC = "CASE s_suppkey % 5 WHEN 0 THEN '1311' WHEN 1 THEN '6792' WHEN 2 THEN '2911' WHEN 3 THEN '1381' ELSE '9999' END"
 
@@ -185,8 +187,9 @@ per AS (SELECT cik, name, ticker, count(*) AS points, arg_max(canonical_value, (
     "anti_not_exists": with_(*STORE, then="SELECT accession, form, filed_date FROM filing fl WHERE NOT EXISTS (SELECT 1 FROM fact f WHERE f.accession = fl.accession)"),
     "not_in_unverified": with_(*STORE, then="SELECT concept_key, count(*) AS n FROM fact WHERE id NOT IN (SELECT fact_id FROM verification) GROUP BY concept_key"),
     "in_not_found": with_(*STORE, then="SELECT concept_key, unit, count(*) AS n FROM fact WHERE id IN (SELECT fact_id FROM verification WHERE status = 'not_found') GROUP BY concept_key, unit"),
-    "nullsafe_crosscheck": with_(*STORE, "r AS (SELECT a.value AS d, b.value AS t, a.unit AS u, b.unit AS v, round(a.value / b.value, 6) AS q FROM fact_current a JOIN fact_current b ON a.cik = b.cik AND a.period_end = b.period_end AND a.product IS NOT DISTINCT FROM b.product WHERE a.concept_key = '%s' AND b.concept_key = '%s')" % (D, T),
-        then="SELECT CASE WHEN u <> v THEN 'units' WHEN abs(d - t) <= 0.01 * t THEN 'agree' WHEN q > 0 AND abs(log10(q) - round(log10(q))) < 1e-6 AND round(log10(q)) <> 0 THEN 'rescaled' ELSE 'disagree' END AS outcome, count(*) AS n FROM r GROUP BY 1"),
+    "nullsafe_crosscheck": with_(*STORE, f"""c AS (SELECT *, value * {FACTOR} AS boe FROM fact_current),
+r AS (SELECT a.boe AS d, b.boe AS t FROM c a LEFT JOIN c b ON a.cik = b.cik AND a.period_end = b.period_end AND a.product IS NOT DISTINCT FROM b.product AND b.concept_key = '{T}' WHERE a.concept_key = '{D}')""",
+        then="SELECT CASE WHEN t IS NULL THEN 'unchecked' WHEN abs(d - t) / t <= 0.01 THEN 'agree' WHEN abs(log10(d / t) - round(log10(d / t))) < 1e-6 AND round(log10(d / t)) <> 0 THEN 'rescaled' ELSE 'disagree' END AS outcome, count(*) AS n FROM r GROUP BY 1"),
     "insert_idempotent": with_(*STORE, f"""old AS (SELECT * FROM fact WHERE concept_key <> '{T}'), new AS (SELECT *, row_number() OVER (PARTITION BY cik, concept_key, product_key, period_end, unit, accession ORDER BY id) AS rn FROM fact WHERE concept_key <> '{D}'),
 after AS (SELECT concept_key, id FROM old UNION ALL SELECT concept_key, id FROM new n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM old o WHERE o.cik = n.cik AND o.concept_key = n.concept_key AND o.product_key = n.product_key AND o.period_end = n.period_end AND o.unit = n.unit AND o.accession = n.accession))""",
         then="SELECT concept_key, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM after GROUP BY concept_key"),
@@ -202,6 +205,14 @@ after AS (SELECT concept_key, id FROM old UNION ALL SELECT concept_key, id FROM
     "unit_conversion": with_(*STORE, then=f"SELECT unit, count(*) AS n, round(max(value / 1 * {FACTOR}), 3) AS most, 'BOE' AS canonical_unit, max(CASE unit WHEN 'MMcfe' THEN 'gas converted at 6 Mcf = 1 BOE (Reg S-K 1200)' END) AS note FROM fact GROUP BY unit"),
     "scale_candidates": with_(*STORE, READINGS, then="SELECT id, divisor, round(canonical, 3) AS canonical, 'BOE' AS canonical_unit FROM reading"),
     "scale_resolve": with_(*STORE, READINGS, then="SELECT t.id, CASE WHEN t.measure IS NULL THEN 'unavailable' WHEN c.id IS NULL THEN 'ambiguous' ELSE 'resolved' END AS status, c.divisor, round(c.ratio, 6) AS usd_per_boe, coalesce(c.n, 0) AS n_viable FROM total t LEFT JOIN chosen c ON c.id = t.id AND c.rn = 1"),
+    "resolve_periods": with_(*STORE, f"""t AS (SELECT id, cik, period_end, product_key, unit, value, value * 12500 AS measure, {FACTOR} AS per FROM fact_current WHERE concept_key = '{T}'),
+anchor AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY cik, period_end ORDER BY product_key <> '', id) = 1),
+reading AS (SELECT a.*, v.divisor, a.measure / (a.value / v.divisor * a.per) AS ratio FROM anchor a JOIN (VALUES (CAST(1 AS DOUBLE), ''), (CAST(1000 AS DOUBLE), 'oil')) AS v(divisor, only_of) ON only_of = '' OR only_of = product_key),
+solved AS (SELECT * FROM reading WHERE ratio BETWEEN 0.3 AND 120 AND value / divisor * per BETWEEN 0 AND 1e11
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY ratio BETWEEN 1.5 AND 50 DESC, abs(ln(ratio) - ln(sqrt(75))), divisor) = 1),
+read AS (SELECT t.*, t.value / s.divisor * t.per AS canonical FROM t JOIN solved s ON s.cik = t.cik AND s.period_end = t.period_end),
+judged AS (SELECT *, bool_or(canonical > 1e11 OR (canonical > 0 AND measure / canonical < 0.3)) OVER (PARTITION BY cik, period_end, unit) AS bad, max(canonical) FILTER (product_key = '') OVER (PARTITION BY cik, period_end) AS whole FROM read)""",
+        then="SELECT product_key, 'BOE' AS canonical_unit, count(*) AS n, round(max(canonical), 3) AS most FROM judged WHERE NOT bad AND abs(canonical) <= 1e11 AND (canonical <= 0 OR measure / canonical BETWEEN 0.3 AND 120 OR product_key <> '') AND (product_key = '' OR whole IS NULL OR canonical <= whole * 1.05) GROUP BY product_key"),
     "resolve_direct": with_(*STORE, then="SELECT id, value AS canonical_value, 'USD' AS canonical_unit FROM fact WHERE product_key = 'gas' AND id NOT IN (SELECT fact_id FROM scale)"),
     "production_reserve_life": with_(*STORE, f"""held AS (SELECT cik, period_end, product_key, value * {FACTOR} AS reserve FROM fact_current WHERE concept_key = '{T}'),
 read AS (SELECT p.id, h.reserve, d.divisor, p.value / d.divisor * {FACTOR.replace("unit", "p.unit")} AS made FROM fact_current p JOIN held h USING (cik, period_end, product_key) CROSS JOIN (SELECT unnest([CAST(1 AS DOUBLE), CAST(10 AS DOUBLE)]) AS divisor) d WHERE p.concept_key = '{U}')""",
@@ -212,9 +223,9 @@ read AS (SELECT p.id, h.reserve, d.divisor, p.value / d.divisor * {FACTOR.replac
     "gap_clusters": """WITH e AS (SELECT user_id, epoch_us(ts) AS us FROM events), f AS (SELECT *, coalesce(us - lag(us) OVER (PARTITION BY user_id ORDER BY us) > 43200000000, false) AS jump FROM e),
 g AS (SELECT *, sum(CAST(jump AS INT)) OVER (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING) AS cluster FROM f)
 SELECT user_id, CAST(cluster AS BIGINT) AS cluster, count(*) AS n, min(us) AS first_at, max(us) AS last_at FROM g GROUP BY user_id, cluster""",
-    "phrase_hits": with_(LINES, then=f"SELECT document_id, count(*) AS n, min(line_no) AS first_line FROM line_text WHERE regexp_matches(text, '{TEST}') GROUP BY document_id"),
+    "phrase_hits": with_(LINES, then=f"SELECT document_id, count(*) AS n, min(line_no) AS first_line FROM line_text WHERE {TEST} GROUP BY document_id"),
     "doc_lines": with_(LINES, then="SELECT document_id, count(*) AS lines, max(length(text)) AS longest FROM line_text GROUP BY document_id"),
-    "sites_ranked": with_(LINES, f"""label AS (SELECT *, lower(text) LIKE '%and the%' AS a, lower(text) LIKE '%in the%' AS i, lower(text) LIKE '%of the%' AS o FROM line_text WHERE regexp_matches(text, '{TEST}') AND length(text) <= 110),
+    "sites_ranked": with_(LINES, f"""label AS (SELECT *, regexp_matches(text, '{PHRASE["and"]}') AS a, regexp_matches(text, '{PHRASE["in"]}') AS i, regexp_matches(text, '{PHRASE["of"]}') AS o FROM line_text WHERE ({TEST}) AND length(text) <= 110),
 jump AS (SELECT *, coalesce(line_no - lag(line_no) OVER (PARTITION BY document_id ORDER BY line_no) > 2, false) AS j FROM label),
 grouped AS (SELECT *, sum(CAST(j AS INT)) OVER (PARTITION BY document_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS k FROM jump),
 site AS (SELECT document_id, min(line_no) AS first_line, max(line_no) AS last_line, count(*) AS label_hits, bool_or(a) AS a, bool_or(i) AS i, bool_or(o) AS o FROM grouped GROUP BY document_id, k)""",

@@ -33,11 +33,17 @@ def _dressed(store: Store, cells: DataFrame, cohort: str | None) -> DataFrame:
 
 
 def _ordered(rows: DataFrame) -> DataFrame:
-    """By unit, then companies by their largest value, each company's rows together; position counts within a unit."""
-    top = F.max("value").over(Window.partitionBy("unit", "cik"))
-    ranked = rows.withColumn("company_max", top)
-    order = [F.desc("company_max"), F.asc("cik"), F.desc("value"), F.asc("product_key")]
-    return ranked.withColumn("position", F.row_number().over(Window.partitionBy("unit").orderBy(*order)).cast("long"))
+    """By unit, then companies by their largest value, each company's rows together; position counts within a unit.
+
+    The companies are ranked, not their rows: one row a company of a unit goes through the window over the unit, with the
+    number of its rows, whose running total is where the company begins. A company's own rows are numbered apart.
+    """
+    members = rows.groupBy("unit", "cik").agg(F.max("value").alias("company_max"), F.count("*").alias("n"))
+    ahead = Window.partitionBy("unit").orderBy(F.desc("company_max"), F.asc("cik")).rowsBetween(Window.unboundedPreceding, -1)
+    begins = members.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0))).select(F.col("unit").alias("u"), F.col("cik").alias("c"), "before")
+    own = Window.partitionBy("unit", "cik").orderBy(F.desc("value"), F.asc("product_key"))
+    numbered = rows.withColumn("place", F.row_number().over(own)).join(begins, F.col("unit").eqNullSafe(F.col("u")) & (F.col("cik") == F.col("c")))
+    return numbered.withColumn("position", (F.col("before") + F.col("place")).cast("long")).drop("u", "c", "before", "place")
 
 
 PANEL = ("id", "cik", "name", "ticker", "cohort", "value", "unit", "product", "period_end", "accession", "form", "filed_date", "unit_changed", "series_units", "verify_status", "canonical_value", "canonical_unit", "filing_url", "position")

@@ -59,6 +59,26 @@ def reserve_ratios(store: Store) -> DataFrame:
     return rows.join(scoped(store.company).select("cik", "name", "ticker"), "cik").orderBy("ratio")
 
 
+def companies_with(store: Store, facts: DataFrame) -> DataFrame:
+    """Companies with any of the given facts."""
+    return store.company.join(facts.select("cik"), "cik", "left_semi")
+
+
+def silent_filings(store: Store) -> DataFrame:
+    """Filings that no fact cites."""
+    return store.filing.join(store.fact.select("accession"), "accession", "left_anti")
+
+
+def unverified(store: Store) -> DataFrame:
+    """Facts that nobody looked for yet."""
+    return store.fact.join(store.verification.select(F.col("fact_id").alias("id")), "id", "left_anti")
+
+
+def of_status(store: Store, status: str) -> DataFrame:
+    """Facts whose verification ended with a status."""
+    return store.fact.join(store.verification.where(F.col("status") == status).select(F.col("fact_id").alias("id")), "id", "left_semi")
+
+
 def _cited(store: Store, facts: DataFrame) -> DataFrame:
     labels = F.broadcast(concepts_frame(store.fact.sparkSession).select("concept_key", "label"))  # the registry
     v = store.verification.select(F.col("fact_id").alias("id"), F.col("status").alias("verify_status"), "document")
@@ -81,7 +101,7 @@ def fact_locator(store: Store, ids: list[str] | DataFrame) -> DataFrame:
 def citation(store: Store, ids: list[str] | DataFrame) -> DataFrame:
     """The source of any fact, superseded ones too."""
     facts = store.fact.join(_ids(store, ids), "id", "left_semi")
-    return _cited(store, facts.join(store.filing.select("accession", "filed_date", "form"), "accession"))
+    return _cited(store, store.dated(facts))
 
 
 def _ids(store: Store, ids: list[str] | DataFrame) -> DataFrame:
@@ -90,6 +110,5 @@ def _ids(store: Store, ids: list[str] | DataFrame) -> DataFrame:
 
 def superseded(store: Store) -> DataFrame:
     """Facts that a later one of their cell replaced, with how many cells' facts came before them."""
-    dated = store.fact.join(store.filing.select("accession", "filed_date"), "accession")
     order = Window.partitionBy("cik", "concept_key", "product_key", "period_end", "period_start_key").orderBy(F.desc("filed_date"), F.asc("unit_rank"), F.desc("id"))
-    return dated.withColumn("rn", F.row_number().over(order)).where("rn > 1").select("id", "cik", "concept_key", (F.col("rn") - 1).cast("long").alias("behind"))
+    return store.dated().withColumn("rn", F.row_number().over(order)).where("rn > 1").select("id", "cik", "concept_key", (F.col("rn") - 1).cast("long").alias("behind"))

@@ -22,16 +22,14 @@ def fact_current(store: Store, facts: DataFrame | None = None) -> DataFrame:
     The rank is limited to 1 before the shuffle as well (a window group limit), so a cell with many restatements sends
     one row a task. Filters on columns of the cell pass through the window; filters on others must come after.
     """
-    fact = store.fact if facts is None else facts
-    dated = fact.join(store.filing.select("accession", "filed_date", "form"), "accession")
+    dated = store.dated(facts)
     order = Window.partitionBy(*CELL).orderBy(F.desc("filed_date"), F.asc("unit_rank"), F.desc("id"))
     return dated.withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")
 
 
 def fact_collision(store: Store) -> DataFrame:
     """Cells with more than one value among filings of one date."""
-    dated = store.fact.join(store.filing.select("accession", "filed_date"), "accession")
-    found = dated.groupBy(*CELL, "filed_date").agg(
+    found = store.dated().groupBy(*CELL, "filed_date").agg(
         F.countDistinct("value").alias("distinct_values"), F.size(F.collect_set("unit")).cast("long").alias("distinct_units"),
         F.min("value").alias("min_value"), F.max("value").alias("max_value"), joined_units().alias("units"),
     )

@@ -21,52 +21,53 @@ class Concept:
         return self.units.index(unit) if unit in self.units else len(self.units)
 
 
-_MEASURE = "StandardizedMeasureOfDiscountedFutureNetCashFlow{}RelatingToProvedOilAndGasReserves"
-
 # Public taxonomy tags in order of preference, and preferred units.
 CONCEPTS = (
     Concept(
-        "proved_developed_reserves_boe", "Proved developed reserves (BOE)",
+        "proved_developed_reserves_boe", "Developed reserves, proved",
         (("srt", "ProvedDevelopedReservesBOE1"), ("srt", "ProvedDevelopedReservesVolume"), ("us-gaap", "ProvedDevelopedReservesBOE1"), ("us-gaap", "ProvedDevelopedReservesVolume"), ("us-gaap", "ProvedDevelopedReservesBOE")),
         VOLUMES,
     ),
     Concept(
-        "proved_undeveloped_reserves_boe", "Proved undeveloped reserves (BOE)",
+        "proved_undeveloped_reserves_boe", "Undeveloped reserves, proved",
         (("srt", "ProvedUndevelopedReserveBOE1"), ("srt", "ProvedUndevelopedReserveBOE"), ("srt", "ProvedUndevelopedReserveVolume"), ("srt", "ProvedUndevelopedReservesVolume"), ("us-gaap", "ProvedUndevelopedReserveBOE1"), ("us-gaap", "ProvedUndevelopedReserveBOE"), ("us-gaap", "ProvedUndevelopedReserveVolume")),
         VOLUMES,
     ),
     Concept(
-        "proved_reserves_boe", "Total proved reserves (BOE)",
+        "proved_reserves_boe", "All proved reserves",
         (("srt", "ProvedDevelopedAndUndevelopedReservesNet"), ("srt", "ProvedDevelopedAndUndevelopedReserveNetEnergy"), ("us-gaap", "ProvedDevelopedAndUndevelopedReservesNet"), ("us-gaap", "ProvedDevelopedAndUndevelopedReserveNetEnergy")),
         VOLUMES,
     ),
     Concept(
-        "standardized_measure", "Standardized measure of discounted future net cash flows",
-        (("srt", _MEASURE.format("s")), ("us-gaap", _MEASURE.format("s")), ("srt", _MEASURE.format("")), ("us-gaap", _MEASURE.format(""))),
+        "standardized_measure", "Discounted future cash flows, standardised",
+        (
+            ("srt", "StandardizedMeasureOfDiscountedFutureNetCashFlowsRelatingToProvedOilAndGasReserves"), ("us-gaap", "StandardizedMeasureOfDiscountedFutureNetCashFlowsRelatingToProvedOilAndGasReserves"),
+            ("srt", "StandardizedMeasureOfDiscountedFutureNetCashFlowRelatingToProvedOilAndGasReserves"), ("us-gaap", "StandardizedMeasureOfDiscountedFutureNetCashFlowRelatingToProvedOilAndGasReserves"),
+        ),
         ("USD",),
     ),
     Concept(
-        "production_volume", "Annual production volume",
+        "production_volume", "Volume produced in the year",
         (("srt", "ProvedDevelopedAndUndevelopedReserveProductionEnergy"), ("srt", "ProvedDevelopedAndUndevelopedReserveProduction"), ("us-gaap", "ProvedDevelopedAndUndevelopedReserveProductionEnergy")),
         VOLUMES,
     ),
     Concept(
-        "oil_and_gas_revenue", "Oil and gas revenue",
+        "oil_and_gas_revenue", "Revenue from oil and gas",
         (("us-gaap", "OilAndGasRevenue"), ("us-gaap", "OilAndGasSalesRevenue"), ("us-gaap", "RevenueFromContractWithCustomerExcludingAssessedTax"), ("ifrs-full", "RevenueFromSaleOfOilAndGasProducts"), ("ifrs-full", "RevenueFromSaleOfCrudeOil"), ("ifrs-full", "RevenueFromSaleOfNaturalGas"), ("ifrs-full", "RevenueFromContractsWithCustomers"), ("ifrs-full", "Revenue")),
         ("USD",),
     ),
     Concept(
-        "capex", "Capital expenditure (actual)",
+        "capex", "Capital spent",
         (("us-gaap", "PaymentsToAcquireOilAndGasProperty"), ("us-gaap", "PaymentsToExploreAndDevelopOilAndGasProperties"), ("us-gaap", "PaymentsToAcquirePropertyPlantAndEquipment"), ("ifrs-full", "PurchaseOfOilAndGasAssets"), ("ifrs-full", "PurchaseOfPropertyPlantAndEquipmentClassifiedAsInvestingActivities"), ("ifrs-full", "AdditionsOtherThanThroughBusinessCombinationsPropertyPlantAndEquipment")),
         ("USD",),
     ),
     Concept(
-        "average_sales_price", "Average realized sales price per unit",
+        "average_sales_price", "Price realised, average",
         (("srt", "AverageSalesPrices"), ("srt", "AverageSalePricePerUnitOfProduction"), ("us-gaap", "AverageSalesPrices")),
         ("USD/bbl", "USD/Bbl", "USD/Mcf", "USD/MMBTU", "USD/MMBtu"),
     ),
     Concept(
-        "production_cost_per_boe", "Production cost (LOE) per unit of production",
+        "production_cost_per_boe", "Cost of production a unit",
         (("srt", "ConsolidatedOilAndGasProductionCostsPerUnitOfProduction"), ("srt", "ProductionCostsPerUnitOfProduction"), ("srt", "AverageProductionCostsPerBarrelOfOilEquivalentsBOE"), ("us-gaap", "ConsolidatedOilAndGasProductionCostsPerUnitOfProduction"), ("us-gaap", "AverageProductionCostsPerBarrelOfOilEquivalentsBOE")),
     ),
 )

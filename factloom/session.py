@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +23,30 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, **conf: str
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir. A local session without one gets a temporary
+    folder; on a cluster that is an error, as no machine's own folder is seen by the others."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="factloom-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def work_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends."""
+    path = f"{work_folder(spark)}/factloom/{label}-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    if spark._jvm is not None and spark.sparkContext._jsc is not None:  # else the session has ended already
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

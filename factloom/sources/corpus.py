@@ -32,6 +32,11 @@ def primary_documents(filings: DataFrame, items: DataFrame) -> DataFrame:
     return filings.select("accession", F.nullif("primary_doc", F.lit("")).alias("known")).join(largest, "accession", "left").select("accession", F.coalesce("known", "largest").alias("primary_doc"))
 
 
-def sheet(body: Column, number: Column) -> Column:
-    """A page (from 1) of a document cut at its rules; null outside of its pages."""
-    return F.try_element_at(F.split(body, r"(?i)<hr\b[^>]*>", -1), number)
+def sheet(body: Column, number: Column, strict: bool = False) -> Column:
+    """A page (from 1) of a document cut at its rules; outside of its pages null, or an error where that is asked for."""
+    pages = F.split(body, r"(?i)<hr\b[^>]*>", -1)
+    found = F.try_element_at(pages, F.when(number != 0, number))
+    if not strict:
+        return F.when(number > 0, found)
+    outside = F.raise_error(F.concat(F.lit("no page "), number.cast("string"), F.lit(" of "), F.size(pages).cast("string")))
+    return F.when((number < 1) | (number > F.size(pages)), outside).otherwise(found)

@@ -116,6 +116,15 @@ def profiles(payloads: DataFrame) -> DataFrame:
     return who.join(counts, "cik", "left").na.fill(0, ["annual_count", "eightk_count"])
 
 
+def profiles_of(ciks: DataFrame, payloads: DataFrame) -> DataFrame:
+    """A profile for each company asked for: blank, with an error that says so, where its payload is absent or did not
+    parse."""
+    found = profiles(payloads.where(F.col("payload").isNotNull())).withColumn("known", F.lit(True))
+    rows = ciks.select("cik").distinct().join(found, "cik", "left")
+    lists = {c: F.coalesce(c, F.array().cast("array<string>")) for c in ("tickers", "exchanges", "former_names")}
+    return rows.withColumns(lists).na.fill(0, ["annual_count", "eightk_count"]).withColumn("error", F.when(F.col("known").isNull(), "no submissions")).drop("known")
+
+
 def ticker_map(payloads: DataFrame) -> DataFrame:
     """(cik, tickers) of a map keyed by row number, in the order of the rows, each ticker once."""
     rows = payloads.select(F.explode("payload").alias("row", "v")).select(cik_padded(F.col("v.cik_str")).alias("cik"), F.col("row").cast("int").alias("row"), F.col("v.ticker").alias("t"))
@@ -123,6 +132,28 @@ def ticker_map(payloads: DataFrame) -> DataFrame:
     return rows.groupBy("cik").agg(F.array_distinct(F.transform(listed, lambda x: x["t"])).alias("tickers"))
 
 
+def first_tickers(mapped: DataFrame) -> DataFrame:
+    """(cik, ticker, n): the first listed ticker of each company, and how many it has."""
+    return mapped.select("cik", F.try_element_at("tickers", F.lit(1)).alias("ticker"), F.size("tickers").alias("n"))
+
+
+def cohort_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Candidates of a CSV file with a header: cik, name, tickers (parted by bars), as text; rows without a number go."""
+    return spark.read.csv(path, header=True).where(F.col("cik").isNotNull()).withColumn("cik", cik_padded(F.col("cik")))
+
+
+def revalidated(payloads_: DataFrame, company: DataFrame) -> DataFrame:
+    """(status, n): the verdicts of arithmetic over every cached payload of a known company, most frequent first."""
+    from factloom.operators.validation import candidate_values, validate_family
+
+    obs = observations(payloads_).join(company.select("cik"), "cik", "left_semi")
+    dated = obs.join(F.broadcast(aliases_frame(obs.sparkSession).select("concept_key", "taxonomy", "tag", "alias_ord")), ["taxonomy", "tag"])
+    fit = dated.where(F.col("form").isin(*DEFAULT_FORMS) & F.col("end").isNotNull() & F.col("val").isNotNull() & F.col("accn").isNotNull())
+    values = candidate_values(fit.select("cik", "concept_key", "tag", "unit", F.col("end").alias("period_end"), "filed", "ordinal", F.col("val").alias("value"), "alias_ord"))
+    asked = payloads_.select(cik_padded(F.col("payload.cik")).alias("cik")).join(company.select("cik"), "cik", "left_semi")
+    return validate_family(values, asked).groupBy("status").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "status")
+
+
 def cik_list(spark: SparkSession, path: str) -> DataFrame:
     """Company numbers of a text file: comments after #, the first comma field of a line."""
     line = F.trim(F.split_part(F.split_part("value", F.lit("#"), F.lit(1)), F.lit(","), F.lit(1)))

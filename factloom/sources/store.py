@@ -19,18 +19,29 @@ class Store:
     def with_facts(self, fact: DataFrame) -> Store:
         return replace(self, fact=fact)
 
+    def dated(self, fact: DataFrame | None = None) -> DataFrame:
+        """Facts with the form and date of their filing. A published fact carries both, so no plan joins the filings."""
+        fact = self.fact if fact is None else fact
+        lacking = [c for c in ("filed_date", "form") if c not in fact.columns]
+        return fact.join(self.filing.select("accession", *lacking), "accession") if lacking else fact
+
 
 TABLES = ("company", "filing", "fact", "verification", "scale")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, by the file system that Spark uses for it; a failing file system is an error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def open_store(spark: SparkSession, folder: str) -> Store:
     """A written store, read-only; a missing folder or table is an error that names it."""
     frames = {}
     for name in TABLES:
-        try:
-            frames[name] = spark.read.parquet(f"{folder}/{name}")
-        except Exception as e:
-            raise FileNotFoundError(f"no table {name} in the store {folder}") from e
+        if not exists(spark, f"{folder}/{name}"):
+            raise FileNotFoundError(f"no table {name} in the store {folder}")
+        frames[name] = spark.read.parquet(f"{folder}/{name}")
     return Store(**frames)
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from factloom.sources.store import exists
+
 
 def arriving(spark: SparkSession, folder: str, schema: str, at: str = "filed_at", delay: str = "7 days", key: str = "accession") -> DataFrame:
     """New rows of the folder's Parquet files, each key once within the delay."""
@@ -17,10 +19,7 @@ def append_once(rows: DataFrame, target: str, checkpoint: str, key: str = "acces
 
     def put(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            known = spark.read.parquet(target).select(key)
-        except Exception:  # nothing written yet
-            known = batch.select(key).limit(0)
+        known = spark.read.parquet(target).select(key) if exists(spark, f"{target}/_SUCCESS") else batch.select(key).limit(0)
         batch.dropDuplicates([key]).join(known, key, "left_anti").withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(target)
 
     return rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -7,7 +7,9 @@ import os
 import duckdb
 import pytest
 
-from factloom import catalogue, oracles
+from factloom import catalogue, catalogue_filed, oracles, oracles_filed
+
+QUERIES, SQL = catalogue.QUERIES | catalogue_filed.QUERIES, oracles.ORACLE_SQL | oracles_filed.ORACLE_SQL
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
@@ -25,16 +27,16 @@ def plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(oracles.ORACLE_SQL) <= set(catalogue.QUERIES)
-    assert set(catalogue.QUERIES) - set(oracles.ORACLE_SQL) <= {"resolve_periods"}
+    assert set(SQL) == set(QUERIES)
+    assert not set(catalogue.QUERIES) & set(catalogue_filed.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracles.ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, sf_dir, duck, name):
-    df = catalogue.QUERIES[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
     got = sorted(repr([plain(r[c]) for c in columns]) for r in df.collect())
-    found = duck.execute(oracles.ORACLE_SQL[name])
+    found = duck.execute(SQL[name])
     names = [d[0] for d in found.description]
     kinds = {d[0]: str(d[1]) for d in found.description}
     assert sorted(names) == columns

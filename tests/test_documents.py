@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.documents import evidence, grid, layout, markup, operators, production, reserves
+from factloom.documents import evidence, grid, layout, markup, operators, production, reserves, wording
 from factloom.registry import DEVELOPED, TOTAL, UNDEVELOPED
 
 
@@ -66,7 +66,7 @@ def test_production():
     other = [production.Reading(r.concept_key, r.product, r.value * 3, r.unit, r.period_end, r.is_hedged, 9, r.row_label, "", 0) for r in found]
     assert production.choose([other, found], 836_000, "2023-12-31") is found
     assert production.choose([other, found], None, "2023-12-31") is None and production.choose([found, list(found)], None, "2023-12-31") is found
-    assert production.amount("($1,200.5)") == -1200.5 and production.amount("x") is None
+    assert wording.plain_number("($1,200.5)") == -1200.5 and wording.plain_number("x") is None
 
 
 def test_grids():
