@@ -2,10 +2,9 @@ from __future__ import annotations
 
 import importlib
 
-import public_tokenizers as P
 import pyarrow.parquet as pq
 
-from factloom.llm import secrets, toxicity
+from factloom.llm import toxicity
 from tests_llm_reference import brute_pipeline
 
 
@@ -15,7 +14,7 @@ def test_stages_against_a_plain_run(spark, tmp_path):
     docs = pq.read_table(f"{sf}/documents.parquet").to_pylist()
     bench = pq.read_table(f"{sf}/benchmark.parquet").to_pylist()
     model = toxicity.fit(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
-    want = brute_pipeline(docs, bench, model, secrets.default_scanner(P.path("byte_bpe_multi_50k.tiktoken")))
+    want = brute_pipeline(docs, bench, model)
     got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in pipeline.run(spark, sf).collect()}
     assert got == want
     assert [n for n, _ in pipeline.STAGES][0] == "toxicity" and len(pipeline.STAGES) == 5

@@ -1,11 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
-
-import math
 import time
+from functools import cache
 
 import public_tokenizers as P
 
@@ -52,13 +52,11 @@ def test_models_part_random_strings_from_identifiers():
         assert sum(OWN.added_spans(x, []) == [(0, 32, "markov")] for x in runs) > 480
 
 
-def plain_spans(text, base):
-    """The models counted by dictionaries and every run scored on its own."""
-    samples, free = secrets.labelled_samples(secrets.vocabulary_words(PATH)), list(text)
-    for s, e, _ in base:
-        free[s:e] = "\n" * (e - s)
-    ordinary = [x for x, y in samples if not y]
-    counts = []
+@cache
+def plain_counts():
+    """How often each character, pair and triple is in the random and in the ordinary samples."""
+    samples = secrets.labelled_samples(secrets.vocabulary_words(PATH))
+    ordinary, counts = [x for x, y in samples if not y], []
     for texts in ([x for x, y in samples if y], [x for i, x in enumerate(ordinary) if i % 3]):
         three, two, one = {}, {}, {}
         for t in texts:
@@ -67,11 +65,19 @@ def plain_spans(text, base):
                     a, b = run[i - 2] if i > 1 else "^", run[i - 1] if i else "^"
                     for d, k in ((three, (a, b, c)), (two, (b, c)), (one, c), (three, (a, b)), (two, b)):
                         d[k] = d.get(k, 0) + 1
-        counts.append((three, two, one))
+        counts.append((three, two, one, sum(one.values())))
+    return counts
+
+
+def plain_spans(text, base):
+    """The models counted by dictionaries and every run scored on its own."""
+    counts, free = plain_counts(), list(text)
+    for s, e, _ in base:
+        free[s:e] = "\n" * (e - s)
 
     def log(of, a, b, c):
-        three, two, one = of
-        zero = (one.get(c, 0) + 0.5) / (sum(one.values()) + 0.5 * len(secrets.CHARS))
+        three, two, one, all_ = of
+        zero = (one.get(c, 0) + 0.5) / (all_ + 0.5 * len(secrets.CHARS))
         first = (two.get((b, c), 0) + 8 * zero) / (two.get(b, 0) + 8)
         return math.log((three.get((a, b, c), 0) + 8 * first) / (three.get((a, b), 0) + 8))
 
