@@ -533,6 +533,21 @@ def coherent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.drop_incoherent(s.fact, rejected).groupBy("concept_key", "unit").agg(F.count("*").alias("n"))
 
 
+@query
+def alias_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts as they are stored; companies of every fifth number have no total, and so no choice."""
+    s = served(spark, sf_dir)
+    facts = s.dated().where((F.col("concept_key") != TOTAL) | (F.col("cik").cast("long") % 5 != 0))
+    values = validation.candidate_values(facts.select("cik", "concept_key", "tag", "unit", "period_end", F.col("filed_date").alias("filed"), F.col("id").alias("ordinal"), "value", F.lit(1).alias("alias_ord")))
+    return validation.records(validation.validate_family(values, s.company.select("cik"))).select("cik", "family", "concept_key", "tag", "status", "note")
+
+
+@query
+def empty_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = served(spark, sf_dir)
+    return payloads.empty_payloads(s.fact.where(F.col("cik").cast("long") % 4 != 0), s.company)
+
+
 @query
 def resolved_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scale.resolve_tables(served(spark, sf_dir).fact.select("id", (F.col("value") * F.when(F.col("product_key") == "gas", 1e6).otherwise(1.0)).alias("value"), "unit")).groupBy("canonical_unit", "conversion_note", "basis").agg(F.count("*").alias("n"), F.round(F.max("canonical_value"), 2).alias("most"))

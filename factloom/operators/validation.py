@@ -56,6 +56,15 @@ def validate_family(values: DataFrame, ciks: DataFrame) -> DataFrame:
     return ciks.select("cik").distinct().join(tagged, "cik", "left").join(best, "cik", "left").withColumn("status", status).withColumn("note", note).drop("tagged")
 
 
+def records(verdicts: DataFrame, family: str = "reserves") -> DataFrame:
+    """What is stored of verdicts, to replace the rows of the same company and family: a row for each concept with its
+    chosen tag, or one row of concept * where nothing was chosen."""
+    chosen = F.array(*[F.struct(F.lit(k).alias("concept_key"), F.col(t).alias("tag")) for k, t in ((DEVELOPED, "d_tag"), (UNDEVELOPED, "u_tag"), (TOTAL, "t_tag"))])
+    none = F.array(F.struct(F.lit("*").alias("concept_key"), F.lit(None).cast("string").alias("tag")))
+    rows = verdicts.withColumn("c", F.explode(F.when(F.col("d_tag").isNotNull(), chosen).otherwise(none)))
+    return rows.select("cik", F.lit(family).alias("family"), "c.concept_key", "c.tag", "status", "unit", "tested_periods", "coherent_periods", "note")
+
+
 def rejected_periods(triples: DataFrame, verdicts: DataFrame) -> DataFrame:
     """(cik, concept_key, tag, period_end) of the chosen combinations' incoherent periods."""
     keys = ["cik", "unit", "d_tag", "u_tag", "t_tag"]

@@ -196,6 +196,13 @@ FROM named n LEFT JOIN s f ON f.k = n.who AND f.k > 2"""),
         "SELECT 'company: repeated keys' AS rule, CAST(0 AS BIGINT) AS n", "SELECT 'filing: repeated keys', 0", "SELECT 'fact: repeated keys', (SELECT count(*) FROM (SELECT id FROM fact GROUP BY id HAVING count(*) > 1))", "SELECT 'company: repeated tickers', 0",
         "SELECT 'fact: rows without their accession', count(*) FROM fact WHERE CAST(accession AS BIGINT) % 11 = 0 OR accession NOT IN (SELECT accession FROM filing)", "SELECT 'fact: rows without their cik', count(*) FROM fact WHERE CAST(cik AS BIGINT) % 10 = 0 OR cik NOT IN (SELECT cik FROM company)")),
     "coherent_rows": with_(*STORE, VALUES, then="SELECT f.concept_key, f.unit, count(*) AS n FROM fact f WHERE NOT EXISTS (SELECT 1 FROM best b JOIN triple t ON t.cik = b.cik AND t.unit = b.unit WHERE b.cik = f.cik AND t.period_end = f.period_end AND t.error > 0.03) GROUP BY f.concept_key, f.unit"),
+    "alias_records": with_(*STORE, VALUES, then=f"""SELECT c.cik, 'reserves' AS family, k.concept_key, k.tag, CASE WHEN b.cik IS NULL OR CAST(c.cik AS BIGINT) % 5 = 0 THEN 'insufficient' WHEN latest_ok THEN 'validated' WHEN coherent_periods > 0 THEN 'drifted' ELSE 'incoherent' END AS status,
+  CASE WHEN k.concept_key <> '*' THEN NULL WHEN h.missing <> '' THEN 'not all three concepts tagged, missing: ' || h.missing ELSE 'no combination shares a unit across all three concepts' END AS note
+FROM company c LEFT JOIN best b ON b.cik = c.cik
+JOIN (SELECT c.cik, concat_ws(', ', CASE WHEN NOT coalesce(bool_or(f.concept_key = '{D}'), false) THEN '{D}' END, CASE WHEN NOT coalesce(bool_or(f.concept_key = '{T}' AND CAST(c.cik AS BIGINT) % 5 <> 0), false) THEN '{T}' END, CASE WHEN NOT coalesce(bool_or(f.concept_key = '{U}'), false) THEN '{U}' END) AS missing
+  FROM company c LEFT JOIN fact f ON f.cik = c.cik AND f.accession IN (SELECT accession FROM filing) GROUP BY c.cik) h ON h.cik = c.cik
+JOIN (VALUES ('{D}', 'ProvedDevelopedReservesVolume'), ('{U}', 'ProvedUndevelopedReserveVolume'), ('{T}', 'ProvedDevelopedAndUndevelopedReservesNet'), ('*', NULL)) AS k(concept_key, tag) ON (k.concept_key = '*') = (b.cik IS NULL OR CAST(c.cik AS BIGINT) % 5 = 0)"""),
+    "empty_payloads": with_(COMPANY, FACT, then="SELECT c.cik, 'empty payload' AS error FROM company c ANTI JOIN (SELECT cik FROM fact WHERE CAST(cik AS BIGINT) % 4 <> 0) f ON f.cik = c.cik"),
     "resolved_tables": with_(FACT, then=f"""SELECT 'BOE' AS canonical_unit, CASE WHEN f.unit = 'MMcfe' THEN 'gas converted at 6 Mcf = 1 BOE (Reg S-K 1200)' END AS conversion_note, 'as printed in the table' AS basis, count(*) AS n,
   round(max(value * CASE WHEN product_key = 'gas' THEN 1000000.0 ELSE 1.0 END * {MONEY}), 2) AS most FROM fact f WHERE value * CASE WHEN product_key = 'gas' THEN 1000000.0 ELSE 1.0 END * {MONEY} <= 1e11 GROUP BY ALL"""),
     "interval_of": """WITH e AS (SELECT user_id, event_id, event_type, CAST(floor(epoch(CAST(ts AS TIMESTAMP))) AS BIGINT) AS spot FROM events),

@@ -82,6 +82,11 @@ def coverage(obs: DataFrame, ciks: DataFrame, forms: tuple[str, ...] | None = No
     return grid.join(rows, ["cik", "concept_key"], "left").select("cik", "concept_key", F.col("observations").isNotNull().alias("tagged"), F.coalesce("observations", F.lit(0)).cast("long").alias("observations"), "units", "latest_period")
 
 
+def empty_payloads(obs: DataFrame, ciks: DataFrame) -> DataFrame:
+    """(cik, error) of filers whose payload holds no observation at all: all their concepts are untagged for that reason."""
+    return ciks.select("cik").distinct().join(obs.select("cik"), "cik", "left_anti").withColumn("error", F.lit("empty payload"))
+
+
 def _keys() -> list[str]:
     from factloom.registry import CONCEPTS
 
