@@ -204,6 +204,24 @@ def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("document_id", "line_no", "accession")
 
 
+@query
+def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports stored as files below accession and name, and read again."""
+    root = work_path(spark, "corpus")
+    acquisition.store_documents(_corpus(spark, sf_dir), root).write.format("noop").mode("overwrite").save()
+    return corpus.read_corpus(spark, root).select("accession", "name", F.length("raw").cast("long").alias("chars"), F.md5("raw").alias("md5"))
+
+
+@query
+def company_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of a text file with comments, further fields and repeats."""
+    folder = work_path(spark, "numbers")
+    k = F.col("k")
+    line = F.when(k % 4 == 0, _text("# only a comment ", k)).when(k % 4 == 1, _text(k, ", more")).when(k % 4 == 2, _text("CIK", k, " # why")).otherwise("7")
+    _suppliers(spark, sf_dir).select(line).write.text(folder)
+    return payloads.cik_list(spark, folder)
+
+
 # Cross-checks
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tagged facts a supplier and product, of which the later id counts; every third has no product."""

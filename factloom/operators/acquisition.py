@@ -64,7 +64,8 @@ def store_documents(documents: DataFrame, root: str) -> DataFrame:
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        system, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        local = root.startswith("file:") or ":/" not in root
+        system, base = (fs.LocalFileSystem(), root.removeprefix("file:").replace("///", "/", 1)) if local else fs.FileSystem.from_uri(root)
         for pdf in batches:
             sizes = []
             for accession, name, raw in zip(pdf["accession"], pdf["name"], pdf["raw"], strict=True):

@@ -50,6 +50,25 @@ def _page_lines() -> str:
     return with_(SUPPLIED, f"l AS (SELECT accession, {lines} AS x FROM s)", "n AS (SELECT accession, unnest(x) AS y, generate_subscripts(x, 1) AS line_no FROM l)", then="SELECT accession, CAST(y.page AS INT) AS page, CAST(line_no AS INT) AS line_no, y.section AS section, y.text AS text FROM n")
 
 
+def _raw() -> str:
+    """A report's source, put together as the reports are."""
+    row = lambda *cells: "'<tr>' || " + " || ".join(f"'<td>' || {c} || '</td>'" for c in cells) + " || '</tr>'"
+    contents = "".join(f"<p>Item {n}. {t} .... {p}</p>" for n, t, p in (("1", "Business", 3), ("1A", "Risk Factors", 9), ("2", "Properties", 12), ("7", "Results", 20)))
+    reserves = " || ".join([row("''", "'Oil (MBbls)'", "'Total (MBoe)'"), *[row(f"'{label}'", comma(oil), comma(total)) for label, _, oil, total in RESERVE_ROWS]])
+
+    def sales(times: int) -> str:
+        cells = _sales_lines(times)
+        rows = [("''", *cells[:2]), (cells[2],), *[tuple(cells[i : i + 3]) for i in (3, 6, 9)], (cells[12],), *[tuple(cells[i : i + 3]) for i in (13, 16, 19, 22)]]
+        return "'<table>' || " + " || ".join(row(*r) for r in rows) + " || '</table>'"
+
+    figure = lambda context, value: f"'<ix:nonFraction name=\"srt:ProvedDevelopedReservesVolume\" contextRef=\"{context}\" unitRef=\"u\" scale=\"3\" id=\"f-{context}\">' || {value} || '</ix:nonFraction>'"
+    marks = '<ix:header>silent</ix:header><context id="c1"><period><endDate>2023-12-31</endDate></period></context><context id="c2"><segment><explicitMember dimension="srt:ProductOrServiceAxis">srt:OilReservesMember</explicitMember></segment><period><instant>2023-12-31</instant></period></context><unit id="u"><measure>utr:MBoe</measure></unit>'
+    return " || ".join([
+        f"'<head><title>gone</title></head>{contents}<hr/><p>Item 1. Business</p><p>'", "name", "' drills&nbsp;wells &amp; more &#8722; '", "k", "'</p><p>7</p><hr><p>Item 2. Properties</p><p>As of December 31, 2023</p><table>'", reserves, "'</table><hr><p>Item 7. Results</p>'",
+        sales(1), f"CASE WHEN k % 3 = 0 THEN {sales(10)} ELSE '' END", f"'{marks}<p>Marked '", figure("c1", comma("d + 10")), "' and '", figure("c2", comma("d")), "'</p><p>Page 9</p>'",
+    ])
+
+
 def _cells() -> str:
     parts = []
     for row, (label, _, oil, total) in enumerate(RESERVE_ROWS, 1):
@@ -143,6 +162,8 @@ ORACLE_SQL: dict[str, str] = {
   'Item 2. Properties As of December 31, 2023 Oil (MBbls) Total (MBoe) ' || {" || ' ' || ".join(f"'{label} ' || {comma(oil)} || ' ' || {comma(total)}" for label, _, oil, total in RESERVE_ROWS)} AS third FROM s"""),
     "document_index": f"""WITH l AS (SELECT doc_id AS document_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents WHERE doc_id % 5 = 2 AND doc_id % 2 = 0)
 SELECT document_id, CAST(line_no AS INT) AS line_no, 'a-' || document_id % 50 AS accession FROM l WHERE regexp_matches(text, '{PHRASE["of"]}') OR regexp_matches(text, '{PHRASE["and"]}')""",
+    "corpus_files": with_(SUPPLIED, then=f"SELECT accession, 'r.htm' AS name, length(raw) AS chars, md5(raw) AS md5 FROM (SELECT accession, {_raw()} AS raw FROM s)"),
+    "company_numbers": with_(SUPPLIED, then="SELECT DISTINCT CASE k % 4 WHEN 3 THEN '0000000007' ELSE cik END AS cik FROM s WHERE k % 4 <> 0"),
     "cross_check": with_(SUPPLIED, then="""SELECT cik, CASE WHEN k % 3 <> 0 THEN 'oil' END AS product, CASE WHEN k % 11 = 0 THEN 'unchecked' WHEN k % 4 IN (0, 2) THEN 'agree' WHEN k % 4 = 1 THEN 'rescaled' ELSE 'disagree' END AS outcome,
   CASE WHEN k % 11 <> 0 THEN round(CASE k % 4 WHEN 0 THEN 1000 WHEN 1 THEN 1000000 WHEN 2 THEN 1003 ELSE 1500 END / CAST(1000 AS DOUBLE), 6) END AS ratio FROM s"""),
     "first_revenue": with_(FACT, then=f"SELECT cik, period_end, arg_min(value, id) AS revenue FROM fact WHERE concept_key = '{T}' AND product_key <> 'ngl' GROUP BY cik, period_end"),
