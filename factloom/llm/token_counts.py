@@ -20,18 +20,25 @@ from __future__ import annotations
 import gc
 import math
 import re
-from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pre-tokens are runs without white space, each led by the vocabulary's word mark.
-WORDS = re.compile(r"\S+")
+from factloom.llm.common import Recent, in_runs, settle
+
+#: Pre-tokens are runs without white space, each led by the vocabulary's word mark. White space beyond these six ASCII
+#: characters is made a space first.
+FURTHER_SPACE = re.compile(r"[^\S\t-\r\x20]")
 MARK = "▁"
 #: Trie nodes kept between batches; the depth down to which nodes are made; the longest pre-token whose count is kept.
 MAX_NODES, DEPTH, CACHED_LENGTH = 400_000, 2048, 48
+#: Counts kept, beyond the nodes that they came from; characters of the texts that are counted together.
+MAX_COUNTS, RUN_CHARS = 300_000, 2 << 20
 #: Scores are whole numbers of this part of a nat.
 UNIT = 1_000_000
 #: Below any score.
@@ -76,20 +83,18 @@ class Trie:
                     self.value.append(None)
                 state = self.step[key]
             self.value[state] = score
+        self.terminal = Recent(MAX_COUNTS)
         self.reset()
 
     def reset(self) -> None:
+        """Drops the nodes; the counts of pre-tokens stay."""
         self.child: dict[int, int] = {}
         self.best: list[int] = [0]
         self.count: list[int] = [0]
         self.under: list[list[tuple[int, int, int]]] = [[]]
-        self.terminal: dict[str, int] = {}
 
     def insert(self, text: str) -> int:
-        """The token count of a pre-token."""
-        found = self.terminal.get(text)
-        if found is not None:
-            return found
+        """The token count of a pre-token, by the nodes of its prefix that are there and new ones below them."""
         if len(self.best) > MAX_NODES:
             self.reset()
         child, at, done = self.child, 0, 0
@@ -101,7 +106,7 @@ class Trie:
             done += 1
         count = self._grow(at, text[done:], DEPTH - done) if done < len(text) else self.count[at]
         if len(text) <= CACHED_LENGTH:
-            self.terminal[text] = count
+            self.terminal.put(text, count)
         return count
 
     def _grow(self, at: int, rest: str, nodes: int) -> int:
@@ -155,17 +160,32 @@ def shared_trie(path: str) -> Trie:
     return Trie(Pieces.load(path))
 
 
+def count_run(texts: list[str], trie: Trie) -> tuple[np.ndarray, np.ndarray]:
+    """(pre-tokens, tokens) of each text. Arrow cuts the texts into words and numbers the distinct ones, so that the
+    trie meets each of them once a run."""
+    plain = [t if t.isascii() and not FURTHER_SPACE.search(t) else FURTHER_SPACE.sub(" ", t) for t in texts]
+    words = pc.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+    numbered = words.values.dictionary_encode()
+    distinct = numbered.dictionary.to_pylist()
+    marked = [MARK + w if w else "" for w in distinct]
+    known = trie.terminal.find(marked)
+    found = np.fromiter((trie.insert(w) if n is None else n for w, n in zip(marked, known, strict=True)), np.int64, len(distinct))
+    number, edges = numbered.indices.to_numpy(), words.offsets.to_numpy()
+    total = lambda x: np.diff(np.append(0, np.cumsum(x[number]))[edges])
+    return total(np.fromiter(map(bool, distinct), np.int64, len(distinct))), total(found)
+
+
 def counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_words (pre-tokens), n_tokens."""
 
     @F.pandas_udf("n_words long, n_tokens long")
     def run(texts: pd.Series) -> pd.DataFrame:
+        settle()
         trie, rows = shared_trie(path), []
         gc.disable()  # the trie has no cycles, and looking for some grows with it
         try:
-            for text in texts:
-                words = Counter(WORDS.findall(text or ""))
-                rows.append((sum(words.values()), sum(n * trie.insert(MARK + w) for w, n in words.items())))
+            for some in in_runs([t or "" for t in texts], RUN_CHARS):
+                rows += zip(*map(np.ndarray.tolist, count_run(some, trie)), strict=True)
         finally:
             gc.enable()
         return pd.DataFrame(rows, columns=["n_words", "n_tokens"])

@@ -51,3 +51,13 @@ def test_long_words_share_their_prefix(monkeypatch):
     before = len(trie.best)
     assert trie.insert(start + "theretherethere") == tc.plain_count(start + "theretherethere", pieces)
     assert len(trie.best) - before <= 30 and len(trie.best) <= 1 + 62 * 30
+
+
+def test_runs_part_words_as_python_does():
+    pieces = tc.Pieces.load(PATH)
+    trie, rng = tc.Trie(pieces), random.Random(9)
+    spaces = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\u200b", "  "]
+    texts = ["".join(rng.choice(spaces if rng.random() < 0.4 else ["the", "é", "日", "x1", "\ufeff"]) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    words, tokens = tc.count_run(texts, trie)
+    assert words.tolist() == [len(t.split()) for t in texts]
+    assert tokens.tolist() == [sum(tc.plain_count(tc.MARK + w, pieces) for w in t.split()) for t in texts]
