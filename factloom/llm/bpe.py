@@ -3,7 +3,9 @@
 Boundaries of pre-tokens are found without a regular expression: every code point maps to a character class by an
 array, every class is a transition function over the states of a small automaton, and an associative scan composes
 those functions over the text (each distinct composition is one entry of a finite table, so composing is one array
-look-up). The slices between boundaries feed a cache of merged pairs; their byte offsets are kept for decoding.
+look-up). The slices between boundaries, as byte offsets into the texts of a run, are numbered by what they hold; each
+distinct one goes through a cache of merged pairs, and the ids of the run are put together from arrays. The offsets are
+kept: decoding puts the bytes of each pre-token's ids at its offset, and finds that they meet there.
 
 Cases: a null text counts as empty and gives no ids; texts of any length are taken whole; repeated rows each get
 their own result; other columns are ignored.
@@ -15,16 +17,20 @@ import base64
 import hashlib
 import heapq
 import math
+import struct
 import sys
 import unicodedata
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.common import Recent, in_runs, settle, spread
+
 # Character classes. Letters that may end or go on with a contraction have classes of their own; BREAK parts texts.
 LETTER, ENDING, R, V, L, E, NUMBER, SPACE, BLANK, QUOTE, OTHER, BREAK = range(12)
 # States: what the last character read belongs to. Q: a quote that starts a pre-token; QR, QV, QL: with its next
@@ -32,8 +38,10 @@ LETTER, ENDING, R, V, L, E, NUMBER, SPACE, BLANK, QUOTE, OTHER, BREAK = range(12
 S_LETTER, S_NUMBER, S_OTHER, S_SPACE, S_BLANK, S_Q, S_QR, S_QV, S_QL, S_DONE = range(10)
 #: White space of the pattern's \s.
 BLANKS = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 CACHED_LENGTH = 64
+#: Characters of the texts that are encoded together.
+RUN_CHARS = 2 << 20
 
 
 @lru_cache(1)
@@ -110,15 +118,14 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
 
 
-def boundaries(texts: list[str]) -> list[np.ndarray]:
-    """For each text the code-point offsets at which its pre-tokens start; one scan runs over all of them."""
+def _cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code points of the texts, each text with a separator behind it; which of them start a pre-token; where each text
+    ends, its separator included). One scan runs over all texts."""
     of_class, table, image = monoid()
-    kinds = []
-    for text in texts:
-        kinds += [classes()[codes(text)], np.array([BREAK], np.uint8)]
-    if not kinds:
-        return []
-    kind = np.concatenate(kinds)
+    code = codes("\0".join([*texts, ""]))
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    kind = classes()[code]
+    kind[ends - 1] = BREAK
     state = image[_scan(of_class[kind], table)]
     before = np.concatenate([[S_DONE], state[:-1]])
     after = np.concatenate([state[1:], [S_DONE]])
@@ -131,25 +138,55 @@ def boundaries(texts: list[str]) -> list[np.ndarray]:
     start[((kind == QUOTE) | (kind == OTHER)) & ((before == S_OTHER) | (before == S_Q) | (before == S_SPACE))] = False
     followed = np.append(~blank[1:] & (kind[1:] != BREAK), False)
     start[blank & ((before == S_SPACE) | (before == S_BLANK)) & ~followed] = False
-    lengths = np.array([len(k) for k in kinds[::2]])
-    ends = np.cumsum(lengths + 1)
     start[ends - 1] = False
+    return code, start, ends
+
+
+def boundaries(texts: list[str]) -> list[np.ndarray]:
+    """For each text the code-point offsets at which its pre-tokens start."""
+    if not texts:
+        return []
+    _, start, ends = _cut(texts)
     at = np.flatnonzero(start)
-    firsts = ends - lengths - 1
-    return [x - f for x, f in zip(np.split(at, np.searchsorted(at, ends[:-1])), firsts, strict=True)]
+    firsts = np.append(0, ends[:-1])
+    return [x - f for x, f in zip(np.split(at, np.searchsorted(at, ends[:-1])), firsts.tolist(), strict=True)]
+
+
+@dataclass
+class Encoded:
+    """The pre-tokens of a run of texts. at: byte offset at which each starts in the texts one after another, and where
+    the last ends; edges: the number of each text's first pre-token, and of all; number: which distinct pre-token each
+    is; ids, decimal, decoded: ids of each distinct one, these written out with a comma behind each, and their bytes."""
+
+    at: np.ndarray
+    edges: np.ndarray
+    number: np.ndarray
+    ids: list[bytes]
+    decimal: list[bytes]
+    decoded: list[bytes]
+
+    def all_ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of the run, where those of each text begin and the last ends)."""
+        width = np.fromiter(map(len, self.ids), np.int64, len(self.ids)) // 4
+        ids, ends = spread(np.frombuffer(b"".join(self.ids), "<u4"), width, self.number)
+        return ids, np.append(0, ends)[self.edges]
 
+    def counts(self) -> np.ndarray:
+        """The number of ids of each pre-token."""
+        return (np.fromiter(map(len, self.ids), np.int64, len(self.ids)) // 4)[self.number]
 
-def in_runs(texts: list[str], chars: int = 1 << 20):
-    """The texts in runs of about so many characters, a longer text alone."""
-    run, size = [], 0
-    for text in texts:
-        if run and size + len(text) > chars:
-            yield run
-            run, size = [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield run
+    def written(self) -> list[memoryview]:
+        """The ids of each text as decimal numbers, comma-joined."""
+        data, ends = _taken(self.decimal, self.number)
+        at = ends[self.edges].tolist()
+        return [data[a : max(a, b - 1)] for a, b in zip(at, at[1:], strict=False)]
+
+
+def _taken(values: list[bytes], number: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """(values one after another, by their numbers; where each begins and the last ends)."""
+    found = pa.array(values, pa.large_binary()).take(pa.array(number))
+    offsets = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1]
+    return memoryview(found.buffers()[2] or b""), offsets
 
 
 class ByteBPE:
@@ -157,8 +194,7 @@ class ByteBPE:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.bytes_of = ranks, {i: b for b, i in ranks.items()}
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.decoded: dict[tuple[int, ...], bytes] = {}
+        self.cache = Recent(CACHE_ENTRIES)
 
     @classmethod
     def load(cls, path: str) -> ByteBPE:
@@ -201,65 +237,63 @@ class ByteBPE:
                 heapq.heappush(heap, (r, p, stop))
         return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
-    def pieces(self, text: str, starts: np.ndarray) -> list[tuple[int, ...]]:
-        """The ids of each pre-token."""
-        at = starts.tolist()
-        parts = [text[a:b] for a, b in zip(at, [*at[1:], len(text)], strict=False)]
-        out = list(map(self.cache.get, parts))
-        if None in out:
-            for i, found in enumerate(out):
-                if found is None:
-                    out[i] = self._learn(parts[i])
-        return out
-
-    def _learn(self, part: str) -> tuple[int, ...]:
-        found = self.cache.get(part)
-        if found is None:
-            found = tuple(self.merge(part.encode("utf-8", "replace")))
-            if len(part) <= CACHED_LENGTH:
-                if len(self.cache) >= CACHE_ENTRIES:
-                    self.cache.clear()
-                self.cache[part] = found
+    def _learn(self, piece: bytes) -> tuple[bytes, bytes, bytes]:
+        """(ids as little-endian 32-bit integers, ids written out with a comma behind each, bytes decoded from the ids)."""
+        ids = self.merge(piece)
+        decoded = self.decode(ids)
+        found = struct.pack(f"<{len(ids)}I", *ids), b"".join([b"%d," % i for i in ids]), piece if decoded == piece else decoded
+        if len(piece) <= CACHED_LENGTH:
+            self.cache.put(piece, found)
         return found
 
+    def encode_run(self, texts: list[str]) -> Encoded:
+        """The pre-tokens of some texts, encoded together."""
+        code, start, ends = _cut(texts)
+        data = "".join(texts).encode("utf-8", "replace")
+        if len(data) == len(code) - len(texts):
+            wide = np.ones(len(code), np.int8)
+        else:
+            wide = 1 + (code >= 0x80).astype(np.int8) + (code >= 0x800) + (code >= 0x10000)
+            wide[(code >= 0xD800) & (code < 0xE000)] = 1  # a lone surrogate is written as a question mark
+        wide[ends - 1] = 0
+        starts = np.flatnonzero(start)
+        at = np.append((np.cumsum(wide, dtype=np.int64) - wide)[starts], len(data))
+        slices = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
+        numbered = slices.dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        known = self.cache.find(distinct)
+        if None in known:
+            known = [self._learn(piece) if found is None else found for piece, found in zip(distinct, known, strict=True)]
+        edges = np.append(0, np.searchsorted(starts, ends))
+        ids, decimal, decoded = map(list, zip(*known, strict=True)) if known else ([], [], [])
+        return Encoded(at, edges, numbered.indices.to_numpy().astype(np.int64), ids, decimal, decoded)
+
+    @staticmethod
+    def decode_run(run: Encoded) -> list[memoryview]:
+        """The bytes of each text, from the ids of its pre-tokens put at their kept offsets."""
+        data, ends = _taken(run.decoded, run.number)
+        if not np.array_equal(ends, run.at):
+            raise ValueError("the bytes of the pre-tokens do not meet at their offsets")
+        at = run.at[run.edges].tolist()
+        return [data[a:b] for a, b in zip(at, at[1:], strict=False)]
+
     def encode_batch(self, texts: list[str]):
-        """For each text (ids, byte offset at which each pre-token starts, number of ids of each pre-token)."""
-        for found, at in self.encode_pieces(texts):
-            yield list(chain.from_iterable(found)), at, np.fromiter(map(len, found), np.int64, len(found))
-
-    def encode_pieces(self, texts: list[str]):
-        """For each text (the ids of each pre-token, byte offset at which each starts)."""
-        for run in in_runs(texts):
-            for text, starts in zip(run, boundaries(run), strict=True):
-                if text.isascii():
-                    yield self.pieces(text, starts), starts
-                    continue
-                code = codes(text)
-                wide = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
-                yield self.pieces(text, starts), (np.cumsum(wide) - wide)[starts]
+        """For each text (ids, byte offset at which each pre-token starts, number of ids of each pre-token, the bytes
+        decoded by these)."""
+        for some in in_runs(texts):
+            run = self.encode_run(some)
+            ids, at = run.all_ids()
+            counts, decoded = run.counts(), self.decode_run(run)
+            for k in range(len(some)):
+                first, last = run.edges[k], run.edges[k + 1]
+                yield ids[at[k] : at[k + 1]].tolist(), run.at[first:last] - run.at[first], counts[first:last], bytes(decoded[k])
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.pieces(text, boundaries([text])[0])))
+        return self.encode_run([text]).all_ids()[0].tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def decode_at(self, found: list[tuple[int, ...]], at: np.ndarray) -> bytes:
-        """The bytes of a text from the ids of its pre-tokens, each put at its kept offset."""
-        parts = list(map(self.decoded.get, found))
-        if None in parts:
-            for i, part in enumerate(parts):
-                if part is None:
-                    parts[i] = self.decode(found[i])
-                    if len(found[i]) <= CACHED_LENGTH:
-                        if len(self.decoded) >= CACHE_ENTRIES:
-                            self.decoded.clear()
-                        self.decoded[found[i]] = parts[i]
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
-        if not np.array_equal(ends[:-1], at[1:]):
-            raise ValueError("the bytes of the pre-tokens do not meet at their offsets")
-        return b"".join(parts)
-
     def decode_piece(self, ids: list[int], counts: np.ndarray, k: int) -> bytes:
         """The bytes of pre-token k alone, by the kept counts."""
         first = int(counts[:k].sum())
@@ -276,10 +310,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     @F.pandas_udf("ids array<int>, piece_start array<long>, piece_ids array<long>, decoded binary")
     def run(texts: pd.Series) -> pd.DataFrame:
-        bpe, rows = loaded(path), []
-        for found, at in bpe.encode_pieces([t or "" for t in texts]):
-            rows.append((list(chain.from_iterable(found)), at, np.fromiter(map(len, found), np.int64, len(found)), bpe.decode_at(found, at)))
-        return pd.DataFrame(rows, columns=["ids", "piece_start", "piece_ids", "decoded"])
+        return pd.DataFrame(list(loaded(path).encode_batch([t or "" for t in texts])), columns=["ids", "piece_start", "piece_ids", "decoded"])
 
     return docs.select(F.col(id_col), run(F.col(text_col)).alias("found")).select(id_col, "found.*")
 
@@ -290,11 +321,15 @@ def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     @F.pandas_udf(schema)
     def run(texts: pd.Series) -> pd.DataFrame:
+        settle()
         bpe, rows = loaded(path), []
-        for found, at in bpe.encode_pieces([t or "" for t in texts]):
-            ids = list(chain.from_iterable(found))
-            row = len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(bpe.decode_at(found, at)).hexdigest()
-            rows.append((*row, np.array(ids, np.int32)) if with_ids else row)
+        for some in in_runs([t or "" for t in texts], RUN_CHARS):
+            found = bpe.encode_run(some)
+            ids, at = found.all_ids()
+            sizes = np.diff(at).tolist()
+            digests = [[hashlib.sha256(x).hexdigest() for x in of] for of in (found.written(), bpe.decode_run(found))]
+            parts = np.split(ids.astype(np.int32), at[1:-1]) if with_ids else None
+            rows += zip(sizes, *digests, *([parts] if with_ids else []), strict=True)
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
 
     return docs.select(F.col(id_col), run(F.col(text_col)).alias("found")).select(id_col, "found.*")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import public_tokenizers as P
+import pytest
 import regex
 import tiktoken
 from hypothesis import given, settings
@@ -31,6 +32,23 @@ def test_boundaries_of_many_texts(texts):
         assert starts.tolist() == [m.start() for m in regex.finditer(P.PATTERN, text)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(CHARS, max_size=6))
+def test_runs_of_texts(texts):
+    run = OWN.encode_run(texts) if texts else None
+    if run is None:
+        return
+    ids, at = run.all_ids()
+    want = [LIBRARY.encode_ordinary(t) for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == want
+    assert [bytes(w) for w in run.written()] == [",".join(map(str, i)).encode() for i in want]
+    assert [bytes(d) for d in OWN.decode_run(run)] == [t.encode() for t in texts]
+    if len(run.number):
+        run.at[-2] += 1
+        with pytest.raises(ValueError):
+            OWN.decode_run(run)
+
+
 def test_composition_table():
     of_class, table, image = bpe.monoid()
     assert len(image) < 300
@@ -44,7 +62,8 @@ def test_long_runs_and_offsets():
     for text in ("a" * 30_000, " " * 5000 + "x", "ab'll'll" * 3000, "é" * 500):
         assert OWN.encode(text) == LIBRARY.encode_ordinary(text)
     text = "Zwei Wörter, 日本 it's"
-    ids, starts, counts = next(iter(OWN.encode_batch([text])))
+    ids, starts, counts, decoded = next(iter(OWN.encode_batch([text])))
+    assert decoded == text.encode()
     data, ends = text.encode(), [*starts.tolist()[1:], len(text.encode())]
     for k, (a, b) in enumerate(zip(starts.tolist(), ends, strict=True)):
         assert OWN.decode_piece(ids, counts, k) == data[a:b]
