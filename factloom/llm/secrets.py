@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.common import settle
+
 KINDS = ("assign", "access", "hex")
 #: The span kind that the models add.
 MARKOV = "markov"
@@ -196,6 +198,7 @@ def scan(docs: DataFrame, scanner: MarkovScanner, id_col: str = "doc_id", text_c
 
     @F.pandas_udf("n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string")
     def find(texts: pd.Series) -> pd.DataFrame:
+        settle()
         rows = []
         for text in texts:
             base = scanner.base_spans(text := text or "")
@@ -212,6 +215,7 @@ def redacted(text: Column, scanner: MarkovScanner, mark: str = "[SECRET]") -> Co
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
+        settle()
         return texts.map(lambda t: None if t is None else scanner.redact(t, mark))
 
     return clean(text)

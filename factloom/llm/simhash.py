@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import materialise
+from factloom.llm.common import materialise, settle
 from factloom.llm.components import components
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -71,6 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _fingerprint_column(text: Column) -> Column:
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
+        settle()
         return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
     return fp(text)

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import materialise
+from factloom.llm.common import materialise, settle
 
 MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATION = 3000, 6000, 3000
 DIMENSIONS = 1 << 18
@@ -41,7 +41,7 @@ LEAST_POSITIVE, LEAST_GAIN = 3, 4
 THRESHOLD = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
 
 
 def features(word: str) -> tuple[int, ...]:
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return calibrate(Classifier(index, w, b), matrix("c"), np.array([y for _, y in of["c"]], int))
 
 
-@lru_cache(2)
+@lru_cache(1)
 def _scorer(index: bytes, weight: bytes):
     dense = np.zeros(DIMENSIONS)
     dense[np.frombuffer(index, np.int32)] = np.frombuffer(weight)
@@ -205,6 +205,7 @@ def score_column(model: Classifier, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
+        settle()
         dense, live = _scorer(index, weight)  # live: the weighted features of a word
         out = []
         for text in texts:
