@@ -38,10 +38,10 @@ LETTER, ENDING, R, V, L, E, NUMBER, SPACE, BLANK, QUOTE, OTHER, BREAK = range(12
 S_LETTER, S_NUMBER, S_OTHER, S_SPACE, S_BLANK, S_Q, S_QR, S_QV, S_QL, S_DONE = range(10)
 #: White space of the pattern's \s.
 BLANKS = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 100_000
 CACHED_LENGTH = 64
 #: Characters of the texts that are encoded together.
-RUN_CHARS = 2 << 20
+RUN_CHARS = 1 << 20
 
 
 @lru_cache(1)
