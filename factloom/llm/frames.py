@@ -34,8 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.bpe import in_runs
-from factloom.llm.common import materialise, qualified, release, shared_path
+from factloom.llm.common import in_runs, materialise, qualified, release, shared_path, spread
 
 ENTRY, FOOTER, MAGIC = struct.Struct("<qqqqIBB2x"), struct.Struct("<QII"), 0x4C4F4F4D
 LEVEL = 3
@@ -131,17 +130,13 @@ class WordEncoder:
     In a text of common characters the vocabulary's normaliser only lower-cases and turns white space into spaces, and
     its pre-tokens are the matches of PRE_TOKEN, which hold no white space. So the ids of a text are those of its words,
     and a word's those of its pre-tokens. Arrow cuts the texts of a run into words and numbers the distinct ones, so
-    Python meets each of them once a run, and the ids are put together from arrays. The ids of a pre-token end with a
-    piece that ends a word, so many pre-tokens are encoded in one call, with spaces between them, and parted there. A
-    text with a word of other characters goes to the library as it is."""
+    Python meets each of them once a run, and the ids are put together from arrays. A text with a word of other
+    characters goes to the library as it is."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cache = Tokenizer.from_file(path), {}
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
-        for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
-            self.ends[i] = piece.endswith("</w>")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -158,13 +153,8 @@ class WordEncoder:
         bad = np.fromiter((ids is None for ids in known), bool, len(known))
         width = np.fromiter((len(ids) // 4 if ids else 0 for ids in known), np.int64, len(known))
         flat = np.frombuffer(b"".join(filter(None, known)), "<u4")
-        # Where the ids of each word of the run come from, and where they go.
         number = numbered.indices.to_numpy()
-        size = width[number]
-        ends = np.cumsum(size)
-        source = np.repeat((np.cumsum(width) - width)[number] - (ends - size), size)
-        source += np.arange(len(source))
-        ids = flat[source]
+        ids, ends = spread(flat, width, number)
         edges = words.offsets.to_numpy()
         at = np.append(0, ends)[edges].tolist()
         out = [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
@@ -187,7 +177,7 @@ class WordEncoder:
         parts = {k: PRE_TOKEN.findall(words[k]) for k in fresh if not words[k].isalpha() or len(words[k]) > CACHED_LENGTH}
         pieces = {words[k] for k in fresh if k not in parts}
         pieces.update(p for of in parts.values() for p in of if p not in cache and len(p) <= CACHED_LENGTH)
-        self._learn_pieces(sorted(pieces))
+        self._learn_pieces(list(pieces))
         for k in fresh:
             if (of := parts.get(k)) is None:
                 known[k] = cache[words[k]]
@@ -200,15 +190,12 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def _learn_pieces(self, words: list[str], run: int = 256) -> None:
-        for at in range(0, len(words), run):
-            some = words[at : at + run]
-            data = self._whole(" ".join(some))
-            ends = (4 * (np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 1)).tolist()
-            if len(ends) == len(some):
-                self.cache.update(zip(some, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
-            else:
-                self.cache.update((w, self._whole(w)) for w in some)
+    def _learn_pieces(self, words: list[str]) -> None:
+        """Adds distinct pre-tokens to the cache; the library gets many in one call."""
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.cache.update((w, struct.pack(f"<{len(ids)}I", *ids)) for w, ids in zip(some, [e.ids for e in found], strict=True))
 
 
 @lru_cache(2)
