@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import bpe, decontaminate, frames, pii, preference, secrets, simhash, token_counts, topk, toxicity
+from factloom.llm import bpe, decontaminate, deltas, frames, pii, preference, secrets, simhash, token_counts, topk, toxicity
 from factloom.llm.common import table
 
 
@@ -58,4 +58,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_topk, op3_bpe, op4_pii, op5_simhash, op6_preference, op7_toxicity, op8_token_counts, op9_frames, op10_decontaminate)}
+def op11_view_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clients, sales, lines = (table(spark, sf_dir, name) for name in ("clients", "sales", "sale_lines"))
+    return deltas.through_batches(
+        deltas.scheduled(clients, F.concat(F.lit("c"), F.col("client_id").cast("string"))), deltas.scheduled(sales, F.concat(F.lit("s"), F.col("sale_id").cast("string"))),
+        deltas.scheduled(lines, F.concat(F.lit("l"), F.col("sale_id").cast("string"), F.lit(":"), F.col("line_no").cast("string"))), table(spark, sf_dir, "vendors"), table(spark, sf_dir, "nation"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_topk, op3_bpe, op4_pii, op5_simhash, op6_preference, op7_toxicity, op8_token_counts, op9_frames, op10_decontaminate, op11_view_maintenance)}

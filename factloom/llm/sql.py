@@ -35,4 +35,18 @@ p AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(ra
 q AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM h GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN p ON p.doc_id = w.doc_id LEFT JOIN q ON q.doc_id = w.doc_id""",
+    "op11_view_maintenance": r"""
+WITH t AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+names AS (SELECT 'c' || client_id AS k FROM clients UNION SELECT 's' || sale_id FROM sales UNION SELECT 'l' || sale_id || ':' || line_no FROM sale_lines),
+h AS (SELECT k, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT))), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM names, t WHERE k IS NOT NULL),
+w AS (SELECT k, CASE WHEN h % 7 < (h // 7) % 7 THEN h % 7 ELSE -1 END AS born, CASE WHEN h % 7 < (h // 7) % 7 THEN (h // 7) % 7 ELSE 99 END AS gone FROM h),
+n AS (SELECT n_nationkey, CAST(n_regionkey AS INT) AS region FROM nation),
+c AS (SELECT client_id, region, born, gone FROM clients JOIN n ON nation_id = n_nationkey JOIN w ON k = 'c' || client_id),
+s AS (SELECT sale_id, client_id, CAST(date_diff('day', DATE '1970-01-01', CAST(sold_at AS DATE)) AS BIGINT) AS part, born, gone FROM sales JOIN w ON k = 's' || sale_id WHERE sold_at IS NOT NULL),
+l AS (SELECT sale_id, item_id, region, CAST(floor(100 * amount + 0.5) AS BIGINT) * CAST(100 - floor(100 * discount + 0.5) AS BIGINT) AS revenue, coalesce(born, -1) AS born, coalesce(gone, 99) AS gone
+  FROM sale_lines x JOIN vendors v ON x.vendor_id = v.vendor_id JOIN n ON v.nation_id = n_nationkey LEFT JOIN w ON k = 'l' || sale_id || ':' || line_no WHERE amount IS NOT NULL AND discount IS NOT NULL),
+j AS (SELECT c.region, part, c.client_id, item_id, revenue, greatest(c.born, s.born, l.born) AS born, least(c.gone, s.gone, l.gone) AS gone
+  FROM l JOIN s ON l.sale_id = s.sale_id JOIN c ON s.client_id = c.client_id AND l.region = c.region)
+SELECT CAST(b.b AS INT) AS batch, region, part, count(*) AS n_lines, CAST(sum(revenue) AS BIGINT) AS revenue, min(revenue) AS min_revenue, count(DISTINCT client_id) AS n_clients, count(DISTINCT item_id) AS n_items
+FROM j JOIN range(7) b(b) ON born <= b.b AND b.b < gone GROUP BY b.b, region, part""",
 }
