@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import bpe, decontaminate, deltas, frames, pii, preference, secrets, simhash, token_counts, topk, toxicity
+from factloom.llm import bpe, decontaminate, deltas, frames, hnsw, negatives, pii, preference, secrets, simhash, token_counts, topk, toxicity
 from factloom.llm.common import table
 
 
@@ -66,4 +66,13 @@ def op11_view_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_topk, op3_bpe, op4_pii, op5_simhash, op6_preference, op7_toxicity, op8_token_counts, op9_frames, op10_decontaminate, op11_view_maintenance)}
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_topk, op3_bpe, op4_pii, op5_simhash, op6_preference, op7_toxicity, op8_token_counts, op9_frames, op10_decontaminate, op11_view_maintenance, op12_hard_negatives, op13_nearest)}

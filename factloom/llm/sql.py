@@ -49,4 +49,12 @@ j AS (SELECT c.region, part, c.client_id, item_id, revenue, greatest(c.born, s.b
   FROM l JOIN s ON l.sale_id = s.sale_id JOIN c ON s.client_id = c.client_id AND l.region = c.region)
 SELECT CAST(b.b AS INT) AS batch, region, part, count(*) AS n_lines, CAST(sum(revenue) AS BIGINT) AS revenue, min(revenue) AS min_revenue, count(DISTINCT client_id) AS n_clients, count(DISTINCT item_id) AS n_items
 FROM j JOIN range(7) b(b) ON born <= b.b AND b.b < gone GROUP BY b.b, region, part""",
+    "op12_hard_negatives": """
+WITH x AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score FROM x a JOIN x c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 3""",
 }
