@@ -92,6 +92,8 @@ def heavy(rows: DataFrame, key: str, buckets: int) -> DataFrame:
 def salted(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """rows with weight and salt: equal rows of a heavy key are summed and dealt over its salts by what they hold; others
     have weight 1 and salt 0."""
+    if hot.isEmpty():
+        return rows.select("*", F.lit(1).cast("long").alias("weight"), F.lit(0).alias("salt"))
     marked = rows.join(F.broadcast(hot), key, "left")
     left = marked.where("salts is null").select(*rows.columns, F.lit(1).cast("long").alias("weight"), F.lit(0).alias("salt"))
     summed = marked.where("salts is not null").groupBy(*rows.columns, "salts").agg(F.count("*").alias("weight"))

@@ -25,7 +25,7 @@ beyond 64 bits, raise an error; other columns are not looked at.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +37,7 @@ from factloom.llm.common import materialise
 from factloom.llm.topk import inner, valid
 
 SHARD_ROWS = 8192
-LEAF = 64
+LEAF = 512
 ANCHOR_BLOCK = 512
 #: A negative's score in percent of the positive's.
 LOW, HIGH = 50, 95
@@ -48,7 +48,7 @@ TREES = "shard int, dim int, nodes array<int>, spans array<double>, vectors arra
 class Tree:
     """nodes: (vantage row, inner child, outer child) for each inner node, or (-1, first row, row after the last) for a
     leaf; spans: the least and largest distance of the rows of either child from the vantage row. Rows stand in the order
-    of the leaves, vantage rows among them."""
+    of the leaves, in a leaf by id; vantage rows are among them."""
 
     nodes: np.ndarray
     spans: np.ndarray
@@ -61,6 +61,10 @@ class Tree:
         self.square = (self.rows * self.rows).sum(axis=1)
         self.reach = self.square.max(initial=0)
         self.height = self.reach - self.square  # of the added component, squared
+        self.largest = float(np.abs(self.rows).max(initial=0))
+        self.steps = [(*n, *s) for n, s in zip(self.nodes.tolist(), self.spans.tolist(), strict=True)]
+        names, self.codes = np.unique(self.labels.astype(str), return_inverse=True)
+        self.code_of = {name: code for code, name in enumerate(names.tolist())}
 
 
 def grown(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +86,7 @@ def grown(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(own) <= LEAF:
             nodes.append([-1, filled, filled + len(own)])
             spans.append([0.0] * 4)
-            order.append(own)
+            order.append(np.sort(own))  # by id, where the rows are
             filled += len(own)
             continue
         # The row farthest from the middle sees the others at the most unlike distances.
@@ -107,12 +111,16 @@ def grown(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Search:
     """The traversals of one anchor over one tree, which share what they have worked out."""
 
-    def __init__(self, tree: Tree, anchor: np.ndarray, own: int):
+    def __init__(self, tree: Tree, anchor: np.ndarray, own: int, label: str):
         self.tree, self.anchor, self.own = tree, anchor, own
+        self.code = tree.code_of.get(label, -1)
+        # Whole numbers held as doubles are added up exactly where no sum can leave their range.
+        self.exact = float(np.abs(anchor).max(initial=0)) * tree.largest * len(anchor) < 2**53
         self.base = float((anchor * anchor).sum()) + float(tree.reach)
         self.slack = 1e-6 * (1 + np.sqrt(self.base))
         self.far: dict[int, float] = {}
-        self.scores: dict[int, np.ndarray] = {}
+        self.ranked: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]] = {}
+        self.scored = 0
 
     def distance(self, score: int) -> float:
         return float(np.sqrt(max(self.base - 2 * float(score), 0)))
@@ -122,19 +130,26 @@ class Search:
         bound = (self.base - max(nearest - self.slack, 0) ** 2) / 2
         return bound + 1e-9 * abs(bound) + 1
 
-    def leaf(self, at: int, a: int, b: int) -> np.ndarray:
-        if at not in self.scores:
-            self.scores[at] = inner(self.tree.rows[a:b], self.anchor)
-        return self.scores[at]
+    def leaf(self, at: int, a: int, b: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(minus the scores, ascending; rows) of a leaf's rows of the anchor's label or of others; equal scores by id."""
+        found = self.ranked.get((at, same))
+        if found is None:
+            tree = self.tree
+            spots = np.flatnonzero(((tree.codes[a:b] == self.code) == same) & (tree.ids[a:b] != self.own))
+            minus = -(tree.rows[a:b] @ self.anchor if self.exact else inner(tree.rows[a:b], self.anchor))[spots]
+            order = np.argsort(minus, kind="stable")  # the rows of a leaf stand by id
+            found = self.ranked[at, same] = minus[order], a + spots[order]
+            self.scored += len(spots)
+        return found
 
     def from_vantage(self, at: int, row: int) -> float:
         if at not in self.far:
             self.far[at] = float(np.sqrt(((self.tree.rows[row] - self.anchor) ** 2).sum() + self.tree.height[row]))
         return self.far[at]
 
-    def first(self, k: int, fits: Callable[[np.ndarray], np.ndarray], low: int | None = None, high: int | None = None) -> list[tuple[int, int, int]]:
-        """(score, id, copies) of the first rows, k with their copies, whose labels fit and whose score is in [low, high],
-        highest first, ties by id."""
+    def first(self, k: int, same: bool, low: int | None = None, high: int | None = None) -> list[tuple[int, int, int]]:
+        """(score, id, copies) of the first rows, k with their copies, of the anchor's label or of others, whose score is
+        in [low, high]: highest first, ties by id."""
         tree = self.tree
         inside = self.distance(high) - self.slack if high is not None else 0.0
         outside = self.distance(low) + self.slack if low is not None else np.inf
@@ -142,28 +157,24 @@ class Search:
         # equal a node comes first, as it may hold a row of a smaller id.
         heap: list[tuple] = [(-np.inf, 0, 0, 0.0)]
         out: list[tuple[int, int, int]] = []
-        while heap and sum(n for _, _, n in out) < k:
+        taken = 0
+        while heap and taken < k:
             score, is_row, at, more = heapq.heappop(heap)
             if is_row:
                 out.append((-score, at, more))
+                taken += more
                 continue
-            vantage, a, b = tree.nodes[at].tolist()
+            vantage, a, b, least_in, most_in, least_out, most_out = tree.steps[at]
             if vantage < 0:
-                scores = self.leaf(at, a, b)
-                keep = fits(tree.labels[a:b]) & (tree.ids[a:b] != self.own)
-                if low is not None:
-                    keep &= scores >= low
-                if high is not None:
-                    keep &= scores <= high
-                spots = np.flatnonzero(keep)
-                if len(spots) > k:  # only what can be among the first k
-                    spots = spots[np.lexsort((tree.ids[a:b][spots], -scores[spots]))[:k]]
-                for s in spots.tolist():
-                    heapq.heappush(heap, (-int(scores[s]), 1, int(tree.ids[a + s]), int(tree.copies[a + s])))
+                minus, rows = self.leaf(at, a, b, same)
+                begin = int(np.searchsorted(minus, -high, "left")) if high is not None else 0
+                end = int(np.searchsorted(minus, -low, "right")) if low is not None else len(minus)
+                for spot in range(begin, min(end, begin + k)):  # no other row of the leaf is among the first k
+                    row = rows[spot]
+                    heapq.heappush(heap, (int(minus[spot]), 1, int(tree.ids[row]), int(tree.copies[row])))
                 continue
             d = self.from_vantage(at, vantage)
-            spans = tree.spans[at].tolist()
-            for child, least, most in ((a, *spans[:2]), (b, *spans[2:])):
+            for child, least, most in ((a, least_in, most_in), (b, least_out, most_out)):
                 lower = max(more, d - most, least - d)
                 if lower - self.slack <= outside and d + most + self.slack >= inside:
                     heapq.heappush(heap, (-self.most(lower), 0, child, lower))
@@ -219,14 +230,14 @@ def _met(anchors: DataFrame, grown_trees: DataFrame, k: int, low: int, high: int
                     raise ValueError("vectors of unlike lengths")
                 tree, found = _tree(r), []
                 for own, which, label, anchor, scores in zip(r.a_ids.tolist(), r.a_which.tolist(), r.a_labels, r.a.reshape(-1, r.dim), r.a_scores, strict=True):
-                    search = Search(tree, anchor, own)
+                    search = Search(tree, anchor, own, label)
                     if not len(scores):
-                        found += [(own, which, None, i, s, n) for s, i, n in search.first(k, lambda labels, label=label: labels == label)]
+                        found += [(own, which, None, i, s, n) for s, i, n in search.first(k, True)]
                     for positive in sorted(set(map(int, scores))):
                         # low * positive <= 100 * score <= high * positive, in whole numbers
                         window = -(-low * positive // 100), high * positive // 100
                         if window[0] <= window[1]:
-                            found += [(own, which, positive, i, s, n) for s, i, n in search.first(k, lambda labels, label=label: labels != label, *window)]
+                            found += [(own, which, positive, i, s, n) for s, i, n in search.first(k, False, *window)]
                 if any(not -(1 << 63) <= x[4] < 1 << 63 for x in found):
                     raise ValueError("a score does not fit into 64 bits")
                 yield pd.DataFrame(found, columns=["anchor_id", "which", "positive", "id", "score", "copies"]).astype({"positive": "Int64"})

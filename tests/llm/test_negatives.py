@@ -33,12 +33,13 @@ def run(spark, rows, **more):
 @pytest.mark.parametrize("spread", [1.0, 0.05])
 def test_equals_brute_force(spark, spread):
     """Noise and clusters, in shards of a few leaves."""
+    assert negatives.LEAF < 700
     draw = np.random.default_rng(int(spread * 100))
     middle = draw.normal(size=(12, 6)) / 2
-    rows = [(int(i), (middle[i % 12] + spread * draw.normal(size=6)).tolist(), int(draw.integers(4)), "x") for i in range(1500)]
+    rows = [(int(i), (middle[i % 12] + spread * draw.normal(size=6)).tolist(), int(draw.integers(4)), "x") for i in range(3000)]
     want = brute(rows)
     assert len(want) > 100
-    assert run(spark, rows, shard_rows=400) == want
+    assert run(spark, rows, shard_rows=1500) == want
 
 
 def test_ties_copies_and_rows_that_take_no_part(spark):
@@ -50,22 +51,23 @@ def test_ties_copies_and_rows_that_take_no_part(spark):
     assert run(spark, rows) == want
 
 
-def test_pruning_on_clusters():
+def test_pruning_on_clusters(monkeypatch):
     """A window inside of a cluster is found without scoring most rows."""
     draw = np.random.default_rng(1)
     middle = draw.normal(size=(64, 8)) * 100
     x = np.repeat(middle, 64, axis=0) + draw.normal(size=(4096, 8))
     x = np.floor(1000 * x / np.linalg.norm(x, axis=1, keepdims=True))
+    monkeypatch.setattr(negatives, "LEAF", 32)
     nodes, spans, order = negatives.grown(x)
     labels = np.array([str(i % 3) for i in range(4096)], object)
     tree = negatives.Tree(nodes, spans, x[order], order, labels[order], np.ones(4096, np.int64))
     scored = 0
     for q in range(0, 4096, 512):
-        search = negatives.Search(tree, x[q], q)
-        top = search.first(3, lambda y, q=q: y != labels[q])
+        search = negatives.Search(tree, x[q], q, labels[q])
+        top = search.first(3, False)
         want = sorted((-int(x[i] @ x[q]), i) for i in range(4096) if labels[i] != labels[q])[:3]
         assert [(-s, i) for s, i, _ in top] == want
-        scored += sum(map(len, search.scores.values()))
+        scored += search.scored
     assert scored < 0.25 * 8 * 4096
 
 
