@@ -13,7 +13,7 @@ from factloom.catalogue import CIK, PERIOD, Query, served
 from factloom.documents import operators as readers
 from factloom.documents import production
 from factloom.functions import names, stems, text, units
-from factloom.operators import acquisition, clusters, crosscheck, identity, scale, sites, succession, sync, validation, writes
+from factloom.operators import acquisition, clusters, crosscheck, identity, phrase_index, scale, sites, succession, sync, validation, writes
 from factloom.plans import answers, counts, quality, reports, series, service
 from factloom.registry import CONCEPTS, DEVELOPED, TOTAL
 from factloom.session import work_folder, work_path
@@ -192,16 +192,50 @@ def sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _corpus(spark, sf_dir).select("accession", text.flatten(corpus.sheet(raw, F.lit(2))).alias("second"), corpus.sheet(raw, F.lit(9)).isNull().alias("none"), text.flatten(corpus.sheet(raw, F.lit(3), strict=True)).alias("third"))
 
 
-@query
-def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines written as the searched relation and found there by phrases, form and company."""
+def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(document_id, text) and the attributes that an index has of them."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("document_id"), "text")
     n = F.col("document_id")
-    about = documents.select("document_id", _text("a-", n % 50).alias("accession"), _text("c-", n % 5).alias("cik"), F.when(n % 2 == 0, "10-K").otherwise("20-F").alias("form"), _text("d", n, ".htm").alias("name"))
-    folder = work_path(spark, "document-index")
-    sites.index(sites.document_lines(documents, "document_id"), about, folder, 8)
-    found = sites.search(spark.read.parquet(folder), ("of the", "and the"), cik="c-2", form="10-K")
-    return found.select("document_id", "line_no", "accession")
+    return documents, documents.select("document_id", _text("a-", n % 50).alias("accession"), _text("c-", n % 5).alias("cik"), F.when(n % 2 == 0, "10-K").otherwise("20-F").alias("form"), _text("d", n, ".htm").alias("name"))
+
+
+_INDEXED: dict[tuple[str, str], str] = {}
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the index of all documents, written once a session."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _INDEXED:
+        documents, about = _documents(spark, sf_dir)
+        folder = work_path(spark, "document-index")
+        phrase_index.build(sites.document_lines(documents, "document_id"), about, folder, segment_postings=1_000_000, file_postings=500_000)
+        _INDEXED[key] = folder
+    return _INDEXED[key]
+
+
+@query
+def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in the index by phrases, form and company."""
+    return phrase_index.search(spark, _indexed(spark, sf_dir), ("of the", "and the"), cik="c-2", form="10-K").select("document_id", "line_no", "accession")
+
+
+@query
+def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each phrase stands in each document, by the index: two words, one word, five words, none."""
+    found = phrase_index.find(spark, _indexed(spark, sf_dir), ("in the", "Er", "a b c d e", "..."), exact=True)
+    return found.groupBy("document_id", "phrase").agg(F.count("*").alias("n"), F.min("line_no").alias("first_line"))
+
+
+@query
+def reindexed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a phrase after some documents got another text and others were removed from the index."""
+    documents, about = _documents(spark, sf_dir)
+    folder, n = work_path(spark, "document-index"), F.col("document_id")
+    phrase_index.build(sites.document_lines(documents, "document_id"), about, folder, segment_postings=200_000, file_postings=100_000)
+    some = documents.where(n % 40 == 3)
+    again = some.where(n % 80 == 3).select("document_id", F.concat(F.lit("In the end\n"), F.col("text"), F.lit("\nall of the rest")).alias("text"))
+    phrase_index.replace(sites.document_lines(again, "document_id"), about.join(some, "document_id", "left_semi"), folder)
+    return phrase_index.search(spark, folder, ("of the", "in the"), exact=True).select("document_id", "line_no", "form")
 
 
 @query

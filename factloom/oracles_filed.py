@@ -162,6 +162,15 @@ ORACLE_SQL: dict[str, str] = {
   'Item 2. Properties As of December 31, 2023 Oil (MBbls) Total (MBoe) ' || {" || ' ' || ".join(f"'{label} ' || {comma(oil)} || ' ' || {comma(total)}" for label, _, oil, total in RESERVE_ROWS)} AS third FROM s"""),
     "document_index": f"""WITH l AS (SELECT doc_id AS document_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents WHERE doc_id % 5 = 2 AND doc_id % 2 = 0)
 SELECT document_id, CAST(line_no AS INT) AS line_no, 'a-' || document_id % 50 AS accession FROM l WHERE regexp_matches(text, '{PHRASE["of"]}') OR regexp_matches(text, '{PHRASE["and"]}')""",
+    "phrase_search": """WITH l AS (SELECT doc_id AS document_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
+w AS (SELECT document_id, line_no, list_filter(string_split_regex(lower(regexp_replace(text, '[^0-9A-Za-z_]+', ' ', 'g')), ' '), lambda x: x <> '') AS w FROM l),
+n AS (SELECT document_id, line_no, len(list_filter(range(1, len(w)), lambda i: w[i] = 'in' AND w[i + 1] = 'the')) AS a, len(list_filter(w, lambda x: x = 'er')) AS b,
+  len(list_filter(range(1, len(w) - 3), lambda i: w[i:i + 4] = ['a', 'b', 'c', 'd', 'e'])) AS c FROM w),
+p AS (SELECT document_id, line_no, CAST(unnest([0, 1, 2]) AS INT) AS phrase, unnest([a, b, c]) AS n FROM n)
+SELECT document_id, phrase, CAST(sum(n) AS BIGINT) AS n, CAST(min(line_no) AS INT) AS first_line FROM p WHERE n > 0 GROUP BY document_id, phrase""",
+    "reindexed_documents": r"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 80 = 3 THEN 'In the end' || chr(10) || text || chr(10) || 'all of the rest' ELSE text END AS text FROM documents WHERE doc_id % 40 <> 3 OR doc_id % 80 = 3),
+l AS (SELECT doc_id AS document_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM d)
+SELECT document_id, CAST(line_no AS INT) AS line_no, CASE WHEN document_id % 2 = 0 THEN '10-K' ELSE '20-F' END AS form FROM l WHERE regexp_matches(text, '(?i)(^|[^0-9A-Za-z_])(of|in)[^0-9A-Za-z_]+the([^0-9A-Za-z_]|$)')""",
     "corpus_files": with_(SUPPLIED, then=f"SELECT accession, 'r.htm' AS name, length(raw) AS chars, md5(raw) AS md5 FROM (SELECT accession, {_raw()} AS raw FROM s)"),
     "company_numbers": with_(SUPPLIED, then="SELECT DISTINCT CASE k % 4 WHEN 3 THEN '0000000007' ELSE cik END AS cik FROM s WHERE k % 4 <> 0"),
     "cross_check": with_(SUPPLIED, then="""SELECT cik, CASE WHEN k % 3 <> 0 THEN 'oil' END AS product, CASE WHEN k % 11 = 0 THEN 'unchecked' WHEN k % 4 IN (0, 2) THEN 'agree' WHEN k % 4 = 1 THEN 'rescaled' ELSE 'disagree' END AS outcome,

@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -48,5 +48,18 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 def _delete(spark: SparkSession, path: str) -> None:
     if spark._jvm is not None and spark.sparkContext._jsc is not None:  # else the session has ended already
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a path of the file system that Spark uses for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read from there, so that nothing is worked out twice and no lost executor
+    takes it along."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
