@@ -165,7 +165,7 @@ def companyfacts_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_unit = dated.groupBy("cik", "taxonomy", "tag", "unit").agg(F.collect_list(o).alias("o"))
     by_tag = by_unit.groupBy("cik", "taxonomy", "tag").agg(F.struct(F.map_from_entries(F.collect_list(F.struct("unit", "o"))).alias("units")).alias("body"))
     by_taxonomy = by_tag.groupBy("cik", "taxonomy").agg(F.map_from_entries(F.collect_list(F.struct("tag", "body"))).alias("tags"))
-    payload = by_taxonomy.groupBy("cik").agg(F.map_from_entries(F.collect_list(F.struct("taxonomy", "tags"))).alias("facts")).select(F.struct("cik", F.lit(None).cast("string").alias("entityName"), "facts").alias("payload"))
+    payload = by_taxonomy.groupBy("cik").agg(F.map_from_entries(F.collect_list(F.struct("taxonomy", "tags"))).alias("facts")).select(F.struct("cik", F.lit(None).cast("string").alias("entityName"), "facts").alias("payload")).select(F.to_variant_object("payload").alias("payload"))
     rows = payloads.fact_rows(payloads.observations(payload), forms=("10-K", "20-F"))
     return rows.select("cik", "concept_key", "taxonomy", "tag", "value", "unit", "period_end", "accession", "form", "filed", "unit_rank")
 

@@ -388,19 +388,19 @@ def _submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 4 == 2, "Norway").alias("stateOfIncorporationDescription"), F.array(F.struct(_text("Old ", n).alias("name"))).alias("formerNames"), "filings",
     ))
     broken = F.when(n % 10 == 0, F.lit("{not json")).otherwise(doc)
-    return recent.select(F.from_json(broken, payloads.SUBMISSIONS).alias("payload"))
+    return payloads.parsed(recent.select(broken.alias("doc")), "doc")
 
 
 @query
 def submission_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     ciks = served(spark, sf_dir).filing.select("cik")
-    rows = payloads.profiles_of(ciks, _submissions(spark, sf_dir).where("payload.cik is not null"))
+    rows = payloads.profiles_of(ciks, _submissions(spark, sf_dir))
     return rows.select("cik", "name", F.array_join("tickers", ",").alias("tickers"), F.array_join("former_names", ",").alias("former_names"), "is_foreign", "country", "annual_count", "latest_annual", "annual_form", "eightk_count", "latest_8k", "error")
 
 
 @query
 def discovery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.discovery_report(payloads.profiles_of(served(spark, sf_dir).filing.select("cik"), _submissions(spark, sf_dir).where("payload.cik is not null")))
+    return reports.discovery_report(payloads.profiles_of(served(spark, sf_dir).filing.select("cik"), _submissions(spark, sf_dir)))
 
 
 @query
@@ -414,8 +414,7 @@ def ticker_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     rows = _suppliers(spark, sf_dir).select(F.explode(F.array(*[F.struct((k * 3 + i).cast("string").alias("key"), F.struct(k.cast("string").alias("cik_str"), _text(t, k).alias("ticker"), F.lit("x").alias("title")).alias("value")) for i, t in enumerate(("B", "A", "B"))])).alias("e"))
     doc = rows.groupBy((F.col("e.value.cik_str").cast("long") % 4).alias("file")).agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("j"))
-    parsed = doc.select(F.from_json("j", payloads.TICKERS).alias("payload"))
-    return payloads.first_tickers(payloads.ticker_map(parsed)).select("cik", "ticker", F.col("n").cast("long").alias("n"))
+    return payloads.first_tickers(payloads.ticker_map(payloads.parsed(doc, "j"))).select("cik", "ticker", F.col("n").cast("long").alias("n"))
 
 
 @query
@@ -429,7 +428,19 @@ def revalidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.to_json(F.struct(k.cast("string").alias("cik"), F.create_map(F.lit("srt"), tags).alias("facts")))
     rows = _suppliers(spark, sf_dir)
     company = rows.where(k % 9 != 0).select(F.lpad(k.cast("string"), 10, "0").alias("cik"))
-    return payloads.revalidated(rows.select(F.from_json(doc, payloads.FACTS).alias("payload")), company)
+    return payloads.revalidated(payloads.parsed(rows.select(doc.alias("doc")), "doc"), company)
+
+
+@query
+def payload_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that give no payload, by reason; the others' fields that no schema names are still there."""
+    k = F.col("k")
+    doc = F.to_json(F.struct(k.alias("cik"), F.create_map(F.lit("x"), F.create_map(F.lit("Odd"), F.struct(F.create_map(F.lit("u"), F.array(F.struct(k.cast("double").alias("val"), _text("n", k).alias("note")))).alias("units")))).alias("facts")))
+    text = F.when(k % 5 == 0, F.substring(doc, 1, 12)).when(k % 5 == 1, "[1, 2]").when(k % 5 == 2, " ").when(k % 5 == 3, doc)
+    found = payloads.parsed(_suppliers(spark, sf_dir).select(text.alias("doc")), "doc")
+    good = payloads.observations(found).select(F.lit("note of an observation").alias("error"), payloads.field("observed", "$.note", "string").alias("note"), "val")
+    kept = good.where(F.col("note") == F.concat(F.lit("n"), F.col("val").cast("long").cast("string"))).groupBy("error").agg(F.count("*").alias("n"))
+    return payloads.failures(found).unionByName(kept)
 
 
 # Scalars and names

@@ -200,6 +200,7 @@ every AS (SELECT * FROM held UNION SELECT e.accession, e.name FROM ex e SEMI JOI
     "submission_filings": with_(FILING, RECENT, then="SELECT form, count(*) AS n, min(filed_date) AS \"first\", max(filed_date) AS \"last\" FROM r WHERE n % 10 <> 0 GROUP BY form"),
     "ticker_map": with_(SUPPLIED, then="SELECT cik, 'B' || k AS ticker, CAST(2 AS BIGINT) AS n FROM s"),
     "revalidated": with_(SUPPLIED, then="SELECT CASE WHEN k % 7 = 0 THEN 'insufficient' WHEN k % 5 = 0 AND 9000 / CAST(d + u + 9000 AS DOUBLE) > 0.03 THEN 'drifted' ELSE 'validated' END AS status, count(*) AS n FROM s WHERE k % 9 <> 0 GROUP BY ALL"),
+    "payload_errors": with_(SUPPLIED, then="SELECT CASE k % 5 WHEN 0 THEN 'malformed JSON' WHEN 1 THEN 'not an object' WHEN 3 THEN 'note of an observation' ELSE 'no text' END AS error, count(*) AS n FROM s GROUP BY 1"),
     "archive_urls": with_(SUPPLIED, then=f"""SELECT k, 'https://data.sec.gov/api/xbrl/companyfacts/CIK' || cik || '.json' AS facts, 'https://data.sec.gov/api/xbrl/companyconcept/CIK' || cik || '/srt/T.json' AS concept,
   'https://data.sec.gov/submissions/CIK' || cik || '.json' AS submissions, '{ARCHIVE}/' || k || '/000024' || k AS dir, CASE WHEN k % 2 = 0 THEN 'a_htm.xml' END AS instance, '/c/0000-24-' || k || '/a.htm' AS path, 2023 AS year,
   CASE WHEN k % 3 <> 0 THEN CASE WHEN k % 2 = 0 THEN 'srt:T' ELSE 'T' END END AS tag FROM s"""),

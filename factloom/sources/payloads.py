@@ -1,35 +1,67 @@
-"""Payloads of filers: tagged facts, submissions and the map of tickers, with dynamic keys read as maps."""
+"""Payloads of filers: tagged facts, submissions and the map of tickers, JSON texts read as VARIANT.
+
+Their keys are dynamic (taxonomies, tags, units), so no schema is fixed: objects are opened as maps of variants, level by
+level, and a field is taken by its path with the type that it is wanted in. Fields that nobody asks for stay in the
+payload, and in an observation's own variant. A text that is no JSON is a row with its error, not a failure of the read.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.names import base_form, cik_padded
 from factloom.operators.identity import ANNUAL_FORMS, domicile
 from factloom.registry import PRODUCT_OF_UNIT, aliases_frame, concepts_frame, units_frame
 
+#: What is asked for of an observation and of submissions, with types; a field of another kind is null.
 OBSERVATION = "struct<start:string,end:string,val:double,accn:string,fy:int,fp:string,form:string,filed:string,frame:string>"
-FACTS = f"struct<cik:string,entityName:string,facts:map<string,map<string,struct<units:map<string,array<{OBSERVATION}>>>>>>"
 SUBMISSIONS = (
     "struct<cik:string,name:string,tickers:array<string>,exchanges:array<string>,sic:string,sicDescription:string,"
     "addresses:struct<business:struct<stateOrCountry:string,stateOrCountryDescription:string>>,stateOfIncorporation:string,stateOfIncorporationDescription:string,"
     "formerNames:array<struct<name:string>>,filings:struct<recent:struct<form:array<string>,filingDate:array<string>,accessionNumber:array<string>,primaryDocument:array<string>,reportDate:array<string>>>>"
 )
-TICKERS = "map<string,struct<cik_str:string,ticker:string,title:string>>"
 DEFAULT_FORMS = ("10-K", "10-K/A")
+NO_TEXT, MALFORMED, NO_OBJECT = "no text", "malformed JSON", "not an object"
+
+
+def field(variant: Column | str, path: str, kind: str) -> Column:
+    """What a path of a variant holds, in a type; null where it is absent or of another kind."""
+    return F.try_variant_get(F.col(variant) if isinstance(variant, str) else variant, path, kind)
+
+
+def members(variant: Column | str, path: str = "$") -> Column:
+    """The object at a path as a map of variants; null where there is none."""
+    return field(variant, path, "map<string,variant>")
+
+
+def parsed(texts: DataFrame, text_col: str) -> DataFrame:
+    """texts with the column payload (VARIANT) instead of the JSON text, and error: null, or why there is no payload.
+    An object that has a key twice counts as malformed."""
+    blank = F.coalesce(F.trim(text_col) == "", F.lit(True))
+    read = texts.withColumns({"error": F.when(blank, NO_TEXT), "payload": F.try_parse_json(F.col(text_col))}).drop(text_col)  # parsed once
+    error = F.when(F.col("error").isNotNull(), F.col("error")).when(F.col("payload").isNull(), MALFORMED).when(members("payload").isNull(), NO_OBJECT)
+    return read.withColumn("error", error).withColumn("payload", F.when(F.col("error").isNull(), F.col("payload")))
+
+
+def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """(source, error, payload): one row a JSON file of the folder that has any text."""
+    texts = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("source"), "value")
+    return parsed(texts, "value")
 
 
-def read_payloads(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """One row a JSON file of the folder; a file that does not parse gives a null payload."""
-    return spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("payload"))
+def failures(payloads: DataFrame) -> DataFrame:
+    """(error, n): how many texts gave no payload, by reason."""
+    return payloads.where("error is not null").groupBy("error").agg(F.count("*").alias("n"))
 
 
 def observations(payloads: DataFrame) -> DataFrame:
-    """One row an observation: cik, taxonomy, tag, unit, its fields, and its ordinal in the unit's list."""
-    p = payloads.select(cik_padded(F.col("payload.cik")).alias("cik"), F.explode("payload.facts").alias("taxonomy", "tags"))
-    p = p.select("cik", "taxonomy", F.explode("tags").alias("tag", "body")).select("cik", "taxonomy", "tag", F.explode_outer("body.units").alias("unit", "list"))
-    return p.select("cik", "taxonomy", "tag", "unit", F.posexplode_outer("list").alias("ordinal", "o")).select("cik", "taxonomy", "tag", "unit", "ordinal", "o.*")
+    """One row an observation: cik, taxonomy, tag, unit, its ordinal in the unit's list, its fields, and the whole of it
+    as a variant (`observed`), with what OBSERVATION does not name. A tag without units gives one row of nulls."""
+    p = payloads.select(cik_padded(field("payload", "$.cik", "string")).alias("cik"), F.explode(members("payload", "$.facts")).alias("taxonomy", "tags"))
+    p = p.select("cik", "taxonomy", F.explode(members("tags")).alias("tag", "body")).select("cik", "taxonomy", "tag", F.explode_outer(members("body", "$.units")).alias("unit", "list"))
+    p = p.select("cik", "taxonomy", "tag", "unit", F.posexplode_outer(field("list", "$", "array<variant>")).alias("ordinal", "observed"))
+    return p.withColumn("o", field("observed", "$", OBSERVATION)).select("cik", "taxonomy", "tag", "unit", "ordinal", "o.*", "observed")
 
 
 def chosen_tags(obs: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
@@ -95,20 +127,18 @@ def _keys() -> list[str]:
 
 def filings(payloads: DataFrame) -> DataFrame:
     """One row a filing of the submissions; shorter arrays give nulls."""
-    recent = F.col("payload.filings.recent")
     fields = {"form": "form", "filed_date": "filingDate", "accession": "accessionNumber", "primary_doc": "primaryDocument", "period_end": "reportDate"}
-    zipped = F.arrays_zip(*[F.coalesce(recent[f], F.array().cast("array<string>")).alias(n) for n, f in fields.items()])
-    return payloads.select(cik_padded(F.col("payload.cik")).alias("cik"), F.posexplode(zipped).alias("ordinal", "f")).select("cik", "ordinal", "f.*").where(F.col("form").isNotNull())
+    zipped = F.arrays_zip(*[F.coalesce(F.col("s.filings.recent")[f], F.array().cast("array<string>")).alias(n) for n, f in fields.items()])
+    return payloads.select(field("payload", "$", SUBMISSIONS).alias("s")).select(cik_padded(F.col("s.cik")).alias("cik"), F.posexplode(zipped).alias("ordinal", "f")).select("cik", "ordinal", "f.*").where(F.col("form").isNotNull())
 
 
 def profiles(payloads: DataFrame) -> DataFrame:
     """One row a filer: identity, domicile, newest annual report and its form, counts of annual and 8-K filings."""
-    business = F.col("payload.addresses.business")
-    foreign, country = domicile(business["stateOrCountry"], business["stateOrCountryDescription"], F.col("payload.stateOfIncorporation"), F.col("payload.stateOfIncorporationDescription"))
-    names = F.filter(F.transform(F.coalesce("payload.formerNames", F.array().cast("array<struct<name:string>>")), lambda x: x["name"]), lambda x: x.isNotNull())
-    who = payloads.select(
-        cik_padded(F.col("payload.cik")).alias("cik"), F.col("payload.name").alias("name"), F.filter(F.coalesce("payload.tickers", F.array().cast("array<string>")), lambda t: t.isNotNull()).alias("tickers"),
-        F.filter(F.coalesce("payload.exchanges", F.array().cast("array<string>")), lambda t: t.isNotNull()).alias("exchanges"), F.col("payload.sic").alias("sic"), F.col("payload.sicDescription").alias("sic_description"),
+    listed = lambda name: F.filter(F.coalesce(name, F.array().cast("array<string>")), lambda t: t.isNotNull())
+    foreign, country = domicile(F.col("s.addresses.business.stateOrCountry"), F.col("s.addresses.business.stateOrCountryDescription"), F.col("s.stateOfIncorporation"), F.col("s.stateOfIncorporationDescription"))
+    names = F.filter(F.transform(F.coalesce("s.formerNames", F.array().cast("array<struct<name:string>>")), lambda x: x["name"]), lambda x: x.isNotNull())
+    who = payloads.select(field("payload", "$", SUBMISSIONS).alias("s")).select(
+        cik_padded(F.col("s.cik")).alias("cik"), F.col("s.name").alias("name"), listed("s.tickers").alias("tickers"), listed("s.exchanges").alias("exchanges"), F.col("s.sic").alias("sic"), F.col("s.sicDescription").alias("sic_description"),
         names.alias("former_names"), foreign.alias("is_foreign"), country.alias("country"),
     )
     base = base_form(F.col("form"))
@@ -132,7 +162,7 @@ def profiles_of(ciks: DataFrame, payloads: DataFrame) -> DataFrame:
 
 def ticker_map(payloads: DataFrame) -> DataFrame:
     """(cik, tickers) of a map keyed by row number, in the order of the rows, each ticker once."""
-    rows = payloads.select(F.explode("payload").alias("row", "v")).select(cik_padded(F.col("v.cik_str")).alias("cik"), F.col("row").cast("int").alias("row"), F.col("v.ticker").alias("t"))
+    rows = payloads.select(F.explode(members("payload")).alias("row", "v")).select(cik_padded(field("v", "$.cik_str", "string")).alias("cik"), F.col("row").cast("int").alias("row"), field("v", "$.ticker", "string").alias("t"))
     listed = F.array_sort(F.collect_list(F.struct("row", "t")))
     return rows.groupBy("cik").agg(F.array_distinct(F.transform(listed, lambda x: x["t"])).alias("tickers"))
 
@@ -155,7 +185,7 @@ def revalidated(payloads_: DataFrame, company: DataFrame) -> DataFrame:
     dated = obs.join(F.broadcast(aliases_frame(obs.sparkSession).select("concept_key", "taxonomy", "tag", "alias_ord")), ["taxonomy", "tag"])
     fit = dated.where(F.col("form").isin(*DEFAULT_FORMS) & F.col("end").isNotNull() & F.col("val").isNotNull() & F.col("accn").isNotNull())
     values = candidate_values(fit.select("cik", "concept_key", "tag", "unit", F.col("end").alias("period_end"), "filed", "ordinal", F.col("val").alias("value"), "alias_ord"))
-    asked = payloads_.select(cik_padded(F.col("payload.cik")).alias("cik")).join(company.select("cik"), "cik", "left_semi")
+    asked = payloads_.select(cik_padded(field("payload", "$.cik", "string")).alias("cik")).join(company.select("cik"), "cik", "left_semi")
     return validate_family(values, asked).groupBy("status").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "status")
 
 

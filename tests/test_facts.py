@@ -33,7 +33,7 @@ PAYLOAD = {
 def flat(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("payloads")
     (folder / "one.json").write_text(json.dumps(PAYLOAD))
-    return payloads.observations(payloads.read_payloads(spark, str(folder), payloads.FACTS)).cache()
+    return payloads.observations(payloads.read_payloads(spark, str(folder))).drop("observed").cache()
 
 
 def test_flatten(flat):
@@ -50,6 +50,18 @@ def test_flatten(flat):
     assert len(grid) == 9 and {r.concept_key for r in grid if r.tagged} == {DEVELOPED, "average_sales_price"}
 
 
+def test_unknown_fields_survive_and_bad_texts_are_rows(spark, tmp_path):
+    body = {"cik": 7, "more": {"a": [1]}, "facts": {"x": {"Odd": {"label": "L", "units": {"u": [obs("2023-12-31", 1.5, note="n", deep={"k": [2]}), "text", None]}}, "Bare": {}, "None": None}}}
+    for name, text in {"good": json.dumps(body), "cut": json.dumps(body)[:40], "list": "[1]", "empty": " ", "twice": '{"cik": 1, "cik": 2}'}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    raw = payloads.read_payloads(spark, str(tmp_path))
+    assert {r.source.rsplit("/", 1)[1]: r.error for r in raw.collect()} == {"good.json": None, "cut.json": payloads.MALFORMED, "list.json": payloads.NO_OBJECT, "empty.json": payloads.NO_TEXT, "twice.json": payloads.MALFORMED}
+    assert {r.error: r.n for r in payloads.failures(raw).collect()} == {payloads.MALFORMED: 2, payloads.NO_OBJECT: 1, payloads.NO_TEXT: 1}
+    rows = payloads.observations(raw).select("cik", "tag", "ordinal", "val", payloads.field("observed", "$.note", "string").alias("note"), payloads.field("observed", "$.deep.k[0]", "int").alias("deep")).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([("0000000007", "Odd", 0, 1.5, "n", 2), ("0000000007", "Odd", 1, None, None, None), ("0000000007", "Odd", 2, None, None, None), ("0000000007", "Bare", None, None, None, None), ("0000000007", "None", None, None, None, None)], key=str)
+    assert raw.select(payloads.field("payload", "$.more.a[0]", "int").alias("a")).where("a = 1").count() == 1
+
+
 def values(spark, rows):
     return spark.createDataFrame([("c", k, t, "MBoe", p, v, o) for k, t, o, p, v in rows], "cik string, concept_key string, tag string, unit string, period_end string, value double, alias_ord int")
 
@@ -121,13 +133,13 @@ def test_submissions(spark, tmp_path):
     doc = {"cik": "12", "name": "N", "tickers": ["T"], "exchanges": [None, "NYSE"], "sic": "1311", "addresses": {"business": {"stateOrCountry": "TX", "stateOrCountryDescription": "TX"}}, "formerNames": [{"name": "M"}],
            "filings": {"recent": {"form": ["8-K", "10-K", "10-K/A", "10-KT"], "filingDate": ["2024-03-01", "2023-02-01", "2024-02-01", "2024-09-01"], "accessionNumber": ["a", "b", "c"], "primaryDocument": ["x"]}}}
     (tmp_path / "s.json").write_text(json.dumps(doc))
-    raw = payloads.read_payloads(spark, str(tmp_path), payloads.SUBMISSIONS)
+    raw = payloads.read_payloads(spark, str(tmp_path))
     r = payloads.profiles(raw).first()
     assert (r.cik, r.exchanges, r.annual_count, r.latest_annual, r.annual_form, r.eightk_count, r.is_foreign) == ("0000000012", ["NYSE"], 2, "2024-02-01", "10-K", 1, False)
     assert payloads.filings(raw).count() == 4
     (tmp_path / "t").mkdir()
     (tmp_path / "t/t.json").write_text(json.dumps({"1": {"cik_str": 12, "ticker": "B", "title": "x"}, "0": {"cik_str": 12, "ticker": "A", "title": "x"}, "2": {"cik_str": 12, "ticker": "B", "title": "x"}}))
-    assert payloads.ticker_map(payloads.read_payloads(spark, str(tmp_path / "t"), payloads.TICKERS)).first().tickers == ["A", "B"]
+    assert payloads.ticker_map(payloads.read_payloads(spark, str(tmp_path / "t"))).first().tickers == ["A", "B"]
     (tmp_path / "ciks.txt").write_text("# head\n12, x\n\nCIK0000000013 # y\n12\n")
     assert {r.cik for r in payloads.cik_list(spark, str(tmp_path / "ciks.txt")).collect()} == {"0000000012", "0000000013"}
 

@@ -155,6 +155,6 @@ def test_documents_are_stored_and_read_again(spark, tmp_path):
 
 def test_blank_profiles(spark):
     ciks = spark.createDataFrame([("0000000001",)], "cik string")
-    none = spark.createDataFrame([(None,)], f"payload {payloads.SUBMISSIONS}")
+    none = payloads.parsed(spark.createDataFrame([(None,)], "doc string"), "doc")
     r = payloads.profiles_of(ciks, none).first()
     assert (r.error, r.tickers, r.annual_count, r.name) == ("no submissions", [], 0, None)
