@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import text, units
-from factloom.operators import clusters, crosscheck, identity, scale, sites, validation, writes
+from factloom.operators import clusters, crosscheck, identity, merges, scale, sites, validation, writes
 from factloom.plans import counts, panel, quality, series, views
 from factloom.registry import DEVELOPED, FAMILY, TOTAL
-from factloom.session import work_folder, work_path
+from factloom.session import kept, work_folder, work_path
 from factloom.sources import payloads
 from factloom.sources.store import Store, open_store, tpch_store
 
@@ -112,6 +112,38 @@ def _halves(s: Store) -> tuple[DataFrame, DataFrame]:
 over_store("insert_idempotent", lambda s: writes.insert_facts(*_halves(s)).groupBy("concept_key").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id")))
 
 
+@query
+def appended_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts appended to a written relation: rows by concept after it, whether every file that was there is there still,
+    and whether the concept got files."""
+    folder = work_path(spark, "facts")
+    old, new = _halves(served(spark, sf_dir))
+    merges.lay_out(old, folder, "cik", by=("concept_key",))
+    before = spark.read.parquet(folder).select("concept_key", F.input_file_name().alias("file")).distinct()
+    before = kept(before, "files")
+    merges.append_new(spark, folder, new)
+    rows = merges.read(spark, folder).select("concept_key", "id", F.input_file_name().alias("file"))
+    files = rows.select("concept_key", "file").distinct().join(before.withColumn("old", F.lit(True)), ["concept_key", "file"], "full_outer")
+    # A file that went would have no rows now, and be counted here as old without any.
+    still = rows.select("file").distinct().withColumn("there", F.lit(True))
+    seen = files.join(still, "file", "left").groupBy("concept_key").agg(F.bool_and(F.col("there").isNotNull()).alias("kept_files"), F.bool_or(F.col("old").isNull()).alias("new_files"))
+    return rows.groupBy("concept_key").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id")).join(seen, "concept_key")
+
+
+@query
+def merged_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies refreshed in place by some filers' new data and one unknown company, and some of them removed."""
+    folder = work_path(spark, "companies")
+    company = served(spark, sf_dir).company
+    merges.lay_out(company, folder, "cik", part_rows=20)
+    n = F.col("cik").cast("long")
+    new = company.where(n % 50 == 7).select("cik", F.concat("name", F.lit(" II")).alias("name"), F.lit(None).cast("string").alias("ticker"), F.lit("Canada").alias("country"))
+    extra = spark.createDataFrame([("9999999999", "Fresh", "NEW", None)], "cik string, name string, ticker string, country string")
+    merges.merge(spark, folder, new.unionByName(extra), "cik", writes.upsert_company)
+    merges.merge(spark, folder, company.where(n % 50 == 9).select("cik"), "cik", lambda old, gone: writes.delete_matching(old, gone, ("cik",)))
+    return merges.read(spark, folder).select("cik", "name", "ticker", "cohort", "country", "is_operator")
+
+
 @query
 def upsert_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Companies refreshed by the private filers' new data and one unknown company."""

@@ -193,6 +193,10 @@ r AS (SELECT a.boe AS d, b.boe AS t FROM c a LEFT JOIN c b ON a.cik = b.cik AND
     "insert_idempotent": with_(*STORE, f"""old AS (SELECT * FROM fact WHERE concept_key <> '{T}'), new AS (SELECT *, row_number() OVER (PARTITION BY cik, concept_key, product_key, period_end, unit, accession ORDER BY id) AS rn FROM fact WHERE concept_key <> '{D}'),
 after AS (SELECT concept_key, id FROM old UNION ALL SELECT concept_key, id FROM new n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM old o WHERE o.cik = n.cik AND o.concept_key = n.concept_key AND o.product_key = n.product_key AND o.period_end = n.period_end AND o.unit = n.unit AND o.accession = n.accession))""",
         then="SELECT concept_key, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM after GROUP BY concept_key"),
+    "appended_facts": with_(*STORE, f"""old AS (SELECT * FROM fact WHERE concept_key <> '{T}'), new AS (SELECT *, row_number() OVER (PARTITION BY cik, concept_key, product_key, period_end, unit, accession ORDER BY id) AS rn FROM fact WHERE concept_key <> '{D}'),
+after AS (SELECT concept_key, id FROM old UNION ALL SELECT concept_key, id FROM new n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM old o WHERE o.cik = n.cik AND o.concept_key = n.concept_key AND o.product_key = n.product_key AND o.period_end = n.period_end AND o.unit = n.unit AND o.accession = n.accession))""",
+        then=f"SELECT concept_key, count(*) AS n, min(id) AS first_id, max(id) AS last_id, true AS kept_files, concept_key = '{T}' AS new_files FROM after GROUP BY concept_key"),
+    "merged_companies": with_(*STORE, then="SELECT cik, CASE CAST(cik AS BIGINT) % 50 WHEN 7 THEN name || ' II' ELSE name END AS name, ticker, cohort, CASE CAST(cik AS BIGINT) % 50 WHEN 7 THEN 'Canada' ELSE country END AS country, is_operator FROM company WHERE CAST(cik AS BIGINT) % 50 <> 9 UNION ALL SELECT '9999999999', 'Fresh', 'NEW', NULL, NULL, true"),
     "upsert_refresh": with_(*STORE, then="SELECT cik, CASE listing_status WHEN 'private-filer' THEN name || ' II' ELSE name END AS name, ticker, cohort, CASE listing_status WHEN 'private-filer' THEN 'Canada' ELSE country END AS country, is_operator FROM company UNION ALL SELECT '9999999999', 'Fresh', 'NEW', NULL, NULL, true"),
     "upsert_fill_blanks": with_(*STORE, then="SELECT accession, form, filed_date, CASE form WHEN '10-K' THEN substr(filed_date, 1, 4) || '-12-31' ELSE '1999-06-30' END AS period_end FROM filing"),
     "prune_reinsert": with_(*STORE, VALUES, then="SELECT f.concept_key, count(*) AS n FROM fact f WHERE NOT EXISTS (SELECT 1 FROM best b JOIN triple t ON t.cik = b.cik AND t.unit = b.unit WHERE b.cik = f.cik AND t.period_end = f.period_end AND t.error > 0.03) GROUP BY f.concept_key"),
