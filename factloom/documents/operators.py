@@ -134,7 +134,8 @@ def verify(facts: DataFrame, corpus: DataFrame) -> DataFrame:
         for pdf in batches:
             for name, raw, rank, wanted in zip(pdf["name"], pdf["raw"], pdf["doc_rank"], pdf["facts"], strict=True):
                 page, marked = layout.read(raw), markup.figures(raw)
-                out = [(*_verdict(f, name, page, marked), rank) for f in wanted]
+                numbers = evidence.Numbers(page.text)
+                out = [(*_verdict(f, name, page, marked, numbers), rank) for f in wanted]
                 yield pd.DataFrame(out, columns=[*names, "doc_rank"])
 
     found = met.mapInPandas(run, VERDICTS + ", doc_rank int")
@@ -143,7 +144,7 @@ def verify(facts: DataFrame, corpus: DataFrame) -> DataFrame:
     return facts.select(F.col("id").alias("fact_id")).join(best, "fact_id", "left").withColumn("status", F.coalesce("status", F.lit("unavailable")))
 
 
-def _verdict(f: dict, name: str, page: layout.Layout, marked: list[markup.Figure]) -> tuple:
+def _verdict(f: dict, name: str, page: layout.Layout, marked: list[markup.Figure], numbers: evidence.Numbers) -> tuple:
     figure = markup.match(marked, f["tag"], f["period_end"], f["value"], f["product"])
     if figure is not None:
         line = page.line_at_raw(figure.start)
@@ -151,7 +152,7 @@ def _verdict(f: dict, name: str, page: layout.Layout, marked: list[markup.Figure
         return f["id"], "found", "markup", name, figure.shown, float(10.0**figure.scale), figure.scale, 1, *where[:3], figure.element_id and f"#{figure.element_id}", where[3], []
     if not evidence.searchable(f["value"]):
         return f["id"], "unverifiable", None, name, *[None] * 9, []
-    hit = evidence.find_value(page, f["value"])
+    hit = evidence.find_value(page, f["value"], numbers)
     if hit is None:
         return f["id"], "not_found", None, name, *[None] * 9, []
     return f["id"], "found", "text", name, hit.printed, hit.scale, None, hit.hits, hit.page, hit.line, hit.section, None, hit.source_span, list(hit.units)

@@ -105,6 +105,35 @@ def test_evidence():
     assert evidence.find_value(page, 999) is None and not evidence.searchable(12.0) and not evidence.searchable(0) and evidence.searchable(123)
 
 
+@pytest.mark.parametrize(
+    ("text", "value", "printed", "scale", "hits"),
+    [
+        ("total 1,234,567 here", 1234567, "1,234,567", 1.0, 1), ("1,234.6 and 1,235", 1234567, "1,234.6", 1e3, 1), ("1,234.57, 1,235", 1234567, "1,235", 1e3, 1), ("1,234.57; 1,235", 1234567, "1,234.57", 1e3, 1), ("say 1,235.", 1234567, "1,235", 1e3, 1),
+        ("(1,234) 1,234 -1,234", -1234, "(1,234)", 1.0, 1), ("1,234 -1,234", -1234, "-1,234", 1.0, 1), ("(1,234) x (1,234)", -1234, "(1,234)", 1.0, 2), ("-1,234 and (1,234)", 1234, "1,234", 1.0, 2), ("11,234 1,234,5 1,234,567", 1234, None, 0, 0), ("1234", 1234, None, 0, 0),
+        ("0.45 to", 0.45, "0.45", 1.0, 1), ("2,500,000", 2500, "2,500,000", 1e-3, 1), ("1,234.5", 1234, "1,234", 1.0, 1), ("12.5", 12.5, "12.5", 1.0, 1), ("", 5555, None, 0, 0), ("5.555.", 5.555, None, 0, 0), ("x-(777)", -777, "(777)", 1.0, 1),
+    ],
+)
+def test_numbers_of_a_text(text, value, printed, scale, hits):
+    page = layout.read(f"<p>{text}</p>")
+    hit = evidence.find_value(page, value)
+    assert (hit and (hit.printed, hit.scale, hit.hits)) == (printed and (printed, scale, hits))
+    if hit:
+        assert page.text[hit.offset : hit.offset + len(printed)] == printed
+
+
+def test_units_near_a_number():
+    near = lambda t, v: evidence.find_value(layout.read(f"<p>{t}</p>"), v).units
+    assert near("Gas (Bcf) and oil (MBbl/d): 1,234 MMcfe", 1234) == ("MMcfe", "MBbl", "Bcf")
+    assert near("(see 12 Bcf) (MBoe) " + "x " * 1300 + "1,234", 1234) == () and near("1,234; MBoes", 1234) == ("MBoes",) and near("1,234 (unaudited)", 1234) == ()
+
+
+def test_resources_in_odd_writing():
+    raw = '<XBRLI:Context ID="a"><xbrli:entity/><period><startDate> 2023-01-01 </startDate><endDate>2023-12-31</endDate></period></XBRLI:Context><x>text</x><context id="b"><period><instant>2022-12-31</instant></period></context><unit id="u"><divide><measure>iso:USD</measure><measure>utr:bbl</measure></divide></unit><context>'
+    known, units_ = markup.resources(raw)
+    assert (known["a"].start, known["a"].end, known["b"].end, known["b"].start, units_) == ("2023-01-01", "2023-12-31", "2022-12-31", None, {"u": "USD/bbl"})
+    assert markup.resources("no marks") == ({}, {}) and markup.figures(None) == []
+
+
 def test_operators(spark):
     corpus = spark.createDataFrame([("a-1", "f.htm", FLAT + ROLL, 0), ("a-1", "x.htm", "<p>12,345 units</p>", 1), ("a-2", "p.htm", SALES, 0), ("a-3", "i.htm", IX, 0), ("a-4", "e.htm", "", 0)], "accession string, name string, raw string, doc_rank int")
     assert operators.lines(corpus).where("accession = 'a-3'").count() == len(layout.read(IX).lines)
