@@ -49,7 +49,7 @@ def test_bounds_hold_and_large_values_stay_exact():
     for scale in (1, 10**6, 10**8):
         rows = np.floor(rng.normal(0, 50, (200, 9)) * scale)
         pivots = topk.choose_pivots(rows[:50], 8)
-        known = topk.kth_scores(rows[:5], np.arange(5), rows[100:150], np.arange(100, 150), 5)
+        known = [top[-1][1] for _, top, *_ in topk.best(rows[:5], np.arange(5), rows[100:150], np.arange(100, 150), pivots, 5)]
         some = topk.best(rows[:5], np.arange(5), rows, np.arange(200), pivots, 5, known)
         found = [(q, i, s) for q, top, *_ in topk.best(rows[:5], np.arange(5), rows, np.arange(200), pivots, 5) for i, s in top]
         assert found == [(q, i, s) for q, top, *_ in some for i, s in top]
@@ -65,10 +65,31 @@ def test_far_blocks_are_passed_over():
     rng = np.random.default_rng(4)
     near, far = (np.floor(c + rng.normal(0, 3, (400, 8))) for c in (100, -100))
     pivots = topk.choose_pivots(np.concatenate([near[:20], far[:20]]), 8)
-    known = topk.kth_scores(near[:3], np.arange(3), near[100:200], np.arange(100, 200), 5)
+    known = [top[-1][1] for _, top, *_ in topk.best(near[:3], np.arange(3), near[100:200], np.arange(100, 200), pivots, 5)]
     assert [x[1:] for x in topk.best(near[:3], np.arange(3), far, np.arange(1000, 1400), pivots, 5, known)] == [([], 0, 400)] * 3
 
 
+def test_clusters_are_neither_shuffled_nor_evaluated(spark):
+    """Of forty clusters a query meets its own and few others."""
+    rng = np.random.default_rng(6)
+    middle = rng.normal(0, 1, (40, 8))
+    middle /= np.linalg.norm(middle, axis=1, keepdims=True)
+    rows = [(i, (middle[i % 40] + rng.normal(0, 0.01, 8)).tolist()) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    search = topk.Search(df, F.col("vec_id") % 50 == 0, 5, "vec_id", "embedding", 256.0, 64)
+    found = search.found()
+    sent = {(r["cell"], r["part"], r["q_ids"]) for r in search.begun.where("part is not null").collect()}
+    pairs = sum(len(q) // 8 for _, _, q in sent)  # queries sent to a block
+    assert pairs < 0.1 * 80 * search.blocks.count()
+    assert 80 * 5 <= found.agg(F.sum("evaluated")).first()[0] < 0.1 * 80 * 3999
+    assert got(topk.top_k(df, F.col("vec_id") % 50 == 0)) == sorted((q, r, i, -s) for q in range(0, 4000, 50) for r, (s, i) in enumerate(_scored(rows, q), 1))
+
+
+def _scored(rows, q):
+    x = np.floor(256 * np.array([v for _, v in rows]))
+    return sorted((-int(s), i) for i, s in enumerate(x @ x[q]) if i != q)[:5]
+
+
 def test_work_and_errors(spark):
     rng = np.random.default_rng(2)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(0, 1, (300, 4)))]
