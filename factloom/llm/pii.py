@@ -1,11 +1,14 @@
 """Personal data: base patterns, and terms of their neighbourhood that disclose them by corpus co-occurrence.
 
 Every distinct value that the base patterns find is a protected entity e. Terms t near its occurrences are candidates:
-the WINDOW words of four or more letters on either side that touch no base span, whatever their length or distance. From
-document counts over the whole corpus, PMI(e; t) = log(p(e, t) / (p(e) p(t))) says how much t reveals of e, and IC(e) =
--log p(e) is all there is to reveal. Where PMI / IC reaches the disclosure threshold the term is sanitised: removed when
-it reveals (nearly) everything, generalised to a mark otherwise. Pairs of a single document take part: a value that one
-document holds is as much to be protected as any other. A value that every document holds has nothing to reveal.
+the WINDOW words on either side that touch no base span, whatever their length or distance. A word is a run of letters;
+in scripts that part no words by spaces each letter is one. From document counts over the whole corpus, PMI(e; t) =
+log(p(e, t) / (p(e) p(t))) says how much t reveals of e, and IC(e) = -log p(e) is all there is to reveal. Half a document
+that holds the term elsewhere is added to its count (Jeffreys' estimate): a term that was met once with a value and never
+without it may be so by chance, and the fewer its meetings and the smaller the corpus, the less it counts. Where PMI / IC
+reaches the disclosure threshold the term is sanitised: removed when it reveals (nearly) everything, which takes many
+meetings, generalised to a mark otherwise. Pairs of a single document take part: a value that one document holds is as
+much to be protected as any other. A value that every document holds has nothing to reveal.
 
 Words are cut and lower-cased by the same functions near the entities and in the corpus. Where the two engines cut a
 word differently (letters newer than one of them), it counts as in the documents that it was found in near an entity.
@@ -39,11 +42,17 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-WORD = regex.compile(r"\p{L}{4,}")
+#: Scripts that part no words by spaces, by names that both engines know.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")
+WORD = regex.compile(r"(?V1)[\p{L}&&[" + "".join(rf"\p{{{x}}}" for x in UNSPACED) + r"]]|[\p{L}--[" + "".join(rf"\p{{{x}}}" for x in UNSPACED) + "]]+")
+#: The same for Spark.
+SPARK_WORD = r"[\p{L}&&[" + "".join(rf"\p{{Is{x}}}" for x in UNSPACED) + r"]]|[\p{L}&&[^" + "".join(rf"\p{{Is{x}}}" for x in UNSPACED) + "]]+"
 NOT_DIGIT = re.compile(r"[^0-9]")
 
 #: Words on either side of an entity that are candidates.
 WINDOW = 8
+#: Documents added to a term's count.
+SMOOTHING = 0.5
 #: Share of an entity's information that a term must reveal to be sanitised, and to be removed altogether.
 DISCLOSURE, REMOVAL = 0.85, 0.999
 #: Distinct terms up to which they are broadcast to the corpus count.
@@ -79,7 +88,7 @@ def emails(text: str) -> list[Span]:
 def base_spans(text: str) -> list[Span]:
     """(start, end, kind), by kind as listed and then start."""
     out = emails(text)
-    out += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(len(p) < 400 and int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(len(p := part.lstrip("0")) <= 3 and int(p or 0) <= 255 for part in m[0].split("."))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16 and 16 <= len(digits := NOT_DIGIT.sub("", m[0])) <= 19 and luhn(digits):
             out.append((m.start(), m.end(), "card"))
@@ -143,7 +152,7 @@ def disclosures(docs: DataFrame, rows: DataFrame, text_col: str = "text", thresh
     held = materialise(held.where(_ratio(n, "n_near") >= threshold), "pii-pairs")
     terms = held.select("term").distinct()
     few = terms.count() <= BROADCAST_TERMS
-    cut = F.filter(F.array_distinct(F.split(text_col, r"[^\p{L}]+")), lambda w: F.length(w) >= 4)
+    cut = F.array_distinct(F.regexp_extract_all(text_col, F.lit(SPARK_WORD), F.lit(0)))
     words = docs.select(F.explode(F.array_distinct(F.transform(cut, F.lower))).alias("term"))
     counted = (words.join(F.broadcast(terms), "term", "left_semi") if few else words).groupBy("term").agg(F.count("*").alias("n_t"))
     known = held.join(counted, "term", "left").withColumn("n_t", F.greatest("n_near", F.coalesce("n_t", F.lit(0))))
@@ -153,7 +162,7 @@ def disclosures(docs: DataFrame, rows: DataFrame, text_col: str = "text", thresh
 def _ratio(n: int, of_term: str) -> Column:
     """PMI / IC with the named count of the term."""
     known = F.log(F.lit(float(max(n, 1))) / F.col("n_e"))
-    return (known + F.log(F.col("n_et") / F.greatest(of_term, "n_et"))) / known
+    return (known + F.log(F.col("n_et") / (F.greatest(of_term, "n_et") + F.lit(SMOOTHING)))) / known
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = DISCLOSURE, support: int = 1, with_text: bool = False) -> DataFrame:
@@ -197,4 +206,4 @@ def _clean(text: str | None, base: str, added) -> str | None:
 
 def ratio(n: int, n_e: int, n_t: int, n_et: int) -> float:
     """PMI / IC from document counts; the plain form of what `disclosures` computes."""
-    return (math.log(n / n_e) + math.log(n_et / max(n_t, n_et))) / math.log(n / n_e)
+    return (math.log(n / n_e) + math.log(n_et / (max(n_t, n_et) + SMOOTHING))) / math.log(n / n_e)

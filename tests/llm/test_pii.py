@@ -44,7 +44,7 @@ def name(kind, value):
 
 def plain_neighbours(text, spans):
     """Every word against every span."""
-    words = [m for m in re.finditer(r"[^\W\d_]{4,}", text) if not any(m.start() < e and s < m.end() for s, e, _ in spans)]
+    words = [m for m in re.finditer(r"[^\W\d_]+", text) if not any(m.start() < e and s < m.end() for s, e, _ in spans)]
     out = []
     for s, e, kind in spans:
         near = [m for m in words if m.end() <= s][-8:] + [m for m in words if m.start() >= e][:8]
@@ -73,14 +73,14 @@ def by_hand(texts, threshold, support):
     n, n_e, n_t, n_et = len(texts), Counter(), Counter(), Counter()
     for t in texts:
         t = t or ""
-        n_t.update({w.lower() for w in re.findall(r"[^\W\d_]{4,}", t)})
+        n_t.update({w.lower() for w in re.findall(r"[^\W\d_]+", t)})
         near = plain_neighbours(t, brute(t))
         n_et.update({(e, w.lower()) for e, w, _, _ in near})
         n_e.update({name(k, t[s:e]) for s, e, k in brute(t)})
     out = defaultdict(float)
     for (e, w), k in n_et.items():
         if k >= support and n_e[e] < n:
-            r = (math.log(n / n_e[e]) + math.log(k / max(n_t[w], k))) / math.log(n / n_e[e])
+            r = (math.log(n / n_e[e]) + math.log(k / (max(n_t[w], k) + 0.5))) / math.log(n / n_e[e])
             if r >= threshold:
                 out[e, w] = r
     return out
@@ -108,12 +108,28 @@ def test_cases(spark):
     rows = pii.sanitise(docs).collect()
     assert sorted(r.n_email for r in rows) == [0, 1, 1, 1]
     assert pii.sanitise(docs.limit(0)).count() == 0
-    assert abs(pii.ratio(100, 4, 4, 4) - 1) < 1e-12
+    assert abs(pii.ratio(100, 4, 4, 4) - (1 - math.log(4.5 / 4) / math.log(25))) < 1e-12
+    assert pii.ratio(50, 1, 1, 1) < pii.ratio(5000, 1, 1, 1) < pii.REMOVAL  # one meeting is never enough to remove
+
+
+def test_short_names_and_unspaced_scripts(spark):
+    texts = ["mail li.w@example.org to Li W today", "write 王小明 a@example.com 至", *["mail to a today 至"] * 60]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.sanitise(docs, with_text=True).collect()}
+    terms = lambda i: {texts[i][int(s) : int(e)] for k, s, e in (x.split(":") for x in rows[i].spans.split(",")) if k == "term"}
+    assert terms(0) == {"Li", "W"} and terms(1) == {"write", "王", "小", "明"}
+    assert all(rows[i].n_terms == 0 for i in range(2, len(texts)))
+
+
+def test_leading_zeros_of_an_address():
+    long = "0" * 400 + "1.2.3.4"
+    assert pii.base_spans(long) == [(0, len(long), "ip")] == brute(long)
+    assert pii.base_spans("000.0.0.0256") == [] and pii.base_spans("1.2.3." + "9" * 5000) == []
 
 
 def test_pairs_of_one_document_take_part(spark):
     secret = "our tenant Quillfeather wrote from quill@example.org about the report today"
-    texts = [secret, *["people wrote about their tenant and the report today from home"] * 40]
+    texts = [secret, *["people wrote about our tenant and the report today from home"] * 40]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = {r.doc_id: r for r in pii.sanitise(docs, with_text=True).collect()}
     found = {secret[int(s):int(e)].lower() for k, s, e in (x.split(":") for x in rows[0].spans.split(",")) if k == "term"}
