@@ -57,9 +57,14 @@ def windows(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", tex
     """(item, length, hash, words): the distinct windows of each item."""
     words = benchmark.select(F.col(id_col).alias("item"), words_of(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     cut = words.withColumn("length", F.least(F.lit(size), F.size("w")))
-    at = cut.select("item", "w", "length", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("length"))).alias("at"))
-    window = F.slice("w", F.col("at") + 1, F.col("length"))
-    return at.select("item", "length", F.xxhash64(window).alias("hash"), F.array_join(window, " ").alias("words")).distinct()
+    every = F.transform(F.sequence(F.lit(0), F.size("w") - F.col("length")), lambda i: _part("w", i, i + F.col("length")))
+    at = cut.select("item", "length", F.explode(every).alias("window"))
+    return at.select("item", "length", F.xxhash64("window").alias("hash"), F.array_join("window", " ").alias("words")).distinct()
+
+
+def _part(words: Column | str, start: Column, end: Column) -> Column:
+    """The words from start up to end, each taken by its place: `slice` would copy all words of a text for each call."""
+    return F.transform(F.sequence(start, end - 1), lambda i: F.get(words, i))
 
 
 def _grams(benched: DataFrame) -> DataFrame:
@@ -71,21 +76,29 @@ def _grams(benched: DataFrame) -> DataFrame:
 
 
 def _positions(words: Column, length: int) -> Column:
-    """(length, at, gram) at every position of a text that a window of that length cannot pass by."""
+    """(length, at, gram, first, near) at every position of a text that a window of that length cannot pass by; near: the
+    words from `first` on that windows around the position can hold."""
     width = min(GRAM, length)
-    starts = F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - width, F.lit(length - width + 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(F.lit(length).alias("length"), i.alias("at"), F.xxhash64(F.slice(words, i + 1, width)).alias("gram")))
+    n = F.size(words)
+    starts = F.when(n >= length, F.sequence(F.lit(0), n - width, F.lit(length - width + 1))).otherwise(F.array().cast("array<int>"))
+
+    def at(i: Column) -> Column:
+        first = F.greatest(F.lit(0), i + width - length)
+        gram = F.xxhash64(F.array(*[F.get(words, i + k) for k in range(width)]))
+        return F.struct(F.lit(length).alias("length"), i.alias("at"), gram.alias("gram"), first.alias("first"), _part(words, first, F.least(n, i + length)).alias("near"))
+
+    return F.transform(starts, at)
 
 
 def _met(texts: DataFrame, lengths: list[int], grams: DataFrame) -> DataFrame:
-    """(k1, k2, length, at, hash, words): windows of the texts that cover a gram of the set, each once a text."""
-    cut = texts.select("text", words_of(F.col("text")).alias("w"))
-    at = cut.select("text", "w", F.explode(F.concat(*[_positions(F.col("w"), n) for n in lengths])).alias("x")).select("text", "w", "x.*")
+    """(k1, k2, length, at, hash, words): windows of the texts that cover a gram of the set, each once a text. A position
+    carries the words around it, not its text, so the work is linear in a text's length."""
+    cut = texts.select(*keys_of(F.col("text")), words_of(F.col("text")).alias("w"))
+    at = cut.select("k1", "k2", F.explode(F.concat(*[_positions(F.col("w"), n) for n in lengths])).alias("x")).select("k1", "k2", "x.*")
     met = at.join(F.broadcast(grams), ["length", "gram"], "left_semi")
-    width = F.least(F.lit(GRAM), F.col("length"))
-    first, last = F.greatest(F.lit(0), F.col("at") + width - F.col("length")), F.least(F.col("at"), F.size("w") - F.col("length"))
-    near = F.transform(F.sequence(first, last), lambda i: F.struct(i.alias("at"), F.slice("w", i + 1, F.col("length")).alias("window")))
-    spread = met.where(last >= first).select(*keys_of(F.col("text")), "length", F.explode(near).alias("x"))
+    last = F.least(F.col("at"), F.col("first") + F.size("near") - F.col("length"))
+    windows_near = F.transform(F.sequence(F.col("first"), last), lambda i: F.struct(i.alias("at"), F.slice("near", i - F.col("first") + 1, F.col("length")).alias("window")))
+    spread = met.where(last >= F.col("first")).select("k1", "k2", "length", F.explode(windows_near).alias("x"))
     return spread.select("k1", "k2", "length", "x.at", F.xxhash64("x.window").alias("hash"), F.array_join("x.window", " ").alias("words")).distinct()
 
 

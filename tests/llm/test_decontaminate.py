@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,19 @@ def test_items_with_a_null_id_count(spark, tables, monkeypatch, limit):
             flagged |= {i} if got[i].n_hit else set()
     assert any(not got[i].items for i in flagged)
     assert {r.doc_id for r in dc.remove_documents(docs, bench).collect()} == got.keys() - flagged
+
+
+def test_time_is_linear_in_the_length_of_a_text(spark, tables):
+    """Four times the words take at most three times as long; by a square it would be sixteen."""
+    _, items, _, bench = tables
+
+    def seconds(n: int) -> float:
+        text = " ".join(f"w{i % 977}" for i in range(n)) + " " + items[7][1]
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        r = dc.contamination(docs, bench).first()
+        assert (r.n_words, r.n_hit) == (n + len(words(items[7][1])), len(words(items[7][1])))
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(640_000) < 3 * max(seconds(160_000), 2.0)
