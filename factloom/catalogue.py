@@ -36,7 +36,8 @@ def served(spark: SparkSession, sf_dir: str) -> Store:
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _PUBLISHED:
         folder = work_path(spark, "store")
-        writes.publish(tpch_store(spark, sf_dir), folder, checked=False)
+        writes.publish(tpch_store(spark, sf_dir), folder, checked=False, file_facts=100_000)
+        writes.check(open_store(spark, folder))  # over the written relations, which nothing has to be made for
         _PUBLISHED[key] = folder
     return open_store(spark, _PUBLISHED[key])
 

@@ -27,20 +27,35 @@ def first_rows(rows: DataFrame, keys: list[str], order: list[Column], n: int) ->
     return rows.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rn") <= n)
 
 
+def _cover(low: Column, high: Column, levels: int) -> Column:
+    """The aligned blocks (level, number) that make up a range of whole numbers: block number n of a level is the range
+    from n * 2^level on, as long. There are at most two a level."""
+    out = []
+    for k in range(levels):
+        first, last = F.shiftright(low + ((1 << k) - 1), k), F.shiftright(high + 1, k) - 1
+        up_first, up_last = F.shiftright(low + ((2 << k) - 1), k + 1), F.shiftright(high + 1, k + 1) - 1
+        # A block whose double is in the range as well is left to the next level.
+        alone = lambda n, f=first, l=last, uf=up_first, ul=up_last: (f <= l) & ((uf > ul) | (n < 2 * uf) | (n > 2 * ul + 1))
+        out += [F.when(alone(first), F.struct(F.lit(k).alias("level"), first.alias("number"))), F.when(alone(last) & (last != first), F.struct(F.lit(k).alias("level"), last.alias("number")))]
+    return F.filter(F.array(*out), lambda x: x.isNotNull())
+
+
 def interval_of(points: DataFrame, intervals: DataFrame, keys: list[str], position: str, start: str, end: str, value: str) -> DataFrame:
     """For each point the value of the interval that holds it (the one that starts last, of those the longest), else of
-    the nearest by edge (the earlier one at equal distance).
+    the nearest by edge (the earlier one at equal distance). Positions are whole numbers.
 
     Both sides are sorted once by place and swept: the interval that starts last before a point, the furthest end of all
-    that start before it, and the next start. Mostly the first of these holds the point, or none does. Only where an
-    interval lies inside of another and ends before the point are the intervals that hold others looked through, which
-    are one array a key. An interval that ends before it starts counts as its start; one without a start is left out.
-    """
+    that start before it, and the next start. Mostly the first of these holds the point, or none does. Where an interval
+    lies inside of others and ends before the point, the intervals that hold others are cut into aligned blocks, at most
+    two of each length, of which each keeps its best interval; a point looks at the one block of each length that it is
+    in. So no key's intervals come together in one row, and a point looks through as many blocks as lengths have bits.
+
+    An interval that ends before it starts counts as its start; one without a start is left out."""
     mark = "_" * max(map(len, (*points.columns, value)))
     at, kind, iv = f"at{mark}", f"kind{mark}", f"iv{mark}"
-    s, e = F.col(start), F.greatest(F.col(start), F.col(end))
+    s, e = F.col(start).cast("long"), F.greatest(F.col(start), F.col(end)).cast("long")
     named = intervals.where(s.isNotNull()).select(*keys, F.struct(s.alias("s"), e.alias("e"), F.col(value).alias("v")).alias(iv))
-    both = points.withColumn(at, F.col(position)).withColumn(kind, F.lit(1)).unionByName(named.withColumn(at, F.col(f"{iv}.s")).withColumn(kind, F.lit(0)), allowMissingColumns=True)
+    both = points.withColumn(at, F.col(position).cast("long")).withColumn(kind, F.lit(1)).unionByName(named.withColumn(at, F.col(f"{iv}.s")).withColumn(kind, F.lit(0)), allowMissingColumns=True)
     before = Window.partitionBy(*keys).orderBy(F.col(at), F.col(kind), F.col(f"{iv}.e")).rowsBetween(Window.unboundedPreceding, 0)
     behind = Window.partitionBy(*keys).orderBy(F.col(at).desc(), F.col(kind).desc(), F.col(f"{iv}.e").desc()).rowsBetween(Window.unboundedPreceding, 0)
     is_mark = F.col(kind) == 0
@@ -49,11 +64,17 @@ def interval_of(points: DataFrame, intervals: DataFrame, keys: list[str], positi
         f"far{mark}": F.max(F.when(is_mark, F.struct(F.col(f"{iv}.e").alias("e"), (-F.col(f"{iv}.s")).alias("s"), F.col(f"{iv}.v").alias("v")))).over(before),
         f"next{mark}": F.last(F.when(is_mark, F.col(iv)), ignorenulls=True).over(behind),
     }).where(F.col(kind) == 1)
-    following = F.lead(f"{iv}.s").over(Window.partitionBy(*keys).orderBy(f"{iv}.s", f"{iv}.e"))
-    outer = named.withColumn("n", following).where(F.col("n") <= F.col(f"{iv}.e")).groupBy(*keys).agg(F.collect_list(iv).alias(f"outer{mark}"))
-    rows = swept.join(outer, keys, "left")
     here, last, far, next_ = (F.col(c) for c in (at, f"last{mark}", f"far{mark}", f"next{mark}"))
-    holding = F.array_max(F.filter(f"outer{mark}", lambda x: (x["s"] <= here) & (here <= x["e"])))
+    covered = (here > last["e"]) & (here <= far["e"])
+
+    following = F.lead(f"{iv}.s").over(Window.partitionBy(*keys).orderBy(f"{iv}.s", f"{iv}.e"))
+    outer = named.withColumn("n", following).where(F.col("n") <= F.col(f"{iv}.e")).drop("n")
+    levels = int(outer.agg(F.max(F.col(f"{iv}.e") - F.col(f"{iv}.s") + 1)).first()[0] or 1).bit_length()
+    blocks = outer.select(*keys, iv, F.explode(_cover(F.col(f"{iv}.s"), F.col(f"{iv}.e"), levels)).alias("b")).groupBy(*keys, "b").agg(F.max(iv).alias(f"best{mark}"))
+    own = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(at, k).alias("number")) for k in range(levels)])
+    asked = swept.where(covered).select(*keys, at).distinct().select(*keys, at, F.explode(own).alias("b"))
+    holding = asked.join(blocks, [*keys, "b"]).groupBy(*keys, at).agg(F.max(f"best{mark}").alias(f"holding{mark}"))
+    rows = swept.join(holding, [*keys, at], "left")
     near = F.when(far.isNull() | (next_["s"] - here < here - far["e"]), next_["v"]).otherwise(far["v"])
-    found = F.when(here <= last["e"], last["v"]).when(here <= far["e"], holding["v"]).otherwise(near)
+    found = F.when(here <= last["e"], last["v"]).when(here <= far["e"], F.col(f"holding{mark}")["v"]).otherwise(near)
     return rows.select(*points.columns, found.alias(value))

@@ -143,17 +143,21 @@ def check(store: Store) -> None:
         raise ConstraintError("; ".join(sorted(broken)))
 
 
-def publish(store: Store, folder: str, overwrite: bool = False, checked: bool = True, files: int = 8) -> None:
+#: Facts that one file of a published store holds, about.
+FILE_FACTS = 2_000_000
+
+
+def publish(store: Store, folder: str, overwrite: bool = False, checked: bool = True, file_facts: int = FILE_FACTS) -> None:
     """Writes the serving copy: all relations but the document index. Facts carry the form and date of their filing, are
-    partitioned by concept, dealt by ranges of concept and company into so many tasks, and sorted by company and period,
-    so that any number of machines shares one concept and filters on company skip row groups."""
+    partitioned by concept, dealt by ranges of concept and company into as many tasks as their count asks for, and sorted
+    by company and period, so that any number of machines shares one concept and filters on company skip row groups."""
     if checked:
         check(store)
     mode = "overwrite" if overwrite else "errorifexists"
     for name in TABLES:
         frame = getattr(store, name)
         if name == "fact":
-            dealt = store.dated().repartitionByRange(files, "concept_key", "cik", "period_end").sortWithinPartitions("concept_key", "cik", "period_end")
+            dealt = store.dated().repartitionByRange(max(1, -(-frame.count() // file_facts)), "concept_key", "cik", "period_end").sortWithinPartitions("concept_key", "cik", "period_end")
             dealt.write.mode(mode).partitionBy("concept_key").parquet(f"{folder}/{name}")
         else:
             frame.write.mode(mode).parquet(f"{folder}/{name}")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +93,32 @@ def test_interval_sweep(spark):
     assert sorted(map(str, ((r.doc, r.at, r.v) for r in got.collect()))) == sorted(str((k, p, plain(k, p))) for k, p in points)
 
 
+def test_many_nested_intervals_of_one_key(spark):
+    """Of 100,000 intervals inside of each other, each point finds the innermost that holds it."""
+    n = 100_000
+    spans = spark.range(n).select(F.lit("a").alias("doc"), F.col("id").alias("s"), (2 * n - F.col("id")).alias("e"), F.col("id").cast("string").alias("v"))
+    points = spark.range(0, 2 * n + 1, 7).select(F.lit("a").alias("doc"), F.col("id").alias("at"))
+    got = clusters.interval_of(points, spans, ["doc"], "at", "s", "e", "v")
+    wrong = got.where(F.col("v") != F.least(F.col("at"), 2 * n - F.col("at"), F.lit(n - 1)).cast("string"))
+    assert wrong.count() == 0 and got.where("v is null").count() == 0 and got.count() == points.count()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
+def test_intervals_against_a_plain_search(spark):
+    draw = random.Random(2)
+    spans = [(draw.choice("ab"), s := draw.randint(-60, 60), s + draw.choice([-1, 0, 1, 5, 30, 90]), f"v{i}") for i in range(60)]
+    points = [(k, p) for k in "abc" for p in range(-70, 160, 3)]
+
+    def plain(key, p):
+        own = [(s, max(s, e), v) for k, s, e, v in spans if k == key]
+        inside = [x for x in own if x[0] <= p <= x[1]]
+        return {x[2] for x in inside if x[:2] == max(inside)[:2]} if inside else {v for s, e, v in own if min(abs(p - s), abs(p - e)) == min(min(abs(p - a), abs(p - b)) for a, b, _ in own)} or {None}
+
+    got = clusters.interval_of(spark.createDataFrame(points, "doc string, at int"), spark.createDataFrame(spans, "doc string, s int, e int, v string"), ["doc"], "at", "s", "e", "v").collect()
+    assert len(got) == len(points) and all(r.v in plain(r.doc, r.at) for r in got)
+
+
 def test_predecessors_with_commas_and_clauses(spark):
     texts = {
         "As reported by Big Oil, Inc., a Delaware corporation and the predecessor registrant": "Big Oil, Inc",
