@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from factloom.llm.common import in_runs, materialise, qualified, release, shared_path, spread
 
 ENTRY, FOOTER, MAGIC = struct.Struct("<qqqqIBB2x"), struct.Struct("<QII"), 0x4C4F4F4D
-LEVEL = 3
+LEVEL = 1
 #: Words kept with their ids, and the longest that is kept.
 CACHE_ENTRIES, CACHED_LENGTH = 600_000, 64
 #: Characters of the texts that are encoded together.
