@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.catalogue import CIK, PERIOD, Query, served
-from factloom.documents import operators as readers
+from factloom.documents import functions as table_functions
 from factloom.documents import production
+from factloom.documents import operators as readers
 from factloom.functions import names, stems, text, units
 from factloom.operators import acquisition, clusters, crosscheck, identity, phrase_index, scale, sites, succession, sync, validation, writes
 from factloom.plans import answers, counts, quality, reports, series, service
@@ -100,6 +101,38 @@ def reserve_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.reserve_readings(_corpus(spark, sf_dir)).select("accession", "concept_key", "product", "value", "unit", "period_end", "row_label")
 
 
+def _in_sql(name: str, text: str) -> None:
+    """A query of SQL over the reports ({reports}) that calls the readers as table functions."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table_functions.register(spark)
+        return spark.sql(text, reports=_corpus(spark, sf_dir))
+
+    run.__name__ = name
+    QUERIES[name] = run
+
+
+_in_sql("lines_in_sql", "SELECT accession, l.page, l.line_no, l.section, l.text FROM {reports}, LATERAL document_lines(raw) l")
+_in_sql("cells_in_sql", "SELECT accession, c.row, c.column, c.text, c.header, c.row_label FROM {reports}, LATERAL document_cells(raw) c WHERE c.table_index = 0")
+_in_sql("figures_in_sql", "SELECT accession, f.shown, f.value, f.unit, f.product, f.period_end, f.element_id FROM {reports}, LATERAL document_figures(raw, array('srt:ProvedDevelopedReservesVolume')) f")
+_in_sql("reserves_in_sql", "SELECT accession, r.concept_key, r.product, r.value, r.unit, r.period_end, r.row_label FROM {reports}, LATERAL reserve_readings(raw, fallback_period) r")
+_in_sql("production_in_sql", "SELECT accession, p.concept_key, p.product, p.value, p.unit, p.period_end, p.is_hedged FROM {reports}, LATERAL production_readings(raw) p WHERE p.table_index = 1")
+
+
+@query
+def matched_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts beside the printed developed reserves of their report: as near as thousands round, too far, of another period."""
+    rows, k = _suppliers(spark, sf_dir), F.col("k")
+    thousand = (F.col("d") + 10) * 1000.0
+    off = F.when(k % 4 == 0, 499.0).when(k % 4 == 1, -500.0).when(k % 4 == 2, 501.0).otherwise(0.0)
+    facts = rows.select(
+        k.alias("id"), _text("acc-", k).alias("accession"), F.lit("ProvedDevelopedReservesVolume").alias("tag"), F.when(k % 5 == 0, "2022-12-31").otherwise("2023-12-31").alias("period_end"), (thousand + off).alias("value"),
+        F.when(k % 3 == 0, "oil").alias("product"),
+    )
+    found = readers.match_figures(facts, readers.figures(_corpus(spark, sf_dir)))
+    return found.select("fact_id", "name", "shown", "value", "element_id")
+
+
 @query
 def reserve_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.closes(readers.reserve_readings(_corpus(spark, sf_dir)))

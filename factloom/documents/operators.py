@@ -158,6 +158,34 @@ def _verdict(f: dict, name: str, page: layout.Layout, marked: list[markup.Figure
     return f["id"], "found", "text", name, hit.printed, hit.scale, None, hit.hits, hit.page, hit.line, hit.section, None, hit.source_span, list(hit.units)
 
 
+def match_figures(facts: DataFrame, found: DataFrame) -> DataFrame:
+    """(fact_id, name, shown, value, element_id, start): for each fact and document of its filing the marked-up figure of
+    its concept and period that is as near as printing rounds; one of its product first, then the earliest.
+
+    facts: id, accession, tag, period_end, value, product; found: `figures`. A join with a tolerance: figures lie in bins as
+    wide as their last printed place (or a hundredth of their size, where that is not to be read), and a fact looks into its
+    bin of each width in use and those beside it, so that only values near to each other meet. Widths are powers of ten, a
+    few dozen at most."""
+    digits = F.ltrim(F.regexp_replace(F.trim("shown"), "[,()]", ""), F.lit("-"))
+    readable = digits.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$")
+    decimals = F.length(F.split_part(digits, F.lit("."), F.lit(2)))
+    size = F.when(F.col("value") != 0, F.floor(F.log10(F.abs("value")))).otherwise(0)
+    rows = found.withColumn("allowed", F.when(readable, F.lit(0.5) * F.pow(F.lit(10.0), -decimals) * F.pow(F.lit(10.0), F.col("scale"))))
+    rows = rows.withColumn("place", F.when(readable, F.col("scale") - decimals).otherwise(size - 2).cast("int")).withColumn("tag", F.substring_index("concept", ":", -1))
+    bin_of = lambda value, place: F.floor(value / F.pow(F.lit(10.0), place)).cast("double")
+    placed = rows.withColumn("bin", bin_of(F.col("value"), F.col("place"))).select("accession", "name", "tag", "period_end", "place", "bin", "allowed", "shown", "start", "element_id", F.col("value").alias("printed"), F.col("product").alias("of"))
+    places = sorted(r["place"] for r in rows.select("place").distinct().collect())
+    own = [(F.lit(p).alias("place"), bin_of(F.col("value"), F.lit(p))) for p in places]
+    probes = F.array(*[F.struct(p, (b + d).alias("bin")) for p, b in own for d in (-1.0, 0.0, 1.0)]) if places else F.array().cast("array<struct<place:int,bin:double>>")
+    asked = facts.where("tag is not null").select("id", "accession", "tag", "period_end", "value", "product", F.explode(probes).alias("at")).select("*", "at.*").drop("at")
+    apart = F.abs(F.col("printed") - F.col("value"))
+    near = (F.col("printed") == F.col("value")) | (apart <= F.coalesce("allowed", F.lit(5e-4) * F.greatest(F.abs("printed"), F.abs("value"))))
+    met = asked.join(placed, ["accession", "tag", "period_end", "place", "bin"]).where(near)
+    order = F.struct(F.when(F.col("of").eqNullSafe(F.col("product")), 0).otherwise(1), "start")
+    best = met.groupBy(F.col("id").alias("fact_id"), "name").agg(F.min_by(F.struct("shown", F.col("printed").alias("value"), "element_id", "start"), order).alias("b"))
+    return best.select("fact_id", "name", "b.*")
+
+
 def one_reading(readings: DataFrame, tolerance: float = 1e-6) -> DataFrame:
     """Readings of one cell that agree, as one row; a cell whose readings differ is dropped."""
     keys = ["accession", "concept_key", "product", "period_end", "unit"]

@@ -141,6 +141,8 @@ ORACLE_SQL: dict[str, str] = {
     "reserve_closure": with_(SUPPLIED, then=union(
         "SELECT accession, '2023-12-31' AS period_end, 'oil' AS product, true AS closes FROM s",
         f"SELECT accession, '2023-12-31', NULL, CAST(abs(d + u + 20 - ({TOTAL_OF})) AS DOUBLE) / ({TOTAL_OF}) <= 0.006 FROM s")),
+    "matched_figures": with_(SUPPLIED, then=f"""SELECT k AS fact_id, 'r.htm' AS name, {comma('d + 10')} AS shown, CAST((d + 10) * 1000 AS DOUBLE) AS value, 'f-c1' AS element_id
+  FROM s WHERE k % 5 <> 0 AND k % 4 <> 2"""),
     "one_reading": with_(SUPPLIED, then=f"SELECT accession, concept_key, product, period_end, unit, value FROM ({_reserves()}) WHERE k % 3 <> 0"),
     "production_readings": with_(SUPPLIED, then=_production()),
     "production_tables": _tables(),
@@ -264,4 +266,6 @@ g AS (SELECT 'no_header' AS sample_group, fact_id FROM v WHERE bare UNION ALL SE
         "SELECT 'unreached', count(DISTINCT c.cik) FROM company c JOIN fact f ON f.cik = c.cik WHERE listing_status = 'private-filer'")),
     "stem_forms": "SELECT * FROM (VALUES ('price', 'price', 'price'), ('price', 'priced', 'price'), ('price', 'prices', 'price'), ('property', 'property', 'properti'), ('property', 'propertys', 'properti'), ('property', 'properties', 'properti'), ('reserve', 'reserve', 'reserv'), ('reserve', 'reserves', 'reserv'), ('reserve', 'reserved', 'reserv'), ('plan', 'plan', 'plan'), ('plan', 'plans', 'plan'), ('plan', 'planned', 'plan'), ('plan', 'planning', 'plan')) AS v(word, form, stem)",
 }
+# The readers say the same when SQL calls them.
+ORACLE_SQL |= {sql: ORACLE_SQL[same] for sql, same in {"lines_in_sql": "page_lines", "cells_in_sql": "table_cells", "figures_in_sql": "marked_figures", "reserves_in_sql": "reserve_readings", "production_in_sql": "production_readings"}.items()}
 assert {c.key for c in CONCEPTS} == RANKS.keys()

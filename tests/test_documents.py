@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.documents import evidence, grid, layout, markup, operators, production, reserves, wording
+from factloom.documents import evidence, functions, grid, layout, markup, operators, production, reserves, wording
 from factloom.registry import DEVELOPED, TOTAL, UNDEVELOPED
 
 
@@ -154,3 +156,34 @@ def test_operators(spark):
     assert [verdicts[i].status for i in "345"] == ["unverifiable", "not_found", "unavailable"]
     clash = found.unionByName(found.limit(1).withColumn("value", F.col("value") + 1))
     assert operators.one_reading(clash).count() < operators.one_reading(found).count()
+
+
+def test_table_functions_say_what_the_readers_say(spark, sf_dir):
+    corpus = spark.createDataFrame([("a-1", "f.htm", FLAT + ROLL, "2021-12-31"), ("a-2", "p.htm", SALES, None), ("a-3", "i.htm", IX, None), ("a-4", "e.htm", None, None)], "accession string, name string, raw string, fallback_period string")
+    functions.register(spark)
+    some = corpus.where("raw is not null")
+    for call, own in (("document_lines(raw)", operators.lines(some)), ("document_cells(raw)", operators.cells(some)), ("document_figures(raw, null)", operators.figures(some)), ("reserve_readings(raw, fallback_period)", operators.reserve_readings(some)), ("production_readings(raw)", operators.production_readings(some))):
+        got = spark.sql(f"SELECT c.accession, c.name, r.* FROM {{c}} c, LATERAL {call} r", c=corpus)
+        assert got.columns == own.columns and got.count() > 0
+        assert sorted(map(str, got.collect())) == sorted(map(str, own.collect())), call
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("cast(page_id as string) accession", "url name", "html raw")
+    got = spark.sql("SELECT c.accession, c.name, r.* FROM {c} c, LATERAL document_lines(raw) r", c=pages)
+    assert sorted(map(str, got.collect())) == sorted(map(str, operators.lines(pages).collect()))
+
+
+def test_tolerance_join_matches_as_one_document_does(spark):
+    draw = random.Random(5)
+    ix = lambda i, c, shown, scale, name="srt:V": f'<ix:nonFraction name="{name}" contextRef="{c}" unitRef="u" scale="{scale}" id="f{i}">{shown}</ix:nonFraction>'
+    context = "".join(f'<context id="{c}"><segment><explicitMember dimension="srt:ProductOrServiceAxis">srt:{m}</explicitMember></segment><period><instant>{p}</instant></period></context>' for c, m, p in (("a", "OilMember", "2023-12-31"), ("b", "NaturalGasMember", "2023-12-31"), ("c", "X", "2022-12-31")))
+    shown = ["1,234", "12.5", ".5", "0", "9.999", "1,235", "10", "-7", "12.49", "1 234", "1e3"]
+    docs = [("d1", "m.htm", context + "".join(ix(i, draw.choice("abc"), draw.choice(shown), draw.choice([0, 3, 6, -2])) for i in range(60))), ("d1", "n.htm", context + ix(0, "a", "1,234", 3)), ("d2", "o.htm", context + ix(0, "a", "12.5", 0, "srt:W"))]
+    corpus = spark.createDataFrame(docs, "accession string, name string, raw string")
+    values = [1234.0, 1233.6, 1233.5, 1234.51, 12.5, 12.45, 12.55, 0.5, 0.0, 0.4, 9.9985, 9.9995, 12_345.0, 1_234_400.0, 1_234_500.1, 10_500.0, -7.0, -7.4, 12.49e6, 1234e6 * 1.0004, 1e3, 1000.4, 0.05]
+    facts = [(f"{n}", d, draw.choice(["V", "V", "W", None]), draw.choice(["2023-12-31", "2022-12-31"]), v, draw.choice(["oil", "gas", None])) for n, (d, v) in enumerate([(d, v) for d in ("d1", "d2", "d3") for v in values] * 3)]
+    got = {(r.fact_id, r.name): (r.shown, r.value, r.element_id, r.start) for r in operators.match_figures(spark.createDataFrame(facts, "id string, accession string, tag string, period_end string, value double, product string"), operators.figures(corpus)).collect()}
+    want = {}
+    for accession, name, raw in docs:
+        for i, a, tag, period, value, product in facts:
+            if a == accession and (f := markup.match(markup.figures(raw), tag, period, value, product)):
+                want[i, name] = (f.shown, f.value, f.element_id, f.start)
+    assert got == want and len(want) > 30
