@@ -6,10 +6,13 @@ of its own. The readers get it as HTML, and the SQL states what is in it from th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factloom.catalogue import CIK, PERIOD, Query, served
+from factloom.catalogue import CIK, PERIOD, TEST_SPEC, Query, served
 from factloom.documents import functions as table_functions
 from factloom.documents import production
 from factloom.documents import operators as readers
@@ -18,7 +21,8 @@ from factloom.operators import acquisition, clusters, crosscheck, identity, phra
 from factloom.plans import answers, counts, quality, reports, series, service
 from factloom.registry import CONCEPTS, DEVELOPED, TOTAL
 from factloom.session import work_folder, work_path
-from factloom.sources import corpus, payloads, urls
+from factloom.sources import archive, corpus, payloads, urls
+from factloom.sources.store import TABLES, open_store
 from factloom.streaming import watch
 
 QUERIES: dict[str, Query] = {}
@@ -766,3 +770,135 @@ def stem_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regular forms of words, of which each has the stem of the word."""
     words = ("price", "property", "reserve", "plan")
     return spark.createDataFrame([(w, f, stems.porter(f)) for w in words for f in stems.forms(w) if f in (w, w + "s", w + "d", "prices", "properties", "reserved", "planned", "planning")], "word string, form string, stem string")
+
+
+# Sources, writes and readers that no other query passes through
+@query
+def filers_of_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of filers by code and form, kept as files, the last of each list repeated; each filer where it comes first."""
+    k = F.col("k")
+    rows = _suppliers(spark, sf_dir).select("k", F.when(k % 2 == 0, "1311").otherwise("6792").alias("sic"), F.explode(F.when(k % 4 != 0, F.array(F.lit("10-K"), F.lit("20-F"))).otherwise(F.array(F.lit("20-F")))).alias("form"), (F.floor(k / 30) * 100).cast("int").alias("start"))
+    pages = rows.groupBy("sic", "form", "start").agg(F.array_join(F.transform(F.array_sort(F.collect_list("k")), lambda n: _text("<CIK> ", n, " </CIK>")), " and ").alias("text"))
+    last = Window.partitionBy("sic", "form").orderBy(F.desc("start"))
+    again = pages.withColumn("rn", F.row_number().over(last)).where("rn = 1").drop("rn").withColumn("start", F.col("start") + 100)
+    folder = work_path(spark, "pages")
+    archive.write_pages(pages.unionByName(again), folder)
+    return archive.filers(archive.listed(spark, folder), ("10-K", "20-F"))
+
+
+@query
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    profiles = _suppliers(spark, sf_dir).select(F.lpad(k.cast("string"), 10, "0").alias("cik"), F.when(k % 3 == 0, "1311").when(k % 3 == 1, "6792").otherwise("9999").alias("sic"), F.when(k % 4 == 1, "2019-03-01").when(k % 4 != 0, "2024-03-01").alias("latest_annual"))
+    return payloads.enumerate_candidates(profiles, ("1311", "6792"), "2023-01-01", profiles.where(F.col("cik").cast("long") % 11 == 0)).select("cik", "sic")
+
+
+@query
+def basis_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes on concepts, of which those of some companies are replaced by new ones, of one or several rows."""
+    k, rows = F.col("k"), _suppliers(spark, sf_dir)
+    note = lambda text, concept: rows.select(F.lpad(k.cast("string"), 10, "0").alias("cik"), F.lit(concept).alias("concept_key"), _text(text, k).alias("note"))
+    new = note("new ", TOTAL).where(F.col("cik").cast("long") % 3 == 0)
+    old = note("old ", TOTAL).unionByName(note("kept ", DEVELOPED))
+    return writes.replace_by_key(old, new.unionByName(new.withColumn("note", F.lit("second")).where(F.col("cik").cast("long") % 2 == 0)), ("cik", "concept_key"))
+
+
+def _seen(rows: DataFrame, tag: Column, unit: Column) -> DataFrame:
+    """Observations of suppliers: one of a tag and a unit each."""
+    fields = {"taxonomy": "us-gaap", "start": None, "end": "2023-12-31", "accn": "a", "fp": "FY", "form": "10-K", "filed": "2024-02-20", "frame": None}
+    own = rows.select(F.lpad(F.col("k").cast("string"), 10, "0").alias("cik"), tag.alias("tag"), unit.alias("unit"), F.col("d").cast("double").alias("val"), F.lit(0).alias("ordinal"), F.lit(2023).alias("fy"))
+    return own.withColumns({name: F.lit(v).cast("string") for name, v in fields.items()})
+
+
+@query
+def overridden_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tag of each filer's spending: the first in the registry's order that it has, unless another is given."""
+    rows, k = _suppliers(spark, sf_dir), F.col("k")
+    first, second = "PaymentsToAcquireOilAndGasProperty", "PaymentsToAcquirePropertyPlantAndEquipment"
+    obs = _seen(rows.where(k % 2 == 0), F.lit(first), F.lit("USD")).unionByName(_seen(rows, F.lit(second), F.lit("USD")))
+    given = rows.where(k % 3 == 0).select(F.lpad(k.cast("string"), 10, "0").alias("cik"), F.lit("capex").alias("concept_key"), F.lit(second).alias("tag"))
+    return payloads.fact_rows(obs, overrides=given).select("cik", "concept_key", "tag", "value")
+
+
+@query
+def products_of_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices whose unit names their product, and the rank of the unit."""
+    k = F.col("k")
+    unit = F.when(k % 4 == 0, "USD/Mcf").when(k % 4 == 1, "USD/bbl").when(k % 4 == 2, "USD/MMBtu").otherwise("USD")
+    return payloads.fact_rows(_seen(_suppliers(spark, sf_dir), F.lit("AverageSalesPrices"), unit)).select("cik", "unit", "product", "unit_rank")
+
+
+@query
+def facts_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = served(spark, sf_dir)
+    rows = s.dated().withColumnRenamed("filed_date", "filed").withColumn("ordinal", F.lit(0))
+    return payloads.in_order(rows).select("cik", "concept_key", "period_end", "product_key", "unit_rank", "filed", "accession", "seq")
+
+
+@query
+def nearby_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The units around figures found in the text, nearest first."""
+    own = _reports(spark, sf_dir)
+    facts = own.select(_text("t", F.col("k")).alias("id"), "accession", F.lit(None).cast("string").alias("tag"), F.lit("2023-12-31").alias("period_end"), (F.col("d") + F.col("u")).cast("double").alias("value"), F.lit(None).cast("string").alias("product"))
+    return readers.verify(facts, _corpus(spark, sf_dir)).where("status = 'found'").select("fact_id", F.array_join("units_nearby", ",").alias("units"))
+
+
+@query
+def other_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reserves of reports of three other kinds: balances at both ends of a year, parts of developed reserves, regions
+    with a total; and a table whose columns cannot be told apart, of which nothing is read."""
+    k, printed = F.col("k"), lambda c: F.format_number(c, 0)
+    d, u = F.col("d"), F.col("u")
+    balances = _text("<p>For the year ended December 31, 2023</p>", _table(
+        _row("", "Oil", "Total"), _row("(MBbls)", "(MBoe)"), _row("Total proved reserves:"), _row("Beginning of year", printed(d), printed(d + 5)), _row("Production", "(5)", "(6)"), _row("End of year", printed(u), printed(u + 6)),
+        _row("Proved developed reserves:"), _row("Beginning of year", printed(d - 7), printed(d - 2)), _row("End of year", printed(u - 7), printed(u - 1)),
+    ))
+    parts = _text("<p>December 31, 2024</p>", _table(_row("", "Oil (MBbls)", "Total (MBoe)"), _row("Proved developed producing", printed(d), printed(d + 10)), _row("Proved developed non-producing", "5", "6"), _row("Proved undeveloped", "7", "9")))
+    regions = _text(
+        _table(_row("Oil (Bbls)"), _row("", "Canada", "United States", "Total"), _row("Proved developed reserves, December 31, 2022", printed(d), printed(u), printed(d + u))),
+        _table(_row("", "A (MBoe)", "B (MBoe)"), _row("Total proved", printed(d), printed(u))),
+    )
+    raw = F.when(k % 3 == 0, balances).when(k % 3 == 1, parts).otherwise(regions)
+    corpus = _suppliers(spark, sf_dir).select(_text("acc-", k).alias("accession"), F.lit("r.htm").alias("name"), raw.alias("raw"), F.lit("2020-12-31").alias("fallback_period"))
+    return readers.reserve_readings(corpus).select("accession", "concept_key", "product", "value", "unit", "period_end")
+
+
+@query
+def scale_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    found, declared = scale.scale_source(F.when(k % 2 == 0, "table:reserves").otherwise("xbrl"), F.col("d").cast("double"), F.when(k % 3 == 0, 0).when(k % 3 == 1, 3).cast("int"))
+    return _suppliers(spark, sf_dir).select("k", found.alias("scale"), declared.alias("declared"))
+
+
+@query
+def people_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies written as one CSV file and read again; lists are joined by bars."""
+    folder = work_path(spark, "csv")
+    k = F.col("k")
+    rows = _suppliers(spark, sf_dir).select(_text("c", k).alias("cik"), "name", F.array(_text("A", k), _text("B", k)).alias("tickers"), F.when(k % 2 == 0, "x, \"y\"").alias("note"))
+    writes.write_csv(rows, folder, "cik")
+    read = spark.read.csv(folder, header=True)
+    return read.select("cik", "name", "tickers", "note", F.lit(len(read.inputFiles())).alias("files"))
+
+
+@query
+def published_anew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store published to a new folder: rows by relation, and whether a second one is refused there."""
+    folder, store = work_path(spark, "store"), served(spark, sf_dir)
+    writes.publish(store, folder, checked=False)
+    try:
+        writes.publish(store, folder, checked=False)
+        refused = False
+    except AnalysisException as e:
+        refused = "ALREADY_EXISTS" in str(e)
+    again = open_store(spark, folder)
+    rows = [getattr(again, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("relation"), "n", F.lit(refused).alias("refused")) for name in TABLES]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def hit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with phrases: lines too long for a label, and those of several clusters of labels."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = sites.documents(sites.document_lines(documents), documents.select(F.col("doc_id").alias("document_id"), "lang"), TEST_SPEC)
+    return found.select("document_id", "lang", "prose_hits", F.coalesce("n_sites", F.lit(0)).alias("n_sites"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factloom.oracles import COHORT, COMPANY, CURRENT, FACT, FILING, PERIOD, PHRASE, STORE, VALUES, D, T, U, with_
+from factloom.oracles import COHORT, COMPANY, CURRENT, FACT, FILING, LINES, PERIOD, PHRASE, STORE, TEST, VALUES, D, T, U, with_
 from factloom.oracles import ORACLE_SQL as CORE
 from factloom.registry import CONCEPTS
 
@@ -266,6 +266,31 @@ g AS (SELECT 'no_header' AS sample_group, fact_id FROM v WHERE bare UNION ALL SE
         "SELECT 'unreached', count(DISTINCT c.cik) FROM company c JOIN fact f ON f.cik = c.cik WHERE listing_status = 'private-filer'")),
     "stem_forms": "SELECT * FROM (VALUES ('price', 'price', 'price'), ('price', 'priced', 'price'), ('price', 'prices', 'price'), ('property', 'property', 'properti'), ('property', 'propertys', 'properti'), ('property', 'properties', 'properti'), ('reserve', 'reserve', 'reserv'), ('reserve', 'reserves', 'reserv'), ('reserve', 'reserved', 'reserv'), ('plan', 'plan', 'plan'), ('plan', 'plans', 'plan'), ('plan', 'planned', 'plan'), ('plan', 'planning', 'plan')) AS v(word, form, stem)",
 }
+ORACLE_SQL |= {
+    "filers_of_codes": with_(SUPPLIED, then="SELECT CASE k % 2 WHEN 0 THEN '1311' ELSE '6792' END AS sic, cik, CASE WHEN k % 4 <> 0 THEN '10-K' ELSE '20-F' END AS form, CAST(k // 30 * 100 AS INT) AS start FROM s"),
+    "candidates": with_(SUPPLIED, then="SELECT cik, CASE k % 3 WHEN 0 THEN '1311' WHEN 1 THEN '6792' ELSE '9999' END AS sic FROM s WHERE (k % 3 < 2 AND k % 4 <> 1) OR k % 11 = 0"),
+    "basis_notes": with_(SUPPLIED, then=union(
+        f"SELECT cik, '{D}' AS concept_key, 'kept ' || k AS note FROM s", f"SELECT cik, '{T}', CASE k % 3 WHEN 0 THEN 'new ' ELSE 'old ' END || k FROM s", f"SELECT cik, '{T}', 'second' FROM s WHERE k % 6 = 0")),
+    "overridden_tags": with_(SUPPLIED, then="SELECT cik, 'capex' AS concept_key, CASE WHEN k % 2 = 0 AND k % 3 <> 0 THEN 'PaymentsToAcquireOilAndGasProperty' ELSE 'PaymentsToAcquirePropertyPlantAndEquipment' END AS tag, CAST(d AS DOUBLE) AS value FROM s"),
+    "products_of_units": with_(SUPPLIED, then="""SELECT cik, CASE k % 4 WHEN 0 THEN 'USD/Mcf' WHEN 1 THEN 'USD/bbl' WHEN 2 THEN 'USD/MMBtu' ELSE 'USD' END AS unit, CASE k % 4 WHEN 0 THEN 'gas' WHEN 1 THEN 'oil' WHEN 2 THEN 'gas' END AS product,
+  CASE k % 4 WHEN 0 THEN 2 WHEN 1 THEN 0 WHEN 2 THEN 4 ELSE 5 END AS unit_rank FROM s"""),
+    "facts_in_order": with_(FILING, FACT, then="""SELECT f.cik, concept_key, f.period_end, product_key, unit_rank, filed_date AS filed, f.accession,
+  CAST(row_number() OVER (PARTITION BY f.cik, concept_key ORDER BY f.period_end, product_key, unit_rank, filed_date, f.accession) AS INT) AS seq FROM fact f JOIN filing l ON l.accession = f.accession"""),
+    "nearby_units": with_(SUPPLIED, then="SELECT 't' || k AS fact_id, 'MBoe,MBbls' AS units FROM s WHERE length(rtrim(CAST(d + u AS VARCHAR), '0')) > 2"),
+    "other_reports": with_(SUPPLIED, then=union(*[
+        f"SELECT accession, '{key}' AS concept_key, CAST({product} AS VARCHAR) AS product, CAST({value} AS DOUBLE) AS value, '{unit}' AS unit, '{period}' AS period_end FROM s WHERE k % 3 = {kind}" for kind, key, product, value, unit, period in (
+            (0, T, "'oil'", "d", "MBbls", "2022-12-31"), (0, T, "NULL", "d + 5", "MBoe", "2022-12-31"), (0, T, "'oil'", "u", "MBbls", "2023-12-31"), (0, T, "NULL", "u + 6", "MBoe", "2023-12-31"),
+            (0, D, "'oil'", "d - 7", "MBbls", "2022-12-31"), (0, D, "NULL", "d - 2", "MBoe", "2022-12-31"), (0, D, "'oil'", "u - 7", "MBbls", "2023-12-31"), (0, D, "NULL", "u - 1", "MBoe", "2023-12-31"),
+            (1, D, "'oil'", "d + 5", "MBbls", "2024-12-31"), (1, D, "NULL", "d + 16", "MBoe", "2024-12-31"), (1, U, "'oil'", "7", "MBbls", "2024-12-31"), (1, U, "NULL", "9", "MBoe", "2024-12-31"),
+            (2, D, "'oil'", "d + u", "bbl", "2022-12-31"))])),
+    "scale_sources": with_(SUPPLIED, then="SELECT k, CASE WHEN k % 2 = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(d AS DOUBLE) END AS scale, CASE WHEN k % 3 = 0 AND k % 2 = 0 THEN 0 WHEN k % 3 = 1 THEN 3 END AS declared FROM s"),
+    "people_csv": with_(SUPPLIED, then="""SELECT 'c' || k AS cik, name, 'A' || k || '|B' || k AS tickers, CASE WHEN k % 2 = 0 THEN 'x, "y"' END AS note, 1 AS files FROM s"""),
+    "hit_documents": with_(LINES, f"""hit AS (SELECT document_id, length(text) <= 110 AS label, line_no FROM line_text WHERE {TEST}),
+jump AS (SELECT document_id, coalesce(line_no - lag(line_no) OVER (PARTITION BY document_id ORDER BY line_no) > 80, true) AS j FROM hit WHERE label),
+n AS (SELECT document_id, count(*) FILTER (j) AS n_sites FROM jump GROUP BY document_id)""",
+        then="SELECT h.document_id, any_value(d.lang) AS lang, count(*) FILTER (NOT label) AS prose_hits, coalesce(any_value(n_sites), 0) AS n_sites FROM hit h JOIN documents d ON d.doc_id = h.document_id LEFT JOIN n ON n.document_id = h.document_id GROUP BY h.document_id"),
+    "published_anew": with_(*STORE, then="SELECT *, true AS refused FROM (SELECT 'company' AS relation, count(*) AS n FROM company UNION ALL SELECT 'filing', count(*) FROM filing UNION ALL SELECT 'fact', count(*) FROM fact UNION ALL SELECT 'verification', count(*) FROM verification UNION ALL SELECT 'scale', count(*) FROM scale)"),
+}
 # The readers say the same when SQL calls them.
 ORACLE_SQL |= {sql: ORACLE_SQL[same] for sql, same in {"lines_in_sql": "page_lines", "cells_in_sql": "table_cells", "figures_in_sql": "marked_figures", "reserves_in_sql": "reserve_readings", "production_in_sql": "production_readings"}.items()}
 assert {c.key for c in CONCEPTS} == RANKS.keys()
