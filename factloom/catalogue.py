@@ -231,7 +231,7 @@ def unit_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.groupBy("unit").agg(F.count("*").alias("n"), F.round(F.max(value), 3).alias("most"), F.max(units.canonical_unit(F.col("unit"))).alias("canonical_unit"), F.max(units.conversion_note(F.col("unit"))).alias("note"))
 
 
-def _scale_rows(s: Store) -> DataFrame:
+def scale_rows(s: Store) -> DataFrame:
     """Total cells with a found scale for oil and a measure of a plausible value per barrel for liquids."""
     cells = views.fact_current(s, s.fact.where(F.col("concept_key") == TOTAL))
     return cells.select(
@@ -240,10 +240,10 @@ def _scale_rows(s: Store) -> DataFrame:
     )
 
 
-over_store("scale_candidates", lambda s: scale.readings(_scale_rows(s)).select("id", "divisor", F.round("canonical", 3).alias("canonical"), "canonical_unit"))
-over_store("scale_resolve", lambda s: scale.resolve(_scale_rows(s)).select("id", "status", "divisor", F.round("usd_per_boe", 6).alias("usd_per_boe"), "n_viable"))
+over_store("scale_candidates", lambda s: scale.readings(scale_rows(s)).select("id", "divisor", F.round("canonical", 3).alias("canonical"), "canonical_unit"))
+over_store("scale_resolve", lambda s: scale.resolve(scale_rows(s)).select("id", "status", "divisor", F.round("usd_per_boe", 6).alias("usd_per_boe"), "n_viable"))
 over_store("resolve_direct", lambda s: scale.resolve_direct(s.fact.select("id", "value", F.when(F.col("product_key") == "gas", "USD").otherwise(F.col("unit")).alias("unit")), s.scale.select(F.col("fact_id").alias("id"))).select("id", "canonical_value", "canonical_unit"))
-over_store("resolve_periods", lambda s: scale.resolve_periods(_scale_rows(s).withColumn("measure", F.col("value") * 12500.0)).groupBy("product_key", "canonical_unit").agg(F.count("*").alias("n"), F.round(F.max("canonical_value"), 3).alias("most")))
+over_store("resolve_periods", lambda s: scale.resolve_periods(scale_rows(s).withColumn("measure", F.col("value") * 12500.0)).groupBy("product_key", "canonical_unit").agg(F.count("*").alias("n"), F.round(F.max("canonical_value"), 3).alias("most")))
 
 
 @query

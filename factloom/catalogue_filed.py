@@ -12,18 +12,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factloom.catalogue import CIK, PERIOD, TEST_SPEC, Query, served
+from factloom.catalogue import CIK, PERIOD, TEST_SPEC, VIEW, Query, scale_rows, served
 from factloom.documents import functions as table_functions
 from factloom.documents import production
 from factloom.documents import operators as readers
 from factloom.functions import names, stems, text, units
-from factloom.operators import acquisition, clusters, crosscheck, identity, phrase_index, scale, sites, succession, sync, validation, writes
-from factloom.plans import answers, counts, quality, reports, series, service
-from factloom.registry import CONCEPTS, DEVELOPED, TOTAL
-from factloom.session import work_folder, work_path
+from factloom.operators import acquisition, clusters, crosscheck, identity, merges, phrase_index, scale, sites, succession, sync, validation, writes
+from factloom.plans import answers, counts, quality, reports, series, service, views
+from factloom.registry import DEVELOPED, TOTAL, concepts_frame, units_frame
+from factloom.session import kept_with, work_folder, work_path
 from factloom.sources import archive, corpus, payloads, urls
-from factloom.sources.store import TABLES, open_store
-from factloom.streaming import watch
+from factloom.sources.store import TABLES, open_older, open_store
+from factloom.streaming import current, watch
 
 QUERIES: dict[str, Query] = {}
 
@@ -515,12 +515,10 @@ def domiciles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def registry_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rank of each stored unit under each concept of the registry."""
-    units_ = served(spark, sf_dir).fact.select("unit").distinct()
-    ranks = F.create_map(*[F.lit(x) for c in CONCEPTS for x in (c.key, len(c.units))])
-    listed = {(c.key, u): c.unit_rank(u) for c in CONCEPTS for u in ("MBoe", "MMcfe")}
-    known = F.create_map(*[F.lit(x) for (key, u), r in listed.items() for x in (f"{key}|{u}", r)])
-    return units_.select("unit", F.explode(F.map_keys(ranks)).alias("concept_key")).select("unit", "concept_key", known[F.concat_ws("|", "concept_key", "unit")].alias("unit_rank"))
+    """Facts by concept and unit with the unit's rank in the registry, that behind all others where it is not listed."""
+    facts = served(spark, sf_dir).fact.withColumn("unit", F.when(F.col("product_key") == "ngl", "gallons").otherwise(F.col("unit")))
+    ranked = facts.select("concept_key", "unit").join(F.broadcast(units_frame(spark)), ["concept_key", "unit"], "left").join(F.broadcast(concepts_frame(spark)), "concept_key")  # the registry
+    return ranked.groupBy("concept_key", "unit", F.coalesce("unit_rank", "n_units").alias("unit_rank")).agg(F.count("*").alias("n"))
 
 
 @query
@@ -767,9 +765,13 @@ def service_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stem_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regular forms of words, of which each has the stem of the word."""
-    words = ("price", "property", "reserve", "plan")
-    return spark.createDataFrame([(w, f, stems.porter(f)) for w in words for f in stems.forms(w) if f in (w, w + "s", w + "d", "prices", "properties", "reserved", "planned", "planning")], "word string, form string, stem string")
+    """How many documents hold each regular form of some words."""
+    words = ("price", "plan", "the", "reserve")
+    forms = spark.createDataFrame([(w, f) for w in words for f in stems.forms(w)], "word string, form string")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    held = documents.select("doc_id", F.explode(F.array_distinct(phrase_index.terms_of(F.col("text")))).alias("form"))
+    counted = held.join(F.broadcast(forms), "form").groupBy("word", "form").agg(F.count("*").alias("n"))
+    return forms.join(counted, ["word", "form"], "left").where(F.col("form").isin(*words, "prices", "priced", "plans", "planned", "planning", "reserves", "reserved")).select("word", "form", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 # Sources, writes and readers that no other query passes through
@@ -902,3 +904,35 @@ def hit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = sites.documents(sites.document_lines(documents), documents.select(F.col("doc_id").alias("document_id"), "lang"), TEST_SPEC)
     return found.select("document_id", "lang", "prose_hits", F.coalesce("n_sites", F.lit(0)).alias("n_sites"))
+
+
+@query
+def views_of_an_older_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the named views of a store that was written without some columns, form and date of the facts among them."""
+    folder, s = work_path(spark, "store"), served(spark, sf_dir)
+    gone = {"fact": ("form", "filed_date", "extracted_by"), "company": ("cohort",), "verification": ("document",)}
+    for name in TABLES:
+        getattr(s, name).drop(*gone.get(name, ())).write.parquet(f"{folder}/{name}")
+    views.register(open_older(spark, folder), "older_")
+    return spark.sql("""
+        SELECT f.form, f.unit, count(*) AS n, count(f.extracted_by) AS extracted, count(c.cohort) AS in_cohort, max(f.filed_date) AS latest
+        FROM older_fact_current f JOIN older_company c ON c.cik = f.cik GROUP BY f.form, f.unit""")
+
+
+@query
+def resolution_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows came to each outcome, counted while the resolved rows were written."""
+    resolved = scale.resolve(scale_rows(served(spark, sf_dir)))
+    _, seen = kept_with(resolved, "resolved", **{s: F.count_if(F.col("status") == s) for s in ("resolved", "ambiguous", "unavailable")})
+    return spark.createDataFrame([(s, n) for s, n in seen.items() if n], "status string, n long")
+
+
+@query
+def current_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current facts after they came in three files, newer filings before older ones."""
+    source, target, state = (work_path(spark, n) for n in ("arriving", "current", "state"))
+    facts = served(spark, sf_dir).dated()
+    for part in (2, 0, 1):
+        facts.where(F.pmod(F.crc32("id"), F.lit(3)) == part).coalesce(1).write.mode("append").parquet(source)
+    current.keep_current(spark, source, facts.schema.simpleString()[7:-1].replace(":", " "), target, state, files_a_batch=1, part_rows=10_000).awaitTermination()
+    return merges.read(spark, target).select(*VIEW)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from factloom.operators.writes import IDENTITY, new_facts
-from factloom.session import delete_path, kept
+from factloom.session import delete_path, kept, kept_with
 
 #: Rows of a part and of a file.
 PART_ROWS, FILE_ROWS = 5_000_000, 5_000_000
@@ -95,17 +95,16 @@ def append_new(spark: SparkSession, folder: str, rows: DataFrame, key: str = "ci
     """Appends the first row of each identity by ordinal that the relation does not hold, and returns how many. The
     partition columns must be of the identity, or parts of its key."""
     old, by = _opened(spark, folder)
-    given = kept(_placed(rows, by, key), "given")
+    given, seen = kept_with(_placed(rows, by, key), "given", low=F.min(key), high=F.max(key), nulls=F.count_if(F.col(key).isNull()))
     met = _met(given, by)
     if met is None:
         return 0
-    low, high, nulls = given.agg(F.min(key), F.max(key), F.count_if(F.col(key).isNull())).first()
+    low, high, nulls = seen["low"], seen["high"], seen["nulls"]
     inside = F.col(key).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)
     known = old.where(met & (inside | F.col(key).isNull() if nulls else inside))
     fresh = new_facts(known, given, ordinal, identity)
-    fresh = kept(fresh if ordinal in old.columns else fresh.drop(ordinal), "fresh")
-    n = fresh.count()
-    if n:
+    fresh, seen = kept_with(fresh if ordinal in old.columns else fresh.drop(ordinal), "fresh", n=F.count(F.lit(1)))
+    if n := seen["n"]:
         blank = [F.col(f.name) if f.name in fresh.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in old.schema.fields]
         _put(fresh.select(*blank), folder, by, key, max(1, -(-n // file_rows)), "append")
     return n
@@ -120,12 +119,12 @@ def merge(spark: SparkSession, folder: str, rows: DataFrame, key: str, change: C
         return 0
     hidden = [c for c in by if PART.match(c)]
     before = old.where(met)
-    after = kept(_placed(change(before.drop(*hidden), given.drop(*hidden)).select(*[c for c in old.columns if c not in hidden]), by, key), "merged")
+    after, seen = kept_with(_placed(change(before.drop(*hidden), given.drop(*hidden)).select(*[c for c in old.columns if c not in hidden]), by, key), "merged", n=F.count(F.lit(1)))
     places = [{tuple(r) for r in frame.select(*by).distinct().collect()} for frame in (before, given, after)]
     if strays := places[2] - places[0] - places[1]:
         raise ValueError(f"the change moves rows to partitions that it was not given: {sorted(map(str, strays))[:3]}")
     if places[2]:
-        _put(after, folder, by, key, max(1, -(-after.count() // file_rows)), "dynamic")
+        _put(after, folder, by, key, max(1, -(-seen["n"] // file_rows)), "dynamic")
     for gone in places[0] - places[2]:
         delete_path(spark, f"{folder}/" + "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(by, gone, strict=True)))
     return len(places[0] | places[1])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from factloom.oracles import COHORT, COMPANY, CURRENT, FACT, FILING, LINES, PERIOD, PHRASE, STORE, TEST, VALUES, D, T, U, with_
 from factloom.oracles import ORACLE_SQL as CORE
-from factloom.registry import CONCEPTS
+from factloom.registry import BY_KEY, CONCEPTS
 
 SUPPLIED = """s AS (SELECT CAST(s_suppkey AS BIGINT) AS k, s_name AS name, CAST(floor(abs(s_acctbal)) AS BIGINT) + 1000 AS d,
   CAST(floor(abs(s_acctbal)) AS BIGINT) + 1000 + s_suppkey % 7 AS u, 'acc-' || s_suppkey AS accession, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS cik FROM supplier)"""
@@ -211,7 +211,8 @@ every AS (SELECT * FROM held UNION SELECT e.accession, e.name FROM ex e SEMI JOI
   CASE WHEN k % 4 <> 0 THEN k % 3 = 0 END AS header FROM s"""),
     "domiciles": with_(SUPPLIED, then="""SELECT k, CASE k % 5 WHEN 0 THEN false WHEN 1 THEN true WHEN 2 THEN false ELSE k % 2 = 1 END AS is_foreign,
   CASE k % 5 WHEN 0 THEN 'USA' WHEN 1 THEN 'Canada' WHEN 2 THEN NULL ELSE CASE WHEN k % 2 = 1 THEN 'Norway' END END AS country FROM s"""),
-    "registry_ranks": with_(FACT, "rank AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{u}', {r})" for k, (a, b) in RANKS.items() for u, r in (("MBoe", a), ("MMcfe", b))) + ") AS v(concept_key, unit, unit_rank))", then="SELECT unit, concept_key, CAST(unit_rank AS INT) AS unit_rank FROM rank SEMI JOIN fact USING (unit)"),
+    "registry_ranks": with_(FACT, "named AS (SELECT concept_key, CASE WHEN product_key = 'ngl' THEN 'gallons' ELSE unit END AS unit FROM fact)",
+        then="SELECT concept_key, unit, CASE unit WHEN 'MBoe' THEN 1 WHEN 'MMcfe' THEN 7 ELSE " + str(len(BY_KEY[T].units)) + " END AS unit_rank, count(*) AS n FROM named GROUP BY concept_key, unit"),
     "predecessor_names": with_(SUPPLIED, then="SELECT k, CASE WHEN k % 5 = 3 THEN 'Old Petro ' || k || ', Inc' WHEN k % 5 < 3 THEN 'Old Petro ' || k END AS predecessor FROM s"),
     "successions": with_(SUPPLIED, """named AS (SELECT k, cik, CASE WHEN k % 2 = 0 THEN CASE WHEN k % 8 = 0 THEN k WHEN k % 8 = 2 THEN -1 ELSE k + 1 END END AS who FROM s)""", then="""SELECT n.cik, CASE WHEN who IS NULL THEN 'none' WHEN f.k IS NOT NULL AND f.k <> n.k THEN 'resolved' ELSE 'unconfirmed' END AS status,
   CASE WHEN f.k IS NOT NULL AND f.k <> n.k THEN f.cik ELSE n.cik END AS history_cik,
@@ -264,7 +265,8 @@ g AS (SELECT 'no_header' AS sample_group, fact_id FROM v WHERE bare UNION ALL SE
         "SELECT 'concepts' AS question, count(DISTINCT concept_key) AS n FROM fact_current", f"SELECT 'periods', count(DISTINCT period_end) FROM fact_current WHERE concept_key = '{T}'", "SELECT 'companies', count(*) FROM company WHERE cohort IS NOT NULL",
         f"SELECT 'history', count(*) FROM fact_current WHERE cik = '0000000001' AND concept_key = '{T}'", f"SELECT 'coverage', count(*) FROM (SELECT DISTINCT c.cik, f.concept_key FROM company c LEFT JOIN fact_current f ON f.cik = c.cik WHERE cohort = '{COHORT}')",
         "SELECT 'unreached', count(DISTINCT c.cik) FROM company c JOIN fact f ON f.cik = c.cik WHERE listing_status = 'private-filer'")),
-    "stem_forms": "SELECT * FROM (VALUES ('price', 'price', 'price'), ('price', 'priced', 'price'), ('price', 'prices', 'price'), ('property', 'property', 'properti'), ('property', 'propertys', 'properti'), ('property', 'properties', 'properti'), ('reserve', 'reserve', 'reserv'), ('reserve', 'reserves', 'reserv'), ('reserve', 'reserved', 'reserv'), ('plan', 'plan', 'plan'), ('plan', 'plans', 'plan'), ('plan', 'planned', 'plan'), ('plan', 'planning', 'plan')) AS v(word, form, stem)",
+    "stem_forms": r"""WITH f AS (SELECT * FROM (VALUES ('price', 'price'), ('price', 'priced'), ('price', 'prices'), ('reserve', 'reserve'), ('reserve', 'reserves'), ('reserve', 'reserved'), ('plan', 'plan'), ('plan', 'plans'), ('plan', 'planned'), ('plan', 'planning'), ('the', 'the')) AS v(word, form))
+SELECT word, form, count(d.doc_id) AS n FROM f LEFT JOIN documents d ON regexp_matches(d.text, '(?i)(^|[^0-9A-Za-z_])' || form || '([^0-9A-Za-z_]|$)') GROUP BY word, form""",
 }
 ORACLE_SQL |= {
     "filers_of_codes": with_(SUPPLIED, then="SELECT CASE k % 2 WHEN 0 THEN '1311' ELSE '6792' END AS sic, cik, CASE WHEN k % 4 <> 0 THEN '10-K' ELSE '20-F' END AS form, CAST(k // 30 * 100 AS INT) AS start FROM s"),
@@ -291,6 +293,11 @@ n AS (SELECT document_id, count(*) FILTER (j) AS n_sites FROM jump GROUP BY docu
         then="SELECT h.document_id, any_value(d.lang) AS lang, count(*) FILTER (NOT label) AS prose_hits, coalesce(any_value(n_sites), 0) AS n_sites FROM hit h JOIN documents d ON d.doc_id = h.document_id LEFT JOIN n ON n.document_id = h.document_id GROUP BY h.document_id"),
     "published_anew": with_(*STORE, then="SELECT *, true AS refused FROM (SELECT 'company' AS relation, count(*) AS n FROM company UNION ALL SELECT 'filing', count(*) FROM filing UNION ALL SELECT 'fact', count(*) FROM fact UNION ALL SELECT 'verification', count(*) FROM verification UNION ALL SELECT 'scale', count(*) FROM scale)"),
 }
+ORACLE_SQL |= {
+    "views_of_an_older_store": with_(*STORE, then="SELECT form, unit, count(*) AS n, CAST(0 AS BIGINT) AS extracted, CAST(0 AS BIGINT) AS in_cohort, max(filed_date) AS latest FROM fact_current f JOIN company c ON c.cik = f.cik GROUP BY form, unit"),
+    "resolution_counters": f"SELECT status, count(*) AS n FROM ({CORE['scale_resolve']}) GROUP BY status",
+    "current_from_stream": CORE["fact_current"],
+}
 # The readers say the same when SQL calls them.
 ORACLE_SQL |= {sql: ORACLE_SQL[same] for sql, same in {"lines_in_sql": "page_lines", "cells_in_sql": "table_cells", "figures_in_sql": "marked_figures", "reserves_in_sql": "reserve_readings", "production_in_sql": "production_readings"}.items()}
 assert {c.key for c in CONCEPTS} == RANKS.keys()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.registry import DEVELOPED, FAMILY, TOTAL, UNDEVELOPED
-from factloom.sources.store import Store
+from factloom.sources.store import TABLES, Store
 
 CELL = ("cik", "concept_key", "product_key", "period_end", "period_start_key")
 
@@ -30,7 +30,7 @@ def fact_current(store: Store, facts: DataFrame | None = None) -> DataFrame:
 def fact_collision(store: Store) -> DataFrame:
     """Cells with more than one value among filings of one date."""
     found = store.dated().groupBy(*CELL, "filed_date").agg(
-        F.countDistinct("value").alias("distinct_values"), F.size(F.collect_set("unit")).cast("long").alias("distinct_units"),
+        F.size(F.collect_set("value")).cast("long").alias("distinct_values"), F.size(F.collect_set("unit")).cast("long").alias("distinct_units"),
         F.min("value").alias("min_value"), F.max("value").alias("max_value"), joined_units().alias("units"),
     )
     return found.where("distinct_values > 1").select("cik", "concept_key", F.col("product_key").alias("product"), "period_end", "distinct_values", "distinct_units", "min_value", "max_value", "units")
@@ -68,3 +68,15 @@ def fact_verified(store: Store) -> DataFrame:
 def fact_canonical(store: Store) -> DataFrame:
     s = store.scale.select(F.col("fact_id").alias("id"), "canonical_value", "canonical_unit", F.col("divisor").alias("scale_divisor"))
     return fact_verified(store).join(s, "id", "left")
+
+
+#: The views of a store by their names.
+VIEWS = {"fact_current": fact_current, "fact_collision": fact_collision, "unit_discontinuity": unit_discontinuity, "reserve_consistency": reserve_consistency, "fact_verified": fact_verified, "fact_canonical": fact_canonical}
+
+
+def register(store: Store, prefix: str = "") -> None:
+    """Names the relations of a store and its views in the session, for SQL; names in use are given anew."""
+    for name in TABLES:
+        getattr(store, name).createOrReplaceTempView(prefix + name)
+    for name, view in VIEWS.items():
+        view(store).createOrReplaceTempView(prefix + name)

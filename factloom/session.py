@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -63,3 +63,11 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def kept_with(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """`kept`, and aggregates of its rows, taken while they are written."""
+    seen = Observation()
+    path = work_path(df.sparkSession, label)
+    df.observe(seen, *[m.alias(name) for name, m in metrics.items()]).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get

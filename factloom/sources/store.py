@@ -35,6 +35,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+#: Columns that plans may ask for and an older store may lack; they are read as nulls. A fact's form and date are not
+#: among them: where a store lacks these, they come from the filing.
+SINCE_ADDED = {
+    "company": {"cohort": "string", "country": "string", "listing_status": "string", "notes": "string"},
+    "filing": {"period_end": "string", "primary_doc": "string"},
+    "fact": {"unit_rank": "int", "extracted_by": "string", "source_span": "string"},
+    "verification": {"document": "string"},
+    "scale": {"divisor": "double"},
+}
+
+
+def migrated(frame: DataFrame, name: str) -> DataFrame:
+    """A relation with the columns that came later, null where it lacks them."""
+    return frame.withColumns({c: F.lit(None).cast(kind) for c, kind in SINCE_ADDED[name].items() if c not in frame.columns})
+
+
+def open_older(spark: SparkSession, folder: str) -> Store:
+    """A store that was written before some columns were."""
+    own = open_store(spark, folder)
+    return Store(**{name: migrated(getattr(own, name), name) for name in TABLES})
+
+
 def open_store(spark: SparkSession, folder: str) -> Store:
     """A written store, read-only; a missing folder or table is an error that names it."""
     frames = {}

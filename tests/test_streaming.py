@@ -4,8 +4,10 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from factloom.operators import sites
-from factloom.streaming import watch
+from factloom.operators import merges, sites
+from factloom.plans import views
+from factloom.sources.store import Store
+from factloom.streaming import current, watch
 
 SCHEMA = "accession string, filed_at timestamp, form string"
 
@@ -31,3 +33,26 @@ def test_sites(spark):
     assert [(r.document_id, r.n_sites, r.prose_hits) for r in docs] == [(1, 2, 1), (2, None, 1)]
     prices = spark.createDataFrame([(1, 1, "Average sales prices per Bbl"), (1, 2, "Average production costs per Boe")], "document_id int, line_no int, text string")
     assert sites.sites(prices, sites.PRODUCTION).first().closable and df.where(F.col("text") == "nothing").count() == 1
+
+
+FACTS = "cik string, concept_key string, product_key string, period_end string, period_start_key string, filed_date string, unit_rank int, id string, value double"
+
+
+def test_current_facts_follow_every_batch(spark, tmp_path):
+    """After each batch the target is what the view says of all facts so far; late and repeated rows included."""
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    row = lambda i, cik, filed, rank, value: (cik, "x", "", "2023-12-31", "", filed, rank, i, float(value))
+    batches = [
+        [row("a", "1", "2024-02-01", 1, 10), row("b", "1", "2024-02-01", 0, 11), row("c", "2", "2024-02-01", 0, 20), row("n", None, "2024-02-01", 0, 5)],
+        [row("d", "1", "2023-02-01", 0, 9), row("e", "2", "2025-02-01", 3, 21), row("f", "3", "2024-02-01", 0, 30)],  # the first comes late
+        [row("e", "2", "2025-02-01", 3, 21), row("g", "2", "2025-02-01", 3, 22), row("h", "4", "2024-02-01", 0, 40)],
+    ]
+    seen = []
+    for batch in batches:
+        seen += batch
+        spark.createDataFrame(batch, FACTS).coalesce(1).write.mode("append").parquet(source)
+        current.keep_current(spark, source, FACTS, target, state, part_rows=2).awaitTermination(120)
+        everything = spark.createDataFrame(seen, FACTS)
+        want = views.fact_current(Store(None, None, everything.withColumn("form", F.lit("10-K")), None, None)).drop("form")
+        assert sorted(map(str, merges.read(spark, target).select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert sorted(map(str, current.current_cells(everything).select(*want.columns).collect())) == sorted(map(str, want.collect()))
