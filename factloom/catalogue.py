@@ -246,6 +246,9 @@ over_store("resolve_direct", lambda s: scale.resolve_direct(s.fact.select("id",
 over_store("resolve_periods", lambda s: scale.resolve_periods(scale_rows(s).withColumn("measure", F.col("value") * 12500.0)).groupBy("product_key", "canonical_unit").agg(F.count("*").alias("n"), F.round(F.max("canonical_value"), 3).alias("most")))
 
 
+over_store("resolved_period_rows", lambda s: scale.resolve_periods(scale_rows(s).withColumn("measure", F.col("value") * 12500.0)).select("id", "divisor", F.round("canonical_value", 3).alias("canonical_value"), F.round("usd_per_boe", 6).alias("usd_per_boe")))
+
+
 @query
 def production_reserve_life(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undeveloped cells in the part of production, held against the total cells as reserves."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions.names import base_form
 from factloom.operators.identity import exhibits, is_wrapper
+from factloom.session import qualified
 
 ANNUAL_WITH_EXHIBITS, EVENT = "40-F", "8-K"
 
@@ -56,19 +57,30 @@ def misses(wanted: DataFrame, cached: DataFrame, key: str = "cik") -> DataFrame:
     return wanted.select(key).distinct().join(cached.select(key), key, "left_anti")
 
 
+def _reached(root: str):
+    """(file system of pyarrow, path in it) of a qualified path."""
+    from pyarrow import fs
+
+    scheme, _, rest = root.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + rest)
+
+
 def store_documents(documents: DataFrame, root: str) -> DataFrame:
     """Writes raw documents to root/accession/name, each under a temporary name that is then moved, so that a task that
-    runs again replaces its own work; returns (accession, name, size). root: a folder that all executors reach, by a
-    scheme that pyarrow knows, or a path of a shared mount."""
+    runs again replaces its own work; returns (accession, name, size). root: a folder that all executors reach, on the
+    file system that Spark uses for it, of a kind that pyarrow knows. An accession or name that is no plain name (empty,
+    with a slash, or dots alone) is refused, as it would lead out of its folder."""
+    folder = qualified(documents.sparkSession, root)
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        local = root.startswith("file:") or ":/" not in root
-        system, base = (fs.LocalFileSystem(), root.removeprefix("file:").replace("///", "/", 1)) if local else fs.FileSystem.from_uri(root)
+        system, base = _reached(folder)
         for pdf in batches:
             sizes = []
             for accession, name, raw in zip(pdf["accession"], pdf["name"], pdf["raw"], strict=True):
+                if any(not part or "/" in part or not part.strip(".") for part in (accession, name)):
+                    raise ValueError(f"no plain name: {accession!r}, {name!r}")
                 data = (raw or "").encode("utf-8", "replace")
                 system.create_dir(f"{base}/{accession}", recursive=True)
                 with system.open_output_stream(f"{base}/{accession}/.{name}.part") as out:

@@ -255,3 +255,5 @@ SELECT cik, min(other) AS issuer, cik = min(other) AS is_primary FROM reach GROU
     "exhibit_filter": """WITH r AS (SELECT l_orderkey, CAST(floor(l_extendedprice) AS BIGINT) AS size, row_number() OVER (PARTITION BY l_orderkey ORDER BY floor(l_extendedprice) DESC) AS rn FROM lineitem WHERE l_linenumber % 2 = 1 AND l_returnflag IN ('A', 'N') AND floor(l_extendedprice) >= 25000)
 SELECT l_orderkey AS accession, count(*) AS n, max(size) AS largest FROM r WHERE rn <= 6 GROUP BY l_orderkey""",
 }
+_PERIODS = ORACLE_SQL["resolve_periods"].replace("SELECT t.*, t.value / s.divisor", "SELECT t.*, s.divisor AS shared, s.ratio AS of_anchor, t.value / s.divisor")
+ORACLE_SQL["resolved_period_rows"] = _PERIODS.replace("SELECT product_key, 'BOE' AS canonical_unit, count(*) AS n, round(max(canonical), 3) AS most FROM judged", "SELECT id, shared AS divisor, round(canonical, 3) AS canonical_value, round(of_anchor, 6) AS usd_per_boe FROM judged").removesuffix(" GROUP BY product_key")

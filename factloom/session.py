@@ -71,3 +71,9 @@ def kept_with(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame,
     path = work_path(df.sparkSession, label)
     df.observe(seen, *[m.alias(name) for name, m in metrics.items()]).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system that Spark would use for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()

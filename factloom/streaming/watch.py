@@ -19,7 +19,8 @@ def append_once(rows: DataFrame, target: str, checkpoint: str, key: str = "acces
 
     def put(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = spark.read.parquet(target).select(key) if exists(spark, f"{target}/_SUCCESS") else batch.select(key).limit(0)
+        own = batch.select(key)
+        known = spark.read.schema(own.schema).parquet(target) if exists(spark, target) else own.limit(0)
         batch.dropDuplicates([key]).join(known, key, "left_anti").withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(target)
 
     return rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from factloom.functions import stems
 from factloom.operators import acquisition, clusters, sites, succession, writes
-from factloom.plans import service
+from factloom.plans import service, views
 from factloom.registry import TOTAL
 from factloom.sources import client, corpus, payloads
-from factloom.sources.store import open_store, tpch_store
+from factloom.sources.store import TABLES, open_older, open_store, tpch_store
 
 
 class Pages:
@@ -186,3 +186,23 @@ def test_blank_profiles(spark):
     none = payloads.parsed(spark.createDataFrame([(None,)], "doc string"), "doc")
     r = payloads.profiles_of(ciks, none).first()
     assert (r.error, r.tickers, r.annual_count, r.name) == ("no submissions", [], 0, None)
+
+
+@pytest.mark.parametrize("name", ["../up.htm", "", "..", "a/b.htm"])
+def test_documents_stay_in_their_folder(spark, tmp_path, name):
+    rows = spark.createDataFrame([("a-1", name, "<p>x</p>")], "accession string, name string, raw string")
+    with pytest.raises(Exception, match="no plain name"):
+        acquisition.store_documents(rows, str(tmp_path / "root")).collect()
+    assert not (tmp_path / "up.htm").exists()
+
+
+def test_an_older_store_is_read_with_nulls(spark, sf_dir, tmp_path):
+    own = tpch_store(spark, sf_dir)
+    for table in TABLES:
+        frame = getattr(own, table)
+        (frame.drop("extracted_by", "unit_rank") if table == "fact" else frame.drop("cohort") if table == "company" else frame).limit(50).write.parquet(f"{tmp_path}/{table}")
+    older = open_older(spark, str(tmp_path))
+    assert older.fact.where("extracted_by is null and unit_rank is null").count() == 50 and older.company.where("cohort is null").count() == older.company.count() > 0
+    assert "form" in older.dated().columns
+    views.register(older, "test_")
+    assert spark.sql("SELECT count(*) AS n FROM test_fact_current WHERE form IS NOT NULL").first().n == views.fact_current(older).count()
