@@ -21,6 +21,7 @@ import struct
 import sys
 import unicodedata
 from dataclasses import dataclass
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -316,20 +317,24 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 
 def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """One row per input row: id, n_tokens, digests of the ids and of the bytes decoded from them; with_ids adds ids."""
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-
-    @F.pandas_udf(schema)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        settle()
-        bpe, rows = loaded(path), []
-        for some in in_runs([t or "" for t in texts], RUN_CHARS):
-            found = bpe.encode_run(some)
-            ids, at = found.all_ids()
-            sizes = np.diff(at).tolist()
-            digests = [[hashlib.sha256(x).hexdigest() for x in of] for of in (found.written(), bpe.decode_run(found))]
-            parts = np.split(ids.astype(np.int32), at[1:-1]) if with_ids else None
-            rows += zip(sizes, *digests, *([parts] if with_ids else []), strict=True)
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
-
-    return docs.select(F.col(id_col), run(F.col(text_col)).alias("found")).select(id_col, "found.*")
+    """One row per input row: id, n_tokens, digests of the ids and of the bytes decoded from them; with_ids adds ids.
+
+    What comes of a run of texts is handed on before the next is encoded, so a task never holds the ids of a whole batch."""
+    kinds = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"} | ({"ids": "array<int>"} if with_ids else {})
+    given = docs.select(F.col(id_col), F.col(text_col).alias(f"{id_col}_text"))
+    schema = f"`{id_col}` {given.schema[0].dataType.simpleString()}, " + ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = loaded(path)
+        for batch in batches:
+            settle()
+            first = 0
+            for some in in_runs([t or "" for t in batch.column(1).to_pylist()], RUN_CHARS):
+                found = bpe.encode_run(some)
+                ids, at = found.all_ids()
+                digests = [pa.array([hashlib.sha256(x).hexdigest() for x in of], pa.string()) for of in (found.written(), bpe.decode_run(found))]
+                lists = [pa.ListArray.from_arrays(pa.array(np.asarray(at, np.int32)), pa.array(ids.astype(np.int32)))] if with_ids else []
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(some)), pa.array(np.diff(at).astype(np.int64)), *digests, *lists], names=[id_col, *kinds])
+                first += len(some)
+
+    return given.mapInArrow(run, schema)
