@@ -8,7 +8,7 @@ distinct one goes through a cache of merged pairs, and the ids of the run are pu
 kept: decoding puts the bytes of each pre-token's ids at its offset, and finds that they meet there.
 
 Cases: a null text counts as empty and gives no ids; texts of any length are taken whole; repeated rows each get
-their own result; other columns are ignored.
+their own result; a null id is kept; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
