@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 BOE, USD = "BOE", "USD"
 MCF_PER_BOE = 6.0
-GAS_NOTE = "gas converted at 6 Mcf = 1 BOE (Reg S-K 1200)"
+GAS_NOTE = "six thousand cubic feet of gas count as one barrel of oil equivalent"
 
 # Barrels of a liquid unit, cubic feet of a gas unit.
 BARRELS = {

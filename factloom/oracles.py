@@ -206,7 +206,7 @@ after AS (SELECT concept_key, id FROM old UNION ALL SELECT concept_key, id FROM
     "coverage_snapshot": with_(*STORE, """keys AS (SELECT unnest(['%s', '%s', '%s', 'standardized_measure', 'production_volume', 'oil_and_gas_revenue', 'capex', 'average_sales_price', 'production_cost_per_boe']) AS concept_key)""" % (D, U, T),
         then="SELECT c.cik, k.concept_key, count(f.id) > 0 AS tagged, count(f.id) AS observations, string_agg(DISTINCT f.unit, '|' ORDER BY f.unit) AS units, max(f.period_end) AS latest_period FROM company c CROSS JOIN keys k LEFT JOIN fact f ON f.cik = c.cik AND f.concept_key = k.concept_key GROUP BY c.cik, k.concept_key"),
     "alias_validation": with_(*STORE, VALUES, then="SELECT c.cik, CASE WHEN b.cik IS NULL THEN 'insufficient' WHEN latest_ok THEN 'validated' WHEN coherent_periods > 0 THEN 'drifted' ELSE 'incoherent' END AS status, unit, tested_periods, coherent_periods, round(median_error, 6) AS median_error, incoherent FROM company c LEFT JOIN best b ON b.cik = c.cik"),
-    "unit_conversion": with_(*STORE, then=f"SELECT unit, count(*) AS n, round(max(value / 1 * {FACTOR}), 3) AS most, 'BOE' AS canonical_unit, max(CASE unit WHEN 'MMcfe' THEN 'gas converted at 6 Mcf = 1 BOE (Reg S-K 1200)' END) AS note FROM fact GROUP BY unit"),
+    "unit_conversion": with_(*STORE, then=f"SELECT unit, count(*) AS n, round(max(value / 1 * {FACTOR}), 3) AS most, 'BOE' AS canonical_unit, max(CASE unit WHEN 'MMcfe' THEN 'six thousand cubic feet of gas count as one barrel of oil equivalent' END) AS note FROM fact GROUP BY unit"),
     "scale_candidates": with_(*STORE, READINGS, then="SELECT id, divisor, round(canonical, 3) AS canonical, 'BOE' AS canonical_unit FROM reading"),
     "scale_resolve": with_(*STORE, READINGS, then="SELECT t.id, CASE WHEN t.measure IS NULL THEN 'unavailable' WHEN c.id IS NULL THEN 'ambiguous' ELSE 'resolved' END AS status, c.divisor, round(c.ratio, 6) AS usd_per_boe, coalesce(c.n, 0) AS n_viable FROM total t LEFT JOIN chosen c ON c.id = t.id AND c.rn = 1"),
     "resolve_periods": with_(*STORE, f"""t AS (SELECT id, cik, period_end, product_key, unit, value, value * 12500 AS measure, {FACTOR} AS per FROM fact_current WHERE concept_key = '{T}'),

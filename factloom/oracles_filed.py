@@ -237,7 +237,7 @@ JOIN (SELECT c.cik, concat_ws(', ', CASE WHEN NOT coalesce(bool_or(f.concept_key
   FROM company c LEFT JOIN fact f ON f.cik = c.cik AND f.accession IN (SELECT accession FROM filing) GROUP BY c.cik) h ON h.cik = c.cik
 JOIN (VALUES ('{D}', 'ProvedDevelopedReservesVolume'), ('{U}', 'ProvedUndevelopedReserveVolume'), ('{T}', 'ProvedDevelopedAndUndevelopedReservesNet'), ('*', NULL)) AS k(concept_key, tag) ON (k.concept_key = '*') = (b.cik IS NULL OR CAST(c.cik AS BIGINT) % 5 = 0)"""),
     "empty_payloads": with_(COMPANY, FACT, then="SELECT c.cik, 'empty payload' AS error FROM company c ANTI JOIN (SELECT cik FROM fact WHERE CAST(cik AS BIGINT) % 4 <> 0) f ON f.cik = c.cik"),
-    "resolved_tables": with_(FACT, then=f"""SELECT 'BOE' AS canonical_unit, CASE WHEN f.unit = 'MMcfe' THEN 'gas converted at 6 Mcf = 1 BOE (Reg S-K 1200)' END AS conversion_note, 'as printed in the table' AS basis, count(*) AS n,
+    "resolved_tables": with_(FACT, then=f"""SELECT 'BOE' AS canonical_unit, CASE WHEN f.unit = 'MMcfe' THEN 'six thousand cubic feet of gas count as one barrel of oil equivalent' END AS conversion_note, 'as printed in the table' AS basis, count(*) AS n,
   round(max(value * CASE WHEN product_key = 'gas' THEN 1000000.0 ELSE 1.0 END * {MONEY}), 2) AS most FROM fact f WHERE value * CASE WHEN product_key = 'gas' THEN 1000000.0 ELSE 1.0 END * {MONEY} <= 1e11 GROUP BY ALL"""),
     "interval_of": """WITH e AS (SELECT user_id, event_id, event_type, CAST(floor(epoch(CAST(ts AS TIMESTAMP))) AS BIGINT) AS spot FROM events),
 i AS (SELECT user_id, spot AS s, spot + CASE WHEN event_type = 'signup' THEN 72 ELSE 1 END * 3600 AS t, event_id AS span_id FROM e WHERE event_type IN ('signup', 'purchase')),
