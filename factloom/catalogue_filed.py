@@ -52,6 +52,17 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("s_suppkey").cast("long").alias("k"), F.col("s_name").alias("name"), base.alias("d"), (base + F.col("s_suppkey") % 7).cast("long").alias("u"), F.col("s_nationkey").cast("long").alias("nation"))
 
 
+#: Reports that one task makes and reads.
+TASK_REPORTS = 250
+
+
+def _filers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers dealt over tasks before their reports are made: a file of a few bytes a row is one task for Spark, but each
+    row becomes a document that Python reads."""
+    rows = _suppliers(spark, sf_dir)
+    return rows.repartition(max(1, -(-rows.count() // TASK_REPORTS)), "k")
+
+
 def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """accession, cik, name, raw, doc_rank, fallback_period, and the numbers that the report is made of."""
     k, d, u = F.col("k"), F.col("d"), F.col("u")
@@ -76,7 +87,7 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         reserves, "<hr><p>Item 7. Results</p>", sales(1), F.when(k % 3 == 0, sales(10)).otherwise(F.lit("")), marked, "<p>Page 9</p>",
     )
     accession = _text("acc-", k)
-    return _suppliers(spark, sf_dir).select("*", accession.alias("accession"), F.lpad(k.cast("string"), 10, "0").alias("cik"), F.lit("r.htm").alias("file"), raw.alias("raw"), F.lit(0).alias("doc_rank"), F.lit("2020-12-31").alias("fallback_period"))
+    return _filers(spark, sf_dir).select("*", accession.alias("accession"), F.lpad(k.cast("string"), 10, "0").alias("cik"), F.lit("r.htm").alias("file"), raw.alias("raw"), F.lit(0).alias("doc_rank"), F.lit("2020-12-31").alias("fallback_period"))
 
 
 def _corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -862,7 +873,7 @@ def other_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(_row("", "A (MBoe)", "B (MBoe)"), _row("Total proved", printed(d), printed(u))),
     )
     raw = F.when(k % 3 == 0, balances).when(k % 3 == 1, parts).otherwise(regions)
-    corpus = _suppliers(spark, sf_dir).select(_text("acc-", k).alias("accession"), F.lit("r.htm").alias("name"), raw.alias("raw"), F.lit("2020-12-31").alias("fallback_period"))
+    corpus = _filers(spark, sf_dir).select(_text("acc-", k).alias("accession"), F.lit("r.htm").alias("name"), raw.alias("raw"), F.lit("2020-12-31").alias("fallback_period"))
     return readers.reserve_readings(corpus).select("accession", "concept_key", "product", "value", "unit", "period_end")
 
 

@@ -196,3 +196,22 @@ def test_facts_that_no_report_prints(spark, tmp_path):
     spark.createDataFrame([(7, "A", 0, 2827.0), (8, "B", 1, 10.5)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
     found = {r.fact_id: (r.status, r.printed) for r in QUERIES["verify_facts"](spark, str(tmp_path)).collect()}
     assert found["t7"] == ("found", "7,654") and found["n7"] == found["n8"] == ("not_found", None)
+
+
+def test_reports_are_dealt_over_tasks(spark, tmp_path):
+    """2,000 suppliers in one small file are read as reports by several tasks, about evenly."""
+    from factloom import catalogue_filed
+
+    spark.range(2000).select(F.col("id").alias("s_suppkey"), F.lit("A").alias("s_name"), F.lit(0).alias("s_nationkey"), F.lit(5.0).alias("s_acctbal")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    dealt = [r["count"] for r in catalogue_filed._reports(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(dealt) == 2000 and len(dealt) == 8 and max(dealt) < 400
+
+
+def test_documents_are_verified_by_several_tasks(spark):
+    """1,000 short documents in one partition are verified by four tasks, and every fact has its verdict."""
+    corpus = spark.range(1000).select(F.concat(F.lit("a"), "id").alias("accession"), F.lit("d.htm").alias("name"), F.concat(F.lit("<p>Total 1,23"), F.col("id") % 10, F.lit("</p>")).alias("raw"), F.lit(0).alias("doc_rank")).coalesce(1)
+    facts = corpus.select(F.col("accession").alias("id"), "accession", F.lit(None).cast("string").alias("tag"), F.lit("2023-12-31").alias("period_end"), F.lit(1234.0).alias("value"), F.lit(None).cast("string").alias("product"))
+    found = operators.verify(facts, corpus)
+    assert {r.status: r["count"] for r in found.groupBy("status").count().collect()} == {"found": 100, "not_found": 900}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(accession") >= 2 and "REPARTITION_BY_NUM" in plan
