@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from factloom.operators.writes import IDENTITY, new_facts
+from factloom.operators.writes import CODEC, IDENTITY, new_facts
 from factloom.session import delete_path, kept, kept_with
 
 #: Rows of a part and of a file.
@@ -51,7 +51,7 @@ def lay_out(rows: DataFrame, folder: str, key: str, by: tuple[str, ...] = (), pa
 
 def _put(rows: DataFrame, folder: str, by: tuple[str, ...], key: str, files: int, mode: str) -> None:
     order = [*by, key, *[c for c in rows.columns if c not in by and c != key][:1]]
-    writer = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.partitionBy(*by)
+    writer = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.option("compression", CODEC).partitionBy(*by)
     (writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if mode == "dynamic" else writer.mode(mode)).parquet(folder)
 
 

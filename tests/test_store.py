@@ -113,3 +113,19 @@ def test_windows(spark):
     assert [r.nearest for r in clusters.nearest_before(rows, marks, ["doc"], "line_no", "h").orderBy("line_no").collect()] == [None, "h1", "h1", "h2", "h2"]
     spans = spark.createDataFrame([("d", 0, 4, "x"), ("d", 80, 89, "y")], "doc string, s int, e int, v string")
     assert [r.v for r in clusters.interval_of(rows, spans, ["doc"], "line_no", "s", "e", "v").orderBy("line_no").collect()] == ["x", "x", "y", "y", "y"]
+
+
+def test_publishing_shuffles_lines_before_they_are_facts(spark, sf_dir):
+    """What is dealt is as narrow as the lines that are read, holds no id yet, and gives the facts with their filing's form."""
+    own = tpch_store(spark, sf_dir)
+    dealt = own.dealt(3)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("md5(") < plan.index("rangepartitioning(")  # printed from the top: ids are made above the exchange
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, own.dated().select(*dealt.columns).collect()))
+    assert own.with_facts(own.fact.limit(5)).dealt(2).count() == 5
+
+
+def test_repeated_keys_are_counted_by_the_key(spark):
+    """Keys that come again are found, a null one included."""
+    rows = spark.createDataFrame([(k,) for k in ("a", "b", "a", None, None, "c", "c", "c")], "k string")
+    assert {tuple(r) for r in writes.repeated(rows, "k").collect()} == {("a", 2), (None, 2), ("c", 3)}
