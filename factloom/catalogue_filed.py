@@ -939,12 +939,18 @@ def resolution_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(s, n) for s, n in seen.items() if n], "status string, n long")
 
 
+#: Facts of one file of a delivery, about.
+DELIVERED_FACTS = 500_000
+
+
 @query
 def current_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The current facts after they came in three files, newer filings before older ones."""
+    """The current facts after they came in three deliveries, newer filings before older ones; a delivery is as many files
+    as its facts ask for, and one batch."""
     source, target, state = (work_path(spark, n) for n in ("arriving", "current", "state"))
     facts = served(spark, sf_dir).dated()
+    files = max(1, -(-facts.count() // (3 * DELIVERED_FACTS)))
     for part in (2, 0, 1):
-        facts.where(F.pmod(F.crc32("id"), F.lit(3)) == part).coalesce(1).write.mode("append").parquet(source)
-    current.keep_current(spark, source, facts.schema.simpleString()[7:-1].replace(":", " "), target, state, files_a_batch=1, part_rows=10_000).awaitTermination()
+        facts.where(F.pmod(F.crc32("id"), F.lit(3)) == part).repartition(files, "cik", "id").write.mode("append").parquet(source)
+    current.keep_current(spark, source, facts.schema.simpleString()[7:-1].replace(":", " "), target, state, files_a_batch=files, part_rows=10_000).awaitTermination()
     return merges.read(spark, target).select(*VIEW)

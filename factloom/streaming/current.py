@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from factloom.operators import merges, writes
 from factloom.plans.views import CELL
+from factloom.session import kept
 from factloom.sources.store import exists
 
 
@@ -30,6 +31,7 @@ def keep_current(spark: SparkSession, source: str, schema: str, target: str, che
 
     def put(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
+        batch = kept(batch, "batch")  # else each job over it would go through the state again
         if batch.isEmpty():
             return
         if exists(own, f"{target}/_SUCCESS"):

@@ -56,3 +56,17 @@ def test_current_facts_follow_every_batch(spark, tmp_path):
         want = views.fact_current(Store(None, None, everything.withColumn("form", F.lit("10-K")), None, None)).drop("form")
         assert sorted(map(str, merges.read(spark, target).select(*want.columns).collect())) == sorted(map(str, want.collect()))
     assert sorted(map(str, current.current_cells(everything).select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_delivery_is_several_files(spark, sf_dir, monkeypatch):
+    """A delivery of many facts comes in several files, which no single task writes, and the current facts are the same."""
+    from factloom import catalogue, catalogue_filed
+
+    monkeypatch.setattr(catalogue_filed, "DELIVERED_FACTS", 500)
+    written = []
+    monkeypatch.setattr(catalogue_filed.current, "keep_current", lambda spark, source, *a, keep=catalogue_filed.current.keep_current, **k: written.append((len(spark.read.parquet(source).inputFiles()), k["files_a_batch"])) or keep(spark, source, *a, **k))
+    got = catalogue_filed.current_from_stream(spark, sf_dir)
+    want = catalogue.QUERIES["fact_current"](spark, sf_dir)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    (files, a_batch), = written
+    assert a_batch > 1 and files == 3 * a_batch
