@@ -23,11 +23,12 @@ def on(keys: tuple[str, ...] | list[str], a: DataFrame, b: DataFrame) -> Column:
 
 
 def new_facts(old: DataFrame, rows: DataFrame, ordinal: str = "ordinal", identity: tuple[str, ...] = IDENTITY) -> DataFrame:
-    """The rows to append: the first of each identity by ordinal that the old facts do not hold yet."""
-    first = Window.partitionBy(*identity).orderBy(ordinal)
-    fresh = rows.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn")
-    known = old.select(*identity)
-    return fresh.join(known, on(identity, fresh, known), "left_anti")
+    """The rows to append: the first of each identity by ordinal that the old facts do not hold yet. Old identities, as
+    narrow as they are, stand before the rows in one window, so each side is shuffled once and null is equal to null."""
+    known = old.select(*[F.col(c).cast(rows.schema[c].dataType).alias(c) for c in identity], F.lit(True).alias("known"))
+    both = rows.withColumn("known", F.lit(False)).unionByName(known, allowMissingColumns=True)
+    first = Window.partitionBy(*identity).orderBy(F.desc("known"), ordinal)
+    return both.withColumn("rn", F.row_number().over(first)).where("rn = 1").where("not known").select(*rows.columns)
 
 
 def insert_facts(old: DataFrame, rows: DataFrame, ordinal: str = "ordinal", identity: tuple[str, ...] = IDENTITY) -> DataFrame:

@@ -57,11 +57,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Of what is kept in between: ids are digits of a digest, of which codecs that only look for repeats save nothing.
+KEPT_CODEC = "zstd"
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """df written to the shared folder and read from there, so that nothing is worked out twice and no lost executor
     takes it along."""
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", KEPT_CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -69,7 +73,7 @@ def kept_with(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame,
     """`kept`, and aggregates of its rows, taken while they are written."""
     seen = Observation()
     path = work_path(df.sparkSession, label)
-    df.observe(seen, *[m.alias(name) for name, m in metrics.items()]).write.parquet(path)
+    df.observe(seen, *[m.alias(name) for name, m in metrics.items()]).write.option("compression", KEPT_CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
 
 

@@ -129,3 +129,19 @@ def test_repeated_keys_are_counted_by_the_key(spark):
     """Keys that come again are found, a null one included."""
     rows = spark.createDataFrame([(k,) for k in ("a", "b", "a", None, None, "c", "c", "c")], "k string")
     assert {tuple(r) for r in writes.repeated(rows, "k").collect()} == {("a", 2), (None, 2), ("c", 3)}
+
+
+def test_new_facts_shuffle_each_side_once(spark, store):
+    """The rows that are appended pass one exchange, the old identities with them, and null is equal to null."""
+    rows = store([{"value": 1, "product": None}, {"value": 2, "acc": "a2"}, {"value": 3, "acc": "a2"}]).fact.withColumn("ordinal", F.col("id"))
+    rows = rows.withColumn("period_start_key", F.lit(None).cast("string"))
+    fresh = writes.new_facts(rows.where("accession = 'a1'"), rows)
+    assert [(r.id, r.value) for r in fresh.collect()] == [("1", 2.0)] and fresh.columns == rows.columns
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    try:
+        assert writes.new_facts(rows.where("accession = 'a1'"), rows)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
