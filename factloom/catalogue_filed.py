@@ -20,7 +20,7 @@ from factloom.functions import names, stems, text, units
 from factloom.operators import acquisition, clusters, crosscheck, identity, merges, phrase_index, scale, sites, succession, sync, validation, writes
 from factloom.plans import answers, counts, quality, reports, series, service, views
 from factloom.registry import DEVELOPED, TOTAL, concepts_frame, units_frame
-from factloom.session import kept_with, work_folder, work_path
+from factloom.session import kept, kept_with, work_folder, work_path
 from factloom.sources import archive, corpus, payloads, urls
 from factloom.sources.store import TABLES, open_older, open_store
 from factloom.streaming import current, watch
@@ -185,7 +185,7 @@ def chosen_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def prefer_unhedged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices printed before and after hedges."""
-    prices = readers.production_readings(_corpus(spark, sf_dir)).where(f"concept_key = '{production.PRICE}' and table_index = 1")
+    prices = kept(readers.production_readings(_corpus(spark, sf_dir)).where(f"concept_key = '{production.PRICE}' and table_index = 1"), "prices")  # reports are read once
     after = prices.withColumn("is_hedged", F.lit(True)).withColumn("value", F.col("value") * 2).withColumn("table_index", F.lit(0))
     return readers.prefer_unhedged(prices.unionByName(after)).select("accession", "product", "period_end", "value", "is_hedged")
 

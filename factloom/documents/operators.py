@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from factloom.documents import evidence, grid, layout, markup, production, reserves
 from factloom.functions.names import base_form
 from factloom.registry import DEVELOPED, TOTAL, UNDEVELOPED, concepts_frame, units_frame
+from factloom.session import kept
 
 # The tags under which volumes by product are taken from inline markup, by concept.
 VOLUME_TAGS = {
@@ -169,7 +170,8 @@ def match_figures(facts: DataFrame, found: DataFrame) -> DataFrame:
     facts: id, accession, tag, period_end, value, product; found: `figures`. A join with a tolerance: figures lie in bins as
     wide as their last printed place (or a hundredth of their size, where that is not to be read), and a fact looks into its
     bin of each width in use and those beside it, so that only values near to each other meet. Widths are powers of ten, a
-    few dozen at most."""
+    few dozen at most. The figures are kept, as the widths are asked for first and documents are read once."""
+    found = kept(found, "figures")
     digits = F.ltrim(F.regexp_replace(F.trim("shown"), "[,()]", ""), F.lit("-"))
     readable = digits.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$")
     decimals = F.length(F.split_part(digits, F.lit("."), F.lit(2)))

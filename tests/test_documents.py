@@ -215,3 +215,11 @@ def test_documents_are_verified_by_several_tasks(spark):
     assert {r.status: r["count"] for r in found.groupBy("status").count().collect()} == {"found": 100, "not_found": 900}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(accession") >= 2 and "REPARTITION_BY_NUM" in plan
+
+
+def test_documents_are_read_once_for_figures_and_prices(spark, sf_dir):
+    """What Python read of them is kept where a query uses it twice."""
+    from factloom.catalogue_filed import QUERIES
+
+    for name in ("matched_figures", "prefer_unhedged"):
+        assert "MapInPandas" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString(), name
