@@ -116,7 +116,7 @@ def coverage(obs: DataFrame, ciks: DataFrame, forms: tuple[str, ...] | None = No
 
 def empty_payloads(obs: DataFrame, ciks: DataFrame) -> DataFrame:
     """(cik, error) of filers whose payload holds no observation at all: all their concepts are untagged for that reason."""
-    return ciks.select("cik").distinct().join(obs.select("cik"), "cik", "left_anti").withColumn("error", F.lit("empty payload"))
+    return ciks.select("cik").distinct().join(obs.select("cik").distinct(), "cik", "left_anti").withColumn("error", F.lit("empty payload"))
 
 
 def _keys() -> list[str]:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from factloom import catalogue, catalogue_filed
 from factloom.operators import clusters, writes
 from factloom.plans import counts, panel, views
 from factloom.registry import DEVELOPED, TOTAL, UNDEVELOPED
@@ -145,3 +146,13 @@ def test_new_facts_shuffle_each_side_once(spark, store):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_empty_payloads_publish_nothing(spark, sf_dir, monkeypatch):
+    """What comes in is read as it is, and each task sends a company once."""
+    monkeypatch.setattr(catalogue, "_PUBLISHED", {})
+    found = catalogue_filed.QUERIES["empty_payloads"](spark, sf_dir)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = plan.splitlines()[:next(i for i, line in enumerate(plan.splitlines()) if "l_suppkey" in line and "FileScan" in line)]
+    up = next(line for line in reversed(scan) if "Exchange" in line or "HashAggregate" in line)
+    assert "HashAggregate" in up and found.count() > 0 and not catalogue._PUBLISHED
