@@ -627,11 +627,9 @@ def copied_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def store_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published store with every tenth company and every eleventh filing left out."""
-    from dataclasses import replace
-
     s = served(spark, sf_dir)
     n = F.col("accession").cast("long")
-    return writes.faults(replace(s, company=s.company.where(F.col("cik").cast("long") % 10 != 0), filing=s.filing.where(n % 11 != 0)))
+    return writes.faults(s.replaced(company=s.company.where(F.col("cik").cast("long") % 10 != 0), filing=s.filing.where(n % 11 != 0)))
 
 
 @query

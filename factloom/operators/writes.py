@@ -6,13 +6,14 @@ Parquet has no update in place: each function returns the whole next relation (o
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.session import kept
-from factloom.sources.store import TABLES, Store
+from factloom.sources.store import TABLES, LazyStore, Store
 
 IDENTITY = ("cik", "concept_key", "product_key", "period_end", "period_start_key", "unit", "accession", "extracted_by")
 
@@ -131,22 +132,27 @@ def repeated(frame: DataFrame, key: str) -> DataFrame:
     return frame.select(key, F.xxhash64(key).alias("hash")).join(again, "hash", "left_semi").groupBy(key).count().where("count > 1")
 
 
-def faults(store: Store) -> DataFrame:
-    """(rule, n): how many rows break each rule of the store: keys are unique, facts refer to a filing and a company, and
-    model-made facts carry their source. Each rule is an aggregate or an anti-join."""
+#: The relations that have rules, and their keys.
+RULED = {"company": "cik", "filing": "accession", "fact": "id"}
+
+
+def faults(store: Store, names: Iterable[str] = tuple(RULED)) -> DataFrame:
+    """(rule, n): how many rows break each rule of the named relations: keys are unique, facts refer to a filing and a
+    company, and model-made facts carry their source. Each rule is an aggregate or an anti-join."""
     count = lambda rule, rows: rows.agg(F.count("*").alias("n")).select(F.lit(rule).alias("rule"), "n")
-    ticked = store.company.where(F.nullif("ticker", F.lit("")).isNotNull())
-    rules = [count(f"{name}: repeated keys", repeated(frame, key)) for name, frame, key in (("company", store.company, "cik"), ("filing", store.filing, "accession"), ("fact", store.fact, "id"))]
-    rules.append(count("company: repeated tickers", repeated(ticked, "ticker")))
-    rules += [count(f"fact: rows without their {key}", store.fact.join(other.select(key), key, "left_anti")) for key, other in (("accession", store.filing), ("cik", store.company))]
-    if "source_span" in store.fact.columns:
-        rules.append(count("fact: model-made rows without a source", store.fact.where(F.col("extracted_by").startswith("llm:") & F.col("source_span").isNull())))
+    rules = [count(f"{name}: repeated keys", repeated(getattr(store, name), RULED[name])) for name in names]
+    if "company" in names:
+        rules.append(count("company: repeated tickers", repeated(store.company.where(F.nullif("ticker", F.lit("")).isNotNull()), "ticker")))
+    if "fact" in names:
+        rules += [count(f"fact: rows without their {key}", store.fact.join(other.select(key), key, "left_anti")) for key, other in (("accession", store.filing), ("cik", store.company))]
+        if "source_span" in store.fact.columns:
+            rules.append(count("fact: model-made rows without a source", store.fact.where(F.col("extracted_by").startswith("llm:") & F.col("source_span").isNull())))
     return reduce(DataFrame.unionByName, rules)
 
 
-def check(store: Store) -> None:
-    """Raises where a rule is broken; one row a rule reaches the driver."""
-    broken = [f"{r['rule']}: {r['n']}" for r in faults(store).where("n > 0").collect()]
+def check(store: Store, names: Iterable[str] = tuple(RULED)) -> None:
+    """Raises where a rule of the named relations is broken; one row a rule reaches the driver."""
+    broken = [f"{r['rule']}: {r['n']}" for r in faults(store, names).where("n > 0").collect()]
     if broken:
         raise ConstraintError("; ".join(sorted(broken)))
 
@@ -162,14 +168,34 @@ def publish(store: Store, folder: str, overwrite: bool = False, checked: bool =
     by company and period, so that any number of machines shares one concept and filters on company skip row groups."""
     if checked:
         check(store)
-    mode = "overwrite" if overwrite else "errorifexists"
     for name in TABLES:
-        frame = getattr(store, name)
-        if name == "fact":
-            dealt = store.dealt(max(1, -(-frame.count() // file_facts))).sortWithinPartitions("concept_key", "cik", "period_end")
-            dealt.write.mode(mode).option("compression", CODEC).partitionBy("concept_key").parquet(f"{folder}/{name}")
-        else:
-            frame.write.mode(mode).option("compression", CODEC).parquet(f"{folder}/{name}")
+        _publish(store, name, folder, "overwrite" if overwrite else "errorifexists", file_facts)
+
+
+def _publish(store: Store, name: str, folder: str, mode: str, file_facts: int) -> None:
+    frame = getattr(store, name)
+    if name == "fact":
+        dealt = store.dealt(max(1, -(-frame.count() // file_facts))).sortWithinPartitions("concept_key", "cik", "period_end")
+        dealt.write.mode(mode).option("compression", CODEC).partitionBy("concept_key").parquet(f"{folder}/{name}")
+    else:
+        frame.write.mode(mode).option("compression", CODEC).parquet(f"{folder}/{name}")
+
+
+def published(store: Store, folder: str, done: set[str], file_facts: int = FILE_FACTS) -> Store:
+    """The serving copy below a folder of its own, each relation published and checked when a plan first asks for it; facts
+    are checked against companies and filings, so these come with them. done: the names of those that are there."""
+
+    def opened(name: str) -> DataFrame:
+        spark = store.company.sparkSession
+        if name not in done:
+            _publish(store, name, folder, "overwrite", file_facts)
+            if name in RULED:  # over the written relations, which nothing has to be made for
+                check(copy.replaced(**{name: spark.read.parquet(f"{folder}/{name}")}), (name,))
+            done.add(name)
+        return spark.read.parquet(f"{folder}/{name}")
+
+    copy = LazyStore(opened)
+    return copy
 
 
 #: Rows that one CSV file may hold.

@@ -19,8 +19,12 @@ class Store:
     #: A way of its own to `dealt`; None: from the relations.
     deal: Callable[[int], DataFrame] | None = None
 
+    def replaced(self, **given: DataFrame) -> Store:
+        """The store with the given relations in place of its own."""
+        return replace(self, **given)
+
     def with_facts(self, fact: DataFrame) -> Store:
-        return replace(self, fact=fact, deal=None)
+        return self.replaced(fact=fact, deal=None)
 
     def dealt(self, tasks: int) -> DataFrame:
         """`dated` over so many tasks by ranges of concept, company and period."""
@@ -36,6 +40,26 @@ class Store:
 TABLES = ("company", "filing", "fact", "verification", "scale")
 
 
+class LazyStore(Store):
+    """A store whose relations are opened when a plan first asks for them, so that what no plan asks for costs nothing."""
+
+    def __init__(self, opened: Callable[[str], DataFrame], **given: DataFrame | None):
+        for name, value in {"opened": opened, **given}.items():
+            object.__setattr__(self, name, value)
+
+    def __getattr__(self, name: str) -> DataFrame:  # asked only for what is not there yet
+        if name not in TABLES:
+            raise AttributeError(name)
+        object.__setattr__(self, name, self.opened(name))
+        return getattr(self, name)
+
+    def __repr__(self) -> str:  # that of the fields would open them
+        return f"LazyStore({', '.join(n for n in TABLES if n in vars(self))})"
+
+    def replaced(self, **given: DataFrame) -> Store:
+        return LazyStore(**(vars(self) | given))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, by the file system that Spark uses for it; a failing file system is an error."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -156,3 +156,25 @@ def test_empty_payloads_publish_nothing(spark, sf_dir, monkeypatch):
     scan = plan.splitlines()[:next(i for i, line in enumerate(plan.splitlines()) if "l_suppkey" in line and "FileScan" in line)]
     up = next(line for line in reversed(scan) if "Exchange" in line or "HashAggregate" in line)
     assert "HashAggregate" in up and found.count() > 0 and not catalogue._PUBLISHED
+
+
+def test_only_what_is_asked_for_is_published(spark, sf_dir, monkeypatch):
+    """A query over companies publishes no facts; facts come with what they are checked against."""
+    monkeypatch.setattr(catalogue, "_PUBLISHED", {})
+    assert catalogue.QUERIES["merged_companies"](spark, sf_dir).count() > 0
+    (_, done), = catalogue._PUBLISHED.values()
+    assert done == {"company"}
+    assert catalogue_filed.QUERIES["discovery_report"](spark, sf_dir).count() == 1 and done == {"company", "filing"}
+    assert catalogue_filed.QUERIES["empty_payloads"](spark, sf_dir).count() > 0 and done == {"company", "filing"}
+    assert catalogue_filed.QUERIES["alias_records"](spark, sf_dir).count() > 0 and done == {"company", "filing", "fact"}
+
+
+def test_a_relation_is_checked_when_it_is_published(store, tmp_path):
+    done = set()
+    copy = writes.published(store([{"value": 1, "cik": "9"}]), str(tmp_path / "p"), done)
+    assert copy.company.count() == 3 and done == {"company"}
+    for _ in range(2):  # a broken relation is not taken for published
+        with pytest.raises(writes.ConstraintError, match="fact: rows without their cik: 1"):
+            copy.fact  # noqa: B018
+    assert done == {"company", "filing"}
+    assert copy.with_facts(copy.company.limit(1)).fact.count() == 1 and done == {"company", "filing"}
