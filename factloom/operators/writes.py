@@ -163,8 +163,8 @@ FILE_FACTS, CODEC = 2_000_000, "zstd"
 
 
 def publish(store: Store, folder: str, overwrite: bool = False, checked: bool = True, file_facts: int = FILE_FACTS) -> None:
-    """Writes the serving copy: all relations but the document index. Facts carry the form and date of their filing, are
-    partitioned by concept, dealt by ranges of concept and company into as many tasks as their count asks for, and sorted
+    """Writes the serving copy: all relations but the document index. Facts carry the form and date of their filing and how
+    many facts of their cell come before them, which makes the current ones a filter; they are partitioned by concept, dealt by ranges of concept and company into as many tasks as their count asks for, and sorted
     by company and period, so that any number of machines shares one concept and filters on company skip row groups."""
     if checked:
         check(store)
@@ -175,7 +175,7 @@ def publish(store: Store, folder: str, overwrite: bool = False, checked: bool =
 def _publish(store: Store, name: str, folder: str, mode: str, file_facts: int) -> None:
     frame = getattr(store, name)
     if name == "fact":
-        dealt = store.dealt(max(1, -(-frame.count() // file_facts))).sortWithinPartitions("concept_key", "cik", "period_end")
+        dealt = store.ranked(max(1, -(-frame.count() // file_facts))).sortWithinPartitions("concept_key", "cik", "period_end")
         dealt.write.mode(mode).option("compression", CODEC).partitionBy("concept_key").parquet(f"{folder}/{name}")
     else:
         frame.write.mode(mode).option("compression", CODEC).parquet(f"{folder}/{name}")

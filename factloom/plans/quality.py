@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions.names import document_url, filing_url
 from factloom.plans.panel import scoped
 from factloom.plans.views import fact_collision, fact_current, reserve_consistency, unit_discontinuity
 from factloom.registry import FAMILY, concepts_frame
-from factloom.sources.store import Store
+from factloom.sources.store import CELL, Store, place
 
 FALLBACK_TAG = "RevenueFromContractWithCustomerExcludingAssessedTax"
 RESERVE_BASE = (*FAMILY, "standardized_measure", "production_volume")
@@ -110,5 +110,5 @@ def _ids(store: Store, ids: list[str] | DataFrame) -> DataFrame:
 
 def superseded(store: Store) -> DataFrame:
     """Facts that a later one of their cell replaced, with how many cells' facts came before them."""
-    order = Window.partitionBy("cik", "concept_key", "product_key", "period_end", "period_start_key").orderBy(F.desc("filed_date"), F.asc("unit_rank"), F.desc("id"))
-    return store.dated().withColumn("rn", F.row_number().over(order)).where("rn > 1").select("id", "cik", "concept_key", (F.col("rn") - 1).cast("long").alias("behind"))
+    facts = store.fact if "behind" in store.fact.columns else store.dated().withColumn("behind", place(*CELL) - 1)
+    return facts.where("behind > 0").select("id", "cik", "concept_key", F.col("behind").cast("long").alias("behind"))

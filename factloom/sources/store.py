@@ -5,9 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+CELL = ("cik", "concept_key", "product_key", "period_end", "period_start_key")
+
+
+def place(*cell: str) -> Column:
+    """A fact's place in its cell, from 1: the newest filing, then the preferred unit, then the highest id."""
+    return F.row_number().over(Window.partitionBy(*cell).orderBy(F.desc("filed_date"), F.asc("unit_rank"), F.desc("id")))
+
 
 @dataclass(frozen=True)
 class Store:
@@ -16,24 +23,29 @@ class Store:
     fact: DataFrame
     verification: DataFrame
     scale: DataFrame
-    #: A way of its own to `dealt`; None: from the relations.
-    deal: Callable[[int], DataFrame] | None = None
+    #: A way of its own to `dealt` and, where it is told so, to `ranked`; None: from the relations.
+    deal: Callable[[int, bool], DataFrame] | None = None
 
     def replaced(self, **given: DataFrame) -> Store:
         """The store with the given relations in place of its own."""
         return replace(self, **given)
 
     def with_facts(self, fact: DataFrame) -> Store:
-        return self.replaced(fact=fact, deal=None)
+        return self.replaced(fact=fact.drop("behind"), deal=None)  # other facts, other places
 
     def dealt(self, tasks: int) -> DataFrame:
         """`dated` over so many tasks by ranges of concept, company and period."""
-        return self.deal(tasks) if self.deal is not None else self.dated().repartitionByRange(tasks, "concept_key", "cik", "period_end")
+        return self.deal(tasks, False) if self.deal is not None else self.dated().repartitionByRange(tasks, "concept_key", "cik", "period_end")
+
+    def ranked(self, tasks: int) -> DataFrame:
+        """`dealt`, with how many facts of its cell come before each (`behind`). All facts of a cell are dealt to one task,
+        so their places cost no further shuffle."""
+        return self.deal(tasks, True) if self.deal is not None else self.dealt(tasks).withColumn("behind", place(*CELL) - 1)
 
     def dated(self, fact: DataFrame | None = None) -> DataFrame:
         """Facts with the form and date of their filing. A published fact carries both, so no plan joins the filings."""
         fact = self.fact if fact is None else fact
-        lacking = [c for c in ("filed_date", "form") if c not in fact.columns]
+        lacking, fact = [c for c in ("filed_date", "form") if c not in fact.columns], fact.drop("behind")
         return fact.join(self.filing.select("accession", *lacking), "accession") if lacking else fact
 
 
@@ -138,10 +150,13 @@ def tpch_store(spark: SparkSession, sf_dir: str) -> Store:
     items = read("lineitem")
     lines = own(items, F.col("l_discount").alias("mark"), F.col("l_tax").alias("tax"))
 
-    def deal(tasks: int) -> DataFrame:
+    filer, year = F.substring(F.col("l_suppkey").cast("string"), 1, 10).cast("bigint"), F.year("l_shipdate")  # one for each cik and period_end
+
+    def deal(tasks: int, ranked: bool) -> DataFrame:
         orders = read("orders").select("o_orderkey", form.alias("form"), "o_orderdate")
         met = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
-        return own(met.repartitionByRange(tasks, concept, "l_suppkey", F.year("l_shipdate")), "form", filed.alias("filed_date"))
+        dealt = own(met.repartitionByRange(tasks, concept, filer, year), "form", filed.alias("filed_date"), filer.alias("filer"), year.alias("year"))
+        return (dealt.withColumn("behind", place("concept_key", "filer", "year", "product_key") - 1) if ranked else dealt).drop("filer", "year")
 
     status = F.when(F.col("mark") > 0.05, "found").when(F.col("mark") > 0.02, "not_found")
     verification = lines.select(F.col("id").alias("fact_id"), status.alias("status"), F.concat(F.lit("doc-"), F.col("accession"), F.lit(".htm")).alias("document")).where(F.col("status").isNotNull())

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from factloom import catalogue, catalogue_filed
 from factloom.operators import clusters, writes
-from factloom.plans import counts, panel, views
+from factloom.plans import counts, panel, quality, views
 from factloom.registry import DEVELOPED, TOTAL, UNDEVELOPED
 from factloom.sources.store import Store, open_store, tpch_store
 
@@ -178,3 +178,35 @@ def test_a_relation_is_checked_when_it_is_published(store, tmp_path):
             copy.fact  # noqa: B018
     assert done == {"company", "filing"}
     assert copy.with_facts(copy.company.limit(1)).fact.count() == 1 and done == {"company", "filing"}
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_published_facts_know_their_place(spark, sf_dir, tmp_path):
+    """Current and replaced facts of a published store are a filter, without a shuffle, and those that a window finds; the
+    place is taken where the cells are dealt to, behind one exchange by ranges."""
+    own = tpch_store(spark, sf_dir)
+    writes.publish(own, str(tmp_path / "s"), checked=False, file_facts=1000)
+    copy = open_store(spark, str(tmp_path / "s"))
+    for ask in (lambda s: views.fact_current(s).select("id", "cik", "form", "filed_date"), quality.superseded, views.cells):
+        assert "Exchange" not in _plan(ask(copy))
+        assert sorted(map(str, ask(copy).collect())) == sorted(map(str, ask(own).collect()))
+        assert sorted(map(str, ask(copy.with_facts(copy.fact)).collect())) == sorted(map(str, ask(own).collect()))
+    ranked = _plan(own.ranked(3))
+    assert ranked.count("rangepartitioning(") == 1 and ranked.count("hashpartitioning(l_orderkey") <= 1 and "hashpartitioning(concept_key" not in ranked
+    some = copy.with_facts(copy.fact.where("behind > 0"))  # fewer facts have other places
+    assert views.fact_current(some).count() > 0
+
+
+def test_places_of_long_company_numbers(spark, sf_dir, tmp_path):
+    """Company numbers that are cut to the same ten digits are one company, whose facts have one current one a cell."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").limit(300)
+    odd = F.when(F.col("l_linenumber") % 2 == 0, 12345678901).when(F.col("l_linenumber") % 3 == 0, 12345678902).otherwise(-1)
+    rows.withColumn("l_suppkey", odd.cast("bigint")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("supplier", "nation", "orders"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    own = tpch_store(spark, str(tmp_path))
+    current = own.ranked(5).where("behind = 0")
+    assert sorted(r.id for r in current.collect()) == sorted(r.id for r in views.fact_current(own).collect())
