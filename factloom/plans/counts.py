@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.plans.panel import scoped
-from factloom.plans.views import fact_collision, fact_current, reserve_consistency, unit_discontinuity
+from factloom.plans.views import cells, fact_collision, fact_current, reserve_consistency, unit_discontinuity
 from factloom.registry import concepts_frame
 from factloom.sources.store import Store
 
@@ -36,14 +36,14 @@ def summary(store: Store, cohort: str | None = None) -> DataFrame:
 
 def concepts(store: Store) -> DataFrame:
     """Concepts present, in the registry's order."""
-    counts = fact_current(store).groupBy("concept_key").agg(F.count("*").alias("cells"))
+    counts = cells(store).groupBy("concept_key").agg(F.count("*").alias("cells"))
     return concepts_frame(store.fact.sparkSession).join(counts, "concept_key").select("concept_key", "label", "cells", "concept_ord").orderBy("concept_ord")
 
 
 def periods(store: Store, concept: str | None = None) -> DataFrame:
     """Periods with data, newest first. A cell has a current fact whenever it has any, so no ranking is needed."""
     facts = store.fact if concept is None else store.fact.where(F.col("concept_key") == concept)
-    return facts.join(store.filing.select("accession"), "accession", "left_semi").select("period_end").distinct().orderBy(F.desc("period_end"))
+    return store.dated(facts).select("period_end").distinct().orderBy(F.desc("period_end"))
 
 
 def cohorts(store: Store) -> DataFrame:
@@ -54,15 +54,15 @@ def cohorts(store: Store) -> DataFrame:
 
 def companies(store: Store) -> DataFrame:
     """Members with what each has; those without a fact stay."""
-    cells = fact_current(store).groupBy("cik").agg(F.count("*").alias("cells"), F.countDistinct("concept_key").alias("concepts"), F.max("period_end").alias("latest_period"))
-    rows = scoped(store.company).select("cik", "name", "ticker").join(cells, "cik", "left").na.fill(0, ["cells", "concepts"])
+    per = cells(store).groupBy("cik").agg(F.count("*").alias("cells"), F.countDistinct("concept_key").alias("concepts"), F.max("period_end").alias("latest_period"))
+    rows = scoped(store.company).select("cik", "name", "ticker").join(per, "cik", "left").na.fill(0, ["cells", "concepts"])
     return rows.orderBy(F.desc("concepts"), F.desc("cells"), "name")
 
 
 def coverage_matrix(store: Store, cohort: str | None = None) -> DataFrame:
     """(company, concept) with newest period and cells; a company without a fact keeps one row without a concept."""
-    cells = fact_current(store).groupBy("cik", "concept_key").agg(F.max("period_end").alias("latest_period"), F.count("*").alias("cells"))
-    return scoped(store.company, cohort).select("cik", "name", "ticker").join(cells, "cik", "left")
+    per = cells(store).groupBy("cik", "concept_key").agg(F.max("period_end").alias("latest_period"), F.count("*").alias("cells"))
+    return scoped(store.company, cohort).select("cik", "name", "ticker").join(per, "cik", "left")
 
 
 def coverage_nested(store: Store, cohort: str | None = None) -> DataFrame:
@@ -75,4 +75,4 @@ def coverage_nested(store: Store, cohort: str | None = None) -> DataFrame:
 def company_concepts(store: Store, cohort: str | None = None) -> DataFrame:
     """(cik, concepts): the sorted distinct concepts of each member."""
     members = scoped(store.company, cohort).select("cik")
-    return store.fact.join(store.filing.select("accession"), "accession", "left_semi").join(members, "cik", "left_semi").groupBy("cik").agg(F.array_join(F.sort_array(F.collect_set("concept_key")), ",").alias("concepts"))
+    return store.dated().join(members, "cik", "left_semi").groupBy("cik").agg(F.array_join(F.sort_array(F.collect_set("concept_key")), ",").alias("concepts"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from factloom import catalogue, catalogue_filed
 from factloom.operators import clusters, writes
-from factloom.plans import counts, panel, quality, views
+from factloom.plans import counts, panel, quality, series, views
 from factloom.registry import DEVELOPED, TOTAL, UNDEVELOPED
 from factloom.sources.store import Store, open_store, tpch_store
 
@@ -210,3 +210,24 @@ def test_places_of_long_company_numbers(spark, sf_dir, tmp_path):
     own = tpch_store(spark, str(tmp_path))
     current = own.ranked(5).where("behind = 0")
     assert sorted(r.id for r in current.collect()) == sorted(r.id for r in views.fact_current(own).collect())
+
+
+def test_a_history_shuffles_no_verdicts(spark, sf_dir, tmp_path):
+    """Of verdicts and scales only those of the company's own cells are shuffled, whatever their number."""
+    writes.publish(tpch_store(spark, sf_dir), str(tmp_path / "s"), checked=False)
+    copy = open_store(spark, str(tmp_path / "s"))
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        plan = _plan(series.company_history(copy, "0000000001", TOTAL)).splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    scans = [i for i, line in enumerate(plan) if "FileScan" in line and "fact_id" in line]
+    assert len(scans) == 2
+    for i in scans:  # going up from the scan, the broadcast join comes before any exchange
+        up = next(line for line in reversed(plan[:i]) if "Exchange hashpartitioning" in line or "BroadcastHashJoin" in line)
+        assert "BroadcastHashJoin" in up
+    assert "filing" not in "".join(line for line in _plan(counts.periods(copy, TOTAL)).splitlines() if "Join" in line)
