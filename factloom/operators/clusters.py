@@ -42,7 +42,7 @@ def _cover(low: Column, high: Column, levels: int) -> Column:
 
 def interval_of(points: DataFrame, intervals: DataFrame, keys: list[str], position: str, start: str, end: str, value: str) -> DataFrame:
     """For each point the value of the interval that holds it (the one that starts last, of those the longest), else of
-    the nearest by edge (the earlier one at equal distance). Positions are whole numbers.
+    the nearest by edge (the earlier one at equal distance); of equal ones the least value. Positions are whole numbers.
 
     Both sides are sorted once by place and swept: the interval that starts last before a point, the furthest end of all
     that start before it, and the next start. Mostly the first of these holds the point, or none does. Where an interval
@@ -50,31 +50,39 @@ def interval_of(points: DataFrame, intervals: DataFrame, keys: list[str], positi
     two of each length, of which each keeps its best interval; a point looks at the one block of each length that it is
     in. So no key's intervals come together in one row, and a point looks through as many blocks as lengths have bits.
 
-    An interval that ends before it starts counts as its start; one without a start is left out."""
+    Null keys meet nothing, as in a join. An interval that ends before it starts counts as its start; one without a start
+    is found where its key has no other. A point without a place finds the interval that starts first."""
     mark = "_" * max(map(len, (*points.columns, value)))
     at, kind, iv = f"at{mark}", f"kind{mark}", f"iv{mark}"
     s, e = F.col(start).cast("long"), F.greatest(F.col(start), F.col(end)).cast("long")
-    named = intervals.where(s.isNotNull()).select(*keys, F.struct(s.alias("s"), e.alias("e"), F.col(value).alias("v")).alias(iv))
-    both = points.withColumn(at, F.col(position).cast("long")).withColumn(kind, F.lit(1)).unionByName(named.withColumn(at, F.col(f"{iv}.s")).withColumn(kind, F.lit(0)), allowMissingColumns=True)
-    before = Window.partitionBy(*keys).orderBy(F.col(at), F.col(kind), F.col(f"{iv}.e")).rowsBetween(Window.unboundedPreceding, 0)
-    behind = Window.partitionBy(*keys).orderBy(F.col(at).desc(), F.col(kind).desc(), F.col(f"{iv}.e").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    named = intervals.dropna(subset=keys).select(*keys, F.struct(s.alias("s"), e.alias("e"), F.col(value).alias("v")).alias(iv))
+    # Intervals come before the points of their place, those without a start before all.
+    both = points.withColumn(at, F.col(position).cast("long")).withColumn(kind, F.lit(1)).unionByName(
+        named.withColumn(at, F.col(f"{iv}.s")).withColumn(kind, F.when(F.col(f"{iv}.s").isNull(), -1).otherwise(0)), allowMissingColumns=True
+    )
+    before = Window.partitionBy(*keys).orderBy(F.col(at), F.col(kind), F.col(f"{iv}.e"), F.col(f"{iv}.v").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    behind = Window.partitionBy(*keys).orderBy(F.col(at).desc(), F.col(kind).desc(), F.col(f"{iv}.e").desc(), F.col(f"{iv}.v").desc()).rowsBetween(Window.unboundedPreceding, 0)
     is_mark = F.col(kind) == 0
     swept = both.withColumns({
         f"last{mark}": F.last(F.when(is_mark, F.col(iv)), ignorenulls=True).over(before),
-        f"far{mark}": F.max(F.when(is_mark, F.struct(F.col(f"{iv}.e").alias("e"), (-F.col(f"{iv}.s")).alias("s"), F.col(f"{iv}.v").alias("v")))).over(before),
+        f"far{mark}": F.min(F.when(is_mark, F.struct((-F.col(f"{iv}.e")).alias("e"), F.col(f"{iv}.s").alias("s"), F.col(f"{iv}.v").alias("v")))).over(before),
         f"next{mark}": F.last(F.when(is_mark, F.col(iv)), ignorenulls=True).over(behind),
+        f"free{mark}": F.min(F.when(F.col(kind) == -1, F.col(f"{iv}.v"))).over(before),
     }).where(F.col(kind) == 1)
     here, last, far, next_ = (F.col(c) for c in (at, f"last{mark}", f"far{mark}", f"next{mark}"))
-    covered = (here > last["e"]) & (here <= far["e"])
+    reach = -far["e"]
+    covered = (here > last["e"]) & (here <= reach)
 
+    placed = named.where(F.col(f"{iv}.s").isNotNull())
     following = F.lead(f"{iv}.s").over(Window.partitionBy(*keys).orderBy(f"{iv}.s", f"{iv}.e"))
-    outer = named.withColumn("n", following).where(F.col("n") <= F.col(f"{iv}.e")).drop("n")
+    outer = placed.withColumn("n", following).where(F.col("n") <= F.col(f"{iv}.e")).drop("n")
     levels = int(outer.agg(F.max(F.col(f"{iv}.e") - F.col(f"{iv}.s") + 1)).first()[0] or 1).bit_length()
-    blocks = outer.select(*keys, iv, F.explode(_cover(F.col(f"{iv}.s"), F.col(f"{iv}.e"), levels)).alias("b")).groupBy(*keys, "b").agg(F.max(iv).alias(f"best{mark}"))
+    best = lambda x: F.min(F.struct((-x["s"]).alias("s"), (-x["e"]).alias("e"), x["v"].alias("v")))
+    blocks = outer.select(*keys, iv, F.explode(_cover(F.col(f"{iv}.s"), F.col(f"{iv}.e"), levels)).alias("b")).groupBy(*keys, "b").agg(best(F.col(iv)).alias(f"best{mark}"))
     own = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(at, k).alias("number")) for k in range(levels)])
     asked = swept.where(covered).select(*keys, at).distinct().select(*keys, at, F.explode(own).alias("b"))
-    holding = asked.join(blocks, [*keys, "b"]).groupBy(*keys, at).agg(F.max(f"best{mark}").alias(f"holding{mark}"))
+    holding = asked.join(blocks, [*keys, "b"]).groupBy(*keys, at).agg(F.min(f"best{mark}").alias(f"holding{mark}"))
     rows = swept.join(holding, [*keys, at], "left")
-    near = F.when(far.isNull() | (next_["s"] - here < here - far["e"]), next_["v"]).otherwise(far["v"])
-    found = F.when(here <= last["e"], last["v"]).when(here <= far["e"], F.col(f"holding{mark}")["v"]).otherwise(near)
-    return rows.select(*points.columns, found.alias(value))
+    near = F.when(far.isNull() | (next_["s"] - here < here - reach), next_["v"]).otherwise(far["v"])
+    found = F.when(here <= last["e"], last["v"]).when(here <= reach, F.col(f"holding{mark}")["v"]).otherwise(near)
+    return rows.select(*points.columns, F.when(last.isNull() & next_.isNull(), F.col(f"free{mark}")).otherwise(found).alias(value))

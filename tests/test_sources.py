@@ -119,6 +119,34 @@ def test_intervals_against_a_plain_search(spark):
     assert len(got) == len(points) and all(r.v in plain(r.doc, r.at) for r in got)
 
 
+def test_intervals_of_odd_events_as_their_sql(spark, tmp_path):
+    """Ids that stand in several rows are one event, null users meet no one, and a missing time is far from all."""
+    import duckdb
+
+    from factloom import catalogue_filed, oracles_filed
+
+    t = lambda h, s=0: f"2024-01-0{1 + h // 24} {h % 24:02d}:00:{s:02d}"
+    rows = [
+        (0, t(1), 1, "signup"), (1, t(5), 1, "purchase"), (2, t(5, 30), 1, "view"), (2, t(90), 2, "view"), (3, t(80), 1, "view"), (3, t(80), 2, "view"), (4, t(60), 2, "purchase"),
+        (5, t(2), None, "signup"), (6, t(3), None, "view"), (7, None, 1, "view"), (8, None, 3, "purchase"), (9, t(4), 3, "view"), (10, None, 4, "view"), (None, t(70), 2, "view"), (None, t(7), 1, "view"),
+    ]
+    spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string").withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = catalogue_filed.interval_of(spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.execute(oracles_filed.ORACLE_SQL["interval_of"]).fetchall()))
+
+
+def test_equal_intervals_are_settled_by_value(spark):
+    """The least value of equal intervals is found, before, in, between and behind them, whatever their order."""
+    values = list("dbacef")
+    spans = [(s, e, f"{v}{s}") for v in values for s, e in ((0, 50), (10, 20), (90, 95))]
+    points = spark.range(-5, 120).select(F.lit("a").alias("doc"), F.col("id").alias("at"))
+    for order in (spans, spans[::-1]):
+        got = clusters.interval_of(points, spark.createDataFrame([("a", *x) for x in order], "doc string, s int, e int, v string"), ["doc"], "at", "s", "e", "v").collect()
+        assert len(got) == 125 and {r.v[0] for r in got} == {"a"}
+
+
 def test_predecessors_with_commas_and_clauses(spark):
     texts = {
         "As reported by Big Oil, Inc., a Delaware corporation and the predecessor registrant": "Big Oil, Inc",
