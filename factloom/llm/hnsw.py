@@ -244,8 +244,8 @@ def search(indexed: DataFrame, queries: DataFrame, k: int = 5, ef: int = EF_SEAR
                 yield pd.DataFrame({"q_dim": [len(part["v"].iloc[0])], "q_ids": [part["id"].to_numpy()], "q_which": [part["which"].to_numpy()], "q": [np.concatenate(part["v"].to_list())]})
 
     blocks = materialise(asked.mapInPandas(pack, "q_dim int, q_ids array<bigint>, q_which array<bigint>, q array<double>"), "queries")
-    last = indexed.agg(F.coalesce(F.max("shard"), F.lit(0))).first()[0]
-    met = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(last)))).join(indexed, "shard")
+    # Each task takes some shards and goes through some blocks: neither side is broadcast, nor sent once for each of the other.
+    met = indexed.hint("shuffle_replicate_nl").crossJoin(blocks)
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

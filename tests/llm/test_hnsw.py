@@ -87,3 +87,13 @@ def test_empty_and_unlike(spark):
     assert hnsw.nearest(empty, F.col("vec_id") % 50 == 0).collect() == []
     with pytest.raises(Exception, match="unlike lengths"):
         hnsw.nearest(spark.createDataFrame([(0, [1.0], "a"), (1, [1.0, 2.0], "b")], SCHEMA), F.col("vec_id") == 0).collect()
+
+
+def test_queries_of_all_shards_stay_off_the_driver(spark):
+    """Neither the graphs nor the queries, once for each shard, are broadcast; blocks meet every shard all the same."""
+    draw = np.random.default_rng(5)
+    rows = spark.createDataFrame([(i, x.tolist(), "a") for i, x in enumerate(draw.normal(size=(400, 8)))], SCHEMA)
+    got = hnsw.search(hnsw.index(rows, shard_rows=40), rows.where("vec_id % 5 = 0"))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    want = brute([(r.vec_id, r.embedding) for r in rows.collect()], every=5)
+    assert {q: [i for i, _ in v] for q, v in found(got).items()} == {q: [i for i, _ in v] for q, v in want.items()}
