@@ -70,3 +70,16 @@ def test_a_delivery_is_several_files(spark, sf_dir, monkeypatch):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
     (files, a_batch), = written
     assert a_batch > 1 and files == 3 * a_batch
+
+
+def test_the_target_is_the_state_and_many_tasks_write_it(spark, tmp_path):
+    """No cells are kept beside the target, and a target of many rows is written in several files a batch."""
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for filed in ("2024-02-01", "2023-02-01", "2025-02-01"):
+        rows = spark.range(2000).select(F.format_string("%05d", "id").alias("cik"), F.lit("x").alias("concept_key"), F.lit("").alias("product_key"), F.lit("2023-12-31").alias("period_end"), F.lit("").alias("period_start_key"), F.lit(filed).alias("filed_date"), F.lit(0).alias("unit_rank"), F.concat(F.lit(filed), F.col("id")).alias("id"), F.col("id").cast("double").alias("value"))
+        rows.coalesce(1).write.mode("append").parquet(source)
+        current.keep_current(spark, source, FACTS, target, state, file_rows=250).awaitTermination(120)
+        assert not (tmp_path / "state" / "state").exists()
+        assert len(current.merges.read(spark, target).inputFiles()) >= 4
+    got = current.merges.read(spark, target)
+    assert got.count() == 2000 and got.where("filed_date = '2025-02-01'").count() == 2000
